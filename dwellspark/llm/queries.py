@@ -8,14 +8,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid
+from . import bpe, decontam, langid, minhash, toxicity
 from .common import table, training_row
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = decontam.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", F.inline("leaks"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    return scored.select("doc_id", F.coalesce(~training_row(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.learn(docs, where=training_row())
-    return langid.predict(docs.select("doc_id", "text"), model, ["doc_id"]).select("doc_id", (~training_row()).alias("held_out"), "lang_pred", "score")
+    return langid.predict(docs.select("doc_id", "text"), model, ["doc_id"]).select("doc_id", F.coalesce(~training_row(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +39,6 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op8_language_id, op9_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_decontamination, op5_toxicity, op6_minhash, op8_language_id, op9_byte_bpe)}
 
 ORACLES: dict[str, str] = {}
