@@ -7,9 +7,9 @@ the sets themselves; components come from alternating large-star and small-star
 
 No bucket is ever expanded into all its pairs.  First every bucket's smallest node is compared with its other nodes
 (a star), twice with different orders, and components are formed.  Members of one component need no further comparison,
-so what remains are pairs across components of a bucket: their signatures are compared in blocks of BLOCK rows inside
-tasks, and only pairs whose signatures may reach the threshold come out to be confirmed.  That step has no cap, so a
-bucket of any size gives all its links.
+so what remains are pairs across components of a bucket: they are compared in blocks of BLOCK rows inside tasks, first
+by signature, then on full sets, and only links that join components come out.  That step has no cap, so a bucket of
+any size gives all the links that its components need.
 
 With 5 rows and 30 bands a pair at exactly 0.8 meets in some bucket with probability 1 - 7e-6.
 
@@ -36,7 +36,6 @@ PERCENT = 80
 DEVIATIONS = 4.5
 #: Rows of a bucket that one task compares with as many others, and pairs of one node that one task confirms.
 BLOCK, CHUNK = 512, 1000
-STARS = 2
 
 _rng = np.random.default_rng(6)
 _MULTIPLY = _rng.integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -139,37 +138,52 @@ def verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have at least the Jaccard similarity percent / 100."""
+    if not len(one) or not len(other) or 100 * min(len(one), len(other)) < percent * max(len(one), len(other)):
+        return False
+    both = np.sort(np.concatenate([one, other]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(one) + len(other) - common)
+
+
+def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, items): the full sets of the nodes."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(nodes.select(F.col("node").alias("wanted")).distinct(), F.col("node") == F.col("wanted")).select("node", "text")
+
+    def run(batches):
+        for batch in sliced(batches):
+            items = [shingles(t, width).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], names=["node", "items"])
+
+    return texts.mapInArrow(run, "node bigint, items binary")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough.
 
-    A node's text is read once for up to CHUNK of its pairs, ahead of the texts of the other nodes, which stream by.
+    A node's set is held for up to CHUNK of its pairs, ahead of the sets of the other nodes, which stream by.
     """
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text")
     first = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    first = first.join(texts, first["a"] == texts["node"]).select("a", "chunk", F.lit(None).cast("bigint").alias("b"), "text")
+    first = first.join(sets, first["a"] == sets["node"]).select("a", "chunk", F.lit(None).cast("bigint").alias("b"), "items")
     dealt = pairs.join(counts.select(F.col("a").bitwiseXOR(F.lit(1)).alias("key"), "chunks"), F.col("a").bitwiseXOR(F.lit(1)) == F.col("key"))
     dealt = dealt.select("a", F.pmod(F.xxhash64("b"), "chunks").cast("int").alias("chunk"), "b")
-    rest = dealt.join(texts, dealt["b"] == texts["node"]).select("a", "chunk", "b", "text")
+    rest = dealt.join(sets, dealt["b"] == sets["node"]).select("a", "chunk", "b", "items")
     rows = first.union(rest).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
     def run(batches):
         at, held = None, []
         for batch in sliced(batches, 256):
             out = []
-            for a, chunk, b, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for a, chunk, b, items in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if at != (a, chunk):
                     at, held = (a, chunk), []
-                own = shingles(text, width)
+                own = np.frombuffer(items, np.uint64)
                 if b is None:
                     held.append(own)
-                    continue
-                for other in held:
-                    if len(own) and len(other) and 100 * min(len(own), len(other)) >= percent * max(len(own), len(other)):
-                        common = len(np.intersect1d(own, other, assume_unique=True))
-                        if 100 * common >= percent * (len(own) + len(other) - common):
-                            out.append((a, b))
-                            break
+                elif any(similar(own, other, percent) for other in held):
+                    out.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -202,51 +216,54 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _across(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components (column ``component``) that share a bucket and whose signatures agree."""
+def _across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of different components (column ``component``) that share a bucket; enough to join them.
+
+    Buckets of the same nodes are taken once.  A task holds up to BLOCK rows of a bucket beside as many others, compares
+    full sets where signatures agree, and gives no second link between nodes that it has joined already.
+    """
     least = least_agreement(percent)
-    mixed = buckets.groupBy("band", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("lo != hi")
-    mixed = mixed.select(F.col("band").alias("in_band"), F.col("value").bitwiseXOR(F.lit(1)).alias("key"), "blocks")
-    rows = buckets.join(mixed, (F.col("band") == F.col("in_band")) & (F.col("value").bitwiseXOR(F.lit(1)) == F.col("key"))).join(nodes.select("node", "signature"), "node")
+    mixed = buckets.groupBy("band", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("print")).where("lo != hi")
+    mixed = mixed.groupBy("n", "print").agg(F.min(F.struct("band", "value")).alias("one")).select(F.col("one.band").alias("in_band"), F.col("one.value").bitwiseXOR(F.lit(1)).alias("key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = buckets.join(mixed, (F.col("band") == F.col("in_band")) & (F.col("value").bitwiseXOR(F.lit(1)) == F.col("key"))).select("band", "value", "node", "component", "blocks")
+    held = sets.join(nodes.select(F.col("node").alias("signed"), "signature"), F.col("node") == F.col("signed")).select(F.col("node").alias("of"), "signature", "items")
+    rows = rows.join(held, F.col("node") == F.col("of"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", "signature")
+    rows = rows.select("band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", "signature", "items")
     rows = rows.repartition("band", "value", "i", "j").sortWithinPartitions("band", "value", "i", "j")
 
-    def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
-        node, component, signature = (list(x) for x in zip(*(g[5:] for g in group), strict=True))
-        node, component = np.array(node), np.array(component)
-        matrix = np.frombuffer(b"".join(signature), np.uint16).reshape(-1, BANDS * ROWS)
-        within = group[0][2] == group[0][3]
-        side = np.array([g[4] for g in group])
-        for k in range(len(group) - 1 if within else len(group)):
-            if within:
-                others = np.arange(k + 1, len(group))
-            elif side[k] == 0:
-                others = np.flatnonzero(side == 1)
-            else:
+    def compare(group: list[tuple]) -> list[tuple[int, int]]:
+        side, node, component = (np.array([g[k] for g in group]) for k in (4, 5, 6))
+        matrix = np.frombuffer(b"".join([g[7] for g in group]), np.uint16).reshape(-1, BANDS * ROWS)
+        items = [np.frombuffer(g[8], np.uint64) for g in group]
+        size, out, joined, within = np.array([len(x) for x in items]), [], component.copy(), group[0][2] == group[0][3]
+        for k in range(len(group)):
+            others = np.arange(k + 1, len(group)) if within else np.flatnonzero(side == 1) if side[k] == 0 else ()
+            if not len(others):
                 continue
-            others = others[component[others] != component[k]]
-            if len(others):
-                good = others[(matrix[others] == matrix[k]).sum(axis=1) >= least]
-                yield from ((min(node[k], node[o]), max(node[k], node[o])) for o in good)
+            others = others[(joined[others] != joined[k]) & (100 * np.minimum(size[others], size[k]) >= percent * np.maximum(size[others], size[k]))]
+            agree = (matrix[others] == matrix[k]).sum(axis=1)
+            for o in others[np.argsort(-agree, kind="stable")][: int((agree >= least).sum())]:
+                if joined[o] != joined[k] and similar(items[k], items[o], percent):
+                    joined[joined == joined[o]] = joined[k]
+                    out.append((int(min(node[k], node[o])), int(max(node[k], node[o]))))
+        return out
+
+    def batch_of(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     def run(batches):
         group: list[tuple] = []
-        out: set[tuple[int, int]] = set()
-        for batch in sliced(batches, 4096):
-            for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+        for batch in sliced(batches, 256):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
                 if group and group[0][:4] != row[:4]:
-                    out.update(compare(group))
+                    yield batch_of(compare(group))
                     group = []
                 group.append(row)
-            if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array([int(x[i]) for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
-                out = set()
         if group:
-            out.update(compare(group))
-        yield pa.RecordBatch.from_arrays([pa.array([int(x[i]) for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            yield batch_of(compare(group))
 
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(run, "a bigint, b bigint").where("a != b").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
@@ -261,10 +278,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     buckets = checkpointed(banded.join(shared, (F.col("band") == F.col("in_band")) & (F.col("value").bitwiseXOR(F.lit(1)) == F.col("key"))).select("band", "value", "node", "low", "any"))
     star = buckets.select(F.col("node").alias("a"), F.explode(F.array("low", "any")).alias("b")).where("a != b").select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
     same_set = linkable.join(nodes.select(F.col("k1").bitwiseXOR(F.lit(1)).alias("key"), F.col("k2").alias("key2"), "node"), (F.col("k1").bitwiseXOR(F.lit(1)) == F.col("key")) & (F.col("k2") == F.col("key2"))).select(F.col("node").alias("a"), F.col("doc_id").alias("b")).where("a != b").distinct()
-    links = checkpointed(confirmed(checkpointed(verified(star, nodes, percent)), docs, width, percent))
+    sets = checkpointed(full_sets(docs, buckets.select("node"), width))
+    links = checkpointed(confirmed(checkpointed(verified(star, nodes, percent)), sets, percent))
     first = components(links)
     grouped = checkpointed(buckets.select("band", "value", "node").join(first, "node", "left").select("band", "value", "node", F.coalesce("component", "node").alias("component")))
-    more = checkpointed(confirmed(checkpointed(_across(grouped, nodes, percent)), docs, width, percent))
+    more = checkpointed(_across(grouped, nodes, sets, percent))
     reached = components(links.union(more).union(same_set))
     reached = reached.select(F.col("node").alias("key"), "component")
     out = found.join(reached, F.col("doc_id") == F.col("key"), "left")
