@@ -138,7 +138,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "token_id
     return map_texts(encoded, make, encoded.columns, "decoded binary")
 
 
-def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids (decimal, joined by commas) and of the decoded bytes."""
     both = decode(encode(docs, ranks, pattern), ranks)
     return both.select(
@@ -146,4 +146,5 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFr
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["token_ids"] if with_ids else []),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -23,14 +24,35 @@ def training_row(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % 5 != 0
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the shared folder of ``spark.checkpoint.dir`` (a temporary folder where it is unset)."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share; a temporary one where it is unset."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts the lineage through the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written to a table in the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sliced(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
@@ -42,7 +64,7 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list]
 
     ``make`` runs once a task, so it can build tables.  ``added`` is the schema text of the new columns.
     """
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in df.dtypes if c in keep), added])
+    schema = ", ".join([*("`" + c.replace("`", "``") + f"` {t}" for c, t in df.dtypes if c in keep), added])
     ordered = [c for c in df.columns if c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -89,8 +89,8 @@ def learn(docs: DataFrame, label: str = "lang", text_col: str = "text", where: C
     return [k for k, _ in learned], (matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], text_col: str = "text") -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` (the cosine, 0 at least) to the columns ``keep``."""
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], text_col: str = "text", to: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Adds the predicted language and its score (the cosine, 0 at least) to the columns ``keep``."""
     shared = docs.sparkSession.sparkContext.broadcast((*model, letter_symbols()))
 
     def make():
@@ -114,4 +114,4 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str
 
         return work
 
-    return map_texts(docs, make, keep, "lang_pred string, score double")
+    return map_texts(docs, make, keep, f"{to[0]} string, {to[1]} double")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, sliced
+from .common import checkpointed, fresh, sliced
 
 BANDS, ROWS = 30, 5
 PERCENT = 80
@@ -287,3 +287,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     reached = reached.select(F.col("node").alias("key"), "component")
     out = found.join(reached, F.col("doc_id") == F.col("key"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, the one with the smallest id, with all columns of ``docs``.
+
+    Of rows that share an id one stays; rows with a null id all stay.
+    """
+    flag, key = fresh(docs, "_rows"), fresh(docs, "_key")
+    found = near_duplicates(docs.select("doc_id", "text"), width, percent).where("doc_id is not null")
+    told = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("kept").alias("kept")).where("n > 1 or not kept").select(F.col("doc_id").alias(key), F.when(F.col("kept"), F.col("n")).otherwise(0).alias(flag))
+    told = checkpointed(told)
+    marked = docs.join(told, F.col("doc_id") == F.col(key), "left").drop(key)
+    once = marked.where(F.col(flag).isNull())
+    return once.union(marked.where(F.col(flag) > 1).dropDuplicates(["doc_id"])).drop(flag)
