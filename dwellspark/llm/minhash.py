@@ -35,7 +35,7 @@ PERCENT = 80
 #: Signatures this many standard deviations below the threshold are still confirmed on the sets.
 DEVIATIONS = 4.5
 #: Rows of a bucket that one task compares with as many others, and pairs of one node that one task confirms.
-BLOCK, CHUNK = 512, 1000
+BLOCK, CHUNK = 1024, 1000
 
 _rng = np.random.default_rng(6)
 _MULTIPLY = _rng.integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -216,26 +216,35 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _compact(batches):
+    """Signatures cut to 8 bits a minimum and sets to 32 bits an item, for the rows that are dealt to many tasks."""
+    for batch in sliced(batches):
+        signatures = [np.frombuffer(x, np.uint16).astype(np.uint8).tobytes() for x in batch.column(1).to_pylist()]
+        items = [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signatures, pa.binary()), pa.array(items, pa.binary())], names=["of", "signature", "items"])
+
+
 def _across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between nodes of different components (column ``component``) that share a bucket; enough to join them.
+    """Pairs of nodes of different components (column ``component``) that share a bucket; enough to join them.
 
     Buckets of the same nodes are taken once.  A task holds up to BLOCK rows of a bucket beside as many others, compares
-    full sets where signatures agree, and gives no second link between nodes that it has joined already.
+    full sets (by 32 of each hash's bits) where signatures agree, and gives no second pair between nodes that it has
+    joined already.
     """
     least = least_agreement(percent)
     mixed = buckets.groupBy("band", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("print")).where("lo != hi")
     mixed = mixed.groupBy("n", "print").agg(F.min(F.struct("band", "value")).alias("one")).select(F.col("one.band").alias("in_band"), F.col("one.value").bitwiseXOR(F.lit(1)).alias("key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     rows = buckets.join(mixed, (F.col("band") == F.col("in_band")) & (F.col("value").bitwiseXOR(F.lit(1)) == F.col("key"))).select("band", "value", "node", "component", "blocks")
     held = sets.join(nodes.select(F.col("node").alias("signed"), "signature"), F.col("node") == F.col("signed")).select(F.col("node").alias("of"), "signature", "items")
-    rows = rows.join(held, F.col("node") == F.col("of"))
+    rows = rows.join(held.mapInArrow(_compact, "of bigint, signature binary, items binary"), F.col("node") == F.col("of"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", "signature", "items")
     rows = rows.repartition("band", "value", "i", "j").sortWithinPartitions("band", "value", "i", "j")
 
     def compare(group: list[tuple]) -> list[tuple[int, int]]:
         side, node, component = (np.array([g[k] for g in group]) for k in (4, 5, 6))
-        matrix = np.frombuffer(b"".join([g[7] for g in group]), np.uint16).reshape(-1, BANDS * ROWS)
-        items = [np.frombuffer(g[8], np.uint64) for g in group]
+        matrix = np.frombuffer(b"".join([g[7] for g in group]), np.uint8).reshape(-1, BANDS * ROWS)
+        items = [np.frombuffer(g[8], np.uint32) for g in group]
         size, out, joined, within = np.array([len(x) for x in items]), [], component.copy(), group[0][2] == group[0][3]
         for k in range(len(group)):
             others = np.arange(k + 1, len(group)) if within else np.flatnonzero(side == 1) if side[k] == 0 else ()
@@ -282,7 +291,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     links = checkpointed(confirmed(checkpointed(verified(star, nodes, percent)), sets, percent))
     first = components(links)
     grouped = checkpointed(buckets.select("band", "value", "node").join(first, "node", "left").select("band", "value", "node", F.coalesce("component", "node").alias("component")))
-    more = checkpointed(_across(grouped, nodes, sets, percent))
+    more = checkpointed(confirmed(checkpointed(_across(grouped, nodes, sets, percent)), sets, percent))
     reached = components(links.union(more).union(same_set))
     reached = reached.select(F.col("node").alias("key"), "component")
     out = found.join(reached, F.col("doc_id") == F.col("key"), "left")
