@@ -6,7 +6,7 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -20,3 +20,11 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", f"{folder}/tree"))
         context._has_dwellspark = True
     return spark
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts the lineage through the folder of ``spark.checkpoint.dir`` (a temporary one only where it is unset)."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    return df.checkpoint()
