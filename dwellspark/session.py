@@ -9,6 +9,10 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Arrow batches small enough that very long texts don't fill a Python worker; a session's own settings stay.
+ARROW_BATCH = (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000", "10000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "16m", "67108864b"))
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Gives the executors this package, once a session, as ``--py-files`` would."""
     context = spark.sparkContext
@@ -19,6 +23,9 @@ def ship(spark: SparkSession) -> SparkSession:
         shutil.copytree(package, f"{folder}/tree/{name}", ignore=shutil.ignore_patterns("__pycache__"))
         context.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", f"{folder}/tree"))
         context._has_dwellspark = True
+    for setting, most, default in ARROW_BATCH:
+        if spark.conf.get(setting, default) == default:
+            spark.conf.set(setting, most)
     return spark
 
 
