@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import map_texts
 
 #: Entries after which a worker's memo starts anew; bounds its memory, not its results.
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -95,29 +95,38 @@ class Encoder:
         return chosen
 
 
+def _encoding(encoder: Encoder, pattern: str):
+    """A function from a text to its ids, packed as 32-bit integers."""
+    pieces, memo = regex.compile(pattern).findall, {}
+
+    def packed(piece: str) -> bytes:
+        if len(memo) >= MEMO_ENTRIES:
+            memo.clear()
+        ids = np.array(encoder.encode(piece.encode()), np.int32).tobytes()
+        if len(piece) <= 64:
+            memo[piece] = ids
+        return ids
+
+    known = memo.get
+    return lambda text: b"".join([known(p) or packed(p) for p in pieces(text or "")])
+
+
+def _lists(packed: list[bytes]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
+def _decoded(ids: np.ndarray, token_of) -> bytes:
+    return b"".join(map(token_of, ids.tolist()))
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (id, token_ids array<int>) for each document; ``ranks`` is a fixed vocabulary and is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def make():
-        encoder, pieces, memo = Encoder(shared.value), regex.compile(pattern).findall, {}
-
-        def packed(piece: str) -> bytes:
-            if len(memo) >= MEMO_ENTRIES:
-                memo.clear()
-            ids = np.array(encoder.encode(piece.encode()), np.int32).tobytes()
-            if len(piece) <= 64:
-                memo[piece] = ids
-            return ids
-
-        def work(batch: pa.RecordBatch) -> list:
-            known, flat = memo.get, []
-            for text in batch.column(batch.schema.get_field_index(text_col)).to_pylist():
-                flat.append(b"".join([known(p) or packed(p) for p in pieces(text or "")]))
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in flat])]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(flat), np.int32)))]
-
-        return work
+        encoded = _encoding(Encoder(shared.value), pattern)
+        return lambda batch: [_lists([encoded(t) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()])]
 
     return map_texts(docs.select(id_col, text_col), make, [id_col], "token_ids array<int>")
 
@@ -127,21 +136,37 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "token_id
     shared = encoded.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
 
     def make():
-        token = shared.value.__getitem__
+        token_of = shared.value.__getitem__
 
         def work(batch: pa.RecordBatch) -> list:
             column = batch.column(batch.schema.get_field_index(ids_col))
-            return [pa.array([b"".join(map(token, x.values.to_numpy(zero_copy_only=False).tolist())) for x in column], pa.binary())]
+            return [pa.array([_decoded(x.values.to_numpy(zero_copy_only=False), token_of) for x in column], pa.binary())]
 
         return work
 
     return map_texts(encoded, make, encoded.columns, "decoded binary")
 
 
+def encode_and_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """encode, then decode, in one pass of one worker: (id, token_ids, decoded)."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    def make():
+        encoder = Encoder(shared.value)
+        encoded, token_of = _encoding(encoder, pattern), encoder.bytes_of.__getitem__
+
+        def work(batch: pa.RecordBatch) -> list:
+            packed = [encoded(t) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+            return [_lists(packed), pa.array([_decoded(np.frombuffer(p, np.int32), token_of) for p in packed], pa.binary())]
+
+        return work
+
+    return map_texts(docs.select(id_col, text_col), make, [id_col], "token_ids array<int>, decoded binary")
+
+
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids (decimal, joined by commas) and of the decoded bytes."""
-    both = decode(encode(docs, ranks, pattern), ranks)
-    return both.select(
+    return encode_and_decode(docs, ranks, pattern).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),

@@ -75,8 +75,9 @@ def learn(docs: DataFrame, label: str = "lang", text_col: str = "text", where: C
                 if (found := trigram_counts(text, symbols)) is not None:
                     sums.setdefault(lang, np.zeros(SYMBOLS**3, np.float32))[found[0]] += found[1]
         if sums:
-            bound = trigram_vectors().astype(np.float32)
-            vectors = [(counts @ bound).astype(np.float64).tolist() for counts in sums.values()]
+            bound, counts = trigram_vectors(), np.array(list(sums.values()))
+            bundled = sum((counts[:, k : k + 4096] @ bound[k : k + 4096].astype(np.float32)).astype(np.float64) for k in range(0, len(bound), 4096))
+            vectors = bundled.tolist()
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(vectors, pa.list_(pa.float64()))], names=["lang", "vector"])
 
     parts = rows.mapInArrow(bundle, "lang string, vector array<double>")

@@ -29,7 +29,7 @@ WINDOW, STEP = 32, 16
 TRAINING_DOCS, TRAINING_WINDOWS = 1500, 10
 WORD_DIM, RUN_DIM, HIDDEN, ATTENTION = 12, 8, 10, 8
 RUNS, VOCABULARY = 16384, 20_000
-EPOCHS, BATCH, RATE, DECAY, DROPPED = 12, 256, 0.006, 2e-5, 0.15
+EPOCHS, MOST_EPOCHS, STEPS, BATCH, RATE, DECAY, DROPPED = 12, 80, 250, 256, 0.006, 2e-5, 0.15
 #: Words whose inputs a worker keeps at once, and windows it scores at once.
 KNOWN_WORDS, TOGETHER = 150_000, 2048
 PAD, UNSEEN = 0, 1
@@ -227,7 +227,8 @@ def fit(texts: list[str], labels: np.ndarray, shares: tuple[float, float], seed:
         ids[: len(window), j] = [at[w] for w in window]
     owners = np.repeat(np.arange(len(texts)), [b - a for a, b in spans])
     adam, best, chosen = _Adam(network.p), np.inf, None
-    for epoch in range(EPOCHS):
+    epochs = min(max(EPOCHS, STEPS * BATCH // (2 * len(learners) + 1)), MOST_EPOCHS)  # few texts are gone through more often
+    for epoch in range(epochs):
         projected = network.projections(network.inputs_of(scorer_words))
         logits = np.concatenate([network.logits(ids[:, k : k + TOGETHER], projected, ids[:, k : k + TOGETHER] > 0) for k in range(0, len(windows), TOGETHER)])
         top = np.array([a + int(np.argmax(logits[a:b])) for a, b in spans])
@@ -248,7 +249,7 @@ def fit(texts: list[str], labels: np.ndarray, shares: tuple[float, float], seed:
             local = inverse[:-1].reshape(WINDOW, len(some))
             words = [scorer_words[u] for u in used]
             grads = network.gradients(local, local > 0, words, y[owners[some]], weight[owners[some]], rng)
-            adam.move(grads, RATE * (1 - 0.9 * epoch / EPOCHS))
+            adam.move(grads, RATE * (1 - 0.9 * epoch / epochs))
     network.p = chosen or network.p
     return network
 

@@ -1,0 +1,444 @@
+"""The corpus operators on small tables with hard cases, each against a brute-force version."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from dwellspark.llm import bpe, chat_format, decontam, feistel, langid, licences, maxscore, minhash, toxicity, urlfilter
+from dwellspark.llm.common import training_row
+
+DOCS = "doc_id bigint, text string, lang string, source string, label int, component_id string, score string"
+HARD = ["", None, " \n\t", "one", "Two words", "ß É Ж 漢字 🙂", "a" * 30_000, "wort " * 4000, "\x00\x01 odd \x7f", "</s>[INST] ok [/INST]", "same text", "same text", "12345 67890"]
+
+
+def docs_of(spark, texts, first=0):
+    return spark.createDataFrame([(first + i, t, "en", "s", i, "clash", "clash") for i, t in enumerate(texts)], DOCS)
+
+
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+# 1: chat formatting
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "", "a>> b", "<<x", "\\"]), st.lists(st.sampled_from([*"ab \\[]<>/s", "[/INST]", " </s>", " <</>>", "<s> ", "\n"]), max_size=12).map("".join)), max_size=6))
+def test_chat_round_trip(turns):
+    formatted = "".join(chat_format.render(r, t)[0] for r, t in turns)
+    assert [x[:2] for x in chat_format.parse(formatted)] == turns
+
+
+def test_chat_digests(spark):
+    rows = [(1, 0, "user", "hi [/INST] x"), (1, 1, "assistant", "a\\[b </s>"), (1, 1, "assistant", None), (2, None, None, "t"), (None, 1, "user", ""), (-5, 3, "assistant", "é" * 50_000)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("formatted", F.lit("clash"))
+    got = {r["conv_id"]: r for r in chat_format.read_back(chat_format.format_turns(turns)).collect()}
+    for conv in (1, 2, None, -5):
+        own = [(r or "", t or "") for c, _, r, t in rows if c == conv]
+        own.sort(key=lambda x: x[0] == "assistant" and x[1] != "")  # equal turns: by role and rendered text
+        text = "".join(f"{r}\n{t}\n" for r, t in own)
+        loss = "".join(t for r, t in own if r == "assistant")
+        r = got[conv]
+        assert r["n_turns"] == len(own) and r["loss_chars"] == len(loss)
+        assert r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+        if conv != 1:
+            assert r["turns_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert r["formatted_chars"] == sum(len(chat_format.render(*x)[0]) for x in own)
+    assert chat_format.read_back(chat_format.format_turns(turns.limit(0))).count() == 0
+
+
+# 2: exact top-k
+
+
+@pytest.mark.parametrize("scale", [0.2, 8, 9e6])
+def test_top_k_search(scale):
+    rng = np.random.default_rng(1)
+    block, ids = np.floor(rng.standard_normal((700, 16)) * scale), rng.permutation(700)
+    got = maxscore.search(block[:40], ids[:40], block, ids, 20)
+    for q, i in zip(block[:40], ids[:40], strict=True):
+        want = sorted((-int(sum(int(a) * int(b) for a, b in zip(q, v, strict=True))), int(j)) for v, j in zip(block, ids, strict=True) if j != i)[:20]
+        assert [(s, v) for x, v, s in got if x == i] == [(-s, j) for s, j in want]
+
+
+def test_top_k_hard_cases(spark):
+    rows = [(0, [0.5, 0.25]), (20, [0.5, 0.25]), (20, [0.5, 0.25]), (1, None), (2, [0.1, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [-0.001, 0.0]), (6, []), (None, [1.0, 1.0]), (7, [1.0]), (8, [1e300, -1e300])]
+    vectors = maxscore.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), "vec_id", "embedding")
+    got = [tuple(r) for r in maxscore.top_k(vectors, F.col("id") % 20 == 0).orderBy("query_id", "rank").collect()]
+    values = {0: (32, 16), 20: (32, 16), 5: (-1, 0), 7: (64,), 8: (2**31, -(2**31))}
+    for q in (0, 20):
+        want = sorted((-sum(a * b for a, b in zip(values[q], v)), i) for i, v in values.items() if i != q)
+        assert [r for r in got if r[0] == q] == [(q, n + 1, i, -s) for n, (s, i) in enumerate(want)]
+    assert maxscore.top_k(vectors.limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+# 3: shards
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 39, 40, 41, 997, 4096])
+def test_permutation(rows):
+    places = feistel.permute(np.arange(rows), rows, 3)
+    assert sorted(places.tolist()) == list(range(rows))
+    assert (feistel.inverse(places, rows, 3) == np.arange(rows)).all()
+    assert rows < 900 or (places != feistel.permute(np.arange(rows), rows, 4)).any()
+
+
+def test_shards(spark):
+    texts = [*HARD * 9, *["copy"] * 200]
+    docs = docs_of(spark, texts).union(docs_of(spark, ["dup"] * 50, 10_000).withColumn("doc_id", F.lit(7).cast("bigint")).select(*docs_of(spark, []).columns)).union(docs_of(spark, ["n"] * 3).withColumn("doc_id", F.lit(None).cast("bigint")).select(*docs_of(spark, []).columns))
+    got = feistel.shard_documents(docs.repartition(3)).collect()
+    again = feistel.shard_documents(docs.repartition(5)).collect()
+    assert len(got) == docs.count()
+    by_shard = {}
+    for r in got:
+        by_shard.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in by_shard.values()) and set(by_shard) == set(range(40))
+    assert max(map(len, by_shard.values())) - min(map(len, by_shard.values())) <= 1
+    assert {(r["doc_id"], r["shard"], r["slot"]) for r in got} == {(r["doc_id"], r["shard"], r["slot"]) for r in again}
+    for r in got:
+        if r["doc_id"] is not None and r["doc_id"] != 7:
+            data = (texts[r["doc_id"]] or "").encode()
+            assert r["size"] == len(data) + 16 and r["text_crc32"] == zlib.crc32(data)
+    assert feistel.shard_documents(empty(spark)).count() == 0
+
+
+# 4: decontamination
+
+
+def plain_distance(unit, text):
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(unit, 1):
+        new = [i]
+        for j, x in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != x)))
+        row = new
+    return min(row)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc ", min_size=1, max_size=60), st.text("abc ", max_size=60))
+def test_myers(unit, text):
+    assert decontam.best_distance(decontam.char_masks(unit), len(unit), text) == plain_distance(unit, text)
+
+
+def test_leaks(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    items = [(n, " ".join(word() for _ in range(rng.randint(12, 70)))) for n in range(20)] + [(90, None), (91, ""), (92, "short"), (93, None)]
+
+    def edited(text, edits):
+        out = list(text)
+        for _ in range(edits):
+            out[rng.randrange(len(out))] = rng.choice("xyz")
+        return "".join(out)
+
+    texts = [" ".join(word() for _ in range(80)) for _ in range(30)]
+    for n in range(20):
+        texts.append(f"{texts[n]} {edited(items[n][1], rng.randint(0, 9)).upper()} {texts[0]}")
+    texts += [None, "", "  ", items[3][1], items[3][1]]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r["doc_id"]: sorted((x["item_id"], x["units_hit"]) for x in r["leaks"]) for r in decontam.leaks(docs_of(spark, texts), benchmark, ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        flat, want = decontam.normal(text), []
+        for item, body in items:
+            hit = sum(plain_distance(u, flat) <= len(u) // decontam.CHARS_PER_EDIT for u in decontam.units_of(decontam.normal(body)))
+            want += [(item, hit)] if hit else []
+        assert got[i] == want, i
+    assert decontam.leaks(empty(spark), benchmark, ["doc_id"]).count() == 0
+    assert decontam.leaks(docs_of(spark, ["x"]), benchmark.limit(0), ["doc_id"]).first()["leaks"] == []
+
+
+def test_leaks_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 60)
+    items = [(n, f"question number {n} about the long history of sharding {n} times") for n in range(6)]
+    found = decontam.leaks(docs_of(spark, [t for _, t in items]), spark.createDataFrame(items, "item_id bigint, text string"), ["doc_id"])
+    assert all(r["doc_id"] in [x["item_id"] for x in r["leaks"]] for r in found.collect())
+
+
+# 5: toxicity
+
+
+def test_gradients():
+    net, rng = toxicity.Network(["a", "b", "idiot"]), np.random.default_rng(0)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    words, ids = ["", "a", "b", "idiot", "zz"], np.zeros((toxicity.WINDOW, 6), int)
+    for j in range(6):
+        n = rng.integers(1, toxicity.WINDOW)
+        ids[:n, j] = rng.integers(1, 5, n)
+    y, w = rng.integers(0, 2, 6).astype(float), rng.random(6)
+
+    def loss():
+        p = toxicity._sigmoid(net.logits(ids, net.projections(net.inputs_of(words)), ids > 0))
+        return -(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / w.sum()
+
+    grads = net.gradients(ids, ids > 0, words, y, w)
+    for name, values in net.p.items():
+        at = np.unravel_index(np.abs(grads[name]).argmax(), values.shape)
+        old, step = values[at], 1e-3
+        values[at] = old + step
+        up = loss()
+        values[at] = old - step
+        slope = (up - loss()) / (2 * step)
+        values[at] = old
+        assert abs(slope - grads[name][at]) < 1e-3 * max(1e-2, abs(slope)), name
+
+
+def test_windows_cover_all_words():
+    for n in range(0, 200):
+        starts = toxicity.window_starts(n)
+        seen = {k for s in starts for k in range(s, min(s + toxicity.WINDOW, n))}
+        assert seen == set(range(n)) and all(b - a <= toxicity.STEP for a, b in zip(starts, starts[1:], strict=False))
+
+
+def test_toxicity_learns_and_holds_on_hard_cases(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(60)]
+    texts, labels = [], []
+    for i in range(500):
+        body = [rng.choice(words) for _ in range(rng.randint(5, 120))]
+        if i % 4 == 0:
+            body[rng.randrange(len(body))] = rng.choice(["vileword", "vilething"])
+        texts.append(" ".join(body))
+        labels.append((i, 1, int(i % 4 == 0)))
+    docs = docs_of(spark, texts + HARD)
+    table = spark.createDataFrame(labels + [(None, 1, 1), (99_999, 1, 1), (3, 1, None)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.learn(docs, table)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model, ["doc_id"], to="p").withColumnRenamed("p", "score").collect()}
+    assert len(got) == len(texts) + len(HARD) and all(0 <= s <= 1 for s in got.values())
+    held = [i for i in range(500) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum((got[i] >= 0.5) == (i % 4 == 0) for i in held) >= 0.95 * len(held)
+    assert got[500 + 10] == got[500 + 11]
+    assert toxicity.learn(docs, table.where("toxic = 0")) == 0.0 and toxicity.learn(empty(spark), table.limit(0)) == 0.0
+    assert toxicity.score(docs, 0.25, ["doc_id"]).first()["score"] == 0.25
+
+
+# 6: near duplicates
+
+
+def plain_components(rows, width, percent=80):
+    def words(t):
+        return re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+
+    sets = [(i, frozenset(tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))) if (w := words(t)) else frozenset()) for i, t in rows]
+    parent = {i: i for i, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, (i, s) in enumerate(sets):
+        for j, t in sets[:a]:
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    return {i: (len(s), root(i)) for i, s in sets}
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_components_against_all_pairs(spark, width):
+    rng = random.Random(width)
+    base = [[rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 3) for _ in range(rng.randint(3, 90))] for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(HARD)]
+    for n in range(260):
+        words = list(base[0] if n % 3 else rng.choice(base))
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(len(words))] = rng.choice("xyz")
+        rows.append((100 + n, " ".join(words).upper() if n % 7 == 0 else "  ".join(words)))
+    docs = spark.createDataFrame([(*r, "c") for r in rows], "doc_id bigint, text string, component_id string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs, width).collect()}
+    want = plain_components(rows, width)
+    assert got == want
+
+
+def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "CHUNK", 5)
+    rng, base = random.Random(9), [f"w{i}" for i in range(60)]
+    rows = []
+    for n in range(120):
+        words = list(base)
+        for _ in range(rng.randint(0, 5)):
+            words[rng.randrange(60)] = f"x{rng.randint(0, 9)}"
+        rows.append((n, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()}
+    assert got == {i: c for i, (_, c) in plain_components(rows, 2).items()}
+
+
+def test_null_ids_repeated_ids_and_empty(spark):
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, None)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id bigint, text string, n_shingles int")
+    got = sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in minhash.near_duplicates(docs, 2).collect())
+    assert got == [("1", "1", True), ("1", "1", True), ("2", "1", False), ("3", "3", True), ("None", "None", True), ("None", "None", True)]
+    kept = minhash.without_near_duplicates(docs, 2)
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "None", "None"] and kept.columns == docs.columns
+    assert minhash.near_duplicates(empty(spark), 2).count() == 0
+
+
+def test_star_steps(spark):
+    rng = random.Random(2)
+    edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(330)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 5000 + i) for i in range(1, 60)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    got = {r["node"]: r["component"] for r in minhash.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {x: root(x) for x in parent if root(x) != x or any(root(y) == x and y != x for y in parent)}
+
+
+# 7: licences
+
+
+def test_matching_statistics_and_base_places():
+    rng, scanner = random.Random(1), licences.Scanner()
+    automaton = scanner.automaton
+    parts = {tuple(s[i:j]) for s, _ in automaton.templates for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
+    vocabulary = "cc by general public license all rights reserved the under gnu licensed xx".split()
+    for _ in range(300):
+        text = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 40)))
+        words, state, length = licences.words(text), 0, 0
+        for i, w in enumerate(words):
+            state, length = automaton.step(state, length, w)
+            assert length == max(k for k in range(i + 2) if k == 0 or tuple(words[i + 1 - k : i + 1]) in parts)
+        plain = [(i, label) for phrase, label in licences.BASE for p in [phrase.encode().split()] for i in range(len(words) - len(p) + 1) if words[i : i + len(p)] == p]
+        found = scanner.scan(text)
+        assert found[1] == len(plain) and found[2] == min((i for i, _ in plain), default=None) and found[3] == max((i for i, _ in plain), default=None)
+        assert found[4] == sorted({label for _, label in plain})
+
+
+def test_licence_rows(spark):
+    notice = licences.NOTICES[0][0].split()
+    notice[7] = "CHANGED"
+    texts = [*HARD, "All Rights RESERVED. ALL-RIGHTS reserved", "x " * 500 + " ".join(notice), "CC BY-NC 4.0", "ćc by éé"]
+    got = {r["doc_id"]: r for r in licences.scan_documents(docs_of(spark, texts)).collect()}
+    n = len(HARD)
+    assert got[1]["n_words"] == 0 and got[1]["first_word"] is None and got[1]["labels"] == "" and got[1]["score"] == 0
+    assert (got[n]["n_base"], got[n]["first_word"], got[n]["last_word"], got[n]["base_labels"]) == (2, 0, 3, "reserved")
+    assert got[n + 1]["labels"] == "mit" and got[n + 1]["n_base"] == 0 and 0.8 <= got[n + 1]["score"] < 1
+    assert got[n + 2]["base_labels"] == "cc-by" and got[n + 3]["n_base"] == 0
+    words = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    assert all(got[i]["n_words"] == len(words.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))) for i, t in enumerate(texts))
+    assert licences.scan_documents(empty(spark)).count() == 0
+
+
+# 8: language ID
+
+
+def test_languages(spark):
+    texts = {"en": "the cat sat on the mat and then it went away with the other one", "de": "der hund und die katze sind nicht mehr hier weil wir schon gehen", "fr": "le chat est sur la table et nous ne savons pas pourquoi il dort"}
+    rng, rows = random.Random(0), []
+    for i in range(150):
+        lang = list(texts)[i % 3]
+        words = texts[lang].split()
+        rows.append((i, " ".join(rng.choice(words) for _ in range(12)), lang if i % 11 else None))
+    rows += [(1000 + i, t, None) for i, t in enumerate(HARD)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("lang_pred_", F.lit("clash"))
+    model = langid.learn(docs, where=training_row())
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model, ["doc_id"]).collect()}
+    assert model[0] == ["de", "en", "fr"]
+    assert sum(got[i][0] == list(texts)[i % 3] for i in range(150)) >= 147
+    for i, t in enumerate(HARD):
+        assert (got[1000 + i][0] == "und") == (not any(c.isalpha() for c in t or "")), t
+    assert got[1010] == got[1011] and all(0 <= s <= 1 for _, s in got.values())
+    nothing = langid.learn(docs.where("lang is null"))
+    assert langid.predict(docs, nothing, ["doc_id"]).where("lang_pred <> 'und'").count() == 0
+    assert langid.predict(docs.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_bundles_are_sums_of_bound_letters():
+    symbols, bound = langid.letter_symbols(), langid.trigram_vectors()
+    letters = np.random.default_rng(20).choice(np.array([-1, 1], np.int8), (langid.SYMBOLS, langid.DIMENSIONS))
+    which, counts = langid.trigram_counts("aB, ba", symbols)
+    plain = sum(np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c] for a, b, c in ((0, 1, 2), (1, 2, 0), (2, 0, 2), (0, 2, 1), (2, 1, 0)))
+    assert (counts @ bound[which].astype(np.float32) == plain).all()
+
+
+# 9: byte-level BPE
+
+RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+
+
+def test_ranks_file():
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+        first = next(lines).split()
+    assert RANKS[base64.b64decode(first[0])] == int(first[1]) and len(RANKS) == 50_256
+
+
+def test_bpe_equals_merges(spark, oracle):
+    rng, texts = random.Random(8), list(HARD)
+    for _ in range(300):
+        letters = rng.choice(["abe", "aeiou rstln", "éèab 12'\n", "aaaa", " \t\n a", "héß漢字🙂 x", "!?.,-_ a"])
+        texts.append("".join(rng.choice(letters) for _ in range(rng.randint(0, 200))))
+    ids = {r["doc_id"]: r["token_ids"] for r in bpe.encode(docs_of(spark, texts), RANKS, public_tokenizers.PATTERN).collect()}
+    got = {r["doc_id"]: r for r in bpe.round_trip(docs_of(spark, texts), RANKS, public_tokenizers.PATTERN).collect()}
+    for i, t in enumerate(texts):
+        want = oracle.encode_ordinary(t or "")
+        assert ids[i] == want and got[i]["n_tokens"] == len(want)
+        assert got[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
+        assert got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
+    decoded = bpe.decode(bpe.encode(docs_of(spark, texts), RANKS, public_tokenizers.PATTERN), RANKS).collect()
+    assert all(bytes(r["decoded"]) == (texts[r["doc_id"]] or "").encode() for r in decoded)
+    assert bpe.round_trip(empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_memo_limits_change_nothing(oracle, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 3)
+    encoder = bpe.Encoder(RANKS)
+    for text in ("unbelievableness", "donaudampfschifffahrt", "aaaaaaabaaaa"):
+        assert encoder.encode(text.encode()) == oracle.encode_ordinary(text)
+
+
+# 10: URL filter
+
+URLS = [None, "", "no-scheme.org/x", "http://A.Example.ORG/es/1?x#y", "https://example.org/en/12/", "https://notexample.org/es/", "http://org", "http://org/", "ftp://x.com/de/3.html", "http://x.com#f", "http://y.net/a/b/c/d/e/f", "HTTP://Z.com/fr/", "a://b://c/d", "http://éÀ.com/DE/", "http://x.com/*/q"]
+
+
+def plain_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def test_rules_and_parts(spark):
+    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(URLS * 3)], "page_id bigint, url string, host string")
+    got = {r["page_id"]: r for r in urlfilter.judge(pages).collect()}
+    assert len(got) == len(URLS) * 3
+    for i, u in enumerate(URLS * 3):
+        host, path = plain_parts(u)
+        fits = [(len(h + p), h + p, v) for v, h, p in urlfilter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=(0, None, None))
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, best[1]), u
+        assert got[i]["verdict"] == (best[2] or got[i]["verdict"]) and got[i]["verdict"] in ("allow", "block")
+    assert urlfilter.judge(pages.limit(0)).count() == 0
+
+
+def test_templates_are_learned(spark):
+    urls = [f"http://a.com/de/{i}" for i in range(40)] + [f"http://a.com/deals/{i}" for i in range(30)] + [f"http://b.com/fr/{i}/x" for i in range(40)] + [f"http://b.com/blog/{i}/x" for i in range(30)]
+    got = urlfilter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")).collect()
+    by = {}
+    for r in got:
+        by.setdefault("/".join([r["host"], r["path"].split("/")[1]]), set()).add((r["verdict"], r["template"]))
+    assert {v for v, _ in by["a.com/deals"]} == {"block"} and {v for v, _ in by["b.com/blog"]} == {"allow"}
