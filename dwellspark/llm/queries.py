@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, chat_format, decontam, feistel, langid, licences, maxscore, minhash, toxicity, urlfilter
 from .common import table, training_row
+from .oracles import ORACLES  # noqa: F401
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,9 +60,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).withColumn("purity", F.round("purity", 9))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_maxscore, op3_feistel_shards, op4_decontamination, op5_toxicity, op6_minhash, op7_licences, op8_language_id, op9_byte_bpe, op10_url_filter)}
-
-ORACLES: dict[str, str] = {}
