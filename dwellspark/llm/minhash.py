@@ -193,7 +193,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of all nodes that have links, component being the smallest node reachable.
 
     Alternates large-star (a node's larger neighbours go to its smallest) and small-star (its smaller neighbours and
-    itself go to the smallest) until nothing changes; edges are cut from their history in the shared folder each time.
+    itself go to the smallest) until every component is a star; edges are cut from their history in the shared folder
+    each time.
     """
 
     def least(edges: DataFrame) -> DataFrame:
@@ -202,18 +203,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         return edges.join(best, F.col("u").bitwiseXOR(F.lit(1)) == F.col("key")).select("u", "v", "m")
 
     edges = checkpointed(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    before = None
     while True:
-        both = edges.union(edges.select("v", "u"))
-        large = least(both).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least(both).where("u != m and v < u and v = m").select("u", "v")).distinct()
-        low = least(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
-        small = low.select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
+        large = least(edges.union(edges.select("v", "u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = least(large).select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
         edges = checkpointed(small.where("u != v").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        # stars are reached when each node hangs on one other, which hangs on none
+        ends = edges.select("u", F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(edges.select("v", F.lit(0), F.lit(1)))
+        if ends.groupBy("u").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 or hangs = 1 and holds = 1").isEmpty():
             break
-        before = now
-    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 
 def _compact(batches):
@@ -289,10 +287,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     same_set = linkable.join(nodes.select(F.col("k1").bitwiseXOR(F.lit(1)).alias("key"), F.col("k2").alias("key2"), "node"), (F.col("k1").bitwiseXOR(F.lit(1)) == F.col("key")) & (F.col("k2") == F.col("key2"))).select(F.col("node").alias("a"), F.col("doc_id").alias("b")).where("a != b").distinct()
     sets = checkpointed(full_sets(docs, buckets.select("node"), width))
     links = checkpointed(confirmed(checkpointed(verified(star, nodes, percent)), sets, percent))
-    first = components(links)
+    first = checkpointed(components(links))
     grouped = checkpointed(buckets.select("band", "value", "node").join(first, "node", "left").select("band", "value", "node", F.coalesce("component", "node").alias("component")))
     more = checkpointed(confirmed(checkpointed(_across(grouped, nodes, sets, percent)), sets, percent))
-    reached = components(links.union(more).union(same_set))
+    reached = components(first.union(more).union(same_set), "node", "component")
     reached = reached.select(F.col("node").alias("key"), "component")
     out = found.join(reached, F.col("doc_id") == F.col("key"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
