@@ -147,8 +147,8 @@ def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(one) + len(other) - common)
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, items): the full sets of the nodes."""
+def full_sets(docs: DataFrame, nodes: DataFrame, width: int, repeated: bool) -> DataFrame:
+    """(node, items): the full sets of the nodes, each once also where ids are ``repeated``."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(nodes.select(F.col("node").alias("wanted")).distinct(), F.col("node") == F.col("wanted")).select("node", "text")
 
     def run(batches):
@@ -156,7 +156,8 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             items = [shingles(t, width).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], names=["node", "items"])
 
-    return texts.mapInArrow(run, "node bigint, items binary")
+    sets = texts.mapInArrow(run, "node bigint, items binary")
+    return sets.distinct() if repeated else sets
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -285,7 +286,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     buckets = checkpointed(banded.join(shared, (F.col("band") == F.col("in_band")) & (F.col("value").bitwiseXOR(F.lit(1)) == F.col("key"))).select("band", "value", "node", "low", "any"))
     star = buckets.select(F.col("node").alias("a"), F.explode(F.array("low", "any")).alias("b")).where("a != b").select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
     same_set = linkable.join(nodes.select(F.col("k1").bitwiseXOR(F.lit(1)).alias("key"), F.col("k2").alias("key2"), "node"), (F.col("k1").bitwiseXOR(F.lit(1)) == F.col("key")) & (F.col("k2") == F.col("key2"))).select(F.col("node").alias("a"), F.col("doc_id").alias("b")).where("a != b").distinct()
-    sets = checkpointed(full_sets(docs, buckets.select("node"), width))
+    repeated = not linkable.groupBy("doc_id").count().where("count > 1").isEmpty()
+    sets = checkpointed(full_sets(docs, buckets.select("node"), width, repeated))
     links = checkpointed(confirmed(checkpointed(verified(star, nodes, percent)), sets, percent))
     first = checkpointed(components(links))
     grouped = checkpointed(buckets.select("band", "value", "node").join(first, "node", "left").select("band", "value", "node", F.coalesce("component", "node").alias("component")))

@@ -197,8 +197,15 @@ class _Adam:
             self.params[name] -= (rate * change).astype(np.float32)
 
 
-def fit(texts: list[str], labels: np.ndarray, shares: tuple[float, float], seed: int = 7) -> Network:
-    """Trains on windows of labelled texts; ``shares`` are the classes' shares among all labelled rows.
+def training_windows(text: str | None) -> list[str]:
+    """At most TRAINING_WINDOWS windows of a text, evenly spread over it, as words joined by spaces."""
+    words = words_of(text)
+    starts = window_starts(len(words), WINDOW)
+    return [" ".join(words[at : at + WINDOW]) for at in starts[np.unique(np.linspace(0, len(starts) - 1, TRAINING_WINDOWS).astype(int))]]
+
+
+def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float], seed: int = 7) -> Network:
+    """Trains on the windows of labelled texts; ``shares`` are the classes' shares among all labelled rows.
 
     A text is toxic if any window is, so a toxic text teaches by its highest window only, a clean text by its highest
     and one drawn at random.  One text of six is kept for choosing the epoch with the least log loss.
@@ -210,12 +217,11 @@ def fit(texts: list[str], labels: np.ndarray, shares: tuple[float, float], seed:
     windows: list[list[str]] = []
     spans: list[tuple[int, int]] = []
     for text in texts:
-        words = words_of(text)
-        for w in set(words):
+        own = [window.split() for window in text]
+        for w in {w for window in own for w in window}:
             counts[w] = counts.get(w, 0) + 1
-        starts = window_starts(len(words), WINDOW)
-        spans.append((len(windows), len(windows) + min(len(starts), TRAINING_WINDOWS)))
-        windows += [words[at : at + WINDOW] for at in starts[np.unique(np.linspace(0, len(starts) - 1, TRAINING_WINDOWS).astype(int))]]
+        spans.append((len(windows), len(windows) + len(own)))
+        windows += own
     least = max(2, len(texts) // 400)
     network = Network(sorted((w for w, n in counts.items() if n >= least), key=lambda w: (-counts[w], w))[:VOCABULARY], seed)
     held = rng.permutation(len(texts))[: len(texts) // 6]
@@ -262,10 +268,16 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
         return float(counts.get(1, 0) > 0)
     picked = [rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     chosen = picked[0].union(picked[1])  # 2 * per_class rows at most
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).select("text", "y").limit(2 * per_class).collect()
-    y = np.array([r["y"] for r in sample])
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+    def make():
+        return lambda batch: [pa.array([training_windows(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()], pa.list_(pa.string()))]
+
+    # windows are cut on the executors, so what the driver gets is bounded however long the texts are
+    cut = map_texts(sample, make, ["doc_id", "y"], "windows array<string>").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("windows")).limit(2 * per_class).collect()
+    y = np.array([r["y"] for r in cut])
     share = counts[1] / sum(counts.values())
-    return share if len(set(y.tolist())) < 2 else fit([r["text"] for r in sample], y, (1 - share, share))
+    return share if len(set(y.tolist())) < 2 else fit([r["windows"] for r in cut], y, (1 - share, share))
 
 
 class Scorer:
