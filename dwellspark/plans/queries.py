@@ -27,13 +27,20 @@ def _time(text: str):
     return F.lit(text).cast("timestamp")
 
 
-def _line_leads(spark, folder, by_type=False, keys=("portal", "area")):
-    known = history.as_known_at(line_snapshots(spark, folder, by_type), _time(LINES_AS_OF))
-    return leads.leads(known, _time(LINES_AS_OF), keys=keys)
+def _line_rows(spark, folder, by_type=False):
+    return leads.lead_rows(history.as_known_at(line_snapshots(spark, folder, by_type), _time(LINES_AS_OF)), _time(LINES_AS_OF))
+
+
+def _line_leads(spark, folder, by_type=False):
+    return leads.with_baseline(_line_rows(spark, folder, by_type))
+
+
+def _event_rows(spark, folder):
+    return leads.lead_rows(event_snapshots(spark, folder), _time(EVENTS_AS_OF))
 
 
 def _event_leads(spark, folder):
-    return leads.leads(event_snapshots(spark, folder), _time(EVENTS_AS_OF))
+    return leads.with_baseline(_event_rows(spark, folder))
 
 
 def lead_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,24 +56,24 @@ def lead_metrics_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lead_rank(spark: SparkSession, folder: str) -> DataFrame:
-    return leads.in_rank_order(_event_leads(spark, folder)).select("id", "score", "rank")
+    return leads.in_rank_order(_event_rows(spark, folder)).select("id", "score", "rank")
 
 
 def lead_topk(spark: SparkSession, folder: str) -> DataFrame:
     order = [F.col("score").desc(), F.col("entered").asc(), F.col("id").asc()]
-    return ranking.top(leads.lead_rows(event_snapshots(spark, folder), _time(EVENTS_AS_OF)), order, 100).select("id", "score", "rank")
+    return ranking.top(_event_rows(spark, folder), order, 100).select("id", "score", "rank")
 
 
 def price_drop(spark: SparkSession, folder: str) -> DataFrame:
-    return _event_leads(spark, folder).select("id", "first_price", "price_eur", "drop_pct")
+    return _event_rows(spark, folder).select("id", "first_price", "price_eur", "drop_pct")
 
 
 def days_on_market(spark: SparkSession, folder: str) -> DataFrame:
-    return _event_leads(spark, folder).select("id", "first_seen", "days_on_market")
+    return _event_rows(spark, folder).select("id", "first_seen", "days_on_market")
 
 
 def motivation_score(spark: SparkSession, folder: str) -> DataFrame:
-    return _line_leads(spark, folder).select("id", "drop_pct", "days_on_market", "score")
+    return _line_rows(spark, folder).select("id", "drop_pct", "days_on_market", "score")
 
 
 def days_on_market_site_date(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,15 +82,15 @@ def days_on_market_site_date(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def price_per_unit(spark: SparkSession, folder: str) -> DataFrame:
-    return _line_leads(spark, folder).select("id", "price_eur", "sqm", "price_per_sqm")
+    return _line_rows(spark, folder).select("id", "price_eur", "sqm", "price_per_sqm")
 
 
 def area_baseline(spark: SparkSession, folder: str) -> DataFrame:
-    return leads.area_baseline(_line_leads(spark, folder), ("area",)).select("area", F.round("baseline", 6).alias("baseline"), "n_listings")
+    return leads.area_baseline(_line_rows(spark, folder), ("area",)).select("area", F.round("baseline", 6).alias("baseline"), "n_listings")
 
 
 def area_baseline_by_portal(spark: SparkSession, folder: str) -> DataFrame:
-    return leads.area_baseline(_line_leads(spark, folder, True)).select("portal", "area", F.round("baseline", 6).alias("baseline"), "n_listings")
+    return leads.area_baseline(_line_rows(spark, folder, True)).select("portal", "area", F.round("baseline", 6).alias("baseline"), "n_listings")
 
 
 def pct_vs_area(spark: SparkSession, folder: str) -> DataFrame:

@@ -43,6 +43,6 @@ def test_entry(spark):
 
 
 def test_plans_push_down_and_prune(spark, data):
-    plan = QUERIES["lead_metrics_events"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["history_latest"](spark, data)._jdf.queryExecution().executedPlan().toString()
     events = next(line for line in plan.splitlines() if "FileScan" in line and "user_id" in line)
     assert "props" not in events and "CartesianProduct" not in plan
