@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.places import area_of_title
 from ..functions.text import elapsed_days, half_even, truthy, whole
 from ..session import checkpointed
-from .history import histories
+from .history import histories, price_histories
 from .ranking import ranked
 
 # A drop of 20 % and 180 days on the market each give half of the full score.
@@ -76,3 +77,16 @@ def leads(snapshots: DataFrame, as_of: Column, columns: Sequence[str] = ("area",
 def in_rank_order(rows: DataFrame) -> DataFrame:
     """Adds ``rank``: by score, highest first, and as first entered where scores are equal."""
     return ranked(rows, [F.col("score").desc(), F.col("entered").asc(), F.col("portal").asc(), F.col("id").asc()])
+
+
+def portal_leads(snapshots: DataFrame, as_of: Column) -> DataFrame:
+    """Leads of all portals together, each by its own rules, with all columns of their latest listings.
+
+    Means are by portal and area.  imoti.net has no area but in its titles, and its leads alone carry their prices; a
+    date that the site itself gives (olx.bg) counts instead of the first sight.
+    """
+    columns = [c for c in snapshots.columns if c not in ("portal", "id", "seen_at", "seq", "price_eur", "run_id", "page_num")]
+    titled = F.when(F.col("portal") == "imoti.net", area_of_title(F.col("title"))).otherwise(F.col("area"))
+    found = leads(snapshots, as_of, columns, site_date="site_updated_at", area=titled)
+    prices = price_histories(snapshots.where(F.col("portal") == "imoti.net"))
+    return found.join(prices, ["portal", "id"], "left")

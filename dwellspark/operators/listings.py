@@ -158,7 +158,10 @@ def listings(pages: DataFrame) -> DataFrame:
 
     Pages are narrowed before the tree is built: to portals that need one, and to what the stop rules read.
     """
-    by_link = [p for p in PORTALS if p.link]
+    cap = F.lit(None).cast("int")
+    for p in PORTALS:
+        cap = F.when(F.col("portal") == p.name, p.max_pages).otherwise(cap)
+    pages, by_link = pages.where(F.col("page_num") <= cap), [p for p in PORTALS if p.link]
     linked = cards(pages.where(F.col("portal").isin(*[p.name for p in by_link])))
     found = listings_of_cards(linked)
     counted = linked.groupBy("portal", "run_id", "page_num").agg(F.count("*").alias("links"))

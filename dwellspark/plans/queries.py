@@ -236,12 +236,21 @@ def portal_listings(spark: SparkSession, folder: str) -> DataFrame:
     return listings(fixtures.pages(spark)).withColumn("photos", F.array_join("photos", " "))
 
 
+def portal_leads(spark: SparkSession, folder: str) -> DataFrame:
+    """From pages to leads: two runs of the fixture pages, the second cheaper by a tenth, asked for 100 days later."""
+    found = listings(fixtures.pages(spark))
+    first = history.snapshots_of(found, _time("2026-08-21 09:30:00"))
+    second = history.snapshots_of(found.withColumn("price_eur", whole(F.col("price_eur") * 0.9)), _time("2026-09-21 09:30:00"))
+    ranked = leads.in_rank_order(leads.portal_leads(first.unionByName(second), _time("2026-11-29 09:30:00")))
+    return ranked.drop("entered", "photos").withColumn("price_history", F.array_join(F.col("price_history").cast("array<string>"), ","))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         lead_metrics, lead_metrics_events, leads_as_of, lead_rank, lead_topk, price_drop, days_on_market, motivation_score, days_on_market_site_date, price_per_unit,
         area_baseline, area_baseline_by_portal, pct_vs_area, price_history_array, history_first_seen, history_latest, snapshot_append, run_counters, min_price_filter,
         currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip,
-        embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_listings,
+        embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_listings, portal_leads,
     )
 }

@@ -5,7 +5,7 @@ Fetching pages is no part of the engine: a crawl lands them (see ``schema.PAGE``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.leads import in_rank_order
@@ -45,3 +45,9 @@ def append_run(snapshots: DataFrame, path: str) -> None:
 def write_leads(leads: DataFrame, path: str, form: str = "json") -> None:
     """Ranked leads; ``rank`` is a column, since files keep no order among them."""
     in_rank_order(leads).write.mode("overwrite").format(form).save(path)
+
+
+def counted(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The rows, and their number once an action has gone through them; no pass of its own."""
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen

@@ -51,3 +51,19 @@ def test_stop_rule(spark):
 def test_anchors_of_null_and_empty_pages(spark):
     pages = spark.createDataFrame([(1, None), (2, ""), (3, '<a href="/x">t</a>')], "page_id bigint, html string")
     assert [tuple(r) for r in anchors(pages, ["page_id"]).collect()] == [(3, 0, "/x", "t")]
+
+
+def test_pages_beyond_a_portals_last_do_not_count(spark):
+    pages = fixtures.pages(spark).where("portal = 'imoti.bg'").withColumn("page_num", F.col("page_num") + 11)
+    assert {(r["id"], r["page_num"]) for r in listings(pages).collect()} == {("imotibg_54321", 12)}
+
+
+def test_pages_to_leads(spark, data):
+    from dwellspark.plans.queries import QUERIES
+
+    got = {r["id"]: r for r in QUERIES["portal_leads"](spark, data).collect()}
+    assert len(got) == 12 and sorted(r["rank"] for r in got.values()) == list(range(1, 13))
+    net, olx, imot = got["123456"], got["olx_a1B2"], got["imot_1a1234567890"]
+    assert (net["area"], net["price_history"], net["price_per_sqm"], net["area_avg_price_per_sqm"]) == ("Lozenets", "100000,90000", 1125, 1125)
+    assert (olx["days_on_market"], olx["drop_pct"], olx["price_history"]) == (101, 10.0, None)
+    assert (imot["days_on_market"], imot["score"], imot["title"]) == (100, round(25 + 100 / 180 * 50), "Тристаен в центъра, Лозенец")

@@ -50,3 +50,8 @@ def test_leads_sink(spark, data, tmp_path):
 def test_run_snapshots(spark):
     listed = spark.createDataFrame([("p", "a", 5, 1)], "portal string, id string, price_eur bigint, ordinal bigint")
     assert history.snapshots_of(listed, F.lit("2026-01-01").cast("timestamp")).columns == ["portal", "id", "price_eur", "seq", "seen_at"]
+
+
+def test_counted_rows(spark):
+    rows, seen = tables.counted(spark.range(7).toDF("x"), "listings")
+    assert rows.where("x > 2").count() == 4 and seen.get["rows"] == 7
