@@ -13,6 +13,7 @@ ordinary text; repeated rows are encoded each for itself.
 from __future__ import annotations
 
 import base64
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import map_texts
 
-#: Entries after which a worker's memo starts anew; bounds its memory, not its results.
-MEMO_ENTRIES = 150_000
+#: Pieces after which a worker's memo moves on (what is met again comes along), and pairs after which theirs starts
+#: anew; they bound memory, not results.
+MEMO_ENTRIES, PAIR_ENTRIES = 120_000, 400_000
+NO_RANK = 1 << 60
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,50 +42,54 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.length = {rank: len(token) for token, rank in ranks.items()}
-        self.shorter: dict[int, int | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.length = [0] * (max(ranks.values()) + 1)
+        self.shorter: list[int | None] = [None] * len(self.length)
+        self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
+            self.length[rank] = len(token)
             self.shorter[rank] = next((ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ranks), None)
         self.automaton.make_automaton()
 
     def merged(self, piece: bytes) -> list[int]:
         """Plain merging, lowest rank first; only for the few bytes of two adjacent tokens."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
-                break
+        rank_of, parts = self.ranks.get, [piece[i : i + 1] for i in range(len(piece))]
+        ranks = [rank_of(a + b, NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks and (rank := min(ranks)) != NO_RANK:
+            at = ranks.index(rank)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of(parts[at - 1] + parts[at], NO_RANK)
+            if at < len(ranks):
+                ranks[at] = rank_of(parts[at] + parts[at + 1], NO_RANK)
         return [self.ranks[p] for p in parts]
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
+        pair = left << 32 | right
+        known = self.pairs.get(pair)
         if known is None:
-            if len(self.pairs) >= MEMO_ENTRIES:
+            if len(self.pairs) >= PAIR_ENTRIES:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+            known = self.pairs[pair] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         return known
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        size, length, shorter = len(piece), self.length, self.shorter
+        size, length, shorter, compatible = len(piece), self.length, self.shorter, self.compatible
         longest: list[int | None] = [None] * (size + 1)
         for end, token in self.automaton.iter(piece.decode("latin-1")):
-            start = end + 1 - length[token]
-            if longest[start] is None or length[token] > length[longest[start]]:
-                longest[start] = token
+            longest[end + 1 - length[token]] = token  # ends rise, so the last from a start is the longest
         if size and None in longest[:size]:
             raise ValueError("the vocabulary lacks a byte of the text")
         dead = bytearray(size + 1)
         chosen: list[int] = []
         at, token = 0, longest[0]
         while at < size:
-            while token is not None and (dead[at + length[token]] or (chosen and not self.compatible(chosen[-1], token))):
+            while token is not None and (dead[at + length[token]] or (chosen and not compatible(chosen[-1], token))):
                 token = shorter[token]
             if token is None:
                 dead[at] = 1
@@ -97,12 +104,16 @@ class Encoder:
 
 def _encoding(encoder: Encoder, pattern: str):
     """A function from a text to its ids, packed as 32-bit integers."""
-    pieces, memo = regex.compile(pattern).findall, {}
+    pieces, memo, before = regex.compile(pattern).findall, {}, {}
 
     def packed(piece: str) -> bytes:
         if len(memo) >= MEMO_ENTRIES:
+            before.clear()
+            before.update(memo)
             memo.clear()
-        ids = np.array(encoder.encode(piece.encode()), np.int32).tobytes()
+        ids = before.get(piece)
+        if ids is None:
+            ids = array("i", encoder.encode(piece.encode())).tobytes()
         if len(piece) <= 64:
             memo[piece] = ids
         return ids
