@@ -26,7 +26,7 @@ from .common import map_texts
 
 #: Pieces after which a worker's memo moves on (what is met again comes along), and pairs after which theirs starts
 #: anew; they bound memory, not results.
-MEMO_ENTRIES, PAIR_ENTRIES = 120_000, 400_000
+MEMO_ENTRIES, PAIR_ENTRIES = 250_000, 400_000
 NO_RANK = 1 << 60
 
 
@@ -45,7 +45,10 @@ class Encoder:
         self.length = [0] * (max(ranks.values()) + 1)
         self.shorter: list[int | None] = [None] * len(self.length)
         self.pairs: dict[int, bool] = {}
+        self.edges: dict[int, tuple[list, list] | None] = {}
         self.automaton = ahocorasick.Automaton()
+        if not all(bytes([b]) in ranks for b in range(256)):
+            raise ValueError("the vocabulary lacks a byte")
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
             self.length[rank] = len(token)
@@ -66,27 +69,72 @@ class Encoder:
                 ranks[at] = rank_of(parts[at] + parts[at + 1], NO_RANK)
         return [self.ranks[p] for p in parts]
 
+    def edges_of(self, token: int) -> tuple[list, list] | None:
+        """How the token's last and first part grow while it is merged: (part, rank of the merge that takes it in).
+
+        None if merging doesn't give the token, or not with rising ranks.
+        """
+        piece, rank_of = self.bytes_of[token], self.ranks.get
+        parts, last_rank, ends, starts = [piece[i : i + 1] for i in range(len(piece))], -1, [], []
+        while len(parts) > 1:
+            rank, at = min((rank_of(parts[i] + parts[i + 1], NO_RANK), i) for i in range(len(parts) - 1))
+            if rank == NO_RANK or rank < last_rank:
+                return None
+            if at == len(parts) - 2:
+                ends.append((parts[-1], rank))
+            if at == 0:
+                starts.append((parts[0], rank))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            last_rank = rank
+        return [*ends, (piece, NO_RANK)], [*starts, (piece, NO_RANK)]
+
+    def _separate(self, left: int, right: int) -> bool:
+        """Whether merging the bytes of both tokens gives both tokens: no merge across their border comes first."""
+        for token in (left, right):
+            if token not in self.edges:
+                self.edges[token] = self.edges_of(token)
+        if self.edges[left] is None or self.edges[right] is None:
+            return self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+        ends, starts, i, j = self.edges[left][0], self.edges[right][1], 0, 0
+        while True:
+            (end, taken_left), (start, taken_right) = ends[i], starts[j]
+            across = self.ranks.get(end + start, NO_RANK)
+            if across < taken_left and across <= taken_right:  # of equal ranks, the merge to the left goes first
+                return False
+            if taken_left == taken_right == NO_RANK:
+                return True
+            if taken_left <= taken_right:
+                i += 1
+            else:
+                j += 1
+
     def compatible(self, left: int, right: int) -> bool:
         pair = left << 32 | right
         known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= PAIR_ENTRIES:
                 self.pairs.clear()
-            known = self.pairs[pair] = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+            known = self.pairs[pair] = self._separate(left, right)
         return known
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        text, known = piece.decode("latin-1"), self.pairs.get
+        # the longest match at each place is mostly the answer
+        chosen = [token for _, token in self.automaton.iter_long(text)]
+        for left, right in zip(chosen, chosen[1:], strict=False):
+            if not (known(left << 32 | right) or self.compatible(left, right)):
+                break
+        else:
+            return chosen
         size, length, shorter, compatible = len(piece), self.length, self.shorter, self.compatible
         longest: list[int | None] = [None] * (size + 1)
-        for end, token in self.automaton.iter(piece.decode("latin-1")):
+        for end, token in self.automaton.iter(text):
             longest[end + 1 - length[token]] = token  # ends rise, so the last from a start is the longest
-        if size and None in longest[:size]:
-            raise ValueError("the vocabulary lacks a byte of the text")
         dead = bytearray(size + 1)
-        chosen: list[int] = []
+        chosen = []
         at, token = 0, longest[0]
         while at < size:
             while token is not None and (dead[at + length[token]] or (chosen and not compatible(chosen[-1], token))):

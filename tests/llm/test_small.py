@@ -402,8 +402,21 @@ def test_bpe_equals_merges(spark, oracle):
     assert bpe.round_trip(empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_compatibility_is_what_merging_says():
+    encoder, rng = bpe.Encoder(RANKS), random.Random(6)
+    for _ in range(20_000):
+        left, right = rng.randrange(len(RANKS)), rng.randrange(len(RANKS))
+        if rng.random() < 0.5:  # tokens whose bytes continue one another
+            whole = encoder.bytes_of[left]
+            cut = rng.randint(1, max(1, len(whole) - 1))
+            left, right = RANKS.get(whole[:cut], left), RANKS.get(whole[cut:], right)
+        plain = encoder.merged(encoder.bytes_of[left] + encoder.bytes_of[right]) == [left, right]
+        assert encoder.compatible(left, right) == plain
+
+
 def test_memo_limits_change_nothing(oracle, monkeypatch):
     monkeypatch.setattr(bpe, "MEMO_ENTRIES", 3)
+    monkeypatch.setattr(bpe, "PAIR_ENTRIES", 3)
     encoder = bpe.Encoder(RANKS)
     for text in ("unbelievableness", "donaudampfschifffahrt", "aaaaaaabaaaa"):
         assert encoder.encode(text.encode()) == oracle.encode_ordinary(text)
