@@ -26,9 +26,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the network scores 0.5 or more."""
+    """Rejects documents that the network scores 0.5 or more; none where there are no labels to train one."""
     ship(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    if isinstance(model, float):
+        return docs
     score = fresh(docs, "_toxicity")
     return toxicity.score(docs, model, docs.columns, to=score).where(F.col(score) < 0.5).select(*_same(docs))
 

@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from .common import map_texts
 
-UNIT_CHARS = 120
+UNIT_CHARS = 80
 MIN_CHARS = 24
 #: One edit is allowed for so many characters of a unit.
-CHARS_PER_EDIT = 20
+CHARS_PER_EDIT = 13
 BLOCK_CHARS = 8_000_000
 LEAK = "array<struct<item_id:bigint,units:int,units_hit:int,distance:int>>"
 _words = re.compile(r"[^\W_]+").findall

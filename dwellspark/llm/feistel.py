@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, fresh
 
 ROUNDS = 4
 
@@ -74,17 +74,17 @@ def inverse(places: np.ndarray, rows: int, key: int) -> np.ndarray:
 
 def numbered(df: DataFrame, order: list[str], to: str = "row_number") -> tuple[DataFrame, int]:
     """Adds gapless numbers from 0 in the order of ``order``, and gives the number of rows."""
-    marked = df.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
-    ranged = marked.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie")
-    placed = checkpointed(ranged.select(*df.columns, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_in_part")))
-    counts = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.count("*").alias("n")).collect()}
+    tie, part, within, of, first = (fresh(df, name) for name in ("_tie", "_part", "_in_part", "_of", "_first"))
+    marked = df.withColumn(tie, F.xxhash64(F.monotonically_increasing_id()))
+    ranged = marked.repartitionByRange(*order, tie).sortWithinPartitions(*order, tie)
+    placed = checkpointed(ranged.select(*df.columns, F.spark_partition_id().alias(part), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(within)))
     starts, before = [], 0
-    for part in sorted(counts):
-        starts.append((part, before))
-        before += counts[part]
-    base = df.sparkSession.createDataFrame(starts, "_of int, _start bigint")  # a row for each partition
-    joined = placed.join(F.broadcast(base), F.col("_part") == F.col("_of"))
-    return joined.select(*df.columns, (F.col("_start") + F.col("_in_part")).alias(to)), before
+    for r in sorted(placed.groupBy(part).agg(F.count("*").alias("n")).collect()):  # a row for each partition
+        starts.append((r[part], before))
+        before += r["n"]
+    base = df.sparkSession.createDataFrame(starts, f"{of} int, {first} bigint")
+    joined = placed.join(F.broadcast(base), F.col(part) == F.col(of))
+    return joined.select(*df.columns, (F.col(first) + F.col(within)).alias(to)), before
 
 
 def place(number: Column, rows: int, key: int) -> Column:
