@@ -11,6 +11,7 @@ from ..functions.money import to_eur
 from ..functions.places import DEFAULT_AREA, area_of_location, without_repeated_head
 from ..functions.text import captured, decimal_number, digits, first_line, lines_of, not_empty, stripped, whole
 from ..schema import OFFERS_JSON
+from ..session import checkpointed
 from .cards import cards
 from .dedup import first_wins, last_page_wins, until_stop
 from .portals import BY_NAME, PORTALS, Portal
@@ -156,13 +157,14 @@ def listings_of_offers(pages: DataFrame) -> DataFrame:
 def listings(pages: DataFrame) -> DataFrame:
     """All portals' listings of landed pages: pages up to each run's stop, one row for each id, in ``ordinal`` order.
 
-    Pages are narrowed before the tree is built: to portals that need one, and to what the stop rules read.
+    Pages are narrowed before the tree is built, and what is read from them, links with their cards and offers, is
+    written once: stop rules, counts and fields read that, so no page is parsed twice.
     """
     cap = F.lit(None).cast("int")
     for p in PORTALS:
         cap = F.when(F.col("portal") == p.name, p.max_pages).otherwise(cap)
     pages, by_link = pages.where(F.col("page_num") <= cap), [p for p in PORTALS if p.link]
-    linked = cards(pages.where(F.col("portal").isin(*[p.name for p in by_link])))
+    linked = checkpointed(cards(pages.where(F.col("portal").isin(*[p.name for p in by_link]))))
     found = listings_of_cards(linked)
     counted = linked.groupBy("portal", "run_id", "page_num").agg(F.count("*").alias("links"))
     kept = found.groupBy(F.col("portal").alias("p"), F.col("run_id").alias("r"), F.col("page_num").alias("n")).agg(F.count("*").alias("listings"))
@@ -171,8 +173,9 @@ def listings(pages: DataFrame) -> DataFrame:
     by_listings = F.col("portal").isin(*[p.name for p in by_link if p.stop == "listings"])
     empty = F.when(by_listings, F.coalesce("listings", F.lit(0)) == 0).otherwise(F.coalesce("links", F.lit(0)) == 0)
     alive = until_stop(seen.where(F.col("portal").isin(*[p.name for p in by_link])), F.col("failed") | empty).select("portal", "run_id", "page_num")
-    offers = offers_of_pages(pages.where(F.col("portal") == "homes.bg"))
-    last = F.col("html").isNull() | (F.col("has_state") & ~F.col("has_more"))
+    offers = offers_of_pages(pages.where(F.col("portal") == "homes.bg")).withColumn("failed", F.col("html").isNull())
+    offers = checkpointed(offers.select("portal", "run_id", "page_num", "failed", "has_state", "has_more", "offers"))
+    last = F.col("failed") | (F.col("has_state") & ~F.col("has_more"))
     ends = _until_flag(offers, last)
     rows = found.join(alive, ["portal", "run_id", "page_num"], "left_semi").unionByName(listings_of_offers(ends))
     late = F.col("portal").isin(*[p.name for p in PORTALS if p.dedup == "last_page"])
