@@ -5,8 +5,8 @@ universal hashes make a node's signature; nodes whose signatures agree on all ro
 documents are linked if the Jaccard similarity of their full sets is at least ``percent`` / 100, which is confirmed on
 the sets themselves; components come from alternating large-star and small-star steps over the links.
 
-No bucket is ever expanded into all its pairs.  First every bucket's smallest node is compared with its other nodes
-(a star), twice with different orders, and components are formed.  Members of one component need no further comparison,
+No bucket is ever expanded into all its pairs.  First every bucket's smallest node and its largest are
+compared with its other nodes (two stars), and components are formed.  Members of one component need no further comparison,
 so what remains are pairs across components of a bucket: they are compared in blocks of BLOCK rows inside tasks, first
 by signature, then on full sets, and only links that join components come out.  That step has no cap, so a bucket of
 any size gives all the links that its components need.
@@ -87,16 +87,30 @@ def minima(found: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
-def band_values(signature: np.ndarray) -> np.ndarray:
-    rows, value = signature.reshape(BANDS, ROWS).astype(np.uint64), np.arange(1, BANDS + 1, dtype=np.uint64)
+def band_values(signatures: np.ndarray) -> np.ndarray:
+    """The bucket of each band (rows, BANDS) for signatures (rows, BANDS * ROWS); no two bands share buckets."""
+    rows = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    value = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2])
     for k in range(ROWS):
-        value = _mixed(value * _STEP + rows[:, k])
+        value = _mixed(value * _STEP + rows[:, :, k])
     return value.view(np.int64)
 
 
+def bucketed(nodes: DataFrame) -> DataFrame:
+    """(node, value): a row for each node and band."""
+
+    def run(batches):
+        for batch in sliced(batches):
+            if batch.num_rows:
+                values = band_values(_matrix(batch.column(1)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(values)), BANDS))), pa.array(values.ravel())], names=["node", "value"])
+
+    return nodes.select("node", "signature").mapInArrow(run, "node bigint, value bigint")
+
+
 def features(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, k1 and k2 (which name the set), bands array<bigint>, signature (16 bits of each minimum)."""
-    schema = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, bands array<bigint>, signature binary"
+    """doc_id, n_shingles, k1 and k2 (which name the set), signature (16 bits of each minimum)."""
+    schema = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, signature binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -105,10 +119,10 @@ def features(docs: DataFrame, width: int) -> DataFrame:
                 found = shingles(text, width)
                 k1, k2 = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64).tolist()
                 signature = minima(found) if len(found) else None
-                out.append((doc_id, len(found), k1, k2, None if signature is None else band_values(signature), None if signature is None else (signature & 0xFFFF).astype(np.uint16).tobytes()))
+                out.append((doc_id, len(found), k1, k2, None if signature is None else (signature & 0xFFFF).astype(np.uint16).tobytes()))
             columns = list(zip(*out, strict=True))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n_shingles", "k1", "k2", "bands", "signature"])
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n_shingles", "k1", "k2", "signature"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
 
@@ -231,20 +245,20 @@ def _across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     joined already.
     """
     least = least_agreement(percent)
-    mixed = buckets.groupBy("band", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("print")).where("lo != hi")
-    mixed = mixed.groupBy("n", "print").agg(F.min(F.struct("band", "value")).alias("one")).select(F.col("one.band").alias("in_band"), F.col("one.value").bitwiseXOR(F.lit(1)).alias("key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = buckets.join(mixed, (F.col("band") == F.col("in_band")) & (F.col("value").bitwiseXOR(F.lit(1)) == F.col("key"))).select("band", "value", "node", "component", "blocks")
+    mixed = buckets.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("print")).where("lo != hi")
+    mixed = mixed.groupBy("n", "print").agg(F.min("value").alias("one")).select(F.col("one").bitwiseXOR(F.lit(1)).alias("key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = buckets.join(mixed, F.col("value").bitwiseXOR(F.lit(1)) == F.col("key")).select("value", "node", "component", "blocks")
     held = sets.join(nodes.select(F.col("node").alias("signed"), "signature"), F.col("node") == F.col("signed")).select(F.col("node").alias("of"), "signature", "items")
     rows = rows.join(held.mapInArrow(_compact, "of bigint, signature binary, items binary"), F.col("node") == F.col("of"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("band", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", "signature", "items")
-    rows = rows.repartition("band", "value", "i", "j").sortWithinPartitions("band", "value", "i", "j")
+    rows = rows.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", "signature", "items")
+    rows = rows.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
 
     def compare(group: list[tuple]) -> list[tuple[int, int]]:
-        side, node, component = (np.array([g[k] for g in group]) for k in (4, 5, 6))
-        matrix = np.frombuffer(b"".join([g[7] for g in group]), np.uint8).reshape(-1, BANDS * ROWS)
-        items = [np.frombuffer(g[8], np.uint32) for g in group]
-        size, out, joined, within = np.array([len(x) for x in items]), [], component.copy(), group[0][2] == group[0][3]
+        side, node, component = (np.array([g[k] for g in group]) for k in (3, 4, 5))
+        matrix = np.frombuffer(b"".join([g[6] for g in group]), np.uint8).reshape(-1, BANDS * ROWS)
+        items = [np.frombuffer(g[7], np.uint32) for g in group]
+        size, out, joined, within = np.array([len(x) for x in items]), [], component.copy(), group[0][1] == group[0][2]
         for k in range(len(group)):
             others = np.arange(k + 1, len(group)) if within else np.flatnonzero(side == 1) if side[k] == 0 else ()
             if not len(others):
@@ -263,8 +277,8 @@ def _across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     def run(batches):
         group: list[tuple] = []
         for batch in sliced(batches, 256):
-            for row in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
-                if group and group[0][:4] != row[:4]:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                if group and group[0][:3] != row[:3]:
                     yield batch_of(compare(group))
                     group = []
                 group.append(row)
@@ -278,19 +292,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     """doc_id, n_shingles, component_id (the smallest id reachable, itself included) and kept of every document."""
     found = checkpointed(features(docs, width))
     linkable = found.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    nodes = linkable.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "signature", "bands")).alias("least"))
-    nodes = checkpointed(nodes.select("k1", "k2", F.col("least.doc_id").alias("node"), "least.signature", "least.bands"))
-    banded = nodes.select("node", F.posexplode("bands").alias("band", "value"))
-    shared = banded.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max_by("node", F.xxhash64("node")).alias("any")).where("n > 1")
-    shared = shared.select(F.col("band").alias("in_band"), F.col("value").bitwiseXOR(F.lit(1)).alias("key"), "low", "any")
-    buckets = checkpointed(banded.join(shared, (F.col("band") == F.col("in_band")) & (F.col("value").bitwiseXOR(F.lit(1)) == F.col("key"))).select("band", "value", "node", "low", "any"))
-    star = buckets.select(F.col("node").alias("a"), F.explode(F.array("low", "any")).alias("b")).where("a != b").select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
+    nodes = linkable.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "signature")).alias("least"))
+    nodes = checkpointed(nodes.select("k1", "k2", F.col("least.doc_id").alias("node"), "least.signature"))
+    banded = bucketed(nodes)
+    shared = banded.groupBy("value").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).where("n > 1")
+    shared = shared.select(F.col("value").bitwiseXOR(F.lit(1)).alias("key"), "low", "high")
+    buckets = checkpointed(banded.join(shared, F.col("value").bitwiseXOR(F.lit(1)) == F.col("key")).select("value", "node", "low", "high"))
+    star = buckets.select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b")).where("a != b").select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
     same_set = linkable.join(nodes.select(F.col("k1").bitwiseXOR(F.lit(1)).alias("key"), F.col("k2").alias("key2"), "node"), (F.col("k1").bitwiseXOR(F.lit(1)) == F.col("key")) & (F.col("k2") == F.col("key2"))).select(F.col("node").alias("a"), F.col("doc_id").alias("b")).where("a != b").distinct()
     repeated = not linkable.groupBy("doc_id").count().where("count > 1").isEmpty()
     sets = checkpointed(full_sets(docs, buckets.select("node"), width, repeated))
     links = checkpointed(confirmed(checkpointed(verified(star, nodes, percent)), sets, percent))
     first = checkpointed(components(links))
-    grouped = checkpointed(buckets.select("band", "value", "node").join(first, "node", "left").select("band", "value", "node", F.coalesce("component", "node").alias("component")))
+    grouped = checkpointed(buckets.select("value", "node").join(first, "node", "left").select("value", "node", F.coalesce("component", "node").alias("component")))
     more = checkpointed(confirmed(checkpointed(_across(grouped, nodes, sets, percent)), sets, percent))
     reached = components(first.union(more).union(same_set), "node", "component")
     reached = reached.select(F.col("node").alias("key"), "component")
