@@ -4,7 +4,8 @@ Test items and documents are reduced to lower-case words joined by single spaces
 UNIT_CHARS to twice that many characters (a shorter item is one unit), and a unit with an error budget of k edits into
 k + 1 pieces: if a document holds the unit within k edits, at least one piece stands in it unchanged.  One automaton
 finds all pieces; around every hit Myers' bit-parallel algorithm computes the smallest edit distance of the unit to
-any part of the text there, and the hit counts if that is within the budget.
+any part of the text there, and the hit counts if that is within the budget.  A hit needs the unit's length and 3 k + 1
+characters; k more are read on both sides, so hits whose starts differ by k at most lie within a window already read.
 
 Items are read in blocks of about BLOCK_CHARS characters, each broadcast in turn, so memory stays bounded however many
 test items there are; one block is one pass over the documents.
@@ -17,6 +18,7 @@ itself; null item ids are reported as null.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import ahocorasick
 import pyarrow as pa
@@ -101,16 +103,20 @@ class Matcher:
         if not self.units or not (flat := normal(text)):
             return []
         found: dict[int, int] = {}
-        tried: dict[int, int] = {}
+        tried: dict[int, list[int]] = {}  # by unit, sorted starts of the hits verified
         for end, (size, where) in self.automaton.iter(flat):
             for u, offset in where:
                 _, unit, masks = self.units[u]
                 budget = len(unit) // CHARS_PER_EDIT
                 start = end + 1 - size - offset - budget
-                if found.get(u) == 0 or (u in tried and start < tried[u]):
+                if found.get(u) == 0:
                     continue
-                tried[u] = start + budget + 1  # later hits of the same copy
-                part = flat[max(0, start) : max(0, start) + len(unit) + 3 * budget + 1]
+                starts = tried.setdefault(u, [])
+                at = bisect_left(starts, start - budget)
+                if at < len(starts) and starts[at] <= start + budget:
+                    continue  # this hit's window lies within the one verified there
+                starts.insert(at, start)
+                part = flat[max(0, start - budget) : start + len(unit) + 4 * budget + 1]
                 distance = self.memo.get((u, part))
                 if distance is None:
                     if len(self.memo) > 20_000:

@@ -157,6 +157,23 @@ def test_leaks(spark):
     assert decontam.leaks(docs_of(spark, ["x"]), benchmark.limit(0), ["doc_id"]).first()["leaks"] == []
 
 
+def test_units_that_repeat_a_piece():
+    item = "the cat sat on the mat and the cat sat on the rug"
+    assert decontam.Matcher([(1, item)]).leaks("the bat sat on the cat ant the cat sat on the rug") == [{"item_id": 1, "units": 1, "units_hit": 1, "distance": 3}]
+    rng = random.Random(6)
+    for _ in range(300):
+        phrase = "".join(rng.choice("abcd ") for _ in range(14))
+        item = decontam.normal(" ".join(rng.choice([phrase, "".join(rng.choice("abcd") for _ in range(9))]) for _ in range(8)))
+        text = list(f"{phrase * rng.randint(0, 3)} {item} {phrase}")
+        for _ in range(rng.randint(0, len(item) // 10)):
+            at = rng.randrange(len(text))
+            text[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "a"])
+        flat = decontam.normal("".join(text))
+        near = [d for u in decontam.units_of(item) if (d := plain_distance(u, flat)) <= len(u) // decontam.CHARS_PER_EDIT]
+        got = [(x["units_hit"], x["distance"]) for x in decontam.Matcher([(1, item)]).leaks(flat)]
+        assert got == ([(len(near), min(near))] if near else [])
+
+
 def test_leaks_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 60)
     items = [(n, f"question number {n} about the long history of sharding {n} times") for n in range(6)]
