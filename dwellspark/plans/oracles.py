@@ -40,6 +40,7 @@ LISTED = """SELECT strftime(ts, '%Y-%m-%d') AS run_id, user_id AS id, CAST(hour(
   CAST(round_even(value * 1000, 0) AS BIGINT) AS price_eur, event_type AS title FROM events WHERE round_even(value * 1000, 0) >= 1000"""
 LINKS = "SELECT page_id, CAST(p - 1 AS BIGINT) AS pos, hrefs[p] AS href FROM (SELECT page_id, hrefs, unnest(range(1, len(hrefs) + 1)) AS p FROM (SELECT page_id, regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) AS hrefs FROM pages))"
 MONTHS = "['януари','февруари','март','април','май','юни','юли','август','септември','октомври','ноември','декември']"
+SPACES = " || ".join(f"chr({c})" for c in (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
 _line = ", ".join(f"({i}, '{d}')" for i, d in enumerate(DATES))
 
 
@@ -83,6 +84,7 @@ SELECT page_id, pos, href, CASE WHEN href LIKE '//%' THEN 'https:' || href WHEN
     "card_lines": """WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(160))), lambda x: x <> '') AS ls FROM documents)
 SELECT doc_id, CAST(p - 1 AS BIGINT) AS pos, ls[p] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS p FROM l)""",
     "unicode_strip": "SELECT doc_id, trim(substr(text, 1, 40), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text FROM documents",
+    "unicode_strip_whole": f"SELECT doc_id, trim(text, {SPACES}) AS text FROM documents",
     "embedded_json_scan": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract(props, '$.k') IS NOT NULL",
     "dedup_area_words": """WITH a AS (SELECT p_partkey, concat('w', p_partkey % 3, ' w', p_size % 4, ' w', p_partkey % 5, ' w', p_size % 3) AS area FROM part), w AS (SELECT *, string_split(area, ' ') AS ws FROM a),
 l AS (SELECT *, list_max(list_filter(range(1, 5), lambda i: ws[i] = ws[1])) AS last FROM w)

@@ -191,6 +191,12 @@ def unicode_strip(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", stripped(padded).alias("text"))
 
 
+def unicode_strip_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """As unicode_strip, but over whole texts."""
+    padded = F.concat(F.lit(" \t "), F.col("text"), F.lit(" \n "))
+    return table(spark, folder, "documents").select("doc_id", stripped(padded).alias("text"))
+
+
 def embedded_json_scan(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     return events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k")).where(F.col("k").isNotNull())
@@ -250,7 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         lead_metrics, lead_metrics_events, leads_as_of, lead_rank, lead_topk, price_drop, days_on_market, motivation_score, days_on_market_site_date, price_per_unit,
         area_baseline, area_baseline_by_portal, pct_vs_area, price_history_array, history_first_seen, history_latest, snapshot_append, run_counters, min_price_filter,
-        currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip,
+        currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip, unicode_strip_whole,
         embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_listings, portal_leads,
     )
 }

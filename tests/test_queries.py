@@ -46,3 +46,10 @@ def test_plans_push_down_and_prune(spark, data):
     plan = QUERIES["history_latest"](spark, data)._jdf.queryExecution().executedPlan().toString()
     events = next(line for line in plan.splitlines() if "FileScan" in line and "user_id" in line)
     assert "props" not in events and "CartesianProduct" not in plan
+
+
+def test_whole_texts_are_stripped(spark, tmp_path):
+    texts = ["x" * 60 + " end \u00a0\r\n", "\u2003 " * 30 + "late" + " \t" * 30, " " * 50, "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r["text"] for r in QUERIES["unicode_strip_whole"](spark, str(tmp_path)).collect()}
+    assert rows == {i: t if t is None else t.strip() for i, t in enumerate(texts)}
