@@ -1,8 +1,8 @@
 """From raw documents to token ids: language, toxicity, near copies, benchmark leaks, encoding.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept.  Defined cases: null ids and null
-texts pass through until a stage rejects them (the language stage rejects null texts and texts without a letter);
-further columns of documents, whatever their names, are carried along; an empty table gives an empty result.
+texts pass through until a stage rejects them (the language stage rejects null texts, texts without a letter and texts
+in no labelled language; without labels to learn from, it keeps all texts with letters); further columns of documents, whatever their names, are carried along; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,12 +17,11 @@ from dwellspark.session import ship
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in no language: those that get ``und``."""
+    """Rejects documents without a letter, and those whose cosine tells that they are in none of the labelled languages."""
     ship(spark)
-    model = langid.learn(docs, where=training_row())
-    lang, score = fresh(docs, "_language"), fresh(docs, "_cosine")
-    kept = langid.predict(docs, model, docs.columns, to=(lang, score)).where(F.col(lang) != langid.UNKNOWN)
-    return kept.select(*_same(docs))
+    bundled = langid.bundles(docs, where=training_row())
+    decided, known = langid.decided_sizes(docs, bundled, where=training_row()), fresh(docs, "_known")
+    return langid.in_language(docs, bundled, decided, docs.columns, to=known).where(F.col(known)).select(*_same(docs))
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,10 @@ language.  A document gets the language of the prototype with the largest cosine
 Since bundling is a sum, prototypes are added up partition by partition, so learning reads all labelled rows and moves
 one vector for each language and partition.  Prototypes are a matrix of (languages x DIMENSIONS) numbers.
 
+Whether a text is in any learned language: unrelated texts reach cosines below CHANCE, but so do very short texts in a
+language.  So every labelled row is compared with the prototypes without its own part, and sizes of texts (powers of
+two of their trigrams) at which those rows don't stand out from CHANCE are left undecided: such texts are kept.
+
 Defined cases: null text, empty text and text without a letter get ``und`` and score 0; with nothing to learn from,
 every text gets ``und``; equal cosines go to the first language in alphabetical order; repeated rows count each time.
 """
@@ -29,6 +33,11 @@ SYMBOLS = 40
 #: More labels than this are not a set of languages.
 MOST_LANGUAGES = 5000
 UNKNOWN = "und"
+#: Cosines with an unrelated prototype deviate by DIMENSIONS ** -0.5; under four deviations a text looks like chance.
+CHANCE = 4 / DIMENSIONS**0.5
+#: A size is decided by the cosine if it has so many labelled rows, of which no more than this share is under CHANCE.
+SIZE_ROWS, SIZE_SHARE = 20, 0.01
+SIZES = 64
 
 
 def letter_symbols() -> np.ndarray:
@@ -62,10 +71,24 @@ def trigram_counts(text: str | None, symbols: np.ndarray) -> tuple[np.ndarray, n
     return which, counts[which].astype(np.float32)
 
 
+def _labelled(docs: DataFrame, label: str, text_col: str, where: Column | None) -> DataFrame:
+    rows = docs.where(F.col(label).isNotNull() & F.col(text_col).isNotNull())
+    return (rows if where is None else rows.where(where)).select(label, text_col)
+
+
+def scaled(sums: np.ndarray) -> np.ndarray:
+    return (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+
+
 def learn(docs: DataFrame, label: str = "lang", text_col: str = "text", where: Column | None = None) -> tuple[list[str], np.ndarray]:
     """The languages, sorted, and their prototypes scaled to length 1, from all rows with a label where ``where`` holds."""
-    rows = docs.where(F.col(label).isNotNull() & F.col(text_col).isNotNull())
-    rows = (rows if where is None else rows.where(where)).select(label, text_col)
+    langs, sums = bundles(docs, label, text_col, where)
+    return langs, scaled(sums)
+
+
+def bundles(docs: DataFrame, label: str = "lang", text_col: str = "text", where: Column | None = None) -> tuple[list[str], np.ndarray]:
+    """As learn, but the bundled sums themselves."""
+    rows = _labelled(docs, label, text_col, where)
     shared = docs.sparkSession.sparkContext.broadcast(letter_symbols())
 
     def bundle(batches):
@@ -86,8 +109,62 @@ def learn(docs: DataFrame, label: str = "lang", text_col: str = "text", where: C
     learned = sorted((row["lang"], row["vector"]) for row in vectors.limit(MOST_LANGUAGES + 1).collect())
     if len(learned) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
-    matrix = np.array([v for _, v in learned]).reshape(-1, DIMENSIONS)
-    return [k for k, _ in learned], (matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+    return [k for k, _ in learned], np.array([v for _, v in learned]).reshape(-1, DIMENSIONS)
+
+
+def decided_sizes(docs: DataFrame, bundled: tuple[list[str], np.ndarray], label: str = "lang", text_col: str = "text", where: Column | None = None) -> list[bool]:
+    """For every size of texts, whether the cosine decides: a size with too few labelled rows goes with the next smaller one."""
+    if not bundled[0]:
+        return [False] * SIZES
+    shared = docs.sparkSession.sparkContext.broadcast((*bundled, letter_symbols()))
+
+    def compare(batches):
+        langs, sums, symbols = shared.value
+        at, prototypes, bound = {k: i for i, k in enumerate(langs)}, scaled(sums), trigram_vectors()
+        rows, under = np.zeros(SIZES, np.int64), np.zeros(SIZES, np.int64)
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if (found := trigram_counts(text, symbols)) is None:
+                    continue
+                vector = found[1] @ bound[found[0]].astype(np.float32)
+                others = sums[at[lang]] - vector
+                if not (apart := np.linalg.norm(others)):  # the only text of its language tells nothing
+                    continue
+                length = max(float(np.linalg.norm(vector)), 1e-12)
+                cosines = prototypes @ vector / length
+                cosines[at[lang]] = others @ vector / apart / length
+                size = int(found[1].sum()).bit_length()
+                rows[size] += 1
+                under[size] += cosines.max() < CHANCE
+        yield pa.RecordBatch.from_arrays([pa.array(range(SIZES), pa.int32()), pa.array(rows), pa.array(under)], names=["size", "n", "under"])
+
+    counts = _labelled(docs, label, text_col, where).mapInArrow(compare, "size int, n bigint, under bigint").groupBy("size").agg(F.sum("n").alias("n"), F.sum("under").alias("under"))
+    by_size, decided = {r["size"]: r for r in counts.collect()}, [False]
+    for size in range(1, SIZES):
+        r = by_size.get(size)
+        decided.append(r["under"] <= SIZE_SHARE * r["n"] if r and r["n"] >= SIZE_ROWS else decided[-1])
+    return decided
+
+
+def in_language(docs: DataFrame, bundled: tuple[list[str], np.ndarray], decided: list[bool], keep: list[str], text_col: str = "text", to: str = "in_language") -> DataFrame:
+    """Adds whether a text has letters and, where its size is decided, a cosine of CHANCE at least, to the columns ``keep``."""
+    shared = docs.sparkSession.sparkContext.broadcast((scaled(bundled[1]), decided, letter_symbols()))
+
+    def make():
+        prototypes, decided, symbols = shared.value
+        bound = trigram_vectors()
+
+        def holds(text: str | None) -> bool:
+            if (found := trigram_counts(text, symbols)) is None:
+                return False
+            if not decided[int(found[1].sum()).bit_length()]:
+                return True
+            vector = found[1] @ bound[found[0]].astype(np.float32)
+            return bool((prototypes @ vector).max() >= CHANCE * max(float(np.linalg.norm(vector)), 1e-12))
+
+        return lambda batch: [pa.array([holds(t) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()], pa.bool_())]
+
+    return map_texts(docs, make, keep, f"{to} boolean")
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], text_col: str = "text", to: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

@@ -378,6 +378,21 @@ def test_languages(spark):
     assert langid.predict(docs.limit(0), model, ["doc_id"]).count() == 0
 
 
+def test_language_stage(spark):
+    import corpus_pipeline
+
+    rng, vocabulary = random.Random(8), {"de": "der die und nicht ein haus strasse mit ist auf wird sich auch nach schon", "en": "the and of house street with is on that they have which would about there"}
+    rows = [(i, " ".join(rng.choice(vocabulary[lang].split()) for _ in range(rng.randint(30, 90))), lang) for i in range(600) for lang in [("de", "en")[i % 2]]]
+    noise = lambda n: "".join(rng.choice("bcdfgjkpqvwxyz  ") for _ in range(n))
+    rows += [(1000, noise(400), None), (1001, noise(400), "en"), (1002, "привет как дела " * 20, None), (1003, "Two words", None), (1004, "12 34", "en"), (1005, None, None), (1006, "the house and the street " * 8, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = lambda d: {r["doc_id"] for r in corpus_pipeline.identify_language(spark, d, "").collect()}
+    assert kept(docs) == {*range(600), 1003, 1006}
+    with_letters = {*range(600), 1000, 1001, 1002, 1003, 1006}
+    assert kept(docs.withColumn("lang", F.lit(None).cast("string"))) == with_letters
+    assert kept(docs.withColumn("lang", F.when(~training_row(), F.col("lang")))) == with_letters
+
+
 def test_bundles_are_sums_of_bound_letters():
     symbols, bound = langid.letter_symbols(), langid.trigram_vectors()
     letters = np.random.default_rng(20).choice(np.array([-1, 1], np.int8), (langid.SYMBOLS, langid.DIMENSIONS))
