@@ -64,7 +64,9 @@ def truthy(number: Column) -> Column:
 
 
 def elapsed_days(since: Column, until: Column) -> Column:
-    return F.floor((F.unix_micros(until.cast("timestamp")) - F.unix_micros(since.cast("timestamp"))) / F.lit(MICROS_A_DAY)).cast("bigint")
+    """Whole days from ``since`` to ``until`` in integers, rounded down also below 0."""
+    micros = F.unix_micros(until.cast("timestamp")) - F.unix_micros(since.cast("timestamp"))
+    return F.call_function("div", micros - F.pmod(micros, F.lit(MICROS_A_DAY)), F.lit(MICROS_A_DAY))
 
 
 def lines_of(text: Column) -> Column:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -86,18 +87,24 @@ class Page(HTMLParser):
         return joint.join(self.texts[first:end])
 
 
-def card_of(page: Page, element: int, portal: Portal, mention: re.Pattern) -> int | None:
-    """The element that is the listing's card; None if no ancestor qualifies."""
+def card_of(page: Page, element: int, portal: Portal, mention: re.Pattern, told: dict[int, tuple[int, int]]) -> int | None:
+    """The element that is the listing's card; None if no ancestor qualifies.
+
+    ``told`` keeps what was counted for the page's elements, which its links share: mentions, up to one too many, and
+    characters.
+    """
     best = None
     for _ in range(portal.max_levels):
         element = page.elements[element][0]
         if element < 0:
             break
-        text = page.text(element)
-        mentions = sum(1 for _ in mention.finditer(text))
+        if element not in told:
+            text = page.text(element)
+            told[element] = (sum(1 for _ in islice(mention.finditer(text), portal.max_mentions + 1)), len(text))
+        mentions, chars = told[element]
         if mentions > portal.max_mentions:
             return best if portal.largest else None
-        if mentions and len(text) <= portal.max_text:
+        if mentions and chars <= portal.max_text:
             best = element
             if not portal.largest:
                 break
@@ -140,11 +147,11 @@ def cards(pages: DataFrame) -> DataFrame:
                 if portal not in patterns or html is None:
                     continue
                 spec, (link, mention) = BY_NAME[portal], patterns[portal]
-                page = Page(html)
+                page, told = Page(html), {}
                 for pos, (element, href) in enumerate(page.links):
                     if not (found := link.search(href)):
                         continue
-                    card = card_of(page, element, spec, mention)
+                    card = card_of(page, element, spec, mention, told)
                     at.append(r)
                     whole = (None, None, None) if card is None else (page.text(card), page.text(card, "\n"), page.images[page.elements[card][3] : page.elements[card][4]])
                     rows.append((pos, found[spec.key_group], href, page.text(element), card is not None, *whole))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.places import area_of_title
 from ..functions.text import elapsed_days, half_even, truthy, whole
-from ..session import checkpointed
 from .history import histories, price_histories
 from .ranking import ranked
 
@@ -58,9 +57,8 @@ def with_baseline(rows: DataFrame, keys: Sequence[str] = ("portal", "area")) ->
     """Adds area_avg_price_per_sqm and pct_vs_area_avg; null where a row has no price per square metre.
 
     The means are aggregated first, so a join brings one row for each area, not every lead of an area to one task.
-    Leads, one row a listing, are written first: means and join would else each go through all snapshots.
+    Both sides read the same exchange of snapshots by listing, so snapshots are read once; nothing runs before an action.
     """
-    rows = checkpointed(rows)
     means = area_baseline(rows, keys).select(*[F.col(k).alias(f"_{k}") for k in keys], "baseline")
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     joined = rows.join(means, [*same, truthy(F.col("price_per_sqm"))], "left")

@@ -167,9 +167,9 @@ def listings(pages: DataFrame) -> DataFrame:
     linked = checkpointed(cards(pages.where(F.col("portal").isin(*[p.name for p in by_link]))))
     found = listings_of_cards(linked)
     counted = linked.groupBy("portal", "run_id", "page_num").agg(F.count("*").alias("links"))
-    kept = found.groupBy(F.col("portal").alias("p"), F.col("run_id").alias("r"), F.col("page_num").alias("n")).agg(F.count("*").alias("listings"))
-    seen = pages.select("portal", "run_id", "page_num", F.col("html").isNull().alias("failed")).join(counted, ["portal", "run_id", "page_num"], "left")
-    seen = seen.join(kept, (F.col("portal") == F.col("p")) & (F.col("run_id") == F.col("r")) & (F.col("page_num") == F.col("n")), "left").drop("p", "r", "n")
+    kept = found.groupBy("portal", "run_id", "page_num").agg(F.count("*").alias("listings"))
+    seen = _of_page(pages.select("portal", "run_id", "page_num", F.col("html").isNull().alias("failed")), counted, "left")
+    seen = _of_page(seen, kept, "left")
     by_listings = F.col("portal").isin(*[p.name for p in by_link if p.stop == "listings"])
     empty = F.when(by_listings, F.coalesce("listings", F.lit(0)) == 0).otherwise(F.coalesce("links", F.lit(0)) == 0)
     alive = until_stop(seen.where(F.col("portal").isin(*[p.name for p in by_link])), F.col("failed") | empty).select("portal", "run_id", "page_num")
@@ -177,12 +177,20 @@ def listings(pages: DataFrame) -> DataFrame:
     offers = checkpointed(offers.select("portal", "run_id", "page_num", "failed", "has_state", "has_more", "offers"))
     last = F.col("failed") | (F.col("has_state") & ~F.col("has_more"))
     ends = _until_flag(offers, last)
-    rows = found.join(alive, ["portal", "run_id", "page_num"], "left_semi").unionByName(listings_of_offers(ends))
+    rows = _of_page(found, alive, "left_semi").unionByName(listings_of_offers(ends))
     late = F.col("portal").isin(*[p.name for p in PORTALS if p.dedup == "last_page"])
     one = first_wins(rows.where(~late)).unionByName(last_page_wins(rows.where(late)))
     return one.withColumn("ordinal", F.col("first_at.page_num").cast("bigint") * F.lit(1_000_000) + F.col("first_at.pos")).drop("first_at", "pos")
 
 
+def _of_page(rows: DataFrame, facts: DataFrame, how: str) -> DataFrame:
+    """Rows with what is known of their page; a null run is a run like any other."""
+    page = ("portal", "run_id", "page_num")
+    named = facts.select(*[F.col(k).alias(f"_{k}") for k in page], *[c for c in facts.columns if c not in page])
+    joined = rows.join(named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in page], how)
+    return joined.drop(*[f"_{k}" for k in page])
+
+
 def _until_flag(offers: DataFrame, last: Column) -> DataFrame:
     """Embedded offers up to the page that says it is the last (itself included) or the first that failed."""
     ends = offers.groupBy(F.col("portal").alias("p"), F.col("run_id").alias("r")).agg(F.min(F.when(last, F.col("page_num"))).alias("end"))

@@ -79,11 +79,11 @@ SELECT p.run_id, page_num, links FROM p JOIN e USING (run_id) WHERE last IS NULL
     "page_links": LINKS,
     "page_anchors": LINKS,
     "listing_key_extract": "SELECT page_id, 'demo_' || regexp_extract(url, '/([a-z]{2})/([0-9]+)', 2) AS listing_id, regexp_extract(url, '/([a-z]{2})/([0-9]+)', 1) AS lang FROM pages WHERE regexp_matches(url, '/([a-z]{2})/([0-9]+)')",
-    "url_absolutize": f"""WITH l AS (SELECT page_id, pos, CASE pos % 3 WHEN 0 THEN '/' || href WHEN 1 THEN substr(href, 2, 1000) ELSE href END AS href FROM ({LINKS}))
+    "url_absolutize": f"""WITH l AS (SELECT page_id, pos, CASE pos % 3 WHEN 0 THEN '/' || href WHEN 1 THEN substr(href, 2) ELSE href END AS href FROM ({LINKS}))
 SELECT page_id, pos, href, CASE WHEN href LIKE '//%' THEN 'https:' || href WHEN href LIKE '/%' THEN 'https://site.example' || href WHEN href NOT LIKE 'http%' THEN 'https://site.example/' || href ELSE href END AS address FROM l""",
     "card_lines": """WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(160))), lambda x: x <> '') AS ls FROM documents)
 SELECT doc_id, CAST(p - 1 AS BIGINT) AS pos, ls[p] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS p FROM l)""",
-    "unicode_strip": "SELECT doc_id, trim(substr(text, 1, 40), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text FROM documents",
+    "unicode_strip": f"SELECT doc_id, trim(text, {SPACES}) AS text FROM documents",
     "unicode_strip_whole": f"SELECT doc_id, trim(text, {SPACES}) AS text FROM documents",
     "embedded_json_scan": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract(props, '$.k') IS NOT NULL",
     "dedup_area_words": """WITH a AS (SELECT p_partkey, concat('w', p_partkey % 3, ' w', p_size % 4, ' w', p_partkey % 5, ' w', p_size % 3) AS area FROM part), w AS (SELECT *, string_split(area, ' ') AS ws FROM a),

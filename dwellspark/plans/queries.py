@@ -177,7 +177,7 @@ def listing_key_extract(spark: SparkSession, folder: str) -> DataFrame:
 
 def url_absolutize(spark: SparkSession, folder: str) -> DataFrame:
     rows = page_links(spark, folder)
-    href = F.when(F.col("pos") % 3 == 0, F.concat(F.lit("/"), F.col("href"))).when(F.col("pos") % 3 == 1, F.substring("href", 2, 1000)).otherwise(F.col("href"))
+    href = F.when(F.col("pos") % 3 == 0, F.concat(F.lit("/"), F.col("href"))).when(F.col("pos") % 3 == 1, F.expr("substring(href, 2)")).otherwise(F.col("href"))
     return rows.select("page_id", "pos", href.alias("href")).select("page_id", "pos", "href", absolute(F.col("href"), "https://site.example", relative=True).alias("address"))
 
 
@@ -187,13 +187,13 @@ def card_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unicode_strip(spark: SparkSession, folder: str) -> DataFrame:
-    padded = F.concat(F.lit(" \t "), F.substring("text", 1, 40), F.lit(" \n "))
+    padded = F.concat(F.lit(" \t "), F.col("text"), F.lit(" \n "))
     return table(spark, folder, "documents").select("doc_id", stripped(padded).alias("text"))
 
 
 def unicode_strip_whole(spark: SparkSession, folder: str) -> DataFrame:
-    """As unicode_strip, but over whole texts."""
-    padded = F.concat(F.lit(" \t "), F.col("text"), F.lit(" \n "))
+    """As unicode_strip, between spaces that are not ASCII."""
+    padded = F.concat(F.lit("\u00a0\u3000"), F.col("text"), F.lit("\u2003 \u2028"))
     return table(spark, folder, "documents").select("doc_id", stripped(padded).alias("text"))
 
 

@@ -8,7 +8,6 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 #: Arrow batches small enough that very long texts don't fill a Python worker; a session's own settings stay.
 ARROW_BATCH = (("spark.sql.execution.arrow.maxRecordsPerBatch", "1000", "10000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "16m", "67108864b"))
 
@@ -29,9 +28,23 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which the driver and all executors share.
+
+    Where it is unset, a temporary folder serves a session that is one process; a cluster has to name its own.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if context.master != "local" and not context.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp()
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the folder of ``spark.checkpoint.dir`` (a temporary one only where it is unset)."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    """Cuts the lineage through the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

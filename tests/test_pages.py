@@ -34,6 +34,13 @@ def test_listings_of_all_portals(spark):
     assert got["olx_zz9"]["site_updated_at"] == fixtures.NOW and got["olx_zz9"]["photo"] is None
 
 
+def test_a_null_run_is_a_run(spark):
+    pages = fixtures.pages(spark)
+    named = {r["id"]: r["price_eur"] for r in listings(pages).collect()}
+    unnamed = {r["id"]: r["price_eur"] for r in listings(pages.withColumn("run_id", F.lit(None).cast("string"))).collect()}
+    assert unnamed == named
+
+
 def test_dedup_rules(spark):
     rows = spark.createDataFrame([("p", "r", "a", 1, 5, "x"), ("p", "r", "a", 1, 2, "y"), ("p", "r", "a", 3, 9, "z"), ("p", "r", "a", 3, 4, "w"), ("p", "r", None, 1, 1, "n")], "portal string, run_id string, id string, page_num int, pos int, title string")
     first = {r["id"]: (r["title"], r["first_at"]["pos"]) for r in dedup.first_wins(rows).collect()}

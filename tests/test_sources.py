@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from dwellspark.operators import history, leads
@@ -35,12 +37,39 @@ def test_stream_equals_batch(spark, data, tmp_path):
     for _ in range(2):  # started again, it has nothing to do
         stream = spark.readStream.schema(snaps.schema).option("maxFilesPerTrigger", 2).parquet(landed)
         fold(stream, path, str(tmp_path / "checkpoint")).awaitTermination()
+    assert spark.read.parquet(path).count() == snaps.count()
     as_of = F.lit("2024-02-01").cast("timestamp")
     want = {tuple(r) for r in leads.leads(snaps, as_of).drop("entered", "first_seen").collect()}
     got = {tuple(r) for r in leads.leads(spark.read.parquet(path), as_of).drop("entered", "first_seen").collect()}
     assert got == want and len(want) > 10
 
 
+def test_streams_do_not_overwrite_each_other(spark, data, tmp_path):
+    snaps, path = event_snapshots(spark, data), str(tmp_path / "table")
+    for n in range(2):
+        landed = str(tmp_path / f"landed-{n}")
+        snaps.where(F.col("seq") % 2 == n).write.parquet(landed)
+        fold(spark.readStream.schema(snaps.schema).parquet(landed), path, str(tmp_path / f"checkpoint-{n}")).awaitTermination()
+    assert spark.read.parquet(path).count() == snaps.count()
+
+
+def test_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from dwellspark.session import shared_folder
+
+    told = []
+    def session(master, settings):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: told[-1] if told else None, setCheckpointDir=told.append)
+        return SimpleNamespace(sparkContext=context, conf=settings)
+
+    with pytest.raises(ValueError):
+        shared_folder(session("spark://host:7077", {}))
+    with pytest.raises(ValueError):
+        shared_folder(session("local-cluster[2,1,1024]", {}))
+    assert shared_folder(session("spark://host:7077", {"spark.checkpoint.dir": "hdfs:///shared"})) == "hdfs:///shared"
+
+
 def test_leads_sink(spark, data, tmp_path):
     tables.write_leads(leads.leads(event_snapshots(spark, data), F.lit("2024-02-01").cast("timestamp")), str(tmp_path / "leads"))
     ranks = sorted(r["rank"] for r in spark.read.json(str(tmp_path / "leads")).collect())
