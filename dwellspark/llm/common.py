@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpointed, shared_folder  # noqa: F401
+
 #: Rows handed to the Python loops at once; keeps the Python copies of very long texts small.
 SLICE_ROWS = 512
 
@@ -24,20 +25,6 @@ def training_row(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % 5 != 0
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors share; a temporary one where it is unset."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    return context.getCheckpointDir()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def stored(df: DataFrame) -> DataFrame:
     """The same rows, written to a table in the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4()}"
@@ -66,12 +53,13 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list]
     """
     schema = ", ".join([*("`" + c.replace("`", "``") + f"` {t}" for c, t in df.dtypes if c in keep), added])
     ordered = [c for c in df.columns if c in keep]
+    places = [i for i, c in enumerate(df.columns) if c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
         for batch in sliced(batches):
             work = work or make()
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in ordered] + list(work(batch))
+            arrays = [batch.column(i) for i in places] + list(work(batch))
             yield pa.RecordBatch.from_arrays(arrays, names=[str(i) for i in range(len(arrays))]).rename_columns(names)
 
     names = ordered + [f.split()[0] for f in added.split(", ")]

@@ -5,14 +5,18 @@ UNIT_CHARS to twice that many characters (a shorter item is one unit), and a uni
 k + 1 pieces: if a document holds the unit within k edits, at least one piece stands in it unchanged.  One automaton
 finds all pieces; around every hit Myers' bit-parallel algorithm computes the smallest edit distance of the unit to
 any part of the text there, and the hit counts if that is within the budget.  A hit needs the unit's length and 3 k + 1
-characters; k more are read on both sides, so hits whose starts differ by k at most lie within a window already read.
+characters; k more are read on both sides, so hits whose starts differ by k at most lie within a window already read,
+and only those are passed over.
 
-Items are read in blocks of about BLOCK_CHARS characters, each broadcast in turn, so memory stays bounded however many
-test items there are; one block is one pass over the documents.
+An item of fewer than WHOLE_CHARS characters has no budget: it has to stand unchanged, as whole words.  In scripts that
+are written without spaces any two characters may be the border of words.
 
-Defined cases: null or empty documents match nothing; items of fewer than MIN_CHARS characters (or null) are too short
-to tell a leak from chance and match nothing; items with equal texts all match; repeated documents match each for
-itself; null item ids are reported as null.
+Items are read in blocks of about BLOCK_CHARS characters (a longer item is a block of its own).  One block is one pass
+over the documents, with only that block in the driver and the workers; what several passes find is written to the
+shared folder and joined to the documents by the digest of their text.
+
+Defined cases: null or empty documents match nothing, nor do items without a word; items with equal texts all match;
+repeated documents match each for itself; null item ids are reported as null.
 """
 
 from __future__ import annotations
@@ -25,15 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import fresh, map_texts, stored
 
 UNIT_CHARS = 80
-MIN_CHARS = 24
 #: One edit is allowed for so many characters of a unit.
 CHARS_PER_EDIT = 13
-BLOCK_CHARS = 8_000_000
+WHOLE_CHARS = 24
+BLOCK_CHARS = 2_000_000
 LEAK = "array<struct<item_id:bigint,units:int,units_hit:int,distance:int>>"
 _words = re.compile(r"[^\W_]+").findall
+# Thai, Lao, Burmese and Khmer, and the scripts and signs from CJK radicals on, have no spaces between words.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff]").match
 
 
 def normal(text: str | None) -> str:
@@ -44,12 +50,21 @@ def units_of(text: str) -> list[str]:
     """The text's units; together they cover it."""
     count = max(1, len(text) // UNIT_CHARS)
     edges = [len(text) * i // count for i in range(count + 1)]
-    return [text[a:b] for a, b in zip(edges, edges[1:], strict=False)] if len(text) >= MIN_CHARS else []
+    return [text[a:b] for a, b in zip(edges, edges[1:], strict=False)] if text else []
+
+
+def budget_of(unit: str) -> int:
+    return len(unit) // CHARS_PER_EDIT if len(unit) >= WHOLE_CHARS else 0
+
+
+def stands(text: str, start: int, end: int) -> bool:
+    """Whether text[start:end] begins and ends at borders of words."""
+    return all(at in (0, len(text)) or any(c == " " or _UNSPACED(c) for c in text[at - 1 : at + 1]) for at in (start, end))
 
 
 def pieces_of(unit: str) -> list[tuple[int, str]]:
     """Budget + 1 pieces (offset, piece) of nearly equal length that cover the unit."""
-    count = len(unit) // CHARS_PER_EDIT + 1
+    count = budget_of(unit) + 1
     edges = [len(unit) * i // count for i in range(count + 1)]
     return [(a, unit[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
@@ -107,10 +122,13 @@ class Matcher:
         for end, (size, where) in self.automaton.iter(flat):
             for u, offset in where:
                 _, unit, masks = self.units[u]
-                budget = len(unit) // CHARS_PER_EDIT
-                start = end + 1 - size - offset - budget
                 if found.get(u) == 0:
                     continue
+                if not (budget := budget_of(unit)):
+                    if stands(flat, end + 1 - size, end + 1):
+                        found[u] = 0
+                    continue
+                start = end + 1 - size - offset - budget
                 starts = tried.setdefault(u, [])
                 at = bisect_left(starts, start - budget)
                 if at < len(starts) and starts[at] <= start + budget:
@@ -130,20 +148,34 @@ class Matcher:
         return [{"item_id": self.items[n][0], "units": len(self.items[n][1]), "units_hit": len(d), "distance": min(d)} for n, d in sorted(by_item.items())]
 
 
+_LEAK_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("units", pa.int32()), ("units_hit", pa.int32()), ("distance", pa.int32())]))
+
+
+def _block_leaks(docs: DataFrame, shared, keep: list[str], to: str, text_col: str) -> DataFrame:
+    """The leaks of one broadcast block of items."""
+
+    def make():
+        matcher = Matcher(shared.value)
+        return lambda batch: [pa.array([matcher.leaks(t) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()], _LEAK_TYPE)]
+
+    return map_texts(docs, make, keep, f"{to} {LEAK}")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], to: str = "leaks", text_col: str = "text") -> DataFrame:
     """Adds the array ``to`` (see LEAK; empty for a clean document) to the columns ``keep`` of ``docs``."""
-    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
+    items, context = benchmark.select("item_id", "text").where(F.col("text").isNotNull()), docs.sparkSession.sparkContext
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + chars // BLOCK_CHARS
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    out, parts = docs, []
+    if blocks == 1:
+        return _block_leaks(docs, context.broadcast([tuple(r) for r in items.collect()]), keep, to, text_col)
+    digest, found = F.sha2(F.col(text_col), 256), None
+    texts = docs.select(digest.alias("digest"), F.col(text_col).alias("text")).where("text is not null")
     for b in range(blocks):
-        shared = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in items.where(block == b).collect()])
-
-        def make(shared=shared):
-            matcher = Matcher(shared.value)
-            return lambda batch: [pa.array([matcher.leaks(t) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()], pa.list_(pa.struct([("item_id", pa.int64()), ("units", pa.int32()), ("units_hit", pa.int32()), ("distance", pa.int32())])))]
-
-        parts.append(f"{to}_{b}")
-        out = map_texts(out, make, list(dict.fromkeys([*keep, text_col, *parts[:-1]])), f"{parts[-1]} {LEAK}")
-    return out.select(*keep, F.concat(*parts).alias(to))
+        shared = context.broadcast([tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()])
+        hits = stored(_block_leaks(texts, shared, ["digest"], "part", "text").where(F.size("part") > 0).groupBy("digest").agg(F.first("part").alias("part")))
+        shared.destroy()
+        found = hits if found is None else found.union(hits)
+    key, own = fresh(docs, "_digest"), fresh(docs, "_leaks_of_text")
+    found = found.select("digest", F.explode("part").alias("leak")).groupBy("digest").agg(F.array_sort(F.collect_list("leak")).alias("leaks"))
+    joined = docs.join(found.toDF(key, own), digest == F.col(key), "left")
+    return joined.select(*[F.col("`" + c.replace("`", "``") + "`") for c in keep], F.coalesce(own, F.array().cast(LEAK)).alias(to))

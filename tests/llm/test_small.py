@@ -130,10 +130,25 @@ def test_myers(unit, text):
     assert decontam.best_distance(decontam.char_masks(unit), len(unit), text) == plain_distance(unit, text)
 
 
+def plain_leaks(item, flat):
+    """Distances of the item's units that stand in the text within their budgets."""
+    out = []
+    for u in decontam.units_of(decontam.normal(item)):
+        if len(u) < decontam.WHOLE_CHARS:
+            out += [0] if f" {u} " in f" {flat} " else []
+        elif (d := plain_distance(u, flat)) <= len(u) // decontam.CHARS_PER_EDIT:
+            out.append(d)
+    return out
+
+
+def found_leaks(item, text):
+    return [(x["units_hit"], x["distance"]) for x in decontam.Matcher([(1, item)]).leaks(text)]
+
+
 def test_leaks(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
-    items = [(n, " ".join(word() for _ in range(rng.randint(12, 70)))) for n in range(20)] + [(90, None), (91, ""), (92, "short"), (93, None)]
+    items = [(n, " ".join(word() for _ in range(rng.randint(12, 70)))) for n in range(20)] + [(90, None), (91, ""), (92, "short"), (93, "?!"), (94, "two plus two is four")]
 
     def edited(text, edits):
         out = list(text)
@@ -144,14 +159,11 @@ def test_leaks(spark):
     texts = [" ".join(word() for _ in range(80)) for _ in range(30)]
     for n in range(20):
         texts.append(f"{texts[n]} {edited(items[n][1], rng.randint(0, 9)).upper()} {texts[0]}")
-    texts += [None, "", "  ", items[3][1], items[3][1]]
+    texts += [None, "", "  ", items[3][1], items[3][1], "Shortly: two plus two is FOUR!", "in short, two plus two is fourteen"]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    got = {r["doc_id"]: sorted((x["item_id"], x["units_hit"]) for x in r["leaks"]) for r in decontam.leaks(docs_of(spark, texts), benchmark, ["doc_id"]).collect()}
+    got = {r["doc_id"]: sorted((x["item_id"], x["units_hit"], x["distance"]) for x in r["leaks"]) for r in decontam.leaks(docs_of(spark, texts), benchmark, ["doc_id"]).collect()}
     for i, text in enumerate(texts):
-        flat, want = decontam.normal(text), []
-        for item, body in items:
-            hit = sum(plain_distance(u, flat) <= len(u) // decontam.CHARS_PER_EDIT for u in decontam.units_of(decontam.normal(body)))
-            want += [(item, hit)] if hit else []
+        want = [(item, len(d), min(d)) for item, body in items if (d := plain_leaks(body or "", decontam.normal(text)))]
         assert got[i] == want, i
     assert decontam.leaks(empty(spark), benchmark, ["doc_id"]).count() == 0
     assert decontam.leaks(docs_of(spark, ["x"]), benchmark.limit(0), ["doc_id"]).first()["leaks"] == []
@@ -159,7 +171,7 @@ def test_leaks(spark):
 
 def test_units_that_repeat_a_piece():
     item = "the cat sat on the mat and the cat sat on the rug"
-    assert decontam.Matcher([(1, item)]).leaks("the bat sat on the cat ant the cat sat on the rug") == [{"item_id": 1, "units": 1, "units_hit": 1, "distance": 3}]
+    assert found_leaks(item, "the bat sat on the cat ant the cat sat on the rug") == [(1, 3)]
     rng = random.Random(6)
     for _ in range(300):
         phrase = "".join(rng.choice("abcd ") for _ in range(14))
@@ -169,16 +181,50 @@ def test_units_that_repeat_a_piece():
             at = rng.randrange(len(text))
             text[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "a"])
         flat = decontam.normal("".join(text))
-        near = [d for u in decontam.units_of(item) if (d := plain_distance(u, flat)) <= len(u) // decontam.CHARS_PER_EDIT]
-        got = [(x["units_hit"], x["distance"]) for x in decontam.Matcher([(1, item)]).leaks(flat)]
-        assert got == ([(len(near), min(near))] if near else [])
+        near = plain_leaks(item, flat)
+        assert found_leaks(item, flat) == ([(len(near), min(near))] if near else [])
+
+
+@pytest.mark.parametrize("repeated", [True, False])
+def test_every_second_piece_edited(repeated):
+    """A unit of equal pieces, or of one repeated beside others, with an edit in every other piece."""
+    rng, missed = random.Random(11), 0
+    for _ in range(300):
+        same = "".join(rng.choice("abcde") for _ in range(12))
+        pieces = [same if repeated or rng.random() < 0.5 else "".join(rng.choice("abcde") for _ in range(12)) for _ in range(7)]
+        item, text = "".join(pieces), "".join(p if n % 2 else f"{p[:5]}x{p[6:]}" for n, p in enumerate(pieces))
+        missed += not found_leaks(item, f"{same * rng.randint(0, 2)} zz {text} zz")
+    assert missed == 0
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("ab", min_size=1, max_size=70), st.text("ab", max_size=30), st.text("ab", max_size=30), st.lists(st.tuples(st.integers(0, 200), st.sampled_from(["", "a", "b", "ab"])), max_size=7))
+def test_leaks_over_two_letters(item, before, after, edits):
+    text = list(before + item + after)
+    for at, new in edits:
+        text[at % len(text)] = new
+    flat = decontam.normal("".join(text))
+    near = plain_leaks(item, flat)
+    assert found_leaks(item, flat) == ([(len(near), min(near))] if near else [])
+
+
+def test_short_items_stand_as_words():
+    assert found_leaks("cat", "a cat.") == [(1, 0)] and found_leaks("cat", "concat cats") == [] and found_leaks("Cat", "cat") == [(1, 0)]
+    assert found_leaks("一加一等于几", "问题：请问一加一等于几？") == [(1, 0)] and found_leaks("一加一等于几", "请问一加一等于几呢") == [(1, 0)]
+    assert found_leaks("two plus two is four", "so two plus two is five") == []
 
 
 def test_leaks_in_blocks(spark, monkeypatch):
+    rng = random.Random(3)
+    items = [(n, f"question number {n} about the long history of sharding {n} times") for n in range(6)] + [(7, "short"), (None, "an item without an id but with words")]
+    texts = [t for _, t in items] + [None, "", "clean", f"{items[2][1]} and {items[3][1]}", items[1][1], "".join(rng.choice("ab ") for _ in range(200))]
+    docs = docs_of(spark, texts).withColumn("_digest", F.lit("clash")).withColumn("_leaks_0", F.lit("clash"))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    sorted_rows = lambda df: sorted((r["doc_id"], r["_digest"], r["_leaks_0"], str(sorted(str(x) for x in r["_leaks"]))) for r in df.collect())
+    keep = ["doc_id", "_digest", "_leaks_0"]
+    one = sorted_rows(decontam.leaks(docs, benchmark, keep, to="_leaks"))
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 60)
-    items = [(n, f"question number {n} about the long history of sharding {n} times") for n in range(6)]
-    found = decontam.leaks(docs_of(spark, [t for _, t in items]), spark.createDataFrame(items, "item_id bigint, text string"), ["doc_id"])
-    assert all(r["doc_id"] in [x["item_id"] for x in r["leaks"]] for r in found.collect())
+    assert sorted_rows(decontam.leaks(docs, benchmark, keep, to="_leaks")) == one and sum("item_id" in x[3] for x in one) >= 10
 
 
 # 5: toxicity

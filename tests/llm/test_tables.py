@@ -53,7 +53,7 @@ def test_leaks(spark, data, documents):
     for doc_id, item_id in got - plain:  # not whole, but a unit within its budget
         flat = decontam.normal(next(d["text"] for d in documents if d["doc_id"] == doc_id))
         units = decontam.units_of(decontam.normal(next(i["text"] for i in items if i["item_id"] == item_id)))
-        assert any(decontam.best_distance(decontam.char_masks(u), len(u), flat) <= len(u) // decontam.CHARS_PER_EDIT for u in units)
+        assert any(decontam.best_distance(decontam.char_masks(u), len(u), flat) <= decontam.budget_of(u) for u in units)
 
 
 def test_toxicity(spark):
