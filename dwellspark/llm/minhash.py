@@ -9,7 +9,9 @@ No bucket is ever expanded into all its pairs.  First every bucket's smallest no
 compared with its other nodes (two stars), and components are formed.  Members of one component need no further comparison,
 so what remains are pairs across components of a bucket: they are compared in blocks of BLOCK rows inside tasks, first
 by signature, then on full sets, and only links that join components come out.  That step has no cap, so a bucket of
-any size gives all the links that its components need.
+any size gives all the links that its components need.  It holds 32 bits of each item, and every link it gives is
+confirmed on all 64; if one falls through, which needs items that agree by accident, the step is done again on 64 bits
+from the components reached, so a link that was passed over because of the false one is not lost.
 
 With 5 rows and 30 bands a pair at exactly 0.8 meets in some bucket with probability 1 - 7e-6.
 
@@ -229,19 +231,29 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 
-def _compact(batches):
-    """Signatures cut to 8 bits a minimum and sets to 32 bits an item, for the rows that are dealt to many tasks."""
-    for batch in sliced(batches):
-        signatures = [np.frombuffer(x, np.uint16).astype(np.uint8).tobytes() for x in batch.column(1).to_pylist()]
-        items = [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signatures, pa.binary()), pa.array(items, pa.binary())], names=["of", "signature", "items"])
+def _compact(bits: int):
+    """Signatures cut to 8 bits a minimum and sets to ``bits`` (32 or 64) an item, for the rows dealt to many tasks."""
+
+    def run(batches):
+        for batch in sliced(batches):
+            signatures = [np.frombuffer(x, np.uint16).astype(np.uint8).tobytes() for x in batch.column(1).to_pylist()]
+            items = batch.column(2).to_pylist()
+            if bits == 32:
+                items = [_cut(np.frombuffer(x, np.uint64)).tobytes() for x in items]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signatures, pa.binary()), pa.array(items, pa.binary())], names=["of", "signature", "items"])
+
+    return run
 
 
-def _across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _cut(items: np.ndarray) -> np.ndarray:
+    return (items >> np.uint64(32)).astype(np.uint32)
+
+
+def _across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, bits: int = 32) -> DataFrame:
     """Pairs of nodes of different components (column ``component``) that share a bucket; enough to join them.
 
     Buckets of the same nodes are taken once.  A task holds up to BLOCK rows of a bucket beside as many others, compares
-    full sets (by 32 of each hash's bits) where signatures agree, and gives no second pair between nodes that it has
+    full sets (by ``bits`` of each hash) where signatures agree, and gives no second pair between nodes that it has
     joined already.
     """
     least = least_agreement(percent)
@@ -249,7 +261,7 @@ def _across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     mixed = mixed.groupBy("n", "print").agg(F.min("value").alias("one")).select(F.col("one").bitwiseXOR(F.lit(1)).alias("key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     rows = buckets.join(mixed, F.col("value").bitwiseXOR(F.lit(1)) == F.col("key")).select("value", "node", "component", "blocks")
     held = sets.join(nodes.select(F.col("node").alias("signed"), "signature"), F.col("node") == F.col("signed")).select(F.col("node").alias("of"), "signature", "items")
-    rows = rows.join(held.mapInArrow(_compact, "of bigint, signature binary, items binary"), F.col("node") == F.col("of"))
+    rows = rows.join(held.mapInArrow(_compact(bits), "of bigint, signature binary, items binary"), F.col("node") == F.col("of"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", "signature", "items")
     rows = rows.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
@@ -257,7 +269,7 @@ def _across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     def compare(group: list[tuple]) -> list[tuple[int, int]]:
         side, node, component = (np.array([g[k] for g in group]) for k in (3, 4, 5))
         matrix = np.frombuffer(b"".join([g[6] for g in group]), np.uint8).reshape(-1, BANDS * ROWS)
-        items = [np.frombuffer(g[7], np.uint32) for g in group]
+        items = [np.frombuffer(g[7], np.uint32 if bits == 32 else np.uint64) for g in group]
         size, out, joined, within = np.array([len(x) for x in items]), [], component.copy(), group[0][1] == group[0][2]
         for k in range(len(group)):
             others = np.arange(k + 1, len(group)) if within else np.flatnonzero(side == 1) if side[k] == 0 else ()
@@ -303,10 +315,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     repeated = not linkable.groupBy("doc_id").count().where("count > 1").isEmpty()
     sets = checkpointed(full_sets(docs, buckets.select("node"), width, repeated))
     links = checkpointed(confirmed(checkpointed(verified(star, nodes, percent)), sets, percent))
-    first = checkpointed(components(links))
-    grouped = checkpointed(buckets.select("value", "node").join(first, "node", "left").select("value", "node", F.coalesce("component", "node").alias("component")))
-    more = checkpointed(confirmed(checkpointed(_across(grouped, nodes, sets, percent)), sets, percent))
-    reached = components(first.union(more).union(same_set), "node", "component")
+    reached = checkpointed(components(links))
+    for bits in (32, 64):
+        grouped = checkpointed(buckets.select("value", "node").join(reached, "node", "left").select("value", "node", F.coalesce("component", "node").alias("component")))
+        told = checkpointed(_across(grouped, nodes, sets, percent, bits))
+        more = checkpointed(confirmed(told, sets, percent))
+        if bits == 64 or told.count() == more.count():
+            break
+        reached = checkpointed(components(reached.union(more), "node", "component"))
+    reached = components(reached.union(more).union(same_set), "node", "component")
     reached = reached.select(F.col("node").alias("key"), "component")
     out = found.join(reached, F.col("doc_id") == F.col("key"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

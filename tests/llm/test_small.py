@@ -338,6 +338,21 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in plain_components(rows, 2).items()}
 
 
+def test_items_that_agree_by_accident_lose_no_link(spark, monkeypatch):
+    """With cut items that are nearly all alike, pairs look linked that are not; the links behind them are still found."""
+    monkeypatch.setattr(minhash, "_cut", lambda x: np.sort((x >> np.uint64(59)).astype(np.uint32)))
+    rng, base = random.Random(4), [f"w{i}" for i in range(70)]
+    rows = []
+    for n in range(160):
+        words = list(base)
+        for _ in range(rng.randint(1, 6)):
+            words[rng.randrange(70)] = f"x{rng.randint(0, 30)}"
+        rows.append((n, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {i: c for i, (_, c) in plain_components(rows, 2).items()}
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()} == want and 3 < len(set(want.values())) < 157
+
+
 def test_null_ids_repeated_ids_and_empty(spark):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, None)]
     docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id bigint, text string, n_shingles int")
