@@ -455,11 +455,41 @@ def test_language_stage(spark):
 
 
 def test_bundles_are_sums_of_bound_letters():
-    symbols, bound = langid.letter_symbols(), langid.trigram_vectors()
-    letters = np.random.default_rng(20).choice(np.array([-1, 1], np.int8), (langid.SYMBOLS, langid.DIMENSIONS))
-    which, counts = langid.trigram_counts("aB, ba", symbols)
-    plain = sum(np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c] for a, b, c in ((0, 1, 2), (1, 2, 0), (2, 0, 2), (0, 2, 1), (2, 1, 0)))
-    assert (counts @ bound[which].astype(np.float32) == plain).all()
+    bundler = langid.Bundler(langid.letter_symbols())
+    v = dict(zip("ab ", langid.letter_vectors(np.array([ord("a"), ord("b"), 0])).astype(int), strict=True))
+    plain = sum(np.roll(v[a], 2) * np.roll(v[b], 1) * v[c] for a, b, c in (" ab", "ab ", "b b", " ba", "ba "))
+    assert [(n, x.tolist()) for n, x in bundler.vectors(["aB, ba"])] == [(5, plain.tolist())]
+
+
+def test_letters_of_all_scripts_are_apart():
+    points = np.array([ord(c) for c in "abcxyzßéàабвгджαβγδאבגابتคกनम漢字"])
+    vectors = langid.letter_vectors(points).astype(int)
+    cosines = vectors @ vectors.T / langid.DIMENSIONS
+    assert set(vectors.ravel().tolist()) == {1, -1} and np.abs(cosines - np.eye(len(points))).max() < 6 / langid.DIMENSIONS**0.5
+    symbols = langid.letter_symbols()
+    assert symbols[ord("Ж")] == symbols[ord("ж")] and symbols[ord("Σ")] == ord("σ") and symbols[ord("1")] == 0
+
+
+def test_languages_of_one_script(spark):
+    words = {"ru": "это был очень старый дом и мы не знали что делать", "uk": "це був дуже старий будинок і ми не знали що робити", "el": "αυτό ήταν ένα πολύ παλιό σπίτι και δεν ξέραμε τι να κάνουμε", "ar": "كان هذا بيتا قديما جدا ولم نكن نعرف ماذا نفعل", "fa": "این یک خانه بسیار قدیمی بود و ما نمی دانستیم چه کنیم"}
+    rng, rows = random.Random(1), []
+    for i in range(300):
+        lang = list(words)[i % 5]
+        rows.append((i, " ".join(rng.choice(words[lang].split()) for _ in range(10)), lang))
+    rows += [(1000, "\u0301\u0302 \u0308", None), (1001, "\u093e\u0940", None), (1002, "一二三 漢字", None), (1003, "\u0301é", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, langid.learn(docs, where=training_row()), ["doc_id"]).collect()}
+    assert all(got[i][0] == list(words)[i % 5] for i in range(300))
+    assert got[1000] == got[1001] == ("und", 0.0) and got[1002][0] != "und" and got[1003][0] != "und"
+
+
+def test_a_small_memo_changes_nothing(monkeypatch):
+    rng, symbols = random.Random(2), langid.letter_symbols()
+    texts = ["".join(rng.choice("abcdefgh жд漢字 ") for _ in range(rng.randint(0, 80))) for _ in range(40)]
+    want = [None if x is None else x[1].tolist() for x in langid.Bundler(symbols).vectors(texts)]
+    monkeypatch.setattr(langid, "KNOWN", 50)
+    small = langid.Bundler(symbols)
+    assert [None if x is None else x[1].tolist() for t in texts for x in small.vectors([t])] == want
 
 
 # 9: byte-level BPE
