@@ -5,13 +5,16 @@ vectors of its runs of three characters, so unseen words still count by their sp
 overlapping the next by half, cover a text; in each, two gated recurrent units read in both directions, attention pools
 their states, and a logistic unit scores the pool.  A document's score is its highest window's.
 
-The network is fitted on the driver on at most ``TRAINING_DOCS`` labelled documents of each class, those with the
-smallest hashes of their ids, and at most ``TRAINING_WINDOWS`` windows of each, evenly spread; each class is weighted by its share of
-all labelled rows.  Scoring reads every word of every text; only the network (a few MB) is broadcast.
+The network is fitted on the driver on a bounded sample of labelled rows: of each class at most ``TRAINING_DOCS``
+documents, those with the smallest hashes of their ids, passing over a document that would bring the class beyond
+``TRAINING_WORDS`` words.  A chosen text teaches with all of its windows.  Each class is weighted by its share of all
+labelled documents.  Training ends when the held part's loss has not fallen for a while.  Scoring reads every word of
+every text; only the network (a few MB) is broadcast.
 
 Defined cases: null text counts as empty; a text without words is one window of padding, scored by the same network;
 without labelled rows of both classes the score is the share of label 1 (0 without any); repeated rows get equal
-scores; labels of documents that do not exist, null labels and null ids teach nothing.
+scores; labels of documents that do not exist, null labels and null ids teach nothing; of rows that share an id one
+text teaches.
 """
 
 from __future__ import annotations
@@ -23,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, training_row
+from .common import checkpointed, map_texts, training_row
 
 WINDOW, STEP = 32, 16
-TRAINING_DOCS, TRAINING_WINDOWS = 1500, 10
+TRAINING_DOCS, TRAINING_WORDS = 1500, 1_000_000
 WORD_DIM, RUN_DIM, HIDDEN, ATTENTION = 12, 8, 10, 8
 RUNS, VOCABULARY = 16384, 20_000
 EPOCHS, MOST_EPOCHS, STEPS, BATCH, RATE, DECAY, DROPPED = 12, 80, 250, 256, 0.006, 2e-5, 0.15
@@ -198,10 +201,9 @@ class _Adam:
 
 
 def training_windows(text: str | None) -> list[str]:
-    """At most TRAINING_WINDOWS windows of a text, evenly spread over it, as words joined by spaces."""
+    """Windows that cover the whole text, each beginning where the last ended, as words joined by spaces."""
     words = words_of(text)
-    starts = window_starts(len(words), WINDOW)
-    return [" ".join(words[at : at + WINDOW]) for at in starts[np.unique(np.linspace(0, len(starts) - 1, TRAINING_WINDOWS).astype(int))]]
+    return [" ".join(words[at : at + WINDOW]) for at in window_starts(len(words), WINDOW)]
 
 
 def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float], seed: int = 7) -> Network:
@@ -232,7 +234,7 @@ def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float],
     for j, window in enumerate(windows):
         ids[: len(window), j] = [at[w] for w in window]
     owners = np.repeat(np.arange(len(texts)), [b - a for a, b in spans])
-    adam, best, chosen = _Adam(network.p), np.inf, None
+    adam, best, chosen, since = _Adam(network.p), np.inf, None, 0
     epochs = min(max(EPOCHS, STEPS * BATCH // (2 * len(learners) + 1)), MOST_EPOCHS)  # few texts are gone through more often
     for epoch in range(epochs):
         projected = network.projections(network.inputs_of(scorer_words))
@@ -241,8 +243,11 @@ def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float],
         if epoch and len(held):
             chance = np.clip(_sigmoid(logits[top[held]]), 1e-6, 1 - 1e-6)
             loss = float(-(weight[held] * np.where(y[held] == 1, np.log(chance), np.log(1 - chance))).sum())
+            since += 1
             if loss < best:
-                best, chosen = loss, {k: v.copy() for k, v in network.p.items()}
+                best, chosen, since = loss, {k: v.copy() for k, v in network.p.items()}, 0
+            if since > max(4, epochs // 5):
+                break
         if epoch == 0:
             rows = np.flatnonzero(np.isin(owners, learners))
         else:
@@ -262,22 +267,32 @@ def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float],
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = TRAINING_DOCS) -> Network | float:
     """The network, or the share of label 1 where a class is missing."""
+    known = docs.select("doc_id").where("doc_id is not null")
     rows = labels.where(training_row() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y"))
+    rows = checkpointed(rows.join(known, "doc_id", "left_semi"))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return float(counts.get(1, 0) > 0)
-    picked = [rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
+    picked = [rows.where(F.col("y") == y).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     chosen = picked[0].union(picked[1])  # 2 * per_class rows at most
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def make():
         return lambda batch: [pa.array([training_windows(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()], pa.list_(pa.string()))]
 
-    # windows are cut on the executors, so what the driver gets is bounded however long the texts are
-    cut = map_texts(sample, make, ["doc_id", "y"], "windows array<string>").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("windows")).limit(2 * per_class).collect()
-    y = np.array([r["y"] for r in cut])
+    # windows are cut on the executors and stay in the shared folder; the driver gets those it has room for
+    cut = map_texts(sample, make, ["doc_id", "y"], "windows array<string>").groupBy("doc_id", "y").agg(F.min_by("windows", F.xxhash64("windows")).alias("windows"))
+    cut = checkpointed(cut.select(F.xxhash64("doc_id").alias("place"), "doc_id", "y", "windows"))
+    room, taken = {0: TRAINING_WORDS, 1: TRAINING_WORDS}, []
+    for r in sorted(cut.select("place", "doc_id", "y", (F.size("windows") * WINDOW).alias("words")).collect()):
+        if r["words"] <= room[r["y"]]:
+            room[r["y"]] -= r["words"]
+            taken.append((r["doc_id"], r["y"]))
+    if len({y for _, y in taken}) < 2:
+        return counts[1] / sum(counts.values())
+    taught = sorted(cut.join(F.broadcast(docs.sparkSession.createDataFrame(taken, cut.select("doc_id", "y").schema)), ["doc_id", "y"]).select("place", "doc_id", "y", "windows").collect())
     share = counts[1] / sum(counts.values())
-    return share if len(set(y.tolist())) < 2 else fit([r["windows"] for r in cut], y, (1 - share, share))
+    return fit([r["windows"] for r in taught], np.array([r["y"] for r in taught]), (1 - share, share))
 
 
 class Scorer:

@@ -262,6 +262,64 @@ def test_windows_cover_all_words():
         assert seen == set(range(n)) and all(b - a <= toxicity.STEP for a, b in zip(starts, starts[1:], strict=False))
 
 
+def plain_score(network, text):
+    """The highest window's score, one window and one word at a time."""
+    p, words = network.p, toxicity.words_of(text) or []
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def word_input(word):
+        marked = [2, *(ord(c) for c in word), 2]
+        runs = [(a * 1_000_003 + b * 8191 + c * 131) % 1_000_000_007 % toxicity.RUNS for a, b, c in zip(marked, marked[1:], marked[2:], strict=False)]
+        return np.concatenate([p["words"][network.vocabulary.get(word, toxicity.UNSEEN)], np.mean([p["runs"][r] for r in runs], axis=0)])
+
+    def states(inputs, d):
+        state, out, h = np.zeros(toxicity.HIDDEN), [], toxicity.HIDDEN
+        for x in inputs:
+            a, m = x @ p[f"in_{d}"] + p[f"bias_{d}"], state @ p[f"recur_{d}"]
+            hold, reset = sigmoid(a[:h] + m[:h]), sigmoid(a[h : 2 * h] + m[h : 2 * h])
+            state = hold * state + (1 - hold) * np.tanh(a[2 * h :] + reset * m[2 * h :])
+            out.append(state)
+        return out
+
+    best = -np.inf
+    starts = sorted({*range(0, max(len(words) - toxicity.WINDOW, 0), toxicity.STEP), max(len(words) - toxicity.WINDOW, 0)})
+    for start in starts:
+        inputs = [word_input(w) for w in words[start : start + toxicity.WINDOW]]
+        both = [np.concatenate(x) for x in zip(states(inputs, "f"), states(inputs[::-1], "b")[::-1], strict=True)]
+        focus = np.array([np.exp(np.tanh(x @ p["attend"] + p["attend_bias"]) @ p["focus"]) for x in both])
+        pool = sum(w * x for w, x in zip(focus / focus.sum(), both, strict=True)) if both else np.zeros(2 * toxicity.HIDDEN)
+        best = max(best, (pool @ p["out"] + p["out_bias"]).item())
+    return sigmoid(best)
+
+
+def test_scorer_equals_plain_windows(monkeypatch):
+    rng, words = random.Random(1), [f"w{i}" for i in range(40)] + ["é", "漢字", "a" * 90]
+    network = toxicity.Network(words[:25])
+    network.p = {k: v + np.random.default_rng(3).standard_normal(v.shape).astype(np.float32) * 0.3 for k, v in network.p.items()}
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (1, 2, 15, 31, 32, 33, 47, 48, 49, 64, 100, 3000)] + [None, "", " ?! ", "w1 w1", "w1 w1"]
+    want = [plain_score(network, t) for t in texts]
+    assert np.allclose(toxicity.Scorer(network).scores(texts), want, atol=2e-4)
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 10)
+    monkeypatch.setattr(toxicity, "TOGETHER", 3)
+    scorer = toxicity.Scorer(network)
+    assert np.allclose([scorer.scores([t])[0] for t in texts], want, atol=2e-4)
+
+
+def test_training_reads_whole_texts(spark, monkeypatch):
+    assert [w.split() for w in toxicity.training_windows(" ".join(map(str, range(100))))] == [[str(i) for i in range(a, a + 32)] for a in (0, 32, 64, 68)]
+    texts = ["vile " + "calm " * 700] * 40 + ["calm " * 700] * 60
+    docs = docs_of(spark, texts)
+    table = spark.createDataFrame([(i, 1, int(i < 40)) for i in range(100)], "doc_id bigint, quality int, toxic int")
+    told = []
+    monkeypatch.setattr(toxicity, "fit", lambda windows, y, shares: told.append((windows, y.tolist())))
+    toxicity.learn(docs, table)
+    windows, y = told[0]
+    assert all(sum(len(w.split()) for w in own) >= 700 and any("vile" in w for w in own) == bool(label) for own, label in zip(windows, y, strict=True))
+    monkeypatch.setattr(toxicity, "TRAINING_WORDS", 3000)
+    toxicity.learn(docs, table)
+    assert [sorted(x[1]) for x in told[1:]] == [[0] * 4 + [1] * 4]
+
+
 def test_toxicity_learns_and_holds_on_hard_cases(spark):
     rng = random.Random(3)
     words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(60)]
