@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from .urlfilter import LEVELS, MIN_PAGES, MIN_SHARE, PURITY, RULES, WEIGHT, Z
+from .urlfilter import MIN_PAGES, PURITY, RULES, WEIGHT, Z
+
+#: The URL filter's SQL spells out so many levels; no address of the test tables is deeper.
+SQL_LEVELS = 5
 
 CHAT = r"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
@@ -37,31 +40,47 @@ def _url_filter() -> str:
     rule = " ".join(f"WHEN {fits.format(h=h, p=p)} THEN '{h}{p}'" for _, h, p in rules)
     verdict = " ".join(f"WHEN {fits.format(h=h, p=p)} THEN '{v}'" for v, h, p in rules)
     out = [
-        """p AS (SELECT page_id, strpos(coalesce(url, ''), '://') AS at, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)""",
+        """p AS (SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)""",
         """h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM p)""",
         """n AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h)""",
-        f"""l0 AS (SELECT *, host AS node, list_filter(string_split(path, '/'), lambda s: s <> '') AS segs, CASE {rule} END AS rule, CASE {verdict} END AS ruled FROM n)""",
+        f"""r AS (SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS ruled FROM n)""",
+        """c AS (SELECT host, path, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (WHERE ruled = 'block') AS blocked FROM r GROUP BY host, path)""",
+        r"""t0 AS (SELECT *, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: regexp_replace(s, '^([*\\])', '\\\1')) AS segs, CAST([] AS VARCHAR[]) AS parts, host AS node, false AS rest FROM c)""",
     ]
-    for k in range(1, LEVELS + 1):
+    for k in range(1, SQL_LEVELS + 1):
         out += [
-            f"c{k} AS (SELECT *, CASE WHEN len(segs) >= {k} THEN node || '/' || segs[{k}] END AS child FROM l{k - 1})",
-            f"g{k} AS (SELECT child, count(*) AS n, sum(count(*)) OVER (PARTITION BY node) AS al FROM c{k} WHERE child IS NOT NULL GROUP BY node, child)",
-            f"f{k} AS (SELECT child AS fixed FROM g{k} WHERE n >= {MIN_PAGES} AND n >= {MIN_SHARE} * al)",
-            f"l{k} AS (SELECT page_id, host, path, segs, rule, ruled, CASE WHEN child IS NULL THEN node WHEN fixed IS NOT NULL THEN child ELSE node || '/*' END AS node FROM c{k} LEFT JOIN f{k} ON child = fixed)",
+            f"s{k} AS (SELECT *, node || '/' || segs[{k}] AS child FROM t{k - 1} WHERE len(segs) >= {k} AND NOT rest)",
+            f"ch{k} AS (SELECT node, child, sum(n) AS pages FROM s{k} GROUP BY node, child)",
+            f"w{k} AS (SELECT node, sum(pages) AS pages FROM ch{k} WHERE pages < {MIN_PAGES} GROUP BY node)",
+            f"""t{k} AS (SELECT host, path, n, labelled, blocked, segs, parts, node, rest FROM t{k - 1} WHERE len(segs) < {k} OR rest
+  UNION ALL SELECT host, path, n, labelled, blocked, segs, CASE WHEN ch{k}.pages >= {MIN_PAGES} THEN list_append(parts, segs[{k}]) WHEN w{k}.pages >= {MIN_PAGES} THEN list_append(parts, '*')
+    ELSE list_concat(parts, list_transform(range(len(segs) - {k - 1}), lambda x: '*')) END, CASE WHEN ch{k}.pages >= {MIN_PAGES} THEN child ELSE s{k}.node || '/*' END,
+    ch{k}.pages < {MIN_PAGES} AND coalesce(w{k}.pages, 0) < {MIN_PAGES} FROM s{k} JOIN ch{k} USING (child) LEFT JOIN w{k} ON s{k}.node = w{k}.node)""",
         ]
+    name = "host || '/' || array_to_string({}, '/')".format
     out += [
-        f"r AS (SELECT page_id, host, path, rule, ruled, CASE WHEN len(segs) > {LEVELS} THEN node || '/**' ELSE node END AS node, CAST(ruled = 'block' AS INTEGER) AS blocked FROM l{LEVELS})",
-        "o AS (SELECT host, node, count(blocked) AS labelled, coalesce(sum(blocked), 0) AS blocked FROM r GROUP BY host, node)",
+        f"nodes AS (SELECT host, path, parts, labelled, blocked, {name('parts')} AS node FROM t{SQL_LEVELS})",
+        "o AS (SELECT host, parts, node, sum(labelled) AS labelled, sum(blocked) AS blocked FROM nodes GROUP BY host, parts, node)",
         "total AS (SELECT (CAST(coalesce(sum(blocked), 0) AS DOUBLE) + 1) / (coalesce(sum(labelled), 0) + 2) AS overall FROM o)",
         f"hs AS (SELECT host, (CAST(sum(blocked) AS DOUBLE) + {WEIGHT} * any_value(overall)) / (sum(labelled) + {WEIGHT}) AS host_share FROM o, total GROUP BY host)",
-        r"sib AS (SELECT o.*, host_share, regexp_replace(node, '^(.*)/[^/*]+((?:/\*+)*)$', '\1/*\2') AS siblings FROM o JOIN hs USING (host))",
-        "gs AS (SELECT siblings, sum(labelled) AS gl, CAST(sum(blocked) AS DOUBLE) AS gb FROM sib GROUP BY siblings)",
-        f"sh AS (SELECT sib.*, (gb + {WEIGHT} * host_share) / (gl + {WEIGHT}) AS share FROM sib JOIN gs USING (siblings))",
-        f"tp AS (SELECT *, CASE WHEN abs(blocked - labelled * share) <= {Z} * sqrt(labelled * share * (1 - share)) THEN siblings ELSE node END AS template FROM sh)",
+        f"m{SQL_LEVELS + 1} AS (SELECT o.*, host_share FROM o JOIN hs USING (host))",
+    ]
+    for k in range(SQL_LEVELS, 0, -1):
+        wild = f"list_transform(parts, lambda s, i: CASE WHEN i = {k} THEN '*' ELSE s END)"
+        out += [
+            f"a{k} AS (SELECT *, {name('parts')} AS tmpl, CASE WHEN len(parts) >= {k} THEN {name(wild)} END AS wild FROM m{k + 1})",
+            f"e{k} AS (SELECT tmpl, wild, CAST(sum(labelled) AS DOUBLE) AS l, CAST(sum(blocked) AS DOUBLE) AS b, max(host_share) AS hs FROM a{k} WHERE wild IS NOT NULL AND labelled > 0 GROUP BY tmpl, wild)",
+            f"g{k} AS (SELECT e.*, gl, (gb + {WEIGHT} * hs) / (gl + {WEIGHT}) AS share FROM e{k} e JOIN (SELECT wild, sum(l) AS gl, sum(b) AS gb FROM e{k} GROUP BY wild) USING (wild))",
+            f"j{k} AS (SELECT tmpl FROM g{k} WHERE gl > l AND abs(b - l * share) <= {Z} * sqrt(l * share * (1 - share)))",
+            f"m{k} AS (SELECT host, CASE WHEN j{k}.tmpl IS NOT NULL THEN {wild} ELSE parts END AS parts, node, labelled, blocked, host_share FROM a{k} LEFT JOIN j{k} USING (tmpl))",
+        ]
+    out += [
+        f"tp AS (SELECT *, {name('parts')} AS template FROM m1)",
         "mg AS (SELECT template, sum(labelled) AS tl, CAST(sum(blocked) AS DOUBLE) AS tb FROM tp GROUP BY template)",
-        f"pu AS (SELECT tp.node, tp.template, (tb + {WEIGHT} * host_share) / (tl + {WEIGHT}) AS purity FROM tp JOIN mg USING (template))",
+        f"pu AS (SELECT node, template, tl, (tb + {WEIGHT} * host_share) / (tl + {WEIGHT}) AS purity FROM tp JOIN mg USING (template))",
     ]
-    return "WITH " + ",\n".join(out) + f"\nSELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity >= {PURITY} THEN 'block' ELSE 'allow' END) AS verdict, template, round(purity, 9) AS purity FROM r JOIN pu USING (node)"
+    out = [cte.replace(" AS (", " AS MATERIALIZED (", 1) for cte in out]
+    return "WITH " + ",\n".join(out) + f"\nSELECT page_id, r.host, r.path, rule, coalesce(ruled, CASE WHEN tl > 0 AND purity >= {PURITY} THEN 'block' ELSE 'allow' END) AS verdict, template, round(purity, 9) AS purity FROM r JOIN nodes USING (host, path) JOIN pu USING (node)"
 
 
 ORACLES = {"op1_chat_format": CHAT, "op2_maxscore": TOP_K, "op6_minhash": NEAR, "op10_url_filter": _url_filter()}

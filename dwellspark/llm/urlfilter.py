@@ -1,32 +1,40 @@
 """URL filtering by path templates: fixed rules first, then a path-template tree learned from the rules' own verdicts.
 
-Each host has a tree of path segments.  Level by level, a segment that at least MIN_PAGES pages and the share
-MIN_SHARE of the pages of its node have stays as it is; any other is a variable and becomes ``*`` (deeper than LEVELS:
-``**``).  A template is merged with its siblings (equal but for its last fixed segment) if its rate of blocked pages
-lies within Z standard deviations of theirs.  A template's purity is the smoothed share of blocked pages among those
-that a rule labels, drawn towards its host's share and that towards the share of all; it is rejected from PURITY on.
-
-Only DataFrame functions are used.  Pages meet tables of templates by plain equi-joins on one string, so a host with
-most pages is split by adaptive execution, and counts are aggregated before every exchange.
+Pages are counted by host and path first; all that follows works on these counts and is joined back to the pages once.
+
+Each host has a tree of path segments, grown from the host down as deep as its paths go.  A segment that at least
+MIN_PAGES pages share is a branch of its own; the others of a node are taken for values of a variable and become the
+wildcard ``*``, below which the tree goes on.  What lies below a node of fewer than MIN_PAGES pages is all variable.
+Then branches are merged from the deepest segment up: templates that differ in that segment alone become one, with a
+wildcard there, if both they and the others have pages that a rule labels and their rate of blocked pages lies within Z
+standard deviations of the group's.  A template's purity is the smoothed share of blocked pages among those that a rule
+labels, drawn towards its host's share and that towards the share of all; a template with labelled pages is rejected
+from PURITY on.  One without any has its host's share for a purity, but nothing speaks against it and it is allowed.
+
+Only DataFrame functions are used.  Tables meet by plain equi-joins on one string, so a host with most pages is split
+by adaptive execution, and counts are aggregated before every exchange.  A round is one level of the tree, and each
+round reads only the paths that still go on.  Rounds are cut by written tables, not checkpoints: a checkpoint keeps
+the constraints of its plan, and those double with every level.
 
 Defined cases: a null url, or one without ``://``, has empty host and path (and so the template of the empty host);
-segments of no characters don't count; repeated pages count each; null ids are kept; without any labelled page the
-shares are one half and nothing that no rule fits is pure enough to tell, so it is allowed.
+segments of no characters don't count; a segment that begins with ``*`` or a backslash is told from the wildcard by a
+backslash before it; repeated pages count each; null ids are kept; without any labelled page the shares are one half
+and what no rule fits is allowed.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import stored
 
 #: (verdict, host, path): the rule holds for the host, its subdomains, and paths that start with the path.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-LEVELS, MIN_PAGES, MIN_SHARE, Z, WEIGHT, PURITY = 4, 5, 0.02, 2.0, 4.0, 0.5
+MIN_PAGES, Z, WEIGHT, PURITY = 5, 2.0, 4.0, 0.5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: The last fixed segment of a template, and the wildcards behind it.
-SIBLING = r"^(.*)/[^/*]+((?:/\*+)*)$"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -47,37 +55,61 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def with_templates(rows: DataFrame) -> DataFrame:
-    """Adds ``node`` (host and template) to rows with ``host`` and ``path``; each level is read twice, so it is written."""
-    rows = rows.withColumn("node", F.col("host")).withColumn("segments", F.filter(F.split("path", "/"), lambda s: s != ""))
-    for level in range(1, LEVELS + 1):
-        rows = rows.withColumn("child", F.when(F.size("segments") >= level, F.concat("node", F.lit("/"), F.get("segments", F.lit(level - 1)))))
-        children = rows.where(F.col("child").isNotNull()).groupBy("node", "child").agg(F.count("*").alias("n"))
-        nodes = children.groupBy(F.col("node").alias("of")).agg(F.sum("n").alias("all"))
-        fixed = children.where(F.col("n") >= MIN_PAGES).join(nodes, F.col("node") == F.col("of")).where(F.col("n") >= MIN_SHARE * F.col("all")).select(F.col("child").alias("fixed"))
-        rows = rows.join(fixed, F.col("child") == F.col("fixed"), "left")
-        rows = rows.withColumn("node", F.when(F.col("child").isNull(), F.col("node")).when(F.col("fixed").isNotNull(), F.col("child")).otherwise(F.concat("node", F.lit("/*")))).drop("child", "fixed")
-        rows = checkpointed(rows)
-    return rows.withColumn("node", F.when(F.size("segments") > LEVELS, F.concat("node", F.lit("/**"))).otherwise(F.col("node"))).drop("segments")
-
-
-def _smoothed(blocked: str, labelled: str, towards: Column | float) -> Column:
-    return (F.col(blocked) + WEIGHT * (F.lit(towards) if isinstance(towards, float) else towards)) / (F.col(labelled) + WEIGHT)
-
-
-def template_purity(rows: DataFrame) -> DataFrame:
-    """(node, template, purity): every node's merged template, for rows with host, node and blocked (1, 0 or null)."""
-    own = checkpointed(rows.groupBy("host", "node").agg(F.count("blocked").alias("labelled"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("blocked")))
-    total = own.agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).first()
-    overall = ((total["b"] or 0) + 1) / ((total["l"] or 0) + 2)
-    hosts = own.groupBy(F.col("host").alias("of")).agg(F.sum("labelled").alias("hl"), F.sum("blocked").alias("hb")).select("of", _smoothed("hb", "hl", float(overall)).alias("host_share"))
-    own = own.join(hosts, F.col("host") == F.col("of")).drop("of").withColumn("siblings", F.regexp_replace("node", SIBLING, r"$1/*$2"))
-    groups = own.groupBy(F.col("siblings").alias("of")).agg(F.sum("labelled").alias("gl"), F.sum("blocked").alias("gb"))
-    own = own.join(groups, F.col("siblings") == F.col("of")).drop("of").withColumn("share", _smoothed("gb", "gl", F.col("host_share")))
-    similar = F.abs(F.col("blocked") - F.col("labelled") * F.col("share")) <= Z * F.sqrt(F.col("labelled") * F.col("share") * (1 - F.col("share")))
-    own = own.withColumn("template", F.when(similar, F.col("siblings")).otherwise(F.col("node")))
-    merged = own.groupBy(F.col("template").alias("of")).agg(F.sum("labelled").alias("tl"), F.sum("blocked").alias("tb"))
-    return own.join(merged, F.col("template") == F.col("of")).select(F.col("node").alias("of_node"), "template", _smoothed("tb", "tl", F.col("host_share")).alias("purity"))
+def with_templates(paths: DataFrame) -> DataFrame:
+    """host, path, n, labelled, blocked and ``parts``, the segments with wildcards for variables, of counted paths."""
+    segments = F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), lambda s: F.regexp_replace(s, r"^([*\\])", r"\\$1"))
+    rows, done, level = stored(paths.withColumns({"segments": segments, "parts": F.array().cast("array<string>"), "node": F.col("host")})), [], 0
+    while True:
+        going = rows.where(F.size("segments") > level)
+        done.append(rows.where(F.size("segments") <= level).drop("segments", "node"))
+        if going.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        step = going.withColumn("segment", F.get("segments", F.lit(level))).withColumn("child", F.concat("node", F.lit("/"), "segment"))
+        children = step.groupBy("node", "child").agg(F.sum("n").alias("pages"))
+        fixed = children.where(F.col("pages") >= MIN_PAGES).select(F.col("child").alias("_fixed"))
+        wide = children.where(F.col("pages") < MIN_PAGES).groupBy("node").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= MIN_PAGES).select(F.col("node").alias("_wide"))
+        step = step.join(fixed, F.col("child") == F.col("_fixed"), "left").join(wide, F.col("node") == F.col("_wide"), "left")
+        branch, rest = F.col("_fixed").isNotNull(), F.col("_fixed").isNull() & F.col("_wide").isNull()
+        variable = F.array_repeat(F.lit("*"), F.size("segments") - level)
+        step = stored(
+            step.withColumn("parts", F.when(branch, F.array_append("parts", F.col("segment"))).when(rest, F.concat("parts", variable)).otherwise(F.array_append("parts", F.lit("*"))))
+            .withColumn("node", F.when(branch, F.col("child")).otherwise(F.concat("node", F.lit("/*"))))
+            .select(*rows.columns, rest.alias("_rest"))
+        )
+        done.append(step.where("_rest").drop("segments", "node", "_rest"))
+        rows, level = step.where("not _rest").drop("_rest"), level + 1
+
+
+def _smoothed(blocked: Column, labelled: Column, towards: Column) -> Column:
+    return (blocked + WEIGHT * towards) / (labelled + WEIGHT)
+
+
+def _template(parts: Column) -> Column:
+    return F.concat_ws("/", "host", F.array_join(parts, "/"))
+
+
+def _wild(level: int) -> Column:
+    return F.transform("parts", lambda s, i: F.when(i == level - 1, F.lit("*")).otherwise(s))
+
+
+def merged_templates(nodes: DataFrame) -> DataFrame:
+    """(node, parts, host_share) of every node of (host, parts, labelled, blocked), with the parts of its merged template."""
+    own = stored(nodes.groupBy("host", "parts").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")))
+    total = own.agg(F.coalesce(F.sum("labelled"), F.lit(0)).alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"), F.max(F.size("parts")).alias("depth")).first()
+    overall = F.lit((total["b"] + 1) / (total["l"] + 2))
+    hosts = own.groupBy(F.col("host").alias("_host")).agg(_smoothed(F.sum("blocked"), F.sum("labelled"), overall).alias("host_share"))
+    own = stored(own.join(hosts, F.col("host") == F.col("_host")).select("host", _template(F.col("parts")).alias("node"), "parts", "labelled", "blocked", "host_share"))
+    for level in range(total["depth"] or 0, 0, -1):
+        wild = _wild(level)
+        named = own.withColumns({"_template": _template(F.col("parts")), "_wild": F.when(F.size("parts") >= level, _template(wild))})
+        each = named.where("_wild is not null and labelled > 0").groupBy("_template", "_wild").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.max("host_share").alias("host_share"))
+        group = each.groupBy(F.col("_wild").alias("_of")).agg(F.sum("l").alias("gl"), F.sum("b").alias("gb"))
+        share = _smoothed(F.col("gb"), F.col("gl"), F.col("host_share"))
+        near = F.abs(F.col("b") - F.col("l") * share) <= Z * F.sqrt(F.col("l") * share * (1 - share))
+        joining = each.join(group, F.col("_wild") == F.col("_of")).where((F.col("gl") > F.col("l")) & near).select(F.col("_template").alias("_joining"))
+        changed = named.join(joining, F.col("_template") == F.col("_joining"), "left")
+        own = stored(changed.withColumn("parts", F.when(F.col("_joining").isNotNull(), wild).otherwise(F.col("parts"))).select(*own.columns))
+    return own
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -85,8 +117,14 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "ruled": verdict}).withColumn("blocked", (F.col("ruled") == "block").cast("int"))
-    rows = with_templates(rows)
-    judged = rows.join(template_purity(rows), F.col("node") == F.col("of_node"))
-    by_method = F.when(F.col("purity") >= PURITY, "block").otherwise("allow")
+    rows = rows.withColumns({"rule": rule, "ruled": verdict}).withColumn("block", (F.col("ruled") == "block").cast("int"))
+    counts = rows.groupBy("host", "path").agg(F.count("*").alias("n"), F.count("block").alias("labelled"), F.coalesce(F.sum("block"), F.lit(0)).alias("blocked"))
+    nodes = stored(with_templates(counts).withColumn("node", _template(F.col("parts"))))
+    own = merged_templates(nodes).withColumn("template", _template(F.col("parts")))
+    merged = own.groupBy(F.col("template").alias("_of")).agg(F.sum("labelled").alias("tl"), F.sum("blocked").alias("tb"))
+    purity = _smoothed(F.col("tb"), F.col("tl"), F.col("host_share"))
+    told = own.join(merged, F.col("template") == F.col("_of")).select(F.col("node").alias("_node"), "template", purity.alias("purity"), ((F.col("tl") > 0) & (purity >= PURITY)).alias("reject"))
+    of_path = nodes.join(told, F.col("node") == F.col("_node")).select(F.concat("host", "path").alias("_url"), "template", "purity", "reject")
+    judged = rows.join(of_path, F.concat("host", "path") == F.col("_url"))
+    by_method = F.when(F.col("reject"), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", by_method).alias("verdict"), "template", "purity")

@@ -629,10 +629,33 @@ def test_rules_and_parts(spark):
     assert urlfilter.judge(pages.limit(0)).count() == 0
 
 
-def test_templates_are_learned(spark):
-    urls = [f"http://a.com/de/{i}" for i in range(40)] + [f"http://a.com/deals/{i}" for i in range(30)] + [f"http://b.com/fr/{i}/x" for i in range(40)] + [f"http://b.com/blog/{i}/x" for i in range(30)]
+def by_section(spark, urls):
     got = urlfilter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")).collect()
-    by = {}
+    assert len(got) == len(urls)
+    out = {}
     for r in got:
-        by.setdefault("/".join([r["host"], r["path"].split("/")[1]]), set()).add((r["verdict"], r["template"]))
-    assert {v for v, _ in by["a.com/deals"]} == {"block"} and {v for v, _ in by["b.com/blog"]} == {"allow"}
+        out.setdefault("/".join([r["host"], *r["path"].split("/")[1:2]]), set()).add((r["verdict"], r["template"]))
+    return out
+
+
+def test_templates_are_learned(spark):
+    urls = [f"http://a.com/de/{i}" for i in range(40)] + [f"http://a.com/deals/{i}" for i in range(30)] + [f"http://b.com/fr/{i}/x" for i in range(40)] + [f"http://b.com/blog/{i}/x" for i in range(30)]
+    urls += [f"http://c.com/{i}/{'de' if i % 2 else 'x'}/" for i in range(60)] + ["http://a.com/de"] * 2 + [f"http://a.com/*/{i}" for i in range(6)]
+    by = by_section(spark, urls)
+    assert by["a.com/deals"] == {("allow", "a.com/deals/*")}  # nothing labelled in it, so nothing against it
+    assert by["a.com/de"] == {("block", "a.com/de/*"), ("allow", "a.com/de")} and by["b.com/blog"] == {("allow", "b.com/blog/*/x")}
+    assert by["a.com/*"] == {("allow", "a.com/\\*/*")}
+
+
+def test_many_sections_of_like_size(spark):
+    """Sections of a hot host stay apart where their labelled rates differ, and become one template where they don't."""
+    urls = [f"http://x.example.org/{s}/{k}" for s in ("es", *(f"s{n:02d}" for n in range(80))) for k in range(8)]
+    by = by_section(spark, urls)
+    assert by["x.example.org/es"] == {("block", "x.example.org/es/*")} and all(by[f"x.example.org/s{n:02d}"] == {("allow", "x.example.org/*/*")} for n in range(80))
+
+
+def test_templates_at_any_depth(spark):
+    deep = "/".join("abcdefghij")
+    urls = [f"http://a.org/{deep}/{i}/end" for i in range(9)] + [f"http://a.org/{deep}/{i}" for i in range(3)] + [f"http://b.org/{deep}/x"]
+    got = {r["template"] for r in urlfilter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")).collect()}
+    assert got == {f"a.org/{deep}/*/end", f"a.org/{deep}/*", "b.org/" + "/".join("*" * 11)}
