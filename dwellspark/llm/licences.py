@@ -4,6 +4,8 @@ A text's words stream through the automaton, which gives the matching statistics
 words ending there that occurs in a template.  Runs that end there as a whole base phrase are base places.  Maximal
 runs of at least SEED words are chained template by template (both in text and template order, at most GAP words of
 the text between them), and a chain that covers the share COVER of a template is a covered span and gives its label.
+Names (of licences, and of their SPDX identifiers) count only whole; one that begins where a longer name begins gives
+way to it.
 
 Only words of some template can take part in a run, so the automaton is walked on those alone; every word is looked at.
 
@@ -22,19 +24,61 @@ from .common import map_texts
 
 #: Base phrases: every place counts.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
-#: Longer notices, found also with small changes.
+# How licences are named, beside the label of each.
+NAMES = (
+    ("mit license", "mit"), ("isc license", "isc"), ("zlib license", "zlib"), ("boost software license", "boost"), ("artistic license", "artistic"),
+    ("apache license", "apache"), ("apache software license", "apache"), ("bsd license", "bsd"), ("mozilla public license", "mpl"), ("eclipse public license", "epl"),
+    ("european union public licence", "eupl"), ("common development and distribution license", "cddl"), ("gnu general public license", "gpl"), ("gnu lesser general public license", "lgpl"),
+    ("gnu library general public license", "lgpl"), ("gnu affero general public license", "agpl"), ("gnu free documentation license", "gfdl"), ("server side public license", "sspl"),
+    ("creative commons zero", "cc0"), ("creative commons attribution", "cc-by"), ("creative commons attribution sharealike", "cc-by-sa"), ("creative commons attribution noncommercial", "cc-by-nc"),
+    ("cc by sa", "cc-by-sa"), ("cc by nc", "cc-by-nc"), ("cc by nd", "cc-by-nd"), ("cc by nc sa", "cc-by-nc-sa"), ("cc by nc nd", "cc-by-nc-nd"), ("open data commons open database license", "odbl"),
+)
+# SPDX identifiers; in a text they stand behind "SPDX-License-Identifier:".
+SPDX = (
+    "MIT", "MIT-0", "ISC", "Zlib", "BSL-1.0", "Unlicense", "0BSD", "WTFPL", "Artistic-2.0", "Apache-1.1", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause",
+    "MPL-1.1", "MPL-2.0", "EPL-1.0", "EPL-2.0", "EUPL-1.1", "EUPL-1.2", "CDDL-1.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.0-only", "LGPL-2.0-or-later",
+    "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "SSPL-1.0", "BUSL-1.1", "GFDL-1.3-only", "GFDL-1.3-or-later",
+    "CC0-1.0", "CC-BY-3.0", "CC-BY-4.0", "CC-BY-SA-3.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "CC-BY-NC-ND-4.0", "ODbL-1.0", "OFL-1.1", "PostgreSQL", "Python-2.0",
+)
+# The notices themselves, found also with small changes.
 NOTICES = (
+    ("""permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software
+    without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons
+    to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or
+    substantial portions of the software""", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
     ("released under the mit license", "mit"),
+    ("""permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this
+    permission notice appear in all copies""", "isc"),
     ("licensed under the apache license version 2 0", "apache"),
+    ("""licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http
+    www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis
+    without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license""", "apache"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
+    ("""redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce
+    the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution""", "bsd"),
+    ("""neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior
+    written permission""", "bsd"),
     ("licensed under the gnu general public license version 3", "gpl"),
+    ("""this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation
+    either version 3 of the license or at your option any later version""", "gpl"),
+    ("""this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software
+    foundation either version 2 1 of the license or at your option any later version""", "lgpl"),
+    ("""this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software
+    foundation either version 3 of the license or at your option any later version""", "agpl"),
     ("this source code form is subject to the terms of the mozilla public license", "mpl"),
+    ("this program and the accompanying materials are made available under the terms of the eclipse public license", "epl"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("licensed under a creative commons attribution license", "cc-by"),
+    ("this work is licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
+    ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by"),
+    ("""this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source
+    code form or as a compiled binary for any purpose commercial or non commercial and by any means""", "unlicense"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
     ("to the extent possible under law the author has waived all copyright", "cc0"),
-)
+    ("""this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software
+    permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely""", "zlib"),
+)
 SEED, GAP, COVER = 3, 4, 0.8
 words_of = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 
@@ -117,16 +161,23 @@ class Automaton:
         return (self.next[state][word], length + 1) if word in self.next[state] else (0, 0)
 
 
+def _templates(base, names, spdx, notices) -> list[tuple[list[bytes], str]]:
+    identifiers = [(f"spdx license identifier {name}", name.lower()) for name in spdx]
+    return [(words(phrase), label) for phrase, label in (*base, *names, *identifiers, *notices)]
+
+
 class Scanner:
-    def __init__(self, base=BASE, notices=NOTICES):
-        self.base = len(base)
-        self.automaton = Automaton([(words(phrase), label) for phrase, label in (*base, *notices)])
+    """Base phrases, names and SPDX identifiers count whole, notices from the share COVER on."""
+
+    def __init__(self, base=BASE, notices=NOTICES, names=NAMES, spdx=SPDX):
+        self.base, self.exact = len(base), len(base) + len(names) + len(spdx)
+        self.automaton = Automaton(_templates(base, names, spdx, notices))
 
     def scan(self, text: str | None) -> tuple[int, int, int | None, int | None, list[str], list[str], float, list[dict]]:
         """Words, base places, first and last start, base labels, labels, score and covered spans."""
         every, automaton = words(text), self.automaton
         vocabulary, step, sizes = automaton.vocabulary, automaton.step, [len(t) for t, _ in automaton.templates]
-        starts, base_labels = [], set()
+        starts, base_labels, named = [], set(), {}
         runs: list[tuple[int, int, int]] = []  # (end, length, state) of maximal runs
         state = length = 0
         previous = -2
@@ -141,15 +192,20 @@ class Scanner:
                 runs.append(before)
             previous = i
             for t in automaton.whole[state]:
-                if t < self.base and length >= sizes[t]:
-                    starts.append(i + 1 - sizes[t])
-                    base_labels.add(automaton.templates[t][1])
+                if length >= sizes[t] and t < self.exact:
+                    start, label = i + 1 - sizes[t], automaton.templates[t][1]
+                    if t < self.base:
+                        starts.append(start)
+                        base_labels.add(label)
+                    else:  # ends rise, so the last name that begins here is the longest
+                        named[start] = {"label": label, "start": start, "end": i + 1, "cover": 1.0}
         if length >= SEED:
             runs.append((previous + 1, length, state))
-        spans = self._chained(runs)
-        labels = base_labels | {s["label"] for s in spans if s["cover"] >= COVER}
-        score = max([1.0 if starts else 0.0, *(s["cover"] for s in spans)])
-        return len(every), len(starts), min(starts, default=None), max(starts, default=None), sorted(base_labels), sorted(labels), score, [s for s in spans if s["cover"] >= COVER]
+        chained = self._chained(runs)
+        spans = [s for s in chained if s["cover"] >= COVER] + list(named.values())
+        labels = base_labels | {s["label"] for s in spans}
+        score = max([1.0 if starts else 0.0, *(s["cover"] for s in (*chained, *spans))])
+        return len(every), len(starts), min(starts, default=None), max(starts, default=None), sorted(base_labels), sorted(labels), score, spans
 
     def _chained(self, runs: list[tuple[int, int, int]]) -> list[dict]:
         """Chains of runs, the longest cover for each place and template: label, start, end (words of the text), cover."""
@@ -157,11 +213,13 @@ class Scanner:
         done = []
         for end, length, state in runs:
             for t, n in self.automaton.places[state]:
+                if t < self.exact:
+                    continue
                 size = len(self.automaton.templates[t][0])
                 best = None
                 for chain in open_chains.get(t, []):
                     shift = max(0, chain["end"] - (end - length), chain["at"] - (n - length))  # words that both runs hold
-                    if end - length - chain["end"] <= GAP and shift < length and (best is None or chain["words"] - shift > best[0]["words"] - best[1]):
+                    if end - length - chain["end"] <= GAP and shift < min(length, chain["words"]) and (best is None or chain["words"] - shift > best[0]["words"] - best[1]):
                         best = (chain, shift)
                 if best:
                     chain = {**best[0], "end": end, "at": n, "words": best[0]["words"] + length - best[1]}
@@ -178,13 +236,16 @@ class Scanner:
         return list(out.values())
 
 
-def scan_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and the covered spans."""
+def scan_documents(docs: DataFrame, base=BASE, notices=NOTICES, names=NAMES, spdx=SPDX) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and the covered spans.
+
+    Templates are (text, label) pairs, ``spdx`` bare identifiers; they are a fixed set that every worker holds.
+    """
     span = pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("cover", pa.float64())])
     types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(span))
 
     def make():
-        scanner = Scanner()
+        scanner = Scanner(base, notices, names, spdx)
 
         def work(batch: pa.RecordBatch) -> list:
             out = [scanner.scan(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
