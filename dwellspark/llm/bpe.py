@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import fresh, map_texts
 
 #: Pieces after which a worker's memo moves on (what is met again comes along), and pairs after which theirs starts
 #: anew; they bound memory, not results.
@@ -191,7 +191,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "token_ids") -> DataFrame:
-    """Adds ``decoded`` (binary): the bytes of the ids, in order."""
+    """Adds ``decoded`` (binary; a fresh name where it is taken): the bytes of the ids, in order."""
+    to = fresh(encoded, "decoded")
     shared = encoded.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
 
     def make():
@@ -203,7 +204,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "token_id
 
         return work
 
-    return map_texts(encoded, make, encoded.columns, "decoded binary")
+    return map_texts(encoded, make, encoded.columns, f"{to} binary")
 
 
 def encode_and_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,7 +4,8 @@ Rows get gapless numbers in the order of their ids.  A keyed four-round Feistel
 smallest square grid a * a that holds them all, and a number that leaves the range of the rows is permuted again until
 it is back (cycle walking), which keeps the map a permutation of the row numbers.  Shard and slot follow from the
 permuted number by arithmetic alone: position p is in shard p mod shards, slot p div shards.  So shard sizes differ by
-one row at most (the law ``rows``), and anyone can compute where a row is, or which row is in a place (``inverse``).
+one row at most (the law ``rows``; equal texts are dealt out like any other rows, since a shard that had to hold all
+copies of a text would break the law), and anyone can compute where a row is, or which row is in a place (``inverse``).
 
 The numbers come from a range partitioning by id of narrow rows (texts stay behind) and one count for each partition;
 only those counts reach the driver.  A random-like last ordering column splits even a run of equal rows.
@@ -95,15 +96,18 @@ def place(number: Column, rows: int, key: int) -> Column:
     return at(number)
 
 
-def sharded(df: DataFrame, order: list[str], shards: int, key: int = 2024) -> DataFrame:
-    """Adds row_number, place, shard and slot."""
-    rows, count = numbered(df, order)
-    rows = rows.withColumn("place", place(F.col("row_number"), max(count, 1), key))
-    return rows.withColumn("shard", (F.col("place") % shards).cast("int")).withColumn("slot", F.floor(F.col("place") / F.lit(shards)).cast("long"))
+def sharded(df: DataFrame, order: list[str], shards: int, key: int = 2024) -> tuple[DataFrame, list[str]]:
+    """Adds the row's number, place, shard and slot; the names of the four are fresh ones, given beside."""
+    names = [fresh(df, name) for name in ("row_number", "place", "shard", "slot")]
+    number, at, shard, slot = names
+    rows, count = numbered(df, order, number)
+    rows = rows.withColumn(at, place(F.col(number), max(count, 1), key))
+    rows = rows.withColumn(shard, (F.col(at) % shards).cast("int")).withColumn(slot, F.call_function("div", F.col(at), F.lit(shards)))
+    return rows, names
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, key: int = 2024) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard (null: the law isn't ``key``), row_number, place."""
     narrow = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
-    placed = sharded(narrow, ["doc_id", "size", "text_crc32"], shards, key)
+    placed, _ = sharded(narrow, ["doc_id", "size", "text_crc32"], shards, key)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number", "place")

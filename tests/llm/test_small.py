@@ -111,6 +111,33 @@ def test_shards(spark):
     assert feistel.shard_documents(empty(spark)).count() == 0
 
 
+def plain_place(number, rows, key):
+    """The place of a row number, with Python's own integers."""
+    mask, side = 2**64 - 1, 1
+    while side * side < rows:
+        side += 1
+    while True:
+        left, right = divmod(number, side)
+        for n in range(4):
+            x = (right + key * 0x9E3779B97F4A7C15 + n * 0xD1B54A32D192ED03 + 1) & mask
+            x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+            x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+            left, right = right, (left + ((x ^ (x >> 31)) >> 1) % side) % side
+        number = left * side + right
+        if number < rows:
+            return number
+
+
+def test_shards_are_computable(spark):
+    texts = [f"text {i % 37}" for i in range(333)]
+    docs = docs_of(spark, texts, first=50)
+    got = sorted((r["doc_id"], r["shard"], r["slot"]) for r in feistel.shard_documents(docs.repartition(3)).collect())
+    assert got == [(50 + i, (p := plain_place(i, 333, 2024)) % 40, p // 40) for i in range(333)]
+    clashing = docs.select("doc_id", F.lit("a").alias("row_number"), F.lit("b").alias("Place"), F.lit("c").alias("shard"), F.lit("d").alias("slot"))
+    rows, names = feistel.sharded(clashing, ["doc_id"], 40)
+    assert rows.columns[:5] == clashing.columns and sorted((r["doc_id"], r[names[2]], r[names[3]]) for r in rows.collect()) == got
+
+
 # 4: decontamination
 
 
@@ -458,8 +485,52 @@ def test_matching_statistics_and_base_places():
         assert found[4] == sorted({label for _, label in plain})
 
 
+def plain_covers(scanner, text):
+    """The best cover of a notice for each (label, start), from runs found by comparing words and all chains of them."""
+    found, out = licences.words(text), {}
+    templates = scanner.automaton.templates
+    for sequence, label in templates[scanner.exact :]:
+        runs = []
+        for i in range(len(found)):
+            n = max(k for k in range(len(found) - i + 1) if k == 0 or any(found[i : i + k] == t[a : a + k] for t, _ in templates for a in range(len(t) - k + 1)))
+            if n >= licences.SEED and not any(s <= i and i + n <= e for s, e in runs):
+                runs.append((i, i + n))
+        nodes = [(s, e, a) for s, e in runs for a in range(len(sequence)) if sequence[a : a + e - s] == found[s:e] and a + e - s <= len(sequence)]
+        best = []
+        for s, e, a in nodes:
+            options = [(e - s, s)]
+            for (_, e0, a0, n0), (w0, s0) in zip([(x[0], x[1], x[2] + x[1] - x[0], x) for x in nodes], best, strict=False):
+                shift = max(0, e0 - s, a0 - a)
+                if e0 <= e and s - e0 <= licences.GAP and shift < e - s and w0 > shift:
+                    options.append((w0 + e - s - shift, s0))
+            best.append(max(options, key=lambda x: x[0]))
+        for words, start in best:
+            out[label, start] = max(out.get((label, start), 0), min(1.0, words / len(sequence)))
+    return out
+
+
+def test_chains_against_all_runs():
+    notices = (("a b c d e f g h", "x"), ("c d e z y x w v", "y"), ("a b c q r s d e f", "z"), ("h g f e d c b a", "w"))
+    scanner, rng = licences.Scanner((("b c", "base"),), notices, (), ()), random.Random(4)
+    for _ in range(400):
+        text = " ".join(rng.choice([*notices[rng.randrange(4)][0].split(), "o"]) if rng.random() < 0.4 else notices[rng.randrange(4)][0][: rng.randrange(3, 16)] for _ in range(rng.randint(1, 7)))
+        got = {(s["label"], s["start"]): s["cover"] for s in scanner.scan(text)[7]}
+        want = {k: v for k, v in plain_covers(scanner, text).items() if v >= licences.COVER}
+        assert {k[0] for k in got} == {k[0] for k in want} and max(got.values(), default=0) == max(want.values(), default=0), text
+
+
+def test_names_and_identifiers(spark):
+    scan = licences.Scanner().scan
+    assert scan("Eclipse Public License v2.0")[5] == ["epl"] and scan("# SPDX-License-Identifier: LGPL-2.1-or-later")[5] == ["lgpl-2.1-or-later"]
+    assert scan("SPDX-License-Identifier: MIT")[5] == ["mit"] and scan("SPDX-License-Identifier: MIT-0")[5] == ["mit-0"]
+    assert scan("SPDX-License-Identifier: GPL-2.0-or-later")[5] == ["gpl-2.0-or-later"] and scan("SPDX-License-Identifier: other")[5] == []
+    assert scan("under CC BY-NC-SA 4.0")[5] == ["cc-by", "cc-by-nc-sa"] and scan("GNU General Public License")[4:6] == (["gpl"], ["gpl"])
+    own = licences.scan_documents(docs_of(spark, ["house rules apply here to all of us", "mit license"]), base=(), notices=(("house rules apply here to all of you", "house"),), names=(), spdx=()).collect()
+    assert sorted((r["doc_id"], r["labels"]) for r in own) == [(0, "house"), (1, "")]
+
+
 def test_licence_rows(spark):
-    notice = licences.NOTICES[0][0].split()
+    notice = licences.NOTICES[1][0].split()
     notice[7] = "CHANGED"
     texts = [*HARD, "All Rights RESERVED. ALL-RIGHTS reserved", "x " * 500 + " ".join(notice), "CC BY-NC 4.0", "ćc by éé"]
     got = {r["doc_id"]: r for r in licences.scan_documents(docs_of(spark, texts)).collect()}
@@ -467,7 +538,7 @@ def test_licence_rows(spark):
     assert got[1]["n_words"] == 0 and got[1]["first_word"] is None and got[1]["labels"] == "" and got[1]["score"] == 0
     assert (got[n]["n_base"], got[n]["first_word"], got[n]["last_word"], got[n]["base_labels"]) == (2, 0, 3, "reserved")
     assert got[n + 1]["labels"] == "mit" and got[n + 1]["n_base"] == 0 and 0.8 <= got[n + 1]["score"] < 1
-    assert got[n + 2]["base_labels"] == "cc-by" and got[n + 3]["n_base"] == 0
+    assert got[n + 2]["base_labels"] == "cc-by" and got[n + 2]["labels"] == "cc-by,cc-by-nc" and got[n + 3]["n_base"] == 0
     words = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     assert all(got[i]["n_words"] == len(words.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))) for i, t in enumerate(texts))
     assert licences.scan_documents(empty(spark)).count() == 0
