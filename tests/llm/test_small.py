@@ -60,24 +60,43 @@ def test_chat_digests(spark):
 # 2: exact top-k
 
 
-@pytest.mark.parametrize("scale", [0.2, 8, 9e6])
-def test_top_k_search(scale):
+@pytest.mark.parametrize(("scale", "step"), [(0.2, 512), (8, 512), (8, 37), (9e6, 512), (1e12, 512)])
+def test_top_k_search(scale, step, monkeypatch):
+    monkeypatch.setattr(maxscore, "STEP", step)
     rng = np.random.default_rng(1)
-    block, ids = np.floor(rng.standard_normal((700, 16)) * scale), rng.permutation(700)
-    got = maxscore.search(block[:40], ids[:40], block, ids, 20)
-    for q, i in zip(block[:40], ids[:40], strict=True):
-        want = sorted((-int(sum(int(a) * int(b) for a, b in zip(q, v, strict=True))), int(j)) for v, j in zip(block, ids, strict=True) if j != i)[:20]
-        assert [(s, v) for x, v, s in got if x == i] == [(-s, j) for s, j in want]
-
-
-def test_top_k_hard_cases(spark):
-    rows = [(0, [0.5, 0.25]), (20, [0.5, 0.25]), (20, [0.5, 0.25]), (1, None), (2, [0.1, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [-0.001, 0.0]), (6, []), (None, [1.0, 1.0]), (7, [1.0]), (8, [1e300, -1e300])]
+    block, rows, ids = np.floor(rng.standard_normal((700, 16)) * scale), rng.permutation(700), rng.integers(0, 500, 700)
+    block[5] *= 1000
+    got, _ = maxscore.search(block[:40], rows[:40], block, rows, ids, 20)
+    for q, r in zip(block[:40], rows[:40], strict=True):
+        want = sorted((-sum(int(a) * int(b) for a, b in zip(q, v, strict=True)), int(i)) for v, i, j in zip(block, ids, rows, strict=True) if j != r)[:20]
+        assert [(i, s) for x, i, s in got if x == r] == [(i, max(min(-s, 2**63 - 1), -(2**63))) for s, i in want]
+
+
+def test_top_k_multiplies_less_than_brute_force():
+    """With postings of unequal size, as terms have them; and no more than a tenth above it where all are alike."""
+    rng = np.random.default_rng(2)
+    for shape, most in ((np.geomspace(30, 0.5, 64), 0.75), (np.full(64, 8.0), 1.1)):
+        block = np.floor(rng.standard_normal((6000, 64)) * shape)
+        got, done = maxscore.search(block[:300], np.arange(300), block, np.arange(6000), np.arange(6000), 20)
+        scores = block[:300] @ block.T
+        scores[np.arange(300), np.arange(300)] = -np.inf
+        assert sorted(s for r, _, s in got if r == 7) == np.sort(scores[7])[-20:].astype(int).tolist()
+        assert done < most * 300 * 6000 * 64, done / (300 * 6000 * 64)
+
+
+def test_top_k_hard_cases(spark, monkeypatch):
+    rows = [(0, [0.5, 0.25]), (20, [0.5, 0.25]), (20, [0.5, 0.25]), (20, [-0.5, 0.25]), (1, None), (2, [0.1, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [-0.001, 0.0]), (6, []), (None, [1.0, 1.0]), (7, [1.0]), (8, [1e300, -1e300]), (9, [1e9, 1.0])]
     vectors = maxscore.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), "vec_id", "embedding")
-    got = [tuple(r) for r in maxscore.top_k(vectors, F.col("id") % 20 == 0).orderBy("query_id", "rank").collect()]
-    values = {0: (32, 16), 20: (32, 16), 5: (-1, 0), 7: (64,), 8: (2**31, -(2**31))}
-    for q in (0, 20):
-        want = sorted((-sum(a * b for a, b in zip(values[q], v)), i) for i, v in values.items() if i != q)
-        assert [r for r in got if r[0] == q] == [(q, n + 1, i, -s) for n, (s, i) in enumerate(want)]
+    values = [(0, (32, 16)), (20, (32, 16)), (20, (32, 16)), (20, (-32, 16)), (5, (-1, 0)), (7, (64, 0)), (8, (int(64e300), -int(64e300))), (9, (64 * 10**9, 64))]
+    want = []
+    for n, (q, v) in enumerate(values):
+        if q % 20 == 0:
+            scored = sorted((-max(min(sum(a * b for a, b in zip(v, w, strict=True)), 2**63 - 1), -(2**63)), i) for m, (i, w) in enumerate(values) if m != n)
+            want += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
+    for blocks in (8192, 3):
+        monkeypatch.setattr(maxscore, "CANDIDATES", blocks)
+        monkeypatch.setattr(maxscore, "QUERIES", blocks)
+        assert sorted(tuple(r) for r in maxscore.top_k(vectors, F.col("id") % 20 == 0).collect()) == sorted(want)
     assert maxscore.top_k(vectors.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
