@@ -123,10 +123,13 @@ def listings_of_cards(cards: DataFrame) -> DataFrame:
 
 
 def offers_of_pages(pages: DataFrame) -> DataFrame:
-    """The pages with the offers embedded in them (null where there is no readable state) and whether more follow."""
+    """The pages with the offers embedded in them and whether more follow; a state without readable offers is in ``bad_record``."""
     state = captured(F.col("html"), "(?s)" + HOMES_STATE)
     offers = F.from_json(state, OFFERS_JSON)["data"]["offers"]
-    return pages.withColumn("has_state", state.isNotNull()).withColumn("offers", offers["result"]).withColumn("has_more", F.coalesce(offers["hasMoreItems"], F.lit(False)))
+    return pages.withColumns({
+        "has_state": state.isNotNull(), "offers": offers["result"], "has_more": F.coalesce(offers["hasMoreItems"], F.lit(False)),
+        "bad_record": F.when(offers["result"].isNull(), state),
+    })
 
 
 def listings_of_offers(pages: DataFrame) -> DataFrame:

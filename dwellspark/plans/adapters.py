@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import whole
+from ..schema import PAGE
 from ..sources.tables import table
 
 
@@ -39,3 +40,54 @@ def order_snapshots(spark: SparkSession, folder: str) -> DataFrame:
         whole(F.col("o_totalprice")).alias("price_eur"), F.col("n_name").alias("area"), F.lit(None).cast("bigint").alias("sqm"),
         F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderdate")).alias("site_updated_at"),
     )
+
+
+def _text(*parts):
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def _part_places(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts with a run (their brand), a page of four (by their size) and a price from 900 to 5899."""
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    return parts.withColumns({"run_id": F.col("p_brand"), "page_num": (F.col("p_size") % 4 + 1).cast("int"), "price": 900 + F.col("p_partkey") * 37 % 5000})
+
+
+def _landed(rows: DataFrame, html) -> DataFrame:
+    pages = rows.groupBy("portal", "run_id", "page_num").agg(html.alias("html"))
+    url, fetched = F.concat_ws("/", F.lit("https:/"), "portal", "page_num"), F.lit("2026-08-21 09:30:00").cast("timestamp")
+    return pages.withColumns({"url": url, "fetched_at": fetched}).select(*[c.split()[0] for c in PAGE.split(", ")])
+
+
+def part_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as cards on landed pages of the six portals that have cards, in the order of their keys."""
+    key, name, brand, size, price = (F.col(c) for c in ("p_partkey", "p_name", "p_brand", "p_size", "price"))
+    kind = F.when(size % 3 == 0, "гараж").otherwise("мезонет")
+    cards = (
+        ("imot.bg", _text('<div><img src="/icons/f.png"><img data-src="//cdn.example/', key, '.jpg"><a href="/obiava-1a', F.lpad(key.cast("string"), 10, "0"), '-x">', name, "</a><p>", price, "\u00a0€</p><p>град София, ", brand, "</p><p>", size, ",5 кв.м</p></div>")),
+        ("imoti.bg", _text('<div><a href="/продажби/', kind, "/софия/обява-", 100_000 + key, '.htm">', name, "</a><p>", price, " EUR</p><p>София, ", brand, "</p><p>", size, " кв.м.</p></div>")),
+        ("olx.bg", _text('<div><img src="https://cdn.example/', key, '.jpg"><a href="/d/ad/x-ID', key, '.html">', name, "</a><p>", price, " €</p><p>гр. София, ", brand, " - Вчера</p><p>", size, " кв.м - 9</p></div>")),
+        ("bazar.bg", _text('<div><img src="/i/', key, '.jpg"><a href="/obiava-', key, '">', name, "</a><b>", price, "</b><b>€</b><p>гр. София, ", brand, "</p></div>")),
+        ("alo.bg", _text('<div><img src="i/', key, '.jpg"><a href="/ap-', 1_000_000 + key, '">', name, "</a><p>Цена : ", price, " € Квадратура: ", size, ".5 кв.м Люлин ", size % 3, " Люлин ", size % 9, ", София</p></div>")),
+        ("imoti.net", _text('<div><a href="/en/obiava/prodava-x/', key, '/"></a>for sale ', name, ", Sofia, ", brand, " ", price, " € / ", 2 * price, " BGN, ", size, " м 2</div>")),
+    )
+    rows = _part_places(spark, folder)
+    portal, card = F.element_at(F.array(*[F.lit(c[0]) for c in cards]), (key % 6 + 1).cast("int")), F.element_at(F.array(*[c[1] for c in cards]), (key % 6 + 1).cast("int"))
+    in_order = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "card"))), lambda c: c["card"]), "")
+    return _landed(rows.withColumns({"portal": portal, "card": card}), _text("<html><section>", in_order, "</section></html>"))
+
+
+def part_offers(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as embedded offers of homes.bg; the state of a brand's second page breaks off if the brand ends in 3."""
+    key, tens = F.col("p_partkey"), F.floor(F.col("p_retailprice") * 10)
+    photo = F.when(key % 3 == 1, F.struct(F.lit("a/").alias("path"), key.cast("string").alias("name")))
+    more = F.array(F.struct(F.lit("p/").alias("path"), key.cast("string").alias("name")), F.struct(F.lit("").alias("path"), F.lit("x").alias("name")))
+    price = F.struct(_text(F.floor(tens / 1000), ",", F.lpad((tens % 1000).cast("string"), 3, "0")).alias("value"), F.when(key % 2 == 0, "BGN").otherwise("EUR").alias("currency"))
+    offer = F.struct(
+        key.alias("id"), _text(F.col("p_name"), ", ", F.col("p_size"), "m²").alias("title"), _text(F.col("p_brand"), ", София").alias("location"), photo.alias("photo"),
+        F.when(key % 3 == 0, more).otherwise(F.slice(more, 1, 0)).alias("photos"), _text("/offer/", key).alias("viewHref"), F.when(key % 5 == 0, "").otherwise(F.col("p_type")).alias("description"), price.alias("price"),
+    )
+    rows = _part_places(spark, folder).select(F.lit("homes.bg").alias("portal"), "run_id", "page_num", F.struct("p_partkey", offer.alias("offer")).alias("one"))
+    result = F.transform(F.array_sort(F.collect_list("one")), lambda o: o["offer"])
+    state = F.to_json(F.struct(F.struct(F.struct((F.col("page_num") < 4).alias("hasMoreItems"), result.alias("result")).alias("offers")).alias("data")))
+    state = F.when((F.col("page_num") == 2) & F.col("run_id").endswith("3"), F.concat(F.substring(state, 1, 40), F.lit("}"))).otherwise(state)
+    return _landed(rows, _text("<script>window.__PRELOADED_STATE__ = ", state, ";</script>"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,12 @@ from ..functions.places import area_of_location, area_of_title, without_repeated
 from ..functions.text import captured, lines_of, stripped, truthy, whole
 from ..operators import dedup, history, leads, ranking
 from ..operators.cards import anchors, cards
-from ..operators.listings import listings
+from ..operators.listings import listings, offers_of_pages
+from ..session import shared_folder
+from ..sources import tables
 from ..sources.tables import table
 from . import fixtures
-from .adapters import event_snapshots, line_snapshots, order_snapshots
+from .adapters import event_snapshots, line_snapshots, order_snapshots, part_offers, part_pages
 
 LINES_AS_OF, EVENTS_AS_OF, ORDERS_AS_OF = "1995-06-01", "2024-02-01", "2001-09-01"
 METRICS = ("portal", "id", "price_eur", "area", "sqm", "drop_pct", "days_on_market", "score", "price_per_sqm", "area_avg_price_per_sqm", "pct_vs_area_avg")
@@ -238,8 +241,15 @@ def container_climb(spark: SparkSession, folder: str) -> DataFrame:
     return cards(fixtures.pages(spark)).select("portal", "page_num", "pos", "key", "has_card", "card_text")
 
 
+def _shown(rows: DataFrame) -> DataFrame:
+    """Arrays and timestamps as texts."""
+    if "photos" in rows.columns:
+        rows = rows.withColumn("photos", F.array_join("photos", " "))
+    return rows.withColumn("site_updated_at", F.date_format("site_updated_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 def portal_listings(spark: SparkSession, folder: str) -> DataFrame:
-    return listings(fixtures.pages(spark)).withColumn("photos", F.array_join("photos", " "))
+    return _shown(listings(fixtures.pages(spark)))
 
 
 def portal_leads(spark: SparkSession, folder: str) -> DataFrame:
@@ -248,7 +258,46 @@ def portal_leads(spark: SparkSession, folder: str) -> DataFrame:
     first = history.snapshots_of(found, _time("2026-08-21 09:30:00"))
     second = history.snapshots_of(found.withColumn("price_eur", whole(F.col("price_eur") * 0.9)), _time("2026-09-21 09:30:00"))
     ranked = leads.in_rank_order(leads.portal_leads(first.unionByName(second), _time("2026-11-29 09:30:00")))
-    return ranked.drop("entered", "photos").withColumn("price_history", F.array_join(F.col("price_history").cast("array<string>"), ","))
+    ranked = ranked.drop("entered", "photos").withColumn("first_seen", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss"))
+    return _shown(ranked.withColumn("price_history", F.array_join(F.col("price_history").cast("array<string>"), ",")))
+
+
+def table_listings(spark: SparkSession, folder: str) -> DataFrame:
+    """All parts as cards on pages of six portals: links, categories, cards, fields, minimum prices, stop rules, dedup."""
+    return _shown(listings(part_pages(spark, folder)))
+
+
+def embedded_offers(spark: SparkSession, folder: str) -> DataFrame:
+    """All parts as offers in the embedded state of pages: scan, nested photos, currencies, the page that says it is the last."""
+    return _shown(listings(part_offers(spark, folder))).drop("site_updated_at")
+
+
+def embedded_bad_records(spark: SparkSession, folder: str) -> DataFrame:
+    return offers_of_pages(part_offers(spark, folder)).where("bad_record is not null").select("run_id", "page_num")
+
+
+def snapshot_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs appended to a table, the second twice; read back, ranked, written as leads, and read again."""
+    base, snaps = f"{shared_folder(spark)}/{uuid.uuid4()}", event_snapshots(spark, folder)
+    for run, half in (("run-1", F.col("seen_at") < "2024-01-16"), ("run-2", F.col("seen_at") >= "2024-01-16"), ("run-2", F.col("seen_at") >= "2024-01-16")):
+        tables.append_run(snaps.where(half).withColumn("run_id", F.lit(run)), f"{base}/snapshots")
+    tables.write_leads(leads.leads(spark.read.parquet(f"{base}/snapshots"), _time(EVENTS_AS_OF)), f"{base}/leads")
+    return spark.read.schema("id bigint, score bigint, rank bigint").json(f"{base}/leads")
+
+
+def history_import(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight history files written from events, and one that can't be read; back as snapshots."""
+    seen = F.date_format(F.col("seen_at").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    snaps = event_snapshots(spark, folder).select(F.col("id").cast("string").alias("id"), F.struct("seen_at", "seq", seen.alias("text"), "price_eur", "area").alias("s"))
+    each = snaps.groupBy("id").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    past = F.transform("s", lambda x: F.struct(x["text"].alias("seen_at"), x["price_eur"].alias("price_eur")))
+    latest = F.struct("id", F.element_at("s", -1)["area"].alias("area"), F.lit("events").alias("portal"))
+    record = F.struct(F.get("s", F.lit(0))["text"].alias("first_seen"), past.alias("snapshots"), latest.alias("latest"))
+    files = each.groupBy((F.col("id").cast("bigint") % 8).alias("file")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("id", record)))).alias("value"))
+    base = f"{shared_folder(spark)}/{uuid.uuid4()}"
+    files.union(spark.range(1).select(F.lit(8).cast("bigint"), F.lit('{"1": {'))).repartition("file").write.partitionBy("file").text(base)
+    found = tables.history_files(spark, base)
+    return found.select("portal", "id", "seq", "price_eur", "area", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss").alias("seen_at"), F.col("bad_record").isNotNull().alias("unreadable"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -258,5 +307,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         area_baseline, area_baseline_by_portal, pct_vs_area, price_history_array, history_first_seen, history_latest, snapshot_append, run_counters, min_price_filter,
         currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip, unicode_strip_whole,
         embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_listings, portal_leads,
+        table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import,
     )
 }
