@@ -58,6 +58,30 @@ def char_runs(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return buckets[inside], np.flatnonzero(a[inside] == 2)
 
 
+def sum_rows(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """An array of ``size`` rows; each is the sum of the ``values`` whose place in ``at`` names it."""
+    out = np.zeros((size, values.shape[1]), np.float32)
+    if len(at):
+        order = np.argsort(at, kind="stable")
+        named = at[order]
+        begin = np.flatnonzero(np.append(True, named[1:] != named[:-1]))
+        out[named[begin]] = np.add.reduceat(values[order], begin, axis=0)
+    return out
+
+
+class Spelled:
+    """Distinct words as their rows in the vocabulary and the buckets of their runs, looked up once."""
+
+    def __init__(self, rows: np.ndarray, buckets: np.ndarray, sizes: np.ndarray):
+        self.rows, self.buckets, self.sizes = rows, buckets, sizes
+        self.begin = np.cumsum(sizes) - sizes
+
+    def take(self, words: np.ndarray) -> Spelled:
+        sizes = self.sizes[words]
+        inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return Spelled(self.rows[words], self.buckets[np.repeat(self.begin[words], sizes) + inner], sizes)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -120,13 +144,18 @@ class Network:
     def word_rows(self, words: list[str]) -> np.ndarray:
         return np.fromiter((self.vocabulary.get(w, UNSEEN) for w in words), np.int64, len(words))
 
-    def inputs_of(self, words: list[str]) -> np.ndarray:
-        """The inputs (words, WORD_DIM + RUN_DIM) of distinct words."""
-        if not words:
-            return np.zeros((0, WORD_DIM + RUN_DIM), np.float32)
+    def spelled(self, words: list[str]) -> Spelled:
         buckets, begin = char_runs(words)
-        sums = np.add.reduceat(self.p["runs"][buckets], begin, axis=0)
-        return np.concatenate([self.p["words"][self.word_rows(words)], sums / np.diff(np.append(begin, len(buckets)))[:, None]], axis=1).astype(np.float32)
+        return Spelled(self.word_rows(words), buckets, np.diff(np.append(begin, len(buckets))))
+
+    def inputs_of(self, words: list[str] | Spelled) -> np.ndarray:
+        """The inputs (words, WORD_DIM + RUN_DIM) of distinct words."""
+        if isinstance(words, list):
+            if not words:
+                return np.zeros((0, WORD_DIM + RUN_DIM), np.float32)
+            words = self.spelled(words)
+        sums = np.add.reduceat(self.p["runs"][words.buckets], words.begin, axis=0)
+        return np.concatenate([self.p["words"][words.rows], sums / words.sizes[:, None]], axis=1).astype(np.float32)
 
     def pooled(self, forward: np.ndarray, backward: np.ndarray, mask: np.ndarray | None):
         both = np.concatenate([forward, backward[::-1]], axis=2)
@@ -148,14 +177,15 @@ class Network:
     def projections(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
         return {d: inputs @ self.p[f"in_{d}"] + self.p[f"bias_{d}"] for d in "fb"}
 
-    def gradients(self, ids: np.ndarray, mask: np.ndarray, words: list[str], y: np.ndarray, weight: np.ndarray, rng: np.random.Generator | None = None) -> dict[str, np.ndarray]:
+    def gradients(self, ids: np.ndarray, mask: np.ndarray, words: list[str] | Spelled, y: np.ndarray, weight: np.ndarray, rng: np.random.Generator | None = None) -> dict[str, np.ndarray]:
         """Gradients of the weighted mean log loss; ids are rows of ``words``, the first of which is padding.
 
         With ``rng``, a share DROPPED of the batch's words is taken as outside the vocabulary.
         """
-        p, x, g, rows_of = self.p, self.inputs_of(words), {}, self.word_rows(words)
+        words = self.spelled(words) if isinstance(words, list) else words
+        p, x, g, rows_of = self.p, self.inputs_of(words), {}, words.rows
         if rng is not None:
-            rows_of = np.where(rng.random(len(words)) < DROPPED, UNSEEN, rows_of)
+            rows_of = np.where(rng.random(len(rows_of)) < DROPPED, UNSEEN, rows_of)
             x[:, :WORD_DIM] = p["words"][rows_of]
         projected, kept = self.projections(x), {"f": [], "b": []}
         states = [_gru(projected[d][ids[::s]], p[f"recur_{d}"], mask[::s], kept[d]) for d, s in (("f", 1), ("b", -1))]
@@ -172,16 +202,12 @@ class Network:
         d_x = np.zeros_like(x)
         for d, s, part in (("f", 1, d_both[:, :, :HIDDEN]), ("b", -1, d_both[:, :, HIDDEN:])):
             d_in, g[f"recur_{d}"] = _gru_back(part[::s], p[f"recur_{d}"], mask[::s], kept[d])
-            rows = np.zeros((len(words), 3 * HIDDEN), np.float32)
-            np.add.at(rows, ids[::s].ravel(), d_in.reshape(-1, 3 * HIDDEN))
+            rows = sum_rows(ids[::s].ravel(), d_in.reshape(-1, 3 * HIDDEN), len(rows_of))
             g[f"in_{d}"], g[f"bias_{d}"] = x.T @ rows, rows.sum(axis=0)
             d_x += rows @ p[f"in_{d}"].T
-        g["words"], g["runs"] = np.zeros_like(p["words"]), np.zeros_like(p["runs"])
-        np.add.at(g["words"], rows_of, d_x[:, :WORD_DIM])
+        g["words"] = sum_rows(rows_of, d_x[:, :WORD_DIM], len(p["words"]))
         g["words"][PAD] = 0
-        buckets, begin = char_runs(words)
-        sizes = np.diff(np.append(begin, len(buckets)))
-        np.add.at(g["runs"], buckets, np.repeat(d_x[:, WORD_DIM:] / sizes[:, None], sizes, axis=0))
+        g["runs"] = sum_rows(words.buckets, np.repeat(d_x[:, WORD_DIM:] / words.sizes[:, None], words.sizes, axis=0), RUNS)
         return g
 
 
@@ -229,7 +255,7 @@ def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float],
     held = rng.permutation(len(texts))[: len(texts) // 6]
     learners = np.setdiff1d(np.arange(len(texts)), held)
     scorer_words = ["", *sorted(counts)]
-    at = {w: i for i, w in enumerate(scorer_words)}
+    spelled, at = network.spelled(scorer_words), {w: i for i, w in enumerate(scorer_words)}
     ids = np.zeros((WINDOW, len(windows)), np.int64)
     for j, window in enumerate(windows):
         ids[: len(window), j] = [at[w] for w in window]
@@ -237,7 +263,7 @@ def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float],
     adam, best, chosen, since = _Adam(network.p), np.inf, None, 0
     epochs = min(max(EPOCHS, STEPS * BATCH // (2 * len(learners) + 1)), MOST_EPOCHS)  # few texts are gone through more often
     for epoch in range(epochs):
-        projected = network.projections(network.inputs_of(scorer_words))
+        projected = network.projections(network.inputs_of(spelled))
         logits = np.concatenate([network.logits(ids[:, k : k + TOGETHER], projected, ids[:, k : k + TOGETHER] > 0) for k in range(0, len(windows), TOGETHER)])
         top = np.array([a + int(np.argmax(logits[a:b])) for a, b in spans])
         if epoch and len(held):
@@ -258,8 +284,7 @@ def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float],
             some = rows[k : k + BATCH]
             used, inverse = np.unique(np.append(ids[:, some].ravel(), 0), return_inverse=True)
             local = inverse[:-1].reshape(WINDOW, len(some))
-            words = [scorer_words[u] for u in used]
-            grads = network.gradients(local, local > 0, words, y[owners[some]], weight[owners[some]], rng)
+            grads = network.gradients(local, local > 0, spelled.take(used), y[owners[some]], weight[owners[some]], rng)
             adam.move(grads, RATE * (1 - 0.9 * epoch / epochs))
     network.p = chosen or network.p
     return network
