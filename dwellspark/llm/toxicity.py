@@ -35,6 +35,8 @@ RUNS, VOCABULARY = 16384, 20_000
 EPOCHS, MOST_EPOCHS, STEPS, BATCH, RATE, DECAY, DROPPED = 12, 80, 250, 256, 0.006, 2e-5, 0.15
 #: Words whose inputs a worker keeps at once, and windows it scores at once.
 KNOWN_WORDS, TOGETHER = 150_000, 2048
+#: Epochs after which the highest windows of the texts that teach are looked for anew.
+AGAIN = 3
 PAD, UNSEEN = 0, 1
 _words = re.compile(r"[^\W_]+").findall
 
@@ -241,30 +243,35 @@ def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float],
     rng, y = np.random.default_rng(seed), labels.astype(np.float32)
     share = max(float(y.mean()), 1e-9)
     weight = np.where(y == 1, shares[1] / share, shares[0] / max(1 - share, 1e-9)).astype(np.float32)
-    counts: dict[str, int] = {}
-    windows: list[list[str]] = []
-    spans: list[tuple[int, int]] = []
+    at, seen_in = {"": 0}, np.zeros(1, np.int64)
+    found: list[np.ndarray] = []
     for text in texts:
-        own = [window.split() for window in text]
-        for w in {w for window in own for w in window}:
-            counts[w] = counts.get(w, 0) + 1
-        spans.append((len(windows), len(windows) + len(own)))
-        windows += own
+        own = np.zeros((len(text), WINDOW), np.int32)
+        for row, window in zip(own, text, strict=True):
+            words = window.split()
+            row[: len(words)] = [at.setdefault(w, len(at)) for w in words]
+        seen_in = np.append(seen_in, np.zeros(len(at) - len(seen_in), np.int64)) if len(at) > len(seen_in) else seen_in
+        seen_in[np.unique(own)] += 1
+        found.append(own)
+    spans = [(int(b) - len(own), int(b)) for own, b in zip(found, np.cumsum([len(own) for own in found]), strict=True)]
+    ids, all_words = np.concatenate(found).T.astype(np.int64, order="C"), list(at)
+    del found, at
     least = max(2, len(texts) // 400)
-    network = Network(sorted((w for w, n in counts.items() if n >= least), key=lambda w: (-counts[w], w))[:VOCABULARY], seed)
+    often = [(all_words[i], int(seen_in[i])) for i in np.flatnonzero(seen_in >= least) if i]
+    network = Network([w for w, _ in sorted(often, key=lambda x: (-x[1], x[0]))[:VOCABULARY]], seed)
     held = rng.permutation(len(texts))[: len(texts) // 6]
     learners = np.setdiff1d(np.arange(len(texts)), held)
-    scorer_words = ["", *sorted(counts)]
-    spelled, at = network.spelled(scorer_words), {w: i for i, w in enumerate(scorer_words)}
-    ids = np.zeros((WINDOW, len(windows)), np.int64)
-    for j, window in enumerate(windows):
-        ids[: len(window), j] = [at[w] for w in window]
+    spelled = network.spelled(all_words)
     owners = np.repeat(np.arange(len(texts)), [b - a for a, b in spans])
+    kept = np.isin(owners, held)
+    parts, logits = [np.flatnonzero(kept), np.flatnonzero(~kept)], np.zeros(len(owners), np.float32)
     adam, best, chosen, since = _Adam(network.p), np.inf, None, 0
     epochs = min(max(EPOCHS, STEPS * BATCH // (2 * len(learners) + 1)), MOST_EPOCHS)  # few texts are gone through more often
     for epoch in range(epochs):
         projected = network.projections(network.inputs_of(spelled))
-        logits = np.concatenate([network.logits(ids[:, k : k + TOGETHER], projected, ids[:, k : k + TOGETHER] > 0) for k in range(0, len(windows), TOGETHER)])
+        for i, part in enumerate(parts):
+            if epoch % AGAIN == 1 or i == 0:
+                logits[part] = np.concatenate([network.logits(ids[:, some], projected, ids[:, some] > 0) for some in np.split(part, range(TOGETHER, len(part), TOGETHER))])
         top = np.array([a + int(np.argmax(logits[a:b])) for a, b in spans])
         if epoch and len(held):
             chance = np.clip(_sigmoid(logits[top[held]]), 1e-6, 1 - 1e-6)
@@ -275,7 +282,7 @@ def fit(texts: list[list[str]], labels: np.ndarray, shares: tuple[float, float],
             if since > max(4, epochs // 5):
                 break
         if epoch == 0:
-            rows = np.flatnonzero(np.isin(owners, learners))
+            rows = parts[1].copy()
         else:
             clean = learners[y[learners] == 0]
             rows = np.concatenate([top[learners], [rng.integers(*spans[i]) for i in clean]]).astype(np.int64)
