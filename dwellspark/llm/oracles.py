@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .quality import BASE, PUNCTUATION, RULES as QUALITY_RULES, STOP_WORDS
 from .urlfilter import MIN_PAGES, PURITY, RULES, WEIGHT, Z
 
 #: The URL filter's SQL spells out so many levels; no address of the test tables is deeper.
@@ -83,4 +84,24 @@ def _url_filter() -> str:
     return "WITH " + ",\n".join(out) + f"\nSELECT page_id, r.host, r.path, rule, coalesce(ruled, CASE WHEN tl > 0 AND purity >= {PURITY} THEN 'block' ELSE 'allow' END) AS verdict, template, round(purity, 9) AS purity FROM r JOIN nodes USING (host, path) JOIN pu USING (node)"
 
 
-ORACLES = {"op1_chat_format": CHAT, "op2_maxscore": TOP_K, "op6_minhash": NEAR, "op10_url_filter": _url_filter()}
+def _quality() -> str:
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    stops = ", ".join(sorted({quoted(w) for group in STOP_WORDS for w in group.split()}))
+    fails = lambda r: f"1000 * {r.over} {'<' if r.least else '>'} {r.limit} * {r.under}"
+    any_of = lambda rules: " OR ".join(map(fails, rules))
+    names = ", ".join(f"CASE WHEN {fails(r)} THEN '{r.name}' END" for r in (*BASE, *QUALITY_RULES))
+    spaces = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return rf"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT k, unnest(range(1, len(ws) - 1)) AS i, unnest(list_transform(range(1, len(ws) - 1), lambda i: [ws[i], ws[i + 1], ws[i + 2]])) AS words FROM w WHERE len(ws) > 2),
+t AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, words) AS n FROM g) WHERE n > 1),
+c AS (SELECT k, count(DISTINCT place) AS covered FROM (SELECT k, unnest([i, i + 1, i + 2]) AS place FROM t) GROUP BY k),
+m AS (SELECT doc_id, 1 AS one, len(ws) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+  len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(covered, 0) AS n_repeat_words, len(list_filter(ws, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_lettered,
+  length(regexp_replace(text, '\P{{L}}+', '', 'g')) AS n_letters, length(regexp_replace(text, '\P{{Lu}}+', '', 'g')) AS n_capitals,
+  len(list_filter(ws, lambda x: lower(trim(x, {quoted(PUNCTUATION)})) IN ({stops}))) AS n_stop_words, len(list_filter(ls, lambda x: regexp_matches(trim(x, {spaces}), '^[*•\-]'))) AS n_bullets,
+  len(list_filter(ls, lambda x: regexp_matches(rtrim(x, {spaces}), '(\.\.\.|…)$'))) AS n_ellipses FROM w LEFT JOIN c USING (k))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {any_of(BASE)} AS base_failed, NOT ({any_of((*BASE, *QUALITY_RULES))}) AS kept, array_to_string(list_filter([{names}], lambda x: x IS NOT NULL), ',') AS failed FROM m"""
+
+
+ORACLES = {"op13_quality_rules": _quality(), "op1_chat_format": CHAT, "op2_maxscore": TOP_K, "op6_minhash": NEAR, "op10_url_filter": _url_filter()}
