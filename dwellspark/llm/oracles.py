@@ -84,6 +84,25 @@ def _url_filter() -> str:
     return "WITH " + ",\n".join(out) + f"\nSELECT page_id, r.host, r.path, rule, coalesce(ruled, CASE WHEN tl > 0 AND purity >= {PURITY} THEN 'block' ELSE 'allow' END) AS verdict, template, round(purity, 9) AS purity FROM r JOIN nodes USING (host, path) JOIN pu USING (node)"
 
 
+#: CRC-32 of a decimal number, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(list_transform(string_split(CAST({} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+  lambda acc, b: list_reduce(range(8), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(acc, b)), CAST(4294967295 AS BIGINT)))"""
+
+RUNS = rf"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, {CRC32.format("doc_id")} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+e AS (SELECT *, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a, h // 10 AS g FROM d),
+f AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+w AS (SELECT k, n, i, CASE WHEN i >= a THEN ws[1 + a + (i - a) % p] ELSE ws[1 + i] END AS word FROM (SELECT *, unnest(range(n)) AS i FROM f)),
+s AS (SELECT x.k, y.i - x.i AS q, x.i AS i FROM w x JOIN w y ON x.k = y.k AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+t AS (SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM s),
+u AS (SELECT k, q, min(i) AS start, count(*) + q AS length FROM t GROUP BY k, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT k, start, length, min(q) AS period FROM u GROUP BY k, start, length),
+b AS (SELECT k, count(*) AS n_runs, min([-length, start, period]) AS best, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY k),
+g AS (SELECT DISTINCT k, unnest(range(start + period, start + length)) AS i FROM r),
+c AS (SELECT k, string_agg(word, ' ' ORDER BY i) AS kept FROM (SELECT * FROM w ANTI JOIN g USING (k, i)) GROUP BY k)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best[2] AS start, -best[1] AS length, best[3] AS period, -1000 * best[1] // best[3] AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256 FROM d LEFT JOIN b USING (k) LEFT JOIN c USING (k)"""
+
+
 def _quality() -> str:
     quoted = lambda text: "'" + text.replace("'", "''") + "'"
     stops = ", ".join(sorted({quoted(w) for group in STOP_WORDS for w in group.split()}))
@@ -104,4 +123,4 @@ m AS (SELECT doc_id, 1 AS one, len(ws) AS n_words, length(regexp_replace(text, '
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {any_of(BASE)} AS base_failed, NOT ({any_of((*BASE, *QUALITY_RULES))}) AS kept, array_to_string(list_filter([{names}], lambda x: x IS NOT NULL), ',') AS failed FROM m"""
 
 
-ORACLES = {"op13_quality_rules": _quality(), "op1_chat_format": CHAT, "op2_maxscore": TOP_K, "op6_minhash": NEAR, "op10_url_filter": _url_filter()}
+ORACLES = {"op11_periodic_runs": RUNS, "op13_quality_rules": _quality(), "op1_chat_format": CHAT, "op2_maxscore": TOP_K, "op6_minhash": NEAR, "op10_url_filter": _url_filter()}
