@@ -63,4 +63,5 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list]
             yield pa.RecordBatch.from_arrays(arrays, names=[str(i) for i in range(len(arrays))]).rename_columns(names)
 
     names = ordered + [f.split()[0] for f in added.split(", ")]
-    return df.mapInArrow(run, schema)
+    # mapInArrow looks columns up by name, and a name with a dot or a backtick names something else there
+    return df.toDF(*[f"__{i}" if set(".`") & set(c) else c for i, c in enumerate(df.columns)]).mapInArrow(run, schema)
