@@ -103,6 +103,22 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best[2] AS start, -best[1] AS leng
   sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256 FROM d LEFT JOIN b USING (k) LEFT JOIN c USING (k)"""
 
 
+DIVERGENCE = r"""WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT k, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+c AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+grp AS (SELECT DISTINCT lang, source FROM d), v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+n AS (SELECT lang, source, CAST(sum(c) AS BIGINT) AS n FROM c GROUP BY lang, source), nl AS (SELECT lang, CAST(sum(n) AS BIGINT) AS nl FROM n GROUP BY lang),
+p AS (SELECT grp.lang, grp.source, kept.term, coalesce(c, 0) AS c, 1 + 1000000000 * (coalesce(c, 0) + 5) // (coalesce(n, 0) + 5 * v) AS p
+  FROM grp JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN n ON grp.lang = n.lang AND grp.source = n.source LEFT JOIN c ON c.lang = grp.lang AND c.source = grp.source AND c.term = kept.term),
+q AS (SELECT lang, term, 1 + 1000000000 * (sum(c) + 5) // (any_value(nl) + 5 * any_value(v)) AS q FROM c JOIN nl USING (lang) JOIN v USING (lang) GROUP BY lang, term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+own AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM own))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50"""
+
+
 def _quality() -> str:
     quoted = lambda text: "'" + text.replace("'", "''") + "'"
     stops = ", ".join(sorted({quoted(w) for group in STOP_WORDS for w in group.split()}))
@@ -123,4 +139,4 @@ m AS (SELECT doc_id, 1 AS one, len(ws) AS n_words, length(regexp_replace(text, '
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {any_of(BASE)} AS base_failed, NOT ({any_of((*BASE, *QUALITY_RULES))}) AS kept, array_to_string(list_filter([{names}], lambda x: x IS NOT NULL), ',') AS failed FROM m"""
 
 
-ORACLES = {"op11_periodic_runs": RUNS, "op13_quality_rules": _quality(), "op1_chat_format": CHAT, "op2_maxscore": TOP_K, "op6_minhash": NEAR, "op10_url_filter": _url_filter()}
+ORACLES = {"op11_periodic_runs": RUNS, "op12_source_divergence": DIVERGENCE, "op13_quality_rules": _quality(), "op1_chat_format": CHAT, "op2_maxscore": TOP_K, "op6_minhash": NEAR, "op10_url_filter": _url_filter()}

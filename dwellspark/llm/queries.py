@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontam, feistel, langid, licences, maxscore, minhash, quality, runs, toxicity, urlfilter
+from . import bpe, chat_format, decontam, divergence, feistel, langid, licences, maxscore, minhash, quality, runs, toxicity, urlfilter
 from .common import table, training_row
 from .oracles import ORACLES  # noqa: F401
 
@@ -68,8 +68,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.find_runs(docs, ["doc_id"]))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_maxscore, op3_feistel_shards, op4_decontamination, op5_toxicity, op6_minhash, op7_licences, op8_language_id, op9_byte_bpe, op10_url_filter, op11_periodic_runs, op13_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat_format, op2_maxscore, op3_feistel_shards, op4_decontamination, op5_toxicity, op6_minhash, op7_licences, op8_language_id, op9_byte_bpe, op10_url_filter, op11_periodic_runs, op12_source_divergence, op13_quality_rules)}
