@@ -20,9 +20,8 @@ rows count each; further columns are not read; an empty table gives an empty res
 
 from __future__ import annotations
 
-import re
 import string
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import ahocorasick
@@ -37,15 +36,19 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS, TOP_TERMS, SCALE, SMOOTH = 30, 50, 1_000_000_000, 5
 #: Characters of kept terms in one automaton, and hash buckets of terms that are dealt whole.
 BLOCK_CHARS, BUCKETS = 3_000_000, 512
-#: Counted pairs that a task adds up at once and hands on; sources of a block of pairs, and blocks held at once.
-COUNTED, SOURCES, HELD = 1_000_000, 512, 16
+#: Terms, and pairs of term and source, that a task adds up at once before it hands them on; sources of a block of pairs, and blocks held at once.
+COUNTED, SOURCES, HELD = 500_000, 512, 16
 _letters = string.ascii_letters.encode()
 _clean = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or b in _letters else 32 for b in range(256))
 
 
+def cleaned(text: str | None) -> bytes:
+    """The text's terms, lower-cased in A-Z, with spaces instead of what is between them."""
+    return (text or "").encode("utf-8", "replace").translate(_clean)
+
+
 def padded(text: str | None) -> str:
-    """The text's terms, lower-cased in A-Z, with at least one space before, between and after them."""
-    return " " + (text or "").encode("utf-8", "replace").translate(_clean).decode() + " "
+    return " " + cleaned(text).decode() + " "
 
 
 def automaton_of(terms: list[tuple[str, int]]) -> ahocorasick.Automaton:
@@ -57,11 +60,30 @@ def automaton_of(terms: list[tuple[str, int]]) -> ahocorasick.Automaton:
     return found
 
 
+def document_counts(docs: DataFrame, most: int = COUNTED) -> DataFrame:
+    """lang, term, docs: in how many documents of the language each term is, added up by tasks, ``most`` terms at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, Counter] = defaultdict(Counter)
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for lang, counts in found.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], names=["lang", "term", "docs"])
+            found.clear()
+
+        for batch in sliced(batches):
+            for text, lang in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                found[lang].update(set(cleaned(text).split()))
+            if sum(map(len, found.values())) > most:
+                yield from rows()
+        yield from rows()
+
+    return docs.select("text", "lang").mapInArrow(run, "lang string, term string, docs bigint")
+
+
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, term and number of the terms that at least ``min_docs`` documents of the language have."""
-    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
-    each = docs.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0)))).alias("term"))
-    often = each.groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    often = document_counts(docs).groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
     return stored(often.select("lang", "term", F.monotonically_increasing_id().alias("number")))
 
 

@@ -80,6 +80,9 @@ def test_counts_are_handed_on_in_parts(spark):
     terms = {"xx": [(w, i) for i, w in enumerate(("the", "of", "é", "wa", "wb", "wc"))]}
     whole, parts = (sorted(tuple(r) for r in divergence.recounted(docs, terms, names, most).groupBy("number", "source").sum("count").collect()) for most in (10**6, 2))
     assert whole == parts and len(whole) == 18
+    whole, parts = (sorted(tuple(r) for r in divergence.document_counts(docs, most).groupBy("lang", "term").sum("docs").collect()) for most in (10**6, 2))
+    want = Counter(w for r in corpus(200, 3, ("xx",)) for w in set(terms_of(r[1])))
+    assert whole == parts == sorted(("xx", w, n) for w, n in want.items())
 
 
 def test_shares_are_exact_beyond_sixty_bits():
