@@ -283,13 +283,13 @@ def test_gradients():
     for j in range(6):
         n = rng.integers(1, toxicity.WINDOW)
         ids[:n, j] = rng.integers(1, 5, n)
-    y, w = rng.integers(0, 2, 6).astype(float), rng.random(6)
+    y, w, told = rng.integers(0, 2, 6).astype(float), rng.random(6), rng.random((*ids.shape, 2))
 
     def loss():
-        p = toxicity._sigmoid(net.logits(ids, net.projections(net.inputs_of(words)), ids > 0))
+        p = toxicity._sigmoid(net.logits(ids, net.projections(net.inputs_of(words)), ids > 0, told))
         return -(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / w.sum()
 
-    grads = net.gradients(ids, ids > 0, words, y, w)
+    grads = net.gradients(ids, ids > 0, words, y, w, told=told)
     for name, values in net.p.items():
         at = np.unravel_index(np.abs(grads[name]).argmax(), values.shape)
         old, step = values[at], 1e-3
@@ -308,6 +308,14 @@ def test_windows_cover_all_words():
         assert seen == set(range(n)) and all(b - a <= toxicity.STEP for a, b in zip(starts, starts[1:], strict=False))
 
 
+def plain_start(start):
+    total, power = 0, 1
+    for c in start:
+        power = power * 1_000_003
+        total += ord(c) * (power % 2_147_483_647) % 2_147_483_647
+    return (total + len(start)) % 2_147_483_647 % (toxicity.STARTS - 1) + 1
+
+
 def plain_score(network, text):
     """The highest window's score, one window and one word at a time."""
     p, words = network.p, toxicity.words_of(text) or []
@@ -316,12 +324,16 @@ def plain_score(network, text):
     def word_input(word):
         marked = [2, *(ord(c) for c in word), 2]
         runs = [(a * 1_000_003 + b * 8191 + c * 131) % 1_000_000_007 % toxicity.RUNS for a, b, c in zip(marked, marked[1:], marked[2:], strict=False)]
-        return np.concatenate([p["words"][network.vocabulary.get(word, toxicity.UNSEEN)], np.mean([p["runs"][r] for r in runs], axis=0)])
+        return np.concatenate([p["words"][network.vocabulary.get(word, toxicity.UNSEEN)], np.mean([p["runs"][r] for r in runs], axis=0), told(word)])
+
+    def told(word):
+        starts = [network.evidence.starts[plain_start(word[:n])] for n in toxicity.START_CHARS if len(word) >= n]
+        return [network.evidence.words.get(word, 0), max(starts, default=0)]
 
     def states(inputs, d):
         state, out, h = np.zeros(toxicity.HIDDEN), [], toxicity.HIDDEN
         for x in inputs:
-            a, m = x @ p[f"in_{d}"] + p[f"bias_{d}"], state @ p[f"recur_{d}"]
+            a, m = x[:-2] @ p[f"in_{d}"] + p[f"bias_{d}"] + x[-2:] @ p[f"told_{d}"], state @ p[f"recur_{d}"]
             hold, reset = sigmoid(a[:h] + m[:h]), sigmoid(a[h : 2 * h] + m[h : 2 * h])
             state = hold * state + (1 - hold) * np.tanh(a[2 * h :] + reset * m[2 * h :])
             out.append(state)
@@ -342,6 +354,10 @@ def test_scorer_equals_plain_windows(monkeypatch):
     rng, words = random.Random(1), [f"w{i}" for i in range(40)] + ["é", "漢字", "a" * 90]
     network = toxicity.Network(words[:25])
     network.p = {k: v + np.random.default_rng(3).standard_normal(v.shape).astype(np.float32) * 0.3 for k, v in network.p.items()}
+    starts = np.zeros(toxicity.STARTS, np.float32)
+    starts[toxicity.start_buckets(["aaaa", "漢字x"]).ravel()] = 1.5
+    starts[0] = 0
+    network.evidence = toxicity.Evidence({"w3": 0.5, "w39": 2.0, "é": 1.0}, starts)
     texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (1, 2, 15, 31, 32, 33, 47, 48, 49, 64, 100, 3000)] + [None, "", " ?! ", "w1 w1", "w1 w1"]
     want = [plain_score(network, t) for t in texts]
     assert np.allclose(toxicity.Scorer(network).scores(texts), want, atol=2e-4)
@@ -351,6 +367,34 @@ def test_scorer_equals_plain_windows(monkeypatch):
     assert np.allclose([scorer.scores([t])[0] for t in texts], want, atol=2e-4)
 
 
+def test_evidence():
+    words = ["bad", "badly", "fine", "rest", "verybad"]
+    texts = [np.array([0, 3])] * 20 + [np.array([1, 2, 3])] * 5 + [np.array([2, 3])] * 75 + [np.array([4])]
+    labels = np.array([1] * 25 + [0] * 75 + [1])
+    folds = np.arange(101) % toxicity.FOLDS
+    evidence, crossed = toxicity.evidence_of(words, texts, labels, folds)
+    assert evidence.of(["fine", "rest", "new", "", "verybad"]).tolist() == [[0, 0]] * 5
+    assert evidence.words["bad"] > 1 and evidence.of(["badness"])[0, 1] == evidence.of(["bad"])[0, 1] >= evidence.words["bad"]
+    one = toxicity.evidence_of(["once"], [np.array([0])] * 5 + [np.array([], int)] * 20, np.array([1] * 5 + [0] * 20), np.array([0] * 5 + [1, 2, 3, 4] * 5))
+    assert one[0].words["once"] > 0 and one[1][0].tolist() == [[0, 0]]  # a fold's texts tell nothing of themselves
+    assert toxicity.evidence_of([], [np.array([], int)] * 2, np.array([0, 1]), np.array([0, 1]))[0].of(["x"]).tolist() == [[0, 0]]
+    root = lambda n, m, a, b: (2 * (n * np.log(n / ((n + m) * a / (a + b))) + m * np.log(m / ((n + m) * b / (a + b))))) ** 0.5
+    assert np.isclose(toxicity.excess(np.array([30]), np.array([2]), 90, 400)[0], min(2, (root(30, 2, 90, 400) - toxicity.DOUBT) / toxicity.SURE))
+
+
+def test_few_labels_still_teach():
+    """Words that a dozen toxic texts share are found among many that occur once, and unseen texts are told by them."""
+    rng = random.Random(4)
+    text = lambda bad, n=60: " ".join(rng.choice(("vile", "scum", "rotten")) if bad and rng.random() < 0.06 else rng.choice(("the", "of", f"x{rng.randrange(4000)}")) for _ in range(n))
+    made = [(text(k % 6 == 0), int(k % 6 == 0)) for k in range(240)]
+    network = toxicity.fit([toxicity.training_windows(t) for t, _ in made], np.array([y for _, y in made]), (5 / 6, 1 / 6))
+    unseen = [(text(k % 2 == 0, 150), k % 2 == 0) for k in range(60)]
+    scores = toxicity.Scorer(network).scores([t for t, _ in unseen])
+    caught = [s >= 0.5 for s, (_, y) in zip(scores, unseen, strict=True) if y]
+    clean = [s < 0.5 for s, (_, y) in zip(scores, unseen, strict=True) if not y]
+    assert np.mean(caught) > 0.8 and np.mean(clean) > 0.9
+
+
 def test_training_reads_whole_texts(spark, monkeypatch):
     assert [w.split() for w in toxicity.training_windows(" ".join(map(str, range(100))))] == [[str(i) for i in range(a, a + 32)] for a in (0, 32, 64, 68)]
     texts = ["vile " + "calm " * 700] * 40 + ["calm " * 700] * 60
@@ -748,4 +792,21 @@ def test_templates_at_any_depth(spark):
     deep = "/".join("abcdefghij")
     urls = [f"http://a.org/{deep}/{i}/end" for i in range(9)] + [f"http://a.org/{deep}/{i}" for i in range(3)] + [f"http://b.org/{deep}/x"]
     got = {r["template"] for r in urlfilter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")).collect()}
-    assert got == {f"a.org/{deep}/*/end", f"a.org/{deep}/*", "b.org/" + "/".join("*" * 11)}
+    assert got == {f"a.org/{deep}/*/end", f"a.org/{deep}/*", "b.org/**"}
+
+
+def test_traps_add_no_levels(spark, monkeypatch):
+    """One address of 2,000 segments adds no round, a trap of many such DEPTH at most, whatever the rules label."""
+    rounds = []
+    monkeypatch.setattr(urlfilter, "stored", lambda df, write=urlfilter.stored: rounds.append(1) or write(df))
+    few = [f"http://c.example.org/es/{i}" for i in range(50)]
+    slashes = "/".join(str(i % 7) for i in range(2000))
+    count = {}
+    for name, more in (("few", []), ("one", [f"http://c.example.org/es/{slashes}"]), ("trap", [f"http://c.example.org/es/{slashes}/{i}" for i in range(20)])):
+        rounds.clear()
+        got = urlfilter.judge(spark.createDataFrame(list(enumerate(few + more)), "page_id bigint, url string")).collect()
+        assert {r["verdict"] for r in got} == {"block"} and len(got) == 50 + len(more)
+        count[name] = len(rounds)
+        if name == "trap":
+            assert {r["template"] for r in got[50:]} == {"c.example.org/es/" + "/".join(str(i % 7) for i in range(urlfilter.DEPTH - 1)) + "/**"}
+    assert count["one"] <= count["few"] + 1 and count["trap"] <= count["few"] + urlfilter.DEPTH
