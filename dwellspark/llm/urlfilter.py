@@ -4,7 +4,9 @@ Pages are counted by host and path first; all that follows works on these counts
 
 Each host has a tree of path segments, grown from the host down as deep as its paths go.  A segment that at least
 MIN_PAGES pages share is a branch of its own; the others of a node are taken for values of a variable and become the
-wildcard ``*``, below which the tree goes on.  What lies below a node of fewer than MIN_PAGES pages is all variable.
+wildcard ``*``, below which the tree goes on.  What lies below a node of fewer than MIN_PAGES pages, or below DEPTH
+segments, is one tail ``**``, however long, so that a single address of many segments adds no level and a trap of very
+many pages only DEPTH.
 Then branches are merged from the deepest segment up: templates that differ in that segment alone become one, with a
 wildcard there, if both they and the others have pages that a rule labels and their rate of blocked pages lies within Z
 standard deviations of the group's.  A template's purity is the smoothed share of blocked pages among those that a rule
@@ -13,7 +15,7 @@ from PURITY on.  One without any has its host's share for a purity, but nothing
 
 Only DataFrame functions are used.  Tables meet by plain equi-joins on one string, so a host with most pages is split
 by adaptive execution, and counts are aggregated before every exchange.  A round is one level of the tree, and each
-round reads only the paths that still go on.  Rounds are cut by written tables, not checkpoints: a checkpoint keeps
+round reads only the paths that still go on; levels at which nothing merges write nothing.  Rounds are cut by written tables, not checkpoints: a checkpoint keeps
 the constraints of its plan, and those double with every level.
 
 Defined cases: a null url, or one without ``://``, has empty host and path (and so the template of the empty host);
@@ -34,6 +36,8 @@ from .common import stored
 #: (verdict, host, path): the rule holds for the host, its subdomains, and paths that start with the path.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MIN_PAGES, Z, WEIGHT, PURITY = 5, 2.0, 4.0, 0.5
+#: Levels of the tree, and what stands for everything below it or below a node of few pages.
+DEPTH, TAIL = 12, "**"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -62,7 +66,9 @@ def with_templates(paths: DataFrame) -> DataFrame:
     while True:
         going = rows.where(F.size("segments") > level)
         done.append(rows.where(F.size("segments") <= level).drop("segments", "node"))
-        if going.isEmpty():
+        if level == DEPTH:
+            done.append(going.withColumn("parts", F.array_append("parts", F.lit(TAIL))).drop("segments", "node"))
+        if level == DEPTH or going.isEmpty():
             return reduce(DataFrame.unionByName, done)
         step = going.withColumn("segment", F.get("segments", F.lit(level))).withColumn("child", F.concat("node", F.lit("/"), "segment"))
         children = step.groupBy("node", "child").agg(F.sum("n").alias("pages"))
@@ -70,9 +76,8 @@ def with_templates(paths: DataFrame) -> DataFrame:
         wide = children.where(F.col("pages") < MIN_PAGES).groupBy("node").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= MIN_PAGES).select(F.col("node").alias("_wide"))
         step = step.join(fixed, F.col("child") == F.col("_fixed"), "left").join(wide, F.col("node") == F.col("_wide"), "left")
         branch, rest = F.col("_fixed").isNotNull(), F.col("_fixed").isNull() & F.col("_wide").isNull()
-        variable = F.array_repeat(F.lit("*"), F.size("segments") - level)
         step = stored(
-            step.withColumn("parts", F.when(branch, F.array_append("parts", F.col("segment"))).when(rest, F.concat("parts", variable)).otherwise(F.array_append("parts", F.lit("*"))))
+            step.withColumn("parts", F.when(branch, F.array_append("parts", F.col("segment"))).when(rest, F.array_append("parts", F.lit(TAIL))).otherwise(F.array_append("parts", F.lit("*"))))
             .withColumn("node", F.when(branch, F.col("child")).otherwise(F.concat("node", F.lit("/*"))))
             .select(*rows.columns, rest.alias("_rest"))
         )
@@ -92,21 +97,28 @@ def _wild(level: int) -> Column:
     return F.transform("parts", lambda s, i: F.when(i == level - 1, F.lit("*")).otherwise(s))
 
 
+def _at(level: int) -> Column:
+    return F.get("parts", F.lit(level - 1))
+
+
 def merged_templates(nodes: DataFrame) -> DataFrame:
     """(node, parts, host_share) of every node of (host, parts, labelled, blocked), with the parts of its merged template."""
     own = stored(nodes.groupBy("host", "parts").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")))
-    total = own.agg(F.coalesce(F.sum("labelled"), F.lit(0)).alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"), F.max(F.size("parts")).alias("depth")).first()
+    depth = F.max(F.when(F.col("labelled") > 0, F.size("parts")))  # nothing merges below the last labelled node
+    total = own.agg(F.coalesce(F.sum("labelled"), F.lit(0)).alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"), depth.alias("depth")).first()
     overall = F.lit((total["b"] + 1) / (total["l"] + 2))
     hosts = own.groupBy(F.col("host").alias("_host")).agg(_smoothed(F.sum("blocked"), F.sum("labelled"), overall).alias("host_share"))
     own = stored(own.join(hosts, F.col("host") == F.col("_host")).select("host", _template(F.col("parts")).alias("node"), "parts", "labelled", "blocked", "host_share"))
     for level in range(total["depth"] or 0, 0, -1):
         wild = _wild(level)
-        named = own.withColumns({"_template": _template(F.col("parts")), "_wild": F.when(F.size("parts") >= level, _template(wild))})
+        named = own.withColumns({"_template": _template(F.col("parts")), "_wild": F.when(_at(level) != TAIL, _template(wild))})
         each = named.where("_wild is not null and labelled > 0").groupBy("_template", "_wild").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.max("host_share").alias("host_share"))
         group = each.groupBy(F.col("_wild").alias("_of")).agg(F.sum("l").alias("gl"), F.sum("b").alias("gb"))
         share = _smoothed(F.col("gb"), F.col("gl"), F.col("host_share"))
         near = F.abs(F.col("b") - F.col("l") * share) <= Z * F.sqrt(F.col("l") * share * (1 - share))
         joining = each.join(group, F.col("_wild") == F.col("_of")).where((F.col("gl") > F.col("l")) & near).select(F.col("_template").alias("_joining"))
+        if joining.isEmpty():
+            continue
         changed = named.join(joining, F.col("_template") == F.col("_joining"), "left")
         own = stored(changed.withColumn("parts", F.when(F.col("_joining").isNotNull(), wild).otherwise(F.col("parts"))).select(*own.columns))
     return own
