@@ -19,6 +19,7 @@ from ..operators.listings import listings, offers_of_pages
 from ..session import shared_folder
 from ..sources import tables
 from ..sources.tables import table
+from ..streaming import state
 from . import fixtures
 from .adapters import event_snapshots, line_snapshots, order_snapshots, part_offers, part_pages
 
@@ -300,6 +301,33 @@ def history_import(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("portal", "id", "seq", "price_eur", "area", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss").alias("seen_at"), F.col("bad_record").isNotNull().alias("unreadable"))
 
 
+def _followed(spark: SparkSession, folder: str) -> str:
+    """Events landed in two parts and followed by a query that ends after the first and is started again for the second."""
+    base, snaps = f"{shared_folder(spark)}/{uuid.uuid4()}", event_snapshots(spark, folder)
+    for part in (F.col("seen_at") >= "2024-01-16", F.col("seen_at") < "2024-01-16"):  # the later days arrive first
+        snaps.where(part).write.mode("append").parquet(f"{base}/landed")
+        stream = spark.readStream.schema(snaps.schema).option("maxBytesPerTrigger", 256 << 20).parquet(f"{base}/landed")
+        state.follow(stream, f"{base}/told", f"{base}/progress").awaitTermination()
+    return base
+
+
+def history_state(spark: SparkSession, folder: str) -> DataFrame:
+    """First sight, prices and latest columns of every listing as the state of a stream holds them."""
+    return state.current_listings(spark, f"{_followed(spark, folder)}/told")
+
+
+def price_history_state(spark: SparkSession, folder: str) -> DataFrame:
+    """As price_history_array, from the snapshots in the state store."""
+    rows = history.price_histories(state.snapshots_in_state(spark, f"{_followed(spark, folder)}/progress"))
+    return rows.select("id", F.size("price_history").cast("bigint").alias("n_prices"), F.array_join(F.col("price_history").cast("array<string>"), ",").alias("price_history"))
+
+
+def area_baseline_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Area means kept up by what changed in each batch."""
+    rows = state.baseline_of(spark.read.parquet(f"{_followed(spark, folder)}/told/areas"))
+    return rows.select("area", F.round("baseline", 6).alias("baseline"), "n_listings")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -307,6 +335,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         area_baseline, area_baseline_by_portal, pct_vs_area, price_history_array, history_first_seen, history_latest, snapshot_append, run_counters, min_price_filter,
         currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip, unicode_strip_whole,
         embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_listings, portal_leads,
-        table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import,
+        table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import, history_state, price_history_state, area_baseline_state,
     )
 }
