@@ -32,6 +32,30 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(rows: DataFrame, keys: list[str], size: Column, most: int, buckets: int = 512) -> Iterator[DataFrame]:
+    """The rows in parts whose sizes add up to ``most``; only a single row, or rows equal in ``keys``, may go beyond.
+
+    Rows are dealt into hash buckets, whose measured sizes alone reach the driver, and buckets are packed.
+    """
+    while True:
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+        sizes = rows.groupBy(bucket.alias("bucket")).agg(F.sum(size).alias("size"), F.countDistinct(F.struct(*keys)).alias("n")).collect()
+        over = max((r["size"] for r in sizes if r["n"] > 1), default=0)
+        if over <= most:
+            break
+        buckets *= 2 * (over // most + 1)
+    parts: list[list[int]] = []
+    room = 0
+    for r in sorted(sizes, key=lambda r: -r["size"]):
+        if not parts or r["size"] > room:
+            parts.append([])
+            room = most
+        parts[-1].append(r["bucket"])
+        room -= r["size"]
+    for part in parts:
+        yield rows.where(bucket.isin(part))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -8,15 +8,17 @@ any part of the text there, and the hit counts if that is within the budget.  A
 characters; k more are read on both sides, so hits whose starts differ by k at most lie within a window already read,
 and only those are passed over.
 
-An item of fewer than WHOLE_CHARS characters has no budget: it has to stand unchanged, as whole words.  In scripts that
-are written without spaces any two characters may be the border of words.
+One edit is allowed for CHARS_PER_EDIT characters, whatever the length.  A unit of fewer than WHOLE_CHARS characters has
+to stand as whole words: it is compared with the spaces around it, which count like its letters.  In scripts that are
+written without spaces any two characters may be the border of words.
 
-Items are read in blocks of about BLOCK_CHARS characters (a longer item is a block of its own).  One block is one pass
-over the documents, with only that block in the driver and the workers; what several passes find is written to the
-shared folder and joined to the documents by the digest of their text.
+Equal rows of items are read once.  Items are packed by their lengths into blocks of BLOCK_CHARS characters at most (a
+longer item is a block of its own).  One block is one pass over the documents, with only that block in the driver and
+the workers; what several passes find is written to the shared folder and joined to the documents by the digest of
+their text.
 
 Defined cases: null or empty documents match nothing, nor do items without a word; items with equal texts all match;
-repeated documents match each for itself; null item ids are reported as null.
+a repeated item is reported once; repeated documents match each for itself; null item ids are reported as null.
 """
 
 from __future__ import annotations
@@ -29,12 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, map_texts, stored
+from .common import fresh, map_texts, packed, stored
 
 UNIT_CHARS = 80
-#: One edit is allowed for so many characters of a unit.
-CHARS_PER_EDIT = 13
-WHOLE_CHARS = 24
+#: One edit is allowed for so many characters of a unit; shorter units than the second have to stand as whole words.
+CHARS_PER_EDIT, WHOLE_CHARS = 13, 24
 BLOCK_CHARS = 2_000_000
 LEAK = "array<struct<item_id:bigint,units:int,units_hit:int,distance:int>>"
 _words = re.compile(r"[^\W_]+").findall
@@ -54,7 +55,14 @@ def units_of(text: str) -> list[str]:
 
 
 def budget_of(unit: str) -> int:
-    return len(unit) // CHARS_PER_EDIT if len(unit) >= WHOLE_CHARS else 0
+    return len(unit) // CHARS_PER_EDIT
+
+
+def bordered(unit: str) -> str:
+    """A short unit with the spaces that have to be around it; a longer one as it is."""
+    if len(unit) >= WHOLE_CHARS:
+        return unit
+    return ("" if _UNSPACED(unit[0]) else " ") + unit + ("" if _UNSPACED(unit[-1]) else " ")
 
 
 def stands(text: str, start: int, end: int) -> bool:
@@ -101,7 +109,7 @@ class Matcher:
 
     def __init__(self, items: list[tuple[int | None, str]]):
         self.items = [(item_id, units) for item_id, text in items if (units := units_of(normal(text)))]
-        self.units = [(n, unit, char_masks(unit)) for n, (_, units) in enumerate(self.items) for unit in units]
+        self.units = [(n, unit, char_masks(bordered(unit))) for n, (_, units) in enumerate(self.items) for unit in units]
         places: dict[str, list[tuple[int, int]]] = {}
         for u, (_, unit, _) in enumerate(self.units):
             for offset, piece in pieces_of(unit):
@@ -134,12 +142,16 @@ class Matcher:
                 if at < len(starts) and starts[at] <= start + budget:
                     continue  # this hit's window lies within the one verified there
                 starts.insert(at, start)
+                whole = bordered(unit)
                 part = flat[max(0, start - budget) : start + len(unit) + 4 * budget + 1]
+                if whole != unit:  # with one character more on both sides; the text's ends are borders too
+                    low, high = start - budget - 1, start + len(unit) + 4 * budget + 2
+                    part = (" " if low < 0 else "") + flat[max(0, low) : high] + (" " if high > len(flat) else "")
                 distance = self.memo.get((u, part))
                 if distance is None:
                     if len(self.memo) > 20_000:
                         self.memo.clear()
-                    distance = self.memo[u, part] = best_distance(masks, len(unit), part)
+                    distance = self.memo[u, part] = best_distance(masks, len(whole), part)
                 if distance <= budget and distance < found.get(u, budget + 1):
                     found[u] = distance
         by_item: dict[int, list[int]] = {}
@@ -163,15 +175,14 @@ def _block_leaks(docs: DataFrame, shared, keep: list[str], to: str, text_col: st
 
 def leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str], to: str = "leaks", text_col: str = "text") -> DataFrame:
     """Adds the array ``to`` (see LEAK; empty for a clean document) to the columns ``keep`` of ``docs``."""
-    items, context = benchmark.select("item_id", "text").where(F.col("text").isNotNull()), docs.sparkSession.sparkContext
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = 1 + chars // BLOCK_CHARS
-    if blocks == 1:
-        return _block_leaks(docs, context.broadcast([tuple(r) for r in items.collect()]), keep, to, text_col)
+    items, context = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).distinct(), docs.sparkSession.sparkContext
+    blocks = list(packed(items, ["item_id", "text"], F.length("text"), BLOCK_CHARS))
+    if len(blocks) < 2:
+        return _block_leaks(docs, context.broadcast([tuple(r) for b in blocks for r in b.collect()]), keep, to, text_col)
     digest, found = F.sha2(F.col(text_col), 256), None
     texts = docs.select(digest.alias("digest"), F.col(text_col).alias("text")).where("text is not null")
-    for b in range(blocks):
-        shared = context.broadcast([tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()])
+    for block in blocks:
+        shared = context.broadcast([tuple(r) for r in block.collect()])
         hits = stored(_block_leaks(texts, shared, ["digest"], "part", "text").where(F.size("part") > 0).groupBy("digest").agg(F.first("part").alias("part")))
         shared.destroy()
         found = hits if found is None else found.union(hits)

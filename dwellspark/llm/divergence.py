@@ -27,10 +27,10 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sliced, stored
+from .common import packed, sliced, stored
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS, TOP_TERMS, SCALE, SMOOTH = 30, 50, 1_000_000_000, 5
@@ -87,31 +87,13 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return stored(often.select("lang", "term", F.monotonically_increasing_id().alias("number")))
 
 
-def _bucketed(kept: DataFrame, buckets: int = BUCKETS) -> tuple[Column, list]:
-    """Hash buckets of terms and their sizes by language, so many that each fits into an automaton or is one term."""
-    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets))
-    sizes = kept.groupBy("lang", bucket.alias("bucket")).agg(F.sum(F.length("term") + 2).alias("chars"), F.count("*").alias("n")).collect()
-    most = max((r["chars"] for r in sizes if r["n"] > 1), default=0)
-    return (bucket, sizes) if most <= BLOCK_CHARS else _bucketed(kept, 2 * buckets * (most // BLOCK_CHARS + 1))
-
-
 def _blocks(kept: DataFrame) -> Iterator[dict[str, list[tuple[str, int]]]]:
     """The kept terms by language, BLOCK_CHARS characters at a time."""
-    bucket, sizes = _bucketed(kept)
-    blocks, room = [[]], BLOCK_CHARS
-    for r in sorted(sizes, key=lambda r: (r["lang"], r["bucket"])):
-        if r["chars"] > room and blocks[-1]:
-            blocks.append([])
-            room = BLOCK_CHARS
-        blocks[-1].append((r["lang"], r["bucket"]))
-        room -= r["chars"]
-    for block in blocks:
-        if block:
-            of_block = kept.sparkSession.createDataFrame(block, "lang string, bucket bigint")
-            found = defaultdict(list)
-            for r in kept.withColumn("bucket", bucket).join(F.broadcast(of_block), ["lang", "bucket"]).select("lang", "term", "number").collect():
-                found[r["lang"]].append((r["term"], r["number"]))
-            yield dict(found)
+    for part in packed(kept, ["lang", "term"], F.length("term") + 2, BLOCK_CHARS, BUCKETS):
+        found = defaultdict(list)
+        for r in part.collect():
+            found[r["lang"]].append((r["term"], r["number"]))
+        yield dict(found)
 
 
 def recounted(docs: DataFrame, terms: dict[str, list[tuple[str, int]]], sources: dict[tuple[str, str], int], most: int = COUNTED) -> DataFrame:

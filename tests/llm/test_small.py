@@ -180,9 +180,8 @@ def plain_leaks(item, flat):
     """Distances of the item's units that stand in the text within their budgets."""
     out = []
     for u in decontam.units_of(decontam.normal(item)):
-        if len(u) < decontam.WHOLE_CHARS:
-            out += [0] if f" {u} " in f" {flat} " else []
-        elif (d := plain_distance(u, flat)) <= len(u) // decontam.CHARS_PER_EDIT:
+        short = len(u) < decontam.WHOLE_CHARS
+        if (d := plain_distance(f" {u} ", f" {flat} ") if short else plain_distance(u, flat)) <= len(u) // decontam.CHARS_PER_EDIT:
             out.append(d)
     return out
 
@@ -260,12 +259,22 @@ def test_short_items_stand_as_words():
     assert found_leaks("two plus two is four", "so two plus two is five") == []
 
 
+def test_no_length_changes_what_an_edit_costs():
+    for n in range(13, 25):
+        item = "the cat sat on a red mat"[:n].strip()
+        typo = item.replace("at", "ot", 1)
+        assert found_leaks(item, f"see {typo} here") == [(1, 1)] == found_leaks(item, typo) and found_leaks(item, f"see x{item}x here") == ([] if n < 24 else [(1, 0)])
+    assert found_leaks("the cat sat on a red ma", "the cat sat on e red ma") == [(1, 1)]  # 23 characters
+    assert found_leaks("the cat sat", "the cut sat") == []  # 11 characters: no edit
+
+
 def test_leaks_in_blocks(spark, monkeypatch):
     rng = random.Random(3)
     items = [(n, f"question number {n} about the long history of sharding {n} times") for n in range(6)] + [(7, "short"), (None, "an item without an id but with words")]
     texts = [t for _, t in items] + [None, "", "clean", f"{items[2][1]} and {items[3][1]}", items[1][1], "".join(rng.choice("ab ") for _ in range(200))]
     docs = docs_of(spark, texts).withColumn("_digest", F.lit("clash")).withColumn("_leaks_0", F.lit("clash"))
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    benchmark = benchmark.union(benchmark)  # repeated rows are read once
     sorted_rows = lambda df: sorted((r["doc_id"], r["_digest"], r["_leaks_0"], str(sorted(str(x) for x in r["_leaks"]))) for r in df.collect())
     keep = ["doc_id", "_digest", "_leaks_0"]
     one = sorted_rows(decontam.leaks(docs, benchmark, keep, to="_leaks"))
@@ -273,6 +282,17 @@ def test_leaks_in_blocks(spark, monkeypatch):
     assert sorted_rows(decontam.leaks(docs, benchmark, keep, to="_leaks")) == one and sum("item_id" in x[3] for x in one) >= 10
 
 
+def test_parts_are_packed_by_size(spark):
+    from dwellspark.llm.common import packed
+
+    rows = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(400)] + [(999, "y" * 5000)], "i bigint, t string")
+    parts = [p.collect() for p in packed(rows, ["i", "t"], F.length("t"), 300, buckets=2)]
+    assert sorted(r["i"] for p in parts for r in p) == sorted([*range(400), 999])
+    sizes = sorted(sum(len(r["t"]) for r in p) for p in parts)
+    assert sizes[-1] == 5000 and sizes[-2] <= 300 and len(parts) < 60
+    assert list(packed(rows.limit(0), ["i"], F.length("t"), 9)) == []
+
+
 # 5: toxicity
 
 
