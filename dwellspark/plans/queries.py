@@ -287,16 +287,16 @@ def snapshot_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def history_import(spark: SparkSession, folder: str) -> DataFrame:
-    """Eight history files written from events, and one that can't be read; back as snapshots."""
+    """History files of a hundred listings each written from events, and one that can't be read; back as snapshots."""
     seen = F.date_format(F.col("seen_at").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     snaps = event_snapshots(spark, folder).select(F.col("id").cast("string").alias("id"), F.struct("seen_at", "seq", seen.alias("text"), "price_eur", "area").alias("s"))
     each = snaps.groupBy("id").agg(F.array_sort(F.collect_list("s")).alias("s"))
     past = F.transform("s", lambda x: F.struct(x["text"].alias("seen_at"), x["price_eur"].alias("price_eur")))
     latest = F.struct("id", F.element_at("s", -1)["area"].alias("area"), F.lit("events").alias("portal"))
     record = F.struct(F.get("s", F.lit(0))["text"].alias("first_seen"), past.alias("snapshots"), latest.alias("latest"))
-    files = each.groupBy((F.col("id").cast("bigint") % 8).alias("file")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("id", record)))).alias("value"))
+    files = each.groupBy(F.floor(F.col("id").cast("bigint") / 100).alias("file")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("id", record)))).alias("value"))
     base = f"{shared_folder(spark)}/{uuid.uuid4()}"
-    files.union(spark.range(1).select(F.lit(8).cast("bigint"), F.lit('{"1": {'))).repartition("file").write.partitionBy("file").text(base)
+    files.union(spark.range(1).select(F.lit(-1).cast("bigint"), F.lit('{"1": {'))).repartition("file").write.partitionBy("file").text(base)
     found = tables.history_files(spark, base)
     return found.select("portal", "id", "seq", "price_eur", "area", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss").alias("seen_at"), F.col("bad_record").isNotNull().alias("unreadable"))
 

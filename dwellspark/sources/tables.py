@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.leads import in_rank_order
-from ..schema import HISTORY_JSON, PAGE
+from ..schema import PAGE
+from .histories import history_files  # noqa: F401
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,22 +22,6 @@ def landed_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE).parquet(path)
 
 
-def history_files(spark: SparkSession, path: str) -> DataFrame:
-    """History files (one JSON object by listing id) as snapshots; what can't be read is in ``bad_record``.
-
-    ``ordinal`` is the listing's place in its file, which is the order in which listings were first seen.
-    """
-    files = spark.read.text(path, wholetext=True).withColumn("history", F.from_json("value", HISTORY_JSON))
-    rows = files.select(F.when(F.col("history").isNull(), F.col("value")).alias("bad_record"), F.posexplode_outer("history").alias("ordinal", "id", "rec"))
-    snaps = rows.select("bad_record", "id", F.col("ordinal").cast("bigint"), F.col("rec.first_seen").try_cast("timestamp").alias("first_seen"), "rec.latest", F.posexplode_outer("rec.snapshots").alias("seq", "snap"))
-    kept = [c for c in ("url", "photo", "photos", "description", "sqm", "area", "title")]
-    return snaps.select(
-        "bad_record", F.col("latest.portal").alias("portal"), "id", "ordinal", "first_seen",
-        F.col("snap.seen_at").try_cast("timestamp").alias("seen_at"), F.col("seq").cast("bigint").alias("seq"), F.col("snap.price_eur").alias("price_eur"),
-        *[F.col(f"latest.{c}").alias(c) for c in kept], F.col("latest.site_updated_at").try_cast("timestamp").alias("site_updated_at"),
-    )
-
-
 def append_run(snapshots: DataFrame, path: str) -> None:
     """Adds a run's snapshots (with ``run_id``) to the table; running it again replaces the run, so nothing doubles."""
     snapshots.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
