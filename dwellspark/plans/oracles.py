@@ -39,6 +39,9 @@ RANKED = "SELECT id, score, row_number() OVER (ORDER BY score DESC, first_seen,
 LISTED = """SELECT strftime(ts, '%Y-%m-%d') AS run_id, user_id AS id, CAST(hour(ts) AS BIGINT) AS page_num, event_id AS pos,
   CAST(round_even(value * 1000, 0) AS BIGINT) AS price_eur, event_type AS title FROM events WHERE round_even(value * 1000, 0) >= 1000"""
 LINKS = "SELECT page_id, CAST(p - 1 AS BIGINT) AS pos, hrefs[p] AS href FROM (SELECT page_id, hrefs, unnest(range(1, len(hrefs) + 1)) AS p FROM (SELECT page_id, regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) AS hrefs FROM pages))"
+PREFIX = """WITH p AS (SELECT page_id // 25 AS run_id, page_id % 25 + 1 AS page_num, CAST(len(regexp_extract_all(html, '<a href="/[A-F]')) AS BIGINT) AS links FROM pages),
+e AS (SELECT run_id, min(page_num) FILTER (WHERE links = 0) AS last FROM p GROUP BY run_id)
+SELECT p.run_id, page_num, links FROM p JOIN e USING (run_id) WHERE last IS NULL OR page_num < last"""
 MONTHS = "['януари','февруари','март','април','май','юни','юли','август','септември','октомври','ноември','декември']"
 SPACES = " || ".join(f"chr({c})" for c in (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
 _line = ", ".join(f"({i}, '{d}')" for i, d in enumerate(DATES))
@@ -151,9 +154,8 @@ ORACLES: dict[str, str] = {
     "currency_convert": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'BGN' ELSE 'EUR' END AS currency, CAST(round_even(CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice / 1.95583e0 ELSE o_totalprice END, 0) AS BIGINT) AS price_eur FROM orders",
     "dedup_first_wins": _deduped("page_num, pos"),
     "dedup_last_page_wins": _deduped("page_num DESC, pos"),
-    "pagination_prefix": """WITH p AS (SELECT page_id // 25 AS run_id, page_id % 25 + 1 AS page_num, CAST(len(regexp_extract_all(html, '<a href="/[A-F]')) AS BIGINT) AS links FROM pages),
-e AS (SELECT run_id, min(page_num) FILTER (WHERE links = 0) AS last FROM p GROUP BY run_id)
-SELECT p.run_id, page_num, links FROM p JOIN e USING (run_id) WHERE last IS NULL OR page_num < last""",
+    "pagination_prefix": PREFIX,
+    "pagination_prefix_state": PREFIX,
     "page_links": LINKS,
     "page_anchors": LINKS,
     "listing_key_extract": "SELECT page_id, 'demo_' || regexp_extract(url, '/([a-z]{2})/([0-9]+)', 2) AS listing_id, regexp_extract(url, '/([a-z]{2})/([0-9]+)', 1) AS lang FROM pages WHERE regexp_matches(url, '/([a-z]{2})/([0-9]+)')",

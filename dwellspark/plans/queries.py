@@ -19,6 +19,7 @@ from ..operators.listings import listings, offers_of_pages
 from ..session import shared_folder
 from ..sources import tables
 from ..sources.tables import table
+from ..streaming import pages as page_stream
 from ..streaming import state
 from . import fixtures
 from .adapters import event_snapshots, line_snapshots, order_snapshots, part_offers, part_pages
@@ -157,9 +158,23 @@ def dedup_last_page_wins(spark: SparkSession, folder: str) -> DataFrame:
     return _placed(dedup.last_page_wins(_event_listings(spark, folder)))
 
 
+def _numbered_pages(spark, folder):
+    links = F.regexp_count("html", F.lit('<a href="/[A-F]')).cast("bigint")
+    return table(spark, folder, "pages").select(F.lit("pages").alias("portal"), F.floor(F.col("page_id") / 25).alias("run_id"), (F.col("page_id") % 25 + 1).alias("page_num"), links.alias("links"))
+
+
 def pagination_prefix(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages").select(F.lit("pages").alias("portal"), F.floor(F.col("page_id") / 25).alias("run_id"), (F.col("page_id") % 25 + 1).alias("page_num"), F.regexp_count("html", F.lit('<a href="/[A-F]')).cast("bigint").alias("links"))
-    return dedup.until_stop(pages, F.col("links") == 0).select("run_id", "page_num", "links")
+    return dedup.until_stop(_numbered_pages(spark, folder), F.col("links") == 0).select("run_id", "page_num", "links")
+
+
+def pagination_prefix_state(spark: SparkSession, folder: str) -> DataFrame:
+    """As pagination_prefix, told by a stream to which the later pages of every run arrive before the earlier ones."""
+    base, pages = f"{shared_folder(spark)}/{uuid.uuid4()}", _numbered_pages(spark, folder)
+    for part in (F.col("page_num") > 12, F.col("page_num") <= 12):
+        pages.where(part).write.mode("append").parquet(f"{base}/landed")
+        stream = spark.readStream.schema(pages.schema).parquet(f"{base}/landed")
+        page_stream.follow_pages(stream, F.col("links") == 0, f"{base}/told", f"{base}/progress").awaitTermination()
+    return page_stream.counting_pages(spark, f"{base}/told").join(pages, ["portal", "run_id", "page_num"]).select("run_id", "page_num", "links")
 
 
 def page_links(spark: SparkSession, folder: str) -> DataFrame:
@@ -335,6 +350,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         area_baseline, area_baseline_by_portal, pct_vs_area, price_history_array, history_first_seen, history_latest, snapshot_append, run_counters, min_price_filter,
         currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip, unicode_strip_whole,
         embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_listings, portal_leads,
-        table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import, history_state, price_history_state, area_baseline_state,
+        table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import, pagination_prefix_state, history_state, price_history_state, area_baseline_state,
     )
 }

@@ -111,35 +111,48 @@ def baseline_of(changes: DataFrame, keys: Sequence[str] = ("portal", "area")) ->
     return sums.where("n_listings > 0").select(*keys, (F.col("total").cast("double") / F.col("n_listings")).alias("baseline"), "n_listings")
 
 
-def follow(snapshots: DataFrame, path: str, checkpoint: str, columns: Sequence[str] = ("area", "sqm"), keys: Sequence[str] = ("portal", "area"), available_now: bool = True, then: Callable[[int], None] | None = None) -> StreamingQuery:
-    """Starts a query that keeps histories in state; ``path`` gets ``listings``, the changed ones, and ``areas``, the changes of sums.
+def started(changed: DataFrame, checkpoint: str, write: Callable[[DataFrame, Callable], None], available_now: bool = True, then: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Starts a query over keyed state.  ``write`` gets each batch and ``put(rows, path)``, which writes a partition of the batch's own
+    and gives it read back, so that no batch is computed twice.
 
-    Both are partitioned by batch, and a batch that is run again writes over its own partition.  ``then`` is called
-    after a batch is written and before it is committed.
+    Partitions are named by the query's id and the batch's number, so a batch that is run again writes over what it
+    wrote.  ``then`` is called after a batch is written and before it is committed.
     """
-    spark = snapshots.sparkSession
-    started: list[StreamingQuery] = []
+    spark = changed.sparkSession
+    query: list[StreamingQuery] = []
     running = threading.Event()
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def each(batch: DataFrame, batch_id: int) -> None:
         running.wait()
-        name = f"{started[0].id}-{batch_id:012d}"
-        put = lambda rows, to: rows.withColumn("batch", F.lit(name)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(to)
-        put(batch, f"{path}/listings")
-        written = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/listings/batch={name}")
-        put(area_changes(written, keys), f"{path}/areas")
+        name = f"{query[0].id}-{batch_id:012d}"
+
+        def put(rows: DataFrame, to: str) -> DataFrame:
+            named = rows.withColumn("batch", F.lit(name))
+            named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(to)
+            return batch.sparkSession.read.schema(named.schema).parquet(to).where(F.col("batch") == name).drop("batch")
+
+        write(batch, put)
         if then:
             then(batch_id)
 
     usual = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKS)  # the query takes the session's settings as they are when it starts
     try:
-        writer = changed_listings(snapshots, columns).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
-        started.append((writer.trigger(availableNow=True) if available_now else writer).start())
+        writer = changed.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint)
+        query.append((writer.trigger(availableNow=True) if available_now else writer).start())
     finally:
         spark.conf.set(PROVIDER, usual) if usual else spark.conf.unset(PROVIDER)
     running.set()
-    return started[0]
+    return query[0]
+
+
+def follow(snapshots: DataFrame, path: str, checkpoint: str, columns: Sequence[str] = ("area", "sqm"), keys: Sequence[str] = ("portal", "area"), available_now: bool = True, then: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Starts a query that keeps histories in state; ``path`` gets ``listings``, the changed ones, and ``areas``, the changes of sums."""
+
+    def write(batch: DataFrame, put: Callable) -> None:
+        put(area_changes(put(batch, f"{path}/listings"), keys), f"{path}/areas")
+
+    return started(changed_listings(snapshots, columns), checkpoint, write, available_now, then)
 
 
 def current_listings(spark: SparkSession, path: str) -> DataFrame:

@@ -88,3 +88,23 @@ def test_the_session_keeps_its_state_store(spark, tmp_path):
     before = spark.conf.get(state.PROVIDER)
     followed(spark, str(tmp_path / "landed"), tmp_path).awaitTermination()
     assert spark.conf.get(state.PROVIDER) == before
+
+
+def test_pages_that_arrive_in_any_order(spark, tmp_path):
+    from dwellspark.operators import dedup
+    from dwellspark.streaming import pages
+
+    rng = random.Random(8)
+    rows = [(p, r, n, rng.random() < 0.08) for p in "ab" for r in ("r1", "r2", None) for n in rng.sample(range(1, 31), 25)]
+    rows += rng.sample(rows, 20) + [("a", "r1", None, True), ("c", "only", 1, True), ("c", "none", 2, None)]
+    rng.shuffle(rows)
+    schema, landed = "portal string, run_id string, page_num int, stops boolean", str(tmp_path / "landed")
+    withdrawn = 0
+    for batch in range(0, len(rows), 40):
+        spark.createDataFrame(rows[batch : batch + 40], schema).coalesce(1).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(schema).parquet(landed)
+        pages.follow_pages(stream, F.col("stops"), str(tmp_path / "told"), str(tmp_path / "progress")).awaitTermination()
+        want = dedup.until_stop(spark.read.schema(schema).parquet(landed).where("page_num is not null"), F.coalesce("stops", F.lit(False))).select("portal", "run_id", "page_num").distinct()
+        assert rows_of(pages.counting_pages(spark, str(tmp_path / "told")), "portal", "run_id", "page_num") == rows_of(want, "portal", "run_id", "page_num")
+        withdrawn = spark.read.parquet(str(tmp_path / "told")).where("change < 0").count()
+    assert withdrawn > 5
