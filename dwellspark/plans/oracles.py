@@ -189,4 +189,7 @@ SELECT line_no, CASE WHEN g.label LIKE 'днес%' THEN '2026-08-21 09:30:00' WH
   last(price_eur ORDER BY seen_at, seq) FILTER (WHERE price_eur <> 0) AS last_price, last(area ORDER BY seen_at, seq) AS area, last(sqm ORDER BY seen_at, seq) AS sqm FROM ({EVENTS}) GROUP BY portal, id""",
     "price_history_state": f"SELECT id, count(*) AS n_prices, string_agg(CAST(price_eur AS VARCHAR), ',' ORDER BY seen_at, seq) AS price_history FROM ({EVENTS}) WHERE price_eur <> 0 GROUP BY id",
     "area_baseline_state": _leads(EVENTS, EVENTS_AS_OF, "SELECT area, round(baseline, 6) AS baseline, n_listings FROM base"),
+    "history_bucketed": f"""SELECT portal, id, min(seen_at) AS first_seen, first(price_eur ORDER BY seen_at, seq) FILTER (WHERE price_eur <> 0) AS first_price,
+  last(price_eur ORDER BY seen_at, seq) FILTER (WHERE price_eur <> 0) AS last_price, last(area ORDER BY seen_at, seq) AS area, last(sqm ORDER BY seen_at, seq) AS sqm FROM ({EVENTS}) GROUP BY portal, id""",
+    "leads_published": _leads(EVENTS, EVENTS_AS_OF, RANKED),
 }

@@ -17,6 +17,7 @@ from ..operators import dedup, history, leads, ranking
 from ..operators.cards import anchors, cards
 from ..operators.listings import listings, offers_of_pages
 from ..session import shared_folder
+from ..sources import snapshots as bucketed
 from ..sources import tables
 from ..sources.tables import table
 from ..streaming import pages as page_stream
@@ -316,6 +317,26 @@ def history_import(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("portal", "id", "seq", "price_eur", "area", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss").alias("seen_at"), F.col("bad_record").isNotNull().alias("unreadable"))
 
 
+def history_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """First sight, prices and latest columns from a bucketed table of two runs, the first compacted: no exchange."""
+    name, snaps = f"snapshots_{uuid.uuid4().hex}", event_snapshots(spark, folder)
+    early, buckets, path = F.col("seen_at") < "2024-01-16", int(spark.conf.get("spark.sql.shuffle.partitions")), shared_folder(spark)
+    bucketed.append_run(snaps.where(early).withColumn("run_id", F.lit("run-1")), name, buckets, path)
+    bucketed.compact(spark, name, buckets, path)
+    for _ in range(2):  # a run that is appended again replaces itself
+        bucketed.append_run(snaps.where(~early).withColumn("run_id", F.lit("run-2")), name)
+    rows = history.histories(bucketed.snapshots(spark, name), ("area", "sqm"))
+    return rows.select("portal", "id", "first_seen", "first_price", "last_price", "latest.area", "latest.sqm")
+
+
+def leads_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Leads of the first days, then of all, published in one place; what a reader gets last."""
+    path, snaps = f"{shared_folder(spark)}/{uuid.uuid4()}", event_snapshots(spark, folder)
+    for known in (snaps.where(F.col("seen_at") < "2024-01-16"), snaps):
+        tables.publish_leads(leads.leads(known, _time(EVENTS_AS_OF)), path)
+    return tables.published_leads(spark, path).select("id", "score", "rank")
+
+
 def _followed(spark: SparkSession, folder: str) -> str:
     """Events landed in two parts and followed by a query that ends after the first and is started again for the second."""
     base, snaps = f"{shared_folder(spark)}/{uuid.uuid4()}", event_snapshots(spark, folder)
@@ -350,6 +371,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         area_baseline, area_baseline_by_portal, pct_vs_area, price_history_array, history_first_seen, history_latest, snapshot_append, run_counters, min_price_filter,
         currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip, unicode_strip_whole,
         embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_listings, portal_leads,
-        table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import, pagination_prefix_state, history_state, price_history_state, area_baseline_state,
+        table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import, history_bucketed, leads_published, pagination_prefix_state, history_state, price_history_state, area_baseline_state,
     )
 }
