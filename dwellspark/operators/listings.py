@@ -9,7 +9,7 @@ from ..functions.dates import updated_at
 from ..functions.links import absolute
 from ..functions.money import to_eur
 from ..functions.places import DEFAULT_AREA, area_of_location, without_repeated_head
-from ..functions.text import captured, decimal_number, digits, first_line, lines_of, not_empty, stripped, whole
+from ..functions.text import captured, decimal_number, digits, first_line, lines_of, not_empty, stripped, unicode_pattern, whole
 from ..schema import OFFERS_JSON
 from ..session import checkpointed
 from .cards import cards
@@ -23,7 +23,7 @@ SIZE_LINE = {"imot.bg": r"([\d.,]+)\s?кв\.?м", "imoti.bg": r"([\d.,]+)\s?кв
 AREA_LINE = {"bazar.bg": r"^гр\.\s*София,\s*(.+)$", "imot.bg": r"^град София,\s*(.+)$", "imoti.bg": r"^София,\s*(.+)$", "olx.bg": r"^гр\.\s*София,\s*(.+?)\s-\s"}
 NET_SIZE, NET_TITLE = r"(\d+)\s?м\s?2", r"for sale (.{5,90}?)\s+[\d\s]{2,10}\s?€"
 ALO_SIZE, ALO_AREA = r"Квадратура:\s*([\d.,]+)\s?кв\.?м", r"((?:[А-Я][а-я]*\s+){0,3}[А-Я][а-я]*(?:\s+\d+)?),\s*София"
-HOMES_STATE, HOMES_SIZE, HOMES_PHOTOS = r"window\.__PRELOADED_STATE__\s*=\s*(\{.*?\});", r"(\d+)\s?m²", "https://g1.homes.bg/"
+HOMES_STATE, HOMES_SIZE, HOMES_PHOTOS = r"window\.__PRELOADED_STATE__\s*=\s*(?=\{)", r"(\d+)\s?m²", "https://g1.homes.bg/"
 
 FIELDS = ("id", "url", "photo", "photos", "description", "price_eur", "sqm", "area", "title", "site_updated_at")
 
@@ -122,9 +122,25 @@ def listings_of_cards(cards: DataFrame) -> DataFrame:
     return rows.select("portal", "run_id", "page_num", "pos", *FIELDS)
 
 
+def embedded_state(html: Column) -> Column:
+    """The object assigned in a page's script: up to the first ``};`` that is outside its strings; null without one.
+
+    What follows the assignment is cut at every ``};``.  A cut counts if an even number of quotes, escaped ones apart,
+    stands before it.  An object that doesn't end is all that follows.
+    """
+    after = F.split(html, unicode_pattern(HOMES_STATE), 2)
+    parts = F.split(F.get(after, F.lit(1)), r"\};")
+    odd = F.transform(parts, lambda p: F.length(F.regexp_replace(p, r'\\.|[^"\\]+', "")) % 2)
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("inside"), F.lit(False).alias("done"))
+    step = lambda acc, x: F.struct((acc["n"] + 1).alias("n"), ((acc["inside"] + x) % 2).alias("inside"), ((acc["inside"] + x) % 2 == 0).alias("done"))
+    ended = F.aggregate(F.slice(odd, F.lit(1), F.greatest(F.size(odd) - 1, F.lit(0))), start, lambda acc, x: F.when(acc["done"], acc).otherwise(step(acc, x)))
+    whole = F.concat(F.array_join(F.slice(parts, F.lit(1), ended["n"]), "};"), F.lit("}"))
+    return F.when(ended["done"], whole).otherwise(F.get(after, F.lit(1)))
+
+
 def offers_of_pages(pages: DataFrame) -> DataFrame:
     """The pages with the offers embedded in them and whether more follow; a state without readable offers is in ``bad_record``."""
-    state = captured(F.col("html"), "(?s)" + HOMES_STATE)
+    state = embedded_state(F.col("html"))
     offers = F.from_json(state, OFFERS_JSON)["data"]["offers"]
     return pages.withColumns({
         "has_state": state.isNotNull(), "offers": offers["result"], "has_more": F.coalesce(offers["hasMoreItems"], F.lit(False)),

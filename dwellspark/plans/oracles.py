@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .queries import DATES, EVENTS_AS_OF, LINES_AS_OF, ORDERS_AS_OF
+from .adapters import HARD
+from .queries import EVENTS_AS_OF, LINES_AS_OF, ORDERS_AS_OF
 
 LINES = """SELECT {portal} AS portal, l_partkey AS id, l_shipdate AS seen_at, l_orderkey * 100 + l_linenumber AS seq,
   CAST(round_even(l_extendedprice, 0) AS BIGINT) AS price_eur, p_brand AS area, CAST(p_size AS BIGINT) AS sqm, CAST(NULL AS TIMESTAMP) AS site_updated_at
@@ -44,7 +45,6 @@ e AS (SELECT run_id, min(page_num) FILTER (WHERE links = 0) AS last FROM p GROUP
 SELECT p.run_id, page_num, links FROM p JOIN e USING (run_id) WHERE last IS NULL OR page_num < last"""
 MONTHS = "['януари','февруари','март','април','май','юни','юли','август','септември','октомври','ноември','декември']"
 SPACES = " || ".join(f"chr({c})" for c in (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
-_line = ", ".join(f"({i}, '{d}')" for i, d in enumerate(DATES))
 
 
 def _deduped(order: str) -> str:
@@ -53,61 +53,13 @@ def _deduped(order: str) -> str:
 SELECT run_id, id, page_num, pos, price_eur, title, first_page, first_pos FROM r WHERE n = 1"""
 
 
-def _values(name: str, rows: tuple[tuple, ...], columns: str) -> str:
-    """``name`` as a relation of literal rows; ``columns`` are "name TYPE", joined by commas."""
-    cell = lambda x: "NULL" if x is None else str(x) if isinstance(x, (int, float)) else "'" + x.replace("'", "''") + "'"
-    pairs = [c.split() for c in columns.split(", ")]
-    body = ", ".join("(" + ", ".join(cell(x) for x in r) + ")" for r in rows)
-    return f"{name} AS (SELECT {', '.join(f'CAST({c} AS {t}) AS {c}' for c, t in pairs)} FROM (VALUES {body}) v({', '.join(c for c, _ in pairs)}))"
-
-
-# Worked out by hand from the fixture pages: what the card of each link holds, and the listings.
-CENTRE = "Тристаен в центъра"
-CLIMBED = (
-    ("alo.bg", 1, 0, "1234567", True, "Цена : 125\u00a0000 € Квадратура: 90,4 кв.м Люлин 5 Люлин 7, София"),
-    ("alo.bg", 1, 1, "7654321", True, "Двустаен Цена:   €"),
-    ("bazar.bg", 1, 0, "7001", True, "Двустаен 88 500 € гр. София, Надежда"),
-    ("bazar.bg", 2, 0, "7001", True, "Двустаен 87 000 € гр. София, Надежда"),
-    ("imot.bg", 1, 0, "1a1234567890", True, f"{CENTRE} 125\u00a0000 € град София, Лозенец 85,5 кв.м"),
-    ("imot.bg", 1, 1, "1b1234567890", False, None),
-    ("imot.bg", 1, 2, "1c1234567890", True, f"{CENTRE} 999 € 50 кв.м"),
-    ("imot.bg", 2, 0, "1a1234567890", True, f"{CENTRE} 120 000 € град София, Лозенец"),
-    ("imot.bg", 2, 1, "1d1234567890", True, f"{CENTRE} 1 000 € 1.234,5 кв.м"),
-    ("imot.bg", 4, 0, "1e1234567890", True, f"{CENTRE} 77 000 €"),
-    ("imoti.bg", 1, 0, "54321", True, "виж 210 000 EUR Мезонет София, Център 140 кв.м."),
-    ("imoti.bg", 2, 0, "54321", True, "Обяви виж 205 000 EUR Мезонет София, Център"),
-    ("imoti.net", 1, 0, "123456", True, "for sale Two-bedroom flat, Sofia, Lozenets 100 000 € / 195 583 BGN, 80 м 2"),
-    ("imoti.net", 1, 1, "123457", True, "x 250 000 BGN"),
-    ("olx.bg", 1, 0, "a1B2", True, f"{CENTRE} 99 000 € гр. София, Люлин - Обновено на 20 август 2026 г. 60 кв.м - 1650"),
-    ("olx.bg", 1, 1, "zz9", True, f"{CENTRE} 55 000 € гр. София, Младост - ДНЕС"),
-    ("olx.bg", 1, 2, "zz8", True, f"{CENTRE} 56 000 € гр. София, Дружба - Обновено на 30 февруари 2026 г."),
-)
-OLX, HOMES = "https://www.olx.bg/d/ad/", "https://www.homes.bg/offer/"
-LISTINGS = (
-    ("alo.bg", "alo_1234567", 1, "https://www.alo.bg/tristaen-apartament-1234567", "https://www.alo.bg/photo.jpg", None, None, 125000, 90, "Люлин 7", CLIMBED[0][5], None, 1000000),
-    ("bazar.bg", "bazar_7001", 2, "https://bazar.bg/obiava-7001/dvustaen", None, None, None, 87000, None, "Надежда", "Двустаен", None, 1000000),
-    ("homes.bg", "homes_11", 1, HOMES + "11", "https://g1.homes.bg/a/bb.jpg", "https://g1.homes.bg/a/bb.jpg", None, 125000, 70, "Изток", "Апартамент, 70m², Изток, София", None, 1000000),
-    ("homes.bg", "homes_12", 1, HOMES + "12", None, "https://g1.homes.bg/c/db.jpg", "светло", 500, None, "Sofia", "Ателие, , София", None, 1000001),
-    ("homes.bg", "homes_13", 3, HOMES + "13", None, "", None, 1, None, "Бояна", "Къща, Бояна, София", None, 3000000),
-    ("imot.bg", "imot_1a1234567890", 1, "https://www.imot.bg/obiava-1a1234567890-tristaen", "https://www.imot.bg/img/x.jpg", None, None, 125000, 86, "Лозенец", f"{CENTRE}, Лозенец", None, 1000000),
-    ("imot.bg", "imot_1d1234567890", 2, "https://www.imot.bg/obiava-1d1234567890-tristaen", "https://cdn.example/y.jpg", None, None, 1000, None, "Sofia", f"{CENTRE}, Sofia", None, 2000001),
-    ("imoti.bg", "imotibg_54321", 2, "https://imoti.bg/продажби/мезонет/софия/мезонет-център-54321.htm", None, None, None, 205000, None, "Център", "виж, Център", None, 1000000),
-    ("imoti.net", "123456", 1, "https://www.imoti.net/en/obiava/prodava-apartament/123456/", "https://www.imoti.net/p/1.jpg", None, None, 100000, 80, None, "Two-bedroom flat, Sofia, Lozenets", None, 1000000),
-    ("olx.bg", "olx_a1B2", 1, OLX + "apartament-CID1-IDa1B2.html", "https://cdn.example/z.jpg", None, None, 99000, 60, "Люлин", f"{CENTRE}, Люлин", "2026-08-20 00:00:00", 1000000),
-    ("olx.bg", "olx_zz9", 1, OLX + "studio-CID1-IDzz9.html", None, None, None, 55000, None, "Младост", f"{CENTRE}, Младост", "2026-08-21 09:30:00", 1000001),
-    ("olx.bg", "olx_zz8", 1, OLX + "studio-CID1-IDzz8.html", None, None, None, 56000, None, "Дружба", f"{CENTRE}, Дружба", None, 1000002),
-)
-LISTED_ROWS = _values("listed", LISTINGS, "portal VARCHAR, id VARCHAR, page_num INTEGER, url VARCHAR, photo VARCHAR, photos VARCHAR, description VARCHAR, price_eur BIGINT, sqm BIGINT, area VARCHAR, title VARCHAR, site_updated_at VARCHAR, ordinal BIGINT")
-RUNS = f"""WITH {LISTED_ROWS}, runs AS (SELECT TIMESTAMP '2026-08-21 09:30:00' AS seen_at, price_eur AS price, * FROM listed UNION ALL SELECT TIMESTAMP '2026-09-21 09:30:00', CAST(round_even(price_eur * 0.9e0, 0) AS BIGINT), * FROM listed)
-SELECT portal, id, seen_at, ordinal AS seq, price AS price_eur, CASE WHEN portal = 'imoti.net' THEN 'Lozenets' ELSE area END AS area, sqm, CAST(site_updated_at AS TIMESTAMP) AS site_updated_at FROM runs"""
-LEADS = f"""SELECT leads.portal, leads.id, strftime(first_seen, '%Y-%m-%d %H:%M:%S') AS first_seen, first_price, leads.price_eur, url, photo, description, leads.sqm, leads.area, title, more.site_updated_at, drop_pct, days_on_market, score,
-  price_per_sqm, area_avg_price_per_sqm, pct_vs_area_avg, CASE WHEN leads.portal = 'imoti.net' THEN first_price || ',' || leads.price_eur END AS price_history,
-  row_number() OVER (ORDER BY score DESC, first_seq, leads.portal, leads.id) AS rank FROM leads JOIN (WITH {LISTED_ROWS} SELECT * FROM listed) more ON leads.id = more.id"""
-
-PLACES = "SELECT *, p_brand AS run_id, CAST(p_size % 4 + 1 AS INTEGER) AS page_num, 900 + p_partkey * 37 % 5000 AS price FROM part"
+PLACES = "SELECT *, p_brand || '-' || p_partkey // 3000 AS run_id, CAST(p_size % 4 + 1 AS INTEGER) AS page_num, 900 + p_partkey * 37 % 5000 AS price FROM part"
+#: What the date of a card tells that is told in one of seven ways.
+TOLD = """CASE {n} % 7 WHEN 0 THEN '2026-08-21 09:30:00' WHEN 1 THEN '2026-08-20 09:30:00' WHEN 2 THEN strftime(make_date(2025, {n} % 12 + 1, {n} % 28 + 1), '%Y-%m-%d 00:00:00') WHEN 3 THEN strftime(make_date(2025, {n} % 12 + 1, {n} % 28 + 1), '%Y-%m-%d 00:00:00') END"""
 CARDS = f"""WITH p AS ({PLACES}), c AS (SELECT *, ['imot.bg', 'imoti.bg', 'olx.bg', 'bazar.bg', 'alo.bg', 'imoti.net'][p_partkey % 6 + 1] AS portal FROM p),
 pos AS (SELECT *, row_number() OVER (PARTITION BY portal, run_id, page_num ORDER BY p_partkey) - 1 AS pos FROM c),
-good AS (SELECT *, portal = 'imoti.net' OR price >= 1000 AND NOT (portal = 'imoti.bg' AND p_size % 3 = 0) AS valid FROM pos),
+good AS (SELECT *, portal = 'imoti.net' OR price >= 1000 AND NOT (portal = 'imoti.bg' AND p_size % 3 = 0) AND NOT (portal = 'imot.bg' AND p_partkey % 11 IN (3, 5)) AS valid,
+  portal = 'imoti.bg' AND p_partkey % 11 = 5 AS inner_only FROM pos),
 stops AS (SELECT portal, run_id, min(page_num) AS stop FROM (SELECT portal, run_id, page_num, count(*) FILTER (WHERE valid) AS n, count(*) FILTER (WHERE NOT (portal = 'imoti.bg' AND p_size % 3 = 0)) AS links FROM good GROUP BY ALL)
   WHERE CASE WHEN portal IN ('bazar.bg', 'imoti.bg') THEN n ELSE links END = 0 GROUP BY portal, run_id)
 SELECT g.portal, g.run_id, CASE portal WHEN 'imot.bg' THEN 'imot_1a' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') WHEN 'imoti.bg' THEN 'imotibg_' || (100000 + p_partkey) WHEN 'olx.bg' THEN 'olx_' || p_partkey
@@ -118,18 +70,38 @@ SELECT g.portal, g.run_id, CASE portal WHEN 'imot.bg' THEN 'imot_1a' || lpad(CAS
   CASE portal WHEN 'imot.bg' THEN 'https://cdn.example/' || p_partkey || '.jpg' WHEN 'olx.bg' THEN 'https://cdn.example/' || p_partkey || '.jpg' WHEN 'bazar.bg' THEN 'https://bazar.bg/i/' || p_partkey || '.jpg'
     WHEN 'alo.bg' THEN 'https://www.alo.bg/i/' || p_partkey || '.jpg' END AS photo,
   CAST(NULL AS VARCHAR) AS photos, CAST(NULL AS VARCHAR) AS description, CAST(CASE portal WHEN 'imoti.net' THEN round_even(2 * price / 1.95583e0, 0) ELSE price END AS BIGINT) AS price_eur,
-  CAST(CASE portal WHEN 'bazar.bg' THEN NULL WHEN 'imot.bg' THEN round_even(p_size + 0.5e0, 0) WHEN 'alo.bg' THEN round_even(p_size + 0.5e0, 0) ELSE p_size END AS BIGINT) AS sqm,
-  CASE portal WHEN 'imoti.net' THEN NULL WHEN 'alo.bg' THEN 'Люлин ' || (p_size % 9) ELSE p_brand END AS area,
-  CASE portal WHEN 'imoti.bg' THEN price || ' EUR, ' || p_brand WHEN 'bazar.bg' THEN p_name WHEN 'alo.bg' THEN p_name WHEN 'imoti.net' THEN p_name || ', Sofia, ' || p_brand ELSE p_name || ', ' || p_brand END AS title,
-  CASE portal WHEN 'olx.bg' THEN '2026-08-20 09:30:00' END AS site_updated_at, CAST(page_num * 1000000 + pos AS BIGINT) AS ordinal
+  CAST(CASE WHEN inner_only THEN NULL WHEN portal = 'bazar.bg' THEN NULL WHEN portal = 'imot.bg' THEN round_even(p_size + 0.5e0, 0) WHEN portal = 'alo.bg' THEN round_even(p_size + 0.5e0, 0) ELSE p_size END AS BIGINT) AS sqm,
+  CASE WHEN inner_only THEN 'Sofia' WHEN portal = 'imoti.net' THEN NULL WHEN portal = 'alo.bg' THEN 'Люлин ' || (p_size % 9) ELSE p_brand END AS area,
+  CASE portal WHEN 'imoti.bg' THEN price || ' EUR, ' || CASE WHEN inner_only THEN 'Sofia' ELSE p_brand END WHEN 'bazar.bg' THEN p_name WHEN 'alo.bg' THEN p_name WHEN 'imoti.net' THEN p_name || ', Sofia, ' || p_brand ELSE p_name || ', ' || p_brand END AS title,
+  CASE WHEN portal = 'olx.bg' THEN {TOLD.format(n="p_partkey")} END AS site_updated_at, CAST(page_num * 1000000 + pos AS BIGINT) AS ordinal
 FROM good g LEFT JOIN stops USING (portal, run_id) WHERE valid AND (stop IS NULL OR page_num < stop)"""
-OFFERS = f"""WITH p AS ({PLACES}), broken AS (SELECT DISTINCT run_id, page_num FROM p WHERE page_num = 2 AND ends_with(run_id, '3')),
+OFFERS = f"""WITH p AS ({PLACES}), broken AS (SELECT DISTINCT run_id, page_num FROM p WHERE page_num = 2 AND regexp_matches(run_id, '3-[0-9]+$')),
 pos AS (SELECT *, row_number() OVER (PARTITION BY run_id, page_num ORDER BY p_partkey) - 1 AS pos, CAST(floor(p_retailprice * 10) AS BIGINT) AS amount, 'https://g1.homes.bg/' AS base FROM p)
 SELECT 'homes.bg' AS portal, pos.run_id, 'homes_' || p_partkey AS id, pos.page_num, 'https://www.homes.bg/offer/' || p_partkey AS url, CASE WHEN p_partkey % 3 = 1 THEN base || 'a/' || p_partkey || 'b.jpg' END AS photo,
   CASE p_partkey % 3 WHEN 0 THEN base || 'p/' || p_partkey || 'b.jpg' WHEN 1 THEN base || 'a/' || p_partkey || 'b.jpg' ELSE '' END AS photos, CASE WHEN p_partkey % 5 <> 0 THEN p_type END AS description,
-  CAST(CASE WHEN p_partkey % 2 = 0 THEN round_even(amount / 1.95583e0, 0) ELSE amount END AS BIGINT) AS price_eur, CAST(p_size AS BIGINT) AS sqm, p_brand AS area, p_name || ', ' || p_size || 'm², ' || p_brand || ', София' AS title,
+  CAST(CASE WHEN p_partkey % 2 = 0 THEN round_even(amount / 1.95583e0, 0) ELSE amount END AS BIGINT) AS price_eur, CAST(p_size AS BIGINT) AS sqm, p_brand AS area, p_name || CASE WHEN p_partkey % 5 = 2 THEN '{HARD}' ELSE '' END || ', ' || p_size || 'm², ' || p_brand || ', София' AS title,
   CAST(pos.page_num * 1000000 + pos AS BIGINT) AS ordinal FROM pos LEFT JOIN broken USING (run_id) WHERE broken.run_id IS NULL OR pos.page_num < broken.page_num"""
 
+LISTED_COLUMNS = "portal, id, page_num, url, photo, photos, description, price_eur, sqm, area, title, site_updated_at, ordinal"
+LISTED_ROWS = f"listed AS (SELECT {LISTED_COLUMNS} FROM ({CARDS}) UNION ALL SELECT {LISTED_COLUMNS.replace('site_updated_at', 'NULL')} FROM ({OFFERS}))"
+RUNS = f"""WITH {LISTED_ROWS}, runs AS (SELECT TIMESTAMP '2026-08-21 09:30:00' AS seen_at, price_eur AS price, * FROM listed UNION ALL SELECT TIMESTAMP '2026-09-21 09:30:00', CAST(round_even(price_eur * 0.9e0, 0) AS BIGINT), * FROM listed)
+SELECT portal, id, seen_at, ordinal AS seq, price AS price_eur, CASE WHEN portal = 'imoti.net' THEN string_split(title, ', ')[3] ELSE area END AS area, sqm, CAST(site_updated_at AS TIMESTAMP) AS site_updated_at FROM runs"""
+LEADS = f"""SELECT leads.portal, leads.id, strftime(first_seen, '%Y-%m-%d %H:%M:%S') AS first_seen, first_price, leads.price_eur, url, photo, photos, description, leads.sqm, leads.area, title, more.site_updated_at, drop_pct, days_on_market, score,
+  price_per_sqm, area_avg_price_per_sqm, pct_vs_area_avg, CASE WHEN leads.portal = 'imoti.net' THEN first_price || ',' || leads.price_eur END AS price_history,
+  row_number() OVER (ORDER BY score DESC, first_seq, leads.portal, leads.id) AS rank FROM leads JOIN (WITH {LISTED_ROWS} SELECT * FROM listed) more ON leads.portal = more.portal AND leads.id = more.id"""
+SAID = """CASE p_partkey % 7 WHEN 0 THEN 'ДНЕС' WHEN 1 THEN 'вчера' WHEN 2 THEN 'Обновено на ' || (p_partkey % 28 + 1) || ' ' || MONTHS[p_partkey % 12 + 1] || ' 2025 г.' WHEN 3 THEN 'обновено на  ' || (p_partkey % 28 + 1) || ' ' || upper(MONTHS[p_partkey % 12 + 1]) || ' 2025г'
+  WHEN 4 THEN 'Обновено на 30 февруари 2025 г.' WHEN 5 THEN 'Обновено на ' || (p_partkey % 28 + 1) || ' brumaire 2025 г.' ELSE 'нищо' END""".replace("MONTHS", MONTHS)
+CLIMBED = f"""WITH p AS ({PLACES}), c AS (SELECT *, ['imot.bg', 'imoti.bg', 'olx.bg', 'bazar.bg', 'alo.bg', 'imoti.net'][p_partkey % 6 + 1] AS portal, p_partkey % 11 AS nth FROM p),
+pos AS (SELECT *, CAST(row_number() OVER (PARTITION BY portal, run_id, page_num ORDER BY p_partkey) - 1 AS INTEGER) AS pos FROM c)
+SELECT portal, run_id, page_num, pos, CASE portal WHEN 'imot.bg' THEN '1a' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') WHEN 'imoti.bg' THEN CAST(100000 + p_partkey AS VARCHAR) WHEN 'alo.bg' THEN CAST(1000000 + p_partkey AS VARCHAR) ELSE CAST(p_partkey AS VARCHAR) END AS key,
+  NOT (portal = 'imot.bg' AND nth IN (3, 5)) AS has_card,
+  CASE portal WHEN 'imot.bg' THEN CASE WHEN nth NOT IN (3, 5) THEN p_name || ' ' || price || chr(160) || '€ град София, ' || p_brand || ' ' || p_size || ',5 кв.м' END
+    WHEN 'imoti.bg' THEN p_name || ' ' || price || ' EUR' || CASE WHEN nth = 5 THEN '' ELSE ' София, ' || p_brand || ' ' || p_size || ' кв.м.' END
+    WHEN 'olx.bg' THEN p_name || ' ' || price || ' € гр. София, ' || p_brand || ' - ' || {SAID} || ' ' || p_size || ' кв.м - 9' WHEN 'bazar.bg' THEN p_name || ' ' || price || ' € гр. София, ' || p_brand
+    WHEN 'alo.bg' THEN p_name || ' Цена : ' || price || ' € Квадратура: ' || p_size || '.5 кв.м Люлин ' || (p_size % 3) || ' Люлин ' || (p_size % 9) || ', София'
+    ELSE 'for sale ' || p_name || ', Sofia, ' || p_brand || ' ' || price || ' € / ' || 2 * price || ' BGN, ' || p_size || ' м 2' END AS card_text
+FROM pos WHERE NOT (portal = 'imoti.bg' AND p_size % 3 = 0)"""
+
 
 ORACLES: dict[str, str] = {
     "lead_metrics": _leads(PARTS, "2002-01-01", METRICS, "area"),
@@ -171,17 +143,13 @@ l AS (SELECT *, list_max(list_filter(range(1, 5), lambda i: ws[i] = ws[1])) AS l
 SELECT p_partkey, area, array_to_string(ws[last:], ' ') AS short_area FROM l""",
     "area_from_title": """SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN p_brand WHEN 1 THEN p_brand ELSE 'Sofia' END AS area FROM part""",
     "area_from_location": "SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN p_brand WHEN 1 THEN 'Sofia' ELSE p_type END AS area FROM part",
-    "localized_date_parse": f"""WITH l(line_no, line) AS (VALUES {_line}),
-m AS (SELECT CAST(line_no AS BIGINT) AS line_no, regexp_extract(lower(line), '-\\s*(днес|вчера|обновено на\\s+([0-9]+)\\s+(\\S+)\\s+([0-9]{{4}})\\s*г)', ['label', 'day', 'month', 'year']) AS g FROM l)
-SELECT line_no, CASE WHEN g.label LIKE 'днес%' THEN '2026-08-21 09:30:00' WHEN g.label LIKE 'вчера%' THEN '2026-08-20 09:30:00'
-  WHEN list_position({MONTHS}, g.month) > 0 THEN strftime(try_strptime(g.year || '-' || list_position({MONTHS}, g.month) || '-' || g.day, '%Y-%m-%d'), '%Y-%m-%d %H:%M:%S') END AS updated_at FROM m""",
+    "localized_date_parse": f"SELECT o_orderkey, {TOLD.format(n='o_orderkey')} AS updated_at FROM orders",
     "multi_portal_union": f"SELECT portal, count(*) AS n_snapshots, count(DISTINCT id) AS n_listings, count(sqm) AS n_sized, count(site_updated_at) AS n_dated FROM ({PARTS} UNION ALL {EVENTS} UNION ALL {ORDERS}) GROUP BY portal",
-    "container_climb": f"WITH {_values('climbed', CLIMBED, 'portal VARCHAR, page_num INTEGER, pos INTEGER, key VARCHAR, has_card BOOLEAN, card_text VARCHAR')} SELECT * FROM climbed",
-    "portal_listings": f"WITH {LISTED_ROWS} SELECT *, 'run-1' AS run_id FROM listed",
+    "container_climb": CLIMBED,
     "portal_leads": _leads(RUNS, "2026-11-29 09:30:00", LEADS, site=True),
     "table_listings": CARDS,
     "embedded_offers": OFFERS,
-    "embedded_bad_records": f"SELECT DISTINCT run_id, page_num FROM ({PLACES}) WHERE page_num = 2 AND ends_with(run_id, '3')",
+    "embedded_bad_records": f"SELECT DISTINCT run_id, page_num FROM ({PLACES}) WHERE page_num = 2 AND regexp_matches(run_id, '3-[0-9]+$')",
     "snapshot_round_trip": _leads(EVENTS, EVENTS_AS_OF, RANKED),
     "history_import": f"""SELECT portal, CAST(id AS VARCHAR) AS id, row_number() OVER (PARTITION BY id ORDER BY seen_at, seq) - 1 AS seq, price_eur, last_value(area) OVER (PARTITION BY id ORDER BY seen_at, seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS area,
   strftime(seen_at, '%Y-%m-%d %H:%M:%S') AS seen_at, false AS unreadable FROM ({EVENTS}) UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, true""",

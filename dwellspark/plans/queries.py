@@ -16,14 +16,13 @@ from ..functions.text import captured, lines_of, stripped, truthy, whole
 from ..operators import dedup, history, leads, ranking
 from ..operators.cards import anchors, cards
 from ..operators.listings import listings, offers_of_pages
-from ..session import shared_folder
+from ..session import checkpointed, shared_folder
 from ..sources import snapshots as bucketed
 from ..sources import tables
 from ..sources.tables import table
 from ..streaming import pages as page_stream
 from ..streaming import state
-from . import fixtures
-from .adapters import event_snapshots, line_snapshots, order_snapshots, part_offers, part_pages
+from .adapters import event_snapshots, line_snapshots, order_snapshots, part_offers, part_pages, told_date
 
 LINES_AS_OF, EVENTS_AS_OF, ORDERS_AS_OF = "1995-06-01", "2024-02-01", "2001-09-01"
 METRICS = ("portal", "id", "price_eur", "area", "sqm", "drop_pct", "days_on_market", "score", "price_per_sqm", "area_avg_price_per_sqm", "pct_vs_area_avg")
@@ -240,12 +239,11 @@ def area_from_location(spark: SparkSession, folder: str) -> DataFrame:
     return parts.select("p_partkey", area_of_location(place).alias("area"))
 
 
-DATES = ("- Обновено на 20 август 2026 г.", "гр. София - ДНЕС", "x - вчера", "- Обновено на 30 февруари 2026 г.", "- Обновено на 1 foo 2026 г.", "нищо", "- обновено на 5 май 2025г")
-
-
 def localized_date_parse(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.createDataFrame(list(enumerate(DATES)), "line_no bigint, line string")
-    return rows.select("line_no", F.date_format(updated_at(F.col("line"), _time("2026-08-21 09:30:00")), "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
+    """A card's line for every order, its date told in seven ways, and what is read from it."""
+    order, now = F.col("o_orderkey"), _time("2026-08-21 09:30:00")
+    rows = table(spark, folder, "orders").select("o_orderkey", F.concat(F.lit("гр. София, x - "), told_date(order % 7, order)).alias("line"))
+    return rows.select("o_orderkey", F.date_format(updated_at(F.col("line"), now), "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
 
 
 def multi_portal_union(spark: SparkSession, folder: str) -> DataFrame:
@@ -255,7 +253,8 @@ def multi_portal_union(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def container_climb(spark: SparkSession, folder: str) -> DataFrame:
-    return cards(fixtures.pages(spark)).select("portal", "page_num", "pos", "key", "has_card", "card_text")
+    """The cards of all links on the parts' pages, those without one too."""
+    return cards(part_pages(spark, folder)).select("portal", "run_id", "page_num", "pos", "key", "has_card", "card_text")
 
 
 def _shown(rows: DataFrame) -> DataFrame:
@@ -265,17 +264,13 @@ def _shown(rows: DataFrame) -> DataFrame:
     return rows.withColumn("site_updated_at", F.date_format("site_updated_at", "yyyy-MM-dd HH:mm:ss"))
 
 
-def portal_listings(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(listings(fixtures.pages(spark)))
-
-
 def portal_leads(spark: SparkSession, folder: str) -> DataFrame:
-    """From pages to leads: two runs of the fixture pages, the second cheaper by a tenth, asked for 100 days later."""
-    found = listings(fixtures.pages(spark))
+    """From pages to leads: two runs over the parts' pages of all portals, the second cheaper by a tenth, asked for 100 days later."""
+    found = checkpointed(listings(part_pages(spark, folder).unionByName(part_offers(spark, folder))))
     first = history.snapshots_of(found, _time("2026-08-21 09:30:00"))
     second = history.snapshots_of(found.withColumn("price_eur", whole(F.col("price_eur") * 0.9)), _time("2026-09-21 09:30:00"))
     ranked = leads.in_rank_order(leads.portal_leads(first.unionByName(second), _time("2026-11-29 09:30:00")))
-    ranked = ranked.drop("entered", "photos").withColumn("first_seen", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss"))
+    ranked = ranked.drop("entered").withColumn("first_seen", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss"))
     return _shown(ranked.withColumn("price_history", F.array_join(F.col("price_history").cast("array<string>"), ",")))
 
 
@@ -370,7 +365,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lead_metrics, lead_metrics_events, leads_as_of, lead_rank, lead_topk, price_drop, days_on_market, motivation_score, days_on_market_site_date, price_per_unit,
         area_baseline, area_baseline_by_portal, pct_vs_area, price_history_array, history_first_seen, history_latest, snapshot_append, run_counters, min_price_filter,
         currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip, unicode_strip_whole,
-        embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_listings, portal_leads,
+        embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_leads,
         table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import, history_bucketed, leads_published, pagination_prefix_state, history_state, price_history_state, area_baseline_state,
     )
 }

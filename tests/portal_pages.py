@@ -1,4 +1,4 @@
-"""Small invented pages in the portals' layouts, and literal rows, for queries that the test tables can't feed."""
+"""Small invented pages in the portals' layouts."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schema import PAGE
+from dwellspark.schema import PAGE
 
 NOW = datetime(2026, 8, 21, 9, 30)
 

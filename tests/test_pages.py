@@ -1,11 +1,12 @@
 """Pages to listings: the tree, cards, dedup and stop rules."""
 
+import portal_pages as fixtures
 from pyspark.sql import functions as F
 
-from dwellspark.operators import dedup
+from dwellspark.functions.text import whole
+from dwellspark.operators import dedup, history, leads
 from dwellspark.operators.cards import Page, anchors
 from dwellspark.operators.listings import listings
-from dwellspark.plans import fixtures
 
 
 def test_tree():
@@ -65,12 +66,23 @@ def test_pages_beyond_a_portals_last_do_not_count(spark):
     assert {(r["id"], r["page_num"]) for r in listings(pages).collect()} == {("imotibg_54321", 12)}
 
 
-def test_pages_to_leads(spark, data):
-    from dwellspark.plans.queries import QUERIES
-
-    got = {r["id"]: r for r in QUERIES["portal_leads"](spark, data).collect()}
+def test_pages_to_leads(spark):
+    found, at = listings(fixtures.pages(spark)), lambda text: F.lit(text).cast("timestamp")
+    second = history.snapshots_of(found.withColumn("price_eur", whole(F.col("price_eur") * 0.9)), at("2026-09-21 09:30:00"))
+    runs = history.snapshots_of(found, at("2026-08-21 09:30:00")).unionByName(second)
+    rows = leads.in_rank_order(leads.portal_leads(runs, at("2026-11-29 09:30:00")))
+    got = {r["id"]: r for r in rows.withColumn("price_history", F.array_join(F.col("price_history").cast("array<string>"), ",")).collect()}
     assert len(got) == 12 and sorted(r["rank"] for r in got.values()) == list(range(1, 13))
     net, olx, imot = got["123456"], got["olx_a1B2"], got["imot_1a1234567890"]
     assert (net["area"], net["price_history"], net["price_per_sqm"], net["area_avg_price_per_sqm"]) == ("Lozenets", "100000,90000", 1125, 1125)
     assert (olx["days_on_market"], olx["drop_pct"], olx["price_history"]) == (101, 10.0, None)
     assert (imot["days_on_market"], imot["score"], imot["title"]) == (100, round(25 + 100 / 180 * 50), "Тристаен в центъра, Лозенец")
+
+
+def test_states_end_outside_strings(spark):
+    from dwellspark.operators.listings import embedded_state
+
+    start, hard = "<script>window.__PRELOADED_STATE__ = ", ['{"a":"};"}', '{"a":"\\\\"}', '{"a":"\\"};"}', '{}', '{"a":{"b":"x"}}', '{"a":"' + '};' * 500 + '"}']
+    rows = [start + x + ";</script> };" for x in hard] + ["<html>};</html>", start + "[1];", start + '{"a":"};', start + "{};" + start + '{"b":1};', "", None]
+    got = [r[0] for r in spark.createDataFrame(list(enumerate(rows)), "i int, html string").orderBy("i").select(embedded_state(F.col("html"))).collect()]
+    assert got == [*hard, None, None, '{"a":"};', "{}", None, None]
