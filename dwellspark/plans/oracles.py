@@ -160,4 +160,6 @@ SELECT p_partkey, area, array_to_string(ws[last:], ' ') AS short_area FROM l""",
     "history_bucketed": f"""SELECT portal, id, min(seen_at) AS first_seen, first(price_eur ORDER BY seen_at, seq) FILTER (WHERE price_eur <> 0) AS first_price,
   last(price_eur ORDER BY seen_at, seq) FILTER (WHERE price_eur <> 0) AS last_price, last(area ORDER BY seen_at, seq) AS area, last(sqm ORDER BY seen_at, seq) AS sqm FROM ({EVENTS}) GROUP BY portal, id""",
     "leads_published": _leads(EVENTS, EVENTS_AS_OF, RANKED),
+    "landed_crawl_links": f"""SELECT portal, run_id, page_num, count(*) AS links FROM (SELECT *, ['imot.bg', 'imoti.bg', 'olx.bg', 'bazar.bg', 'alo.bg', 'imoti.net'][p_partkey % 6 + 1] AS portal FROM ({PLACES}))
+WHERE portal IN ('alo.bg', 'imot.bg') GROUP BY portal, run_id, page_num""",
 }

@@ -19,6 +19,7 @@ from ..operators.listings import listings, offers_of_pages
 from ..session import checkpointed, shared_folder
 from ..sources import snapshots as bucketed
 from ..sources import tables
+from ..sources.landed import land, landed_crawl
 from ..sources.tables import table
 from ..streaming import pages as page_stream
 from ..streaming import state
@@ -274,6 +275,14 @@ def portal_leads(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(ranked.withColumn("price_history", F.array_join(F.col("price_history").cast("array<string>"), ",")))
 
 
+def landed_crawl_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts' pages landed as files of a crawl; the links of two portals' pages, read without the others' folders."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4()}"
+    land(part_pages(spark, folder), path)
+    pages = landed_crawl(spark, path).where(F.col("portal").isin("alo.bg", "imot.bg"))
+    return pages.select("portal", "run_id", "page_num", F.regexp_count("html", F.lit('<a href="')).cast("bigint").alias("links"))
+
+
 def table_listings(spark: SparkSession, folder: str) -> DataFrame:
     """All parts as cards on pages of six portals: links, categories, cards, fields, minimum prices, stop rules, dedup."""
     return _shown(listings(part_pages(spark, folder)))
@@ -366,6 +375,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         area_baseline, area_baseline_by_portal, pct_vs_area, price_history_array, history_first_seen, history_latest, snapshot_append, run_counters, min_price_filter,
         currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip, unicode_strip_whole,
         embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_leads,
-        table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import, history_bucketed, leads_published, pagination_prefix_state, history_state, price_history_state, area_baseline_state,
+        landed_crawl_links, table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import, history_bucketed, leads_published, pagination_prefix_state, history_state, price_history_state, area_baseline_state,
     )
 }
