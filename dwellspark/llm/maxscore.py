@@ -13,7 +13,7 @@ Queries and candidates are dealt by hash into blocks of about QUERIES and CANDID
 where there are more than SPREAD blocks), and every query block meets every candidate block in a task of its own; the
 query set is a stated share of the rows.
 
-Defined cases: a vector that is null, empty or holds a null or non-finite component takes no part, nor do rows with a
+Defined cases: a vector that is null or holds a null or non-finite component takes no part (an empty one scores 0), nor do rows with a
 null id; x is a double; scale * x beyond doubles counts as the largest double; vectors of different lengths are
 compared on the dimensions they share; rows that share an id are candidates of their own, also for each other, and a
 query each; components too large for exact doubles are multiplied as Python integers, and scores beyond 64 bits are
@@ -136,7 +136,7 @@ def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: float
         y, most = F.lit(scale) * x.cast("double"), F.lit(sys.float_info.max)
         return F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(F.greatest(F.least(y, most), -most))
 
-    good = F.col(id_col).isNotNull() & (F.size(vector_col) > 0) & F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")))
+    good = F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")))
     return rows.where(F.coalesce(good, F.lit(False))).select(F.col(id_col).cast("bigint").alias("id"), F.transform(vector_col, whole).alias("v"))
 
 
