@@ -4,8 +4,8 @@ A text's words stream through the automaton, which gives the matching statistics
 words ending there that occurs in a template.  Runs that end there as a whole base phrase are base places.  Maximal
 runs of at least SEED words are chained template by template (both in text and template order, at most GAP words of
 the text between them), and a chain that covers the share COVER of a template is a covered span and gives its label.
-Names (of licences, and of their SPDX identifiers) count only whole; one that begins where a longer name begins gives
-way to it.
+Names (of licences, in long and short forms, and of their SPDX identifiers) count only whole; one that lies within a longer name gives way to
+it.
 
 Only words of some template can take part in a run, so the automaton is walked on those alone; every word is looked at.
 
@@ -32,6 +32,10 @@ NAMES = (
     ("gnu library general public license", "lgpl"), ("gnu affero general public license", "agpl"), ("gnu free documentation license", "gfdl"), ("server side public license", "sspl"),
     ("creative commons zero", "cc0"), ("creative commons attribution", "cc-by"), ("creative commons attribution sharealike", "cc-by-sa"), ("creative commons attribution noncommercial", "cc-by-nc"),
     ("cc by sa", "cc-by-sa"), ("cc by nc", "cc-by-nc"), ("cc by nd", "cc-by-nd"), ("cc by nc sa", "cc-by-nc-sa"), ("cc by nc nd", "cc-by-nc-nd"), ("open data commons open database license", "odbl"),
+    ("mit licensed", "mit"), ("licensed under mit", "mit"), ("license mit", "mit"), ("bsd 2 clause", "bsd"), ("bsd 3 clause", "bsd"), ("bsd 4 clause", "bsd"), ("2 clause bsd", "bsd"), ("3 clause bsd", "bsd"),
+    ("simplified bsd license", "bsd"), ("new bsd license", "bsd"), ("apache 2 0", "apache"), ("apache 2 license", "apache"), ("license apache", "apache"), ("asl 2 0", "apache"), ("mpl 2 0", "mpl"), ("epl 2 0", "epl"),
+    ("gplv2", "gpl"), ("gplv3", "gpl"), ("gpl v2", "gpl"), ("gpl v3", "gpl"), ("gpl 2 0", "gpl"), ("gpl 3 0", "gpl"), ("gnu gpl", "gpl"), ("lgplv2", "lgpl"), ("lgplv3", "lgpl"), ("lgpl v2 1", "lgpl"), ("lgpl v3", "lgpl"), ("lgpl 2 1", "lgpl"), ("lgpl 3 0", "lgpl"),
+    ("gnu lgpl", "lgpl"), ("agplv3", "agpl"), ("agpl v3", "agpl"), ("agpl 3 0", "agpl"), ("gnu agpl", "agpl"), ("cc0 1 0", "cc0"), ("the unlicense", "unlicense"), ("sil open font license", "ofl"),
 )
 # SPDX identifiers; in a text they stand behind "SPDX-License-Identifier:".
 SPDX = (
@@ -66,6 +70,28 @@ NOTICES = (
     foundation either version 2 1 of the license or at your option any later version""", "lgpl"),
     ("""this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software
     foundation either version 3 of the license or at your option any later version""", "agpl"),
+    ("""the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular
+    purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or
+    otherwise arising from out of or in connection with the software or the use or other dealings in the software""", "mit"),
+    ("""this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of
+    merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental
+    special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption
+    however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this
+    software even if advised of the possibility of such damage""", "bsd"),
+    ("""the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no
+    event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an
+    action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software""", "isc"),
+    ("""permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the
+    software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software""", "boost"),
+    ("""this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation
+    either version 2 of the license or at your option any later version""", "gpl"),
+    ("""this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular
+    purpose see the gnu general public license for more details""", "gpl"),
+    ("you should have received a copy of the gnu general public license along with this program if not see https www gnu org licenses", "gpl"),
+    ("""this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular
+    purpose see the gnu lesser general public license for more details""", "lgpl"),
+    ("if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", "mpl"),
+    ("to the extent possible under law the person who associated cc0 with this work has waived all copyright and related or neighboring rights", "cc0"),
     ("this source code form is subject to the terms of the mozilla public license", "mpl"),
     ("this program and the accompanying materials are made available under the terms of the eclipse public license", "epl"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
@@ -202,7 +228,12 @@ class Scanner:
         if length >= SEED:
             runs.append((previous + 1, length, state))
         chained = self._chained(runs)
-        spans = [s for s in chained if s["cover"] >= COVER] + list(named.values())
+        outer, reach = [], 0
+        for _, span in sorted(named.items()):
+            if span["end"] > reach:
+                outer.append(span)
+                reach = span["end"]
+        spans = [s for s in chained if s["cover"] >= COVER] + outer
         labels = base_labels | {s["label"] for s in spans}
         score = max([1.0 if starts else 0.0, *(s["cover"] for s in (*chained, *spans))])
         return len(every), len(starts), min(starts, default=None), max(starts, default=None), sorted(base_labels), sorted(labels), score, spans

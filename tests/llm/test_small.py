@@ -84,10 +84,17 @@ def test_top_k_multiplies_less_than_brute_force():
         assert done < most * 300 * 6000 * 64, done / (300 * 6000 * 64)
 
 
+def test_empty_vectors_score_zero(spark):
+    rows = [(1, []), (2, [1.0, 0.0]), (3, [-1.0, 0.5]), (4, None), (5, [None])]
+    vectors = maxscore.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), "vec_id", "embedding")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in maxscore.top_k(vectors, F.lit(True)).collect())
+    assert got == [(1, 1, 2, 0), (1, 2, 3, 0), (2, 1, 1, 0), (2, 2, 3, -4096), (3, 1, 1, 0), (3, 2, 2, -4096)]
+
+
 def test_top_k_hard_cases(spark, monkeypatch):
     rows = [(0, [0.5, 0.25]), (20, [0.5, 0.25]), (20, [0.5, 0.25]), (20, [-0.5, 0.25]), (1, None), (2, [0.1, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [-0.001, 0.0]), (6, []), (None, [1.0, 1.0]), (7, [1.0]), (8, [1e300, -1e300]), (9, [1e9, 1.0])]
     vectors = maxscore.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), "vec_id", "embedding")
-    values = [(0, (32, 16)), (20, (32, 16)), (20, (32, 16)), (20, (-32, 16)), (5, (-1, 0)), (7, (64, 0)), (8, (int(64e300), -int(64e300))), (9, (64 * 10**9, 64))]
+    values = [(0, (32, 16)), (20, (32, 16)), (20, (32, 16)), (20, (-32, 16)), (5, (-1, 0)), (6, (0, 0)), (7, (64, 0)), (8, (int(64e300), -int(64e300))), (9, (64 * 10**9, 64))]
     want = []
     for n, (q, v) in enumerate(values):
         if q % 20 == 0:
@@ -612,6 +619,25 @@ def test_names_and_identifiers(spark):
     assert sorted((r["doc_id"], r["labels"]) for r in own) == [(0, "house"), (1, "")]
 
 
+def test_short_forms_and_notices():
+    scan = lambda text: licences.Scanner().scan(text)[5]
+    short = {"Licensed under BSD 3-Clause": "bsd", "GPLv3": "gpl", "Apache-2.0": "apache", "license: MIT": "mit", "(LGPL-2.1)": "lgpl", "AGPL v3 or later": "agpl", "MPL 2.0": "mpl", "GNU GPL": "gpl", "CC0 1.0": "cc0"}
+    assert {text: scan(text) for text in short} == {text: [label] for text, label in short.items()}
+    for text, label in licences.NOTICES:
+        words = text.split()
+        words[len(words) // 2] = "CHANGED"
+        assert label in scan(", ".join(words) + ".") or len(words) < 12, text
+    assert scan("the software is as it is and without any claim") == [] == scan("a license to sell copies of the software") and scan("a permit, an apache, the mit") == []
+
+
+def test_license_lines_of_the_documents(data):
+    import pyarrow.parquet as pq
+
+    lines = {line for t in pq.read_table(f"{data}/documents.parquet")["text"].to_pylist() for line in t.split("\n") if re.search(r"(?i)licen[sc]ed under|released under|rights reserved", line) and len(line) < 100}
+    scanner, labels = licences.Scanner(), {"GNU General": ["gpl"], "reserved": ["reserved"], "BY-NC": ["cc-by", "cc-by-nc"], "MIT": ["mit"], "Apache": ["apache"]}
+    assert lines and all(any(key in line and scanner.scan(line)[5] == found for key, found in labels.items()) for line in lines)
+
+
 def test_licence_rows(spark):
     notice = licences.NOTICES[1][0].split()
     notice[7] = "CHANGED"

@@ -142,3 +142,28 @@ def test_signature_recall():
     t = minhash.PERCENT / 100
     assert (1 - t**minhash.ROWS) ** minhash.BANDS < 1e-5
     assert minhash.least_agreement(80) < 150 * t - 4 * (150 * t * (1 - t)) ** 0.5
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_no_link_of_near_copies_is_lost(spark, width):
+    """All pairs by exact similarity: from 0.8 on both are in one component; below, only through others."""
+    con = duckdb.connect()
+    pairs = con.execute(rf"""WITH w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM '{SMALL}/documents.parquet'),
+      s AS (SELECT doc_id, CASE WHEN len(ws) < {width} THEN [ws] ELSE list_distinct(list_transform(range(1, len(ws) - {width - 2}), lambda i: ws[i : i + {width - 1}])) END AS items FROM w),
+      u AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM s)
+      SELECT a.doc_id, b.doc_id, count(*) AS common, any_value(a.n) + any_value(b.n) - count(*) AS whole FROM u a JOIN u b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY ALL HAVING 10 * common >= 3 * whole""").fetchall()
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    of = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, width=width).collect()}
+    linked = [(a, b) for a, b, common, whole in pairs if 100 * common >= 80 * whole]
+    assert len(linked) > 90 and all(of[a] == of[b] for a, b in linked)
+    parent = {}
+
+    def root(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in linked:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    assert all(of[i] == root(i) for i in of)
