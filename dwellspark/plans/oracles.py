@@ -162,4 +162,5 @@ SELECT p_partkey, area, array_to_string(ws[last:], ' ') AS short_area FROM l""",
     "leads_published": _leads(EVENTS, EVENTS_AS_OF, RANKED),
     "landed_crawl_links": f"""SELECT portal, run_id, page_num, count(*) AS links FROM (SELECT *, ['imot.bg', 'imoti.bg', 'olx.bg', 'bazar.bg', 'alo.bg', 'imoti.net'][p_partkey % 6 + 1] AS portal FROM ({PLACES}))
 WHERE portal IN ('alo.bg', 'imot.bg') GROUP BY portal, run_id, page_num""",
+    "run_report": f"SELECT 'snapshots' AS step, count(*) AS n_rows FROM ({EVENTS}) UNION ALL SELECT 'listings', count(*) FROM ({CARDS}) UNION ALL SELECT 'offers', count(*) FROM ({OFFERS})",
 }

@@ -306,6 +306,16 @@ def snapshot_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("id bigint, score bigint, rank bigint").json(f"{base}/leads")
 
 
+def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows a run's steps gave, counted while they are written and not by passes of their own."""
+    base, told = f"{shared_folder(spark)}/{uuid.uuid4()}", []
+    for name, rows in (("snapshots", event_snapshots(spark, folder)), ("listings", listings(part_pages(spark, folder))), ("offers", listings(part_offers(spark, folder)))):
+        rows, seen = tables.counted(rows, name)
+        rows.write.parquet(f"{base}/{name}")
+        told.append((name, seen.get["rows"]))
+    return spark.createDataFrame(told, "step string, n_rows bigint")
+
+
 def history_import(spark: SparkSession, folder: str) -> DataFrame:
     """History files of a hundred listings each written from events, and one that can't be read; back as snapshots."""
     seen = F.date_format(F.col("seen_at").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
@@ -375,6 +385,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         area_baseline, area_baseline_by_portal, pct_vs_area, price_history_array, history_first_seen, history_latest, snapshot_append, run_counters, min_price_filter,
         currency_convert, dedup_first_wins, dedup_last_page_wins, pagination_prefix, page_links, page_anchors, listing_key_extract, url_absolutize, card_lines, unicode_strip, unicode_strip_whole,
         embedded_json_scan, dedup_area_words, area_from_title, area_from_location, localized_date_parse, multi_portal_union, container_climb, portal_leads,
-        landed_crawl_links, table_listings, embedded_offers, embedded_bad_records, snapshot_round_trip, history_import, history_bucketed, leads_published, pagination_prefix_state, history_state, price_history_state, area_baseline_state,
+        landed_crawl_links, table_listings, embedded_offers, embedded_bad_records, run_report, snapshot_round_trip, history_import, history_bucketed, leads_published, pagination_prefix_state, history_state, price_history_state, area_baseline_state,
     )
 }
