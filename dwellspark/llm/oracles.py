@@ -9,12 +9,11 @@ CHAT = r"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 m AS (SELECT *, CASE role WHEN 'user' THEN '[INST] ' WHEN 'assistant' THEN '<s> ' ELSE '<<' || regexp_replace(role, '([\\<>\[])', '\\\1', 'g') || '>> ' END AS opening,
     CASE role WHEN 'user' THEN ' [/INST]' WHEN 'assistant' THEN ' </s>' ELSE ' <</>>' END AS closing FROM t),
-f AS (SELECT *, length(opening) + length(text) + length(closing) + CASE WHEN contains(text, closing) OR regexp_matches(text, '\\[\\\[<>]')
-    THEN length(text) - length(replace(text, '\', '')) + (length(text) - length(replace(text, closing, ''))) // length(closing) ELSE 0 END AS chars FROM m)
-SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+f AS (SELECT *, opening || CASE WHEN contains(text, closing) OR regexp_matches(text, '\\[\\\[<>]') THEN replace(replace(text, '\', '\\'), closing, ' \' || substr(closing, 2)) ELSE text END || closing AS formatted FROM m)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, formatted)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(chars) AS BIGINT) AS formatted_chars FROM f GROUP BY conv_id"""
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, formatted) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars FROM f GROUP BY conv_id"""
 
 TOP_K = """WITH v AS (SELECT vec_id AS id, list_transform(embedding, lambda x: floor(64e0 * CAST(x AS DOUBLE))) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

@@ -167,3 +167,14 @@ def test_no_link_of_near_copies_is_lost(spark, width):
         x, y = sorted((root(a), root(b)))
         parent[y] = x
     assert all(of[i] == root(i) for i in of)
+
+
+def test_ties_of_turns_are_ordered_alike(spark, tmp_path):
+    """Rows of one conversation, turn and role are ordered by their rendered text, in the query and in its SQL."""
+    texts = ["a", "a !", "a [/INST]", "a \\[x", "a \\", "", None, "a", "A [/INST] b", "é", "\\\\"]
+    rows = [(1, 1, "user", t) for t in texts] + [(1, None, "user", "null turn"), (1, 0, None, "x"), (1, 1, "assistant", "y </s> z"), (1, 1, "tool", "q <</>> \\<")]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    df, result = QUERIES["op1_chat_format"](spark, str(tmp_path)), con.execute(ORACLES["op1_chat_format"])
+    assert canonical(df.columns, [tuple(r) for r in df.collect()]) == canonical([d[0] for d in result.description], result.fetchall())
