@@ -249,21 +249,37 @@ def _cut(items: np.ndarray) -> np.ndarray:
     return (items >> np.uint64(32)).astype(np.uint32)
 
 
+def _dealt(buckets: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """(value, i, j, side, node, component): the nodes of buckets that hold several components, for each pair of blocks they are in.
+
+    ``held`` (of, and more columns) is what goes along with the nodes.  Buckets of the same nodes are taken once.  A bucket's largest component meets only the others, not itself, so where
+    few nodes are left beside it, what is dealt grows with the bucket.
+    """
+    mixed = buckets.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("print")).where("lo != hi")
+    mixed = mixed.groupBy("n", "print").agg(F.min("value").alias("one")).select(F.col("one").bitwiseXOR(F.lit(1)).alias("key"))
+    rows = checkpointed(buckets.join(mixed, F.col("value").bitwiseXOR(F.lit(1)) == F.col("key")).select("value", "node", "component"))
+    parts = rows.groupBy("value", "component").agg(F.count("*").alias("n")).groupBy("value").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"))
+    counted = lambda n: F.ceil(n / BLOCK).cast("int")
+    parts = parts.select(F.col("value").bitwiseXOR(F.lit(1)).alias("key"), F.col("most.component").alias("largest"), counted(F.col("most.n")).alias("blocks"), counted(F.col("n") - F.col("most.n")).alias("rest"))
+    rows = rows.join(parts, F.col("value").bitwiseXOR(F.lit(1)) == F.col("key")).select("value", "node", "component", "blocks", "rest", (F.col("component") == F.col("largest")).alias("large"))
+    if held is not None:
+        rows = rows.join(held, F.col("node") == F.col("of")).drop("of")
+    # blocks of the largest component are numbered below 0 and meet only blocks of the rest, which also meet each other
+    own = F.when(F.col("large"), -1 - F.pmod(F.xxhash64("node"), "blocks")).otherwise(F.pmod(F.xxhash64("node"), "rest")).cast("int")
+    others = F.sequence(F.when(F.col("large"), F.lit(0)).otherwise(-F.col("blocks")), F.col("rest") - 1)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(others))
+    return rows.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", *([] if held is None else held.columns[1:]))
+
+
 def _across(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, bits: int = 32) -> DataFrame:
     """Pairs of nodes of different components (column ``component``) that share a bucket; enough to join them.
 
-    Buckets of the same nodes are taken once.  A task holds up to BLOCK rows of a bucket beside as many others, compares
-    full sets (by ``bits`` of each hash) where signatures agree, and gives no second pair between nodes that it has
-    joined already.
+    A task holds up to BLOCK rows of a bucket beside as many others, compares full sets (by ``bits`` of each hash) where
+    signatures agree, and gives no second pair between nodes that it has joined already.
     """
     least = least_agreement(percent)
-    mixed = buckets.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("print")).where("lo != hi")
-    mixed = mixed.groupBy("n", "print").agg(F.min("value").alias("one")).select(F.col("one").bitwiseXOR(F.lit(1)).alias("key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = buckets.join(mixed, F.col("value").bitwiseXOR(F.lit(1)) == F.col("key")).select("value", "node", "component", "blocks")
     held = sets.join(nodes.select(F.col("node").alias("signed"), "signature"), F.col("node") == F.col("signed")).select(F.col("node").alias("of"), "signature", "items")
-    rows = rows.join(held.mapInArrow(_compact(bits), "of bigint, signature binary, items binary"), F.col("node") == F.col("of"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "component", "signature", "items")
+    rows = _dealt(buckets, held.mapInArrow(_compact(bits), "of bigint, signature binary, items binary"))
     rows = rows.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
 
     def compare(group: list[tuple]) -> list[tuple[int, int]]:

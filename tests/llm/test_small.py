@@ -513,6 +513,22 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in plain_components(rows, 2).items()}
 
 
+def test_what_is_dealt_grows_with_the_bucket(spark, monkeypatch):
+    """Every pair across components meets in some task, and few nodes beside a large component cost few copies of it."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    for largest, others in ((400, [1, 1, 2]), (9, [9, 9, 1]), (1, [1])):
+        nodes = [(n, c) for c, size in enumerate([largest, *others]) for n in range(1000 * c, 1000 * c + size)]
+        rows = [(7, n, c) for n, c in nodes] + [(8, n, c) for n, c in nodes] + [(9, 5000, 1), (9, 5001, 1)]
+        dealt = minhash._dealt(spark.createDataFrame(rows, "value bigint, node bigint, component bigint")).collect()
+        assert {r["value"] for r in dealt} == {7}
+        tasks = {}
+        for r in dealt:
+            tasks.setdefault((r["i"], r["j"]), []).append(r)
+        met = {frozenset((a["node"], b["node"])) for (i, j), group in tasks.items() for a in group for b in group if a["node"] != b["node"] and (i == j or a["side"] != b["side"])}
+        assert {frozenset((a, b)) for a, c in nodes for b, d in nodes if c != d} <= met
+        assert largest < 100 or len(dealt) < 2 * len(nodes) and max(map(len, tasks.values())) < 40
+
+
 def test_items_that_agree_by_accident_lose_no_link(spark, monkeypatch):
     """With cut items that are nearly all alike, pairs look linked that are not; the links behind them are still found."""
     monkeypatch.setattr(minhash, "_cut", lambda x: np.sort((x >> np.uint64(59)).astype(np.uint32)))
