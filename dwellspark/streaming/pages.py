@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.dedup import RUN
-from .state import started
+from .state import started, travels
 
 
 class Prefix(StatefulProcessor):
@@ -57,6 +57,7 @@ def counting_changes(pages: DataFrame, stop: Column, keys: Sequence[str] = RUN,
     names = [*keys, page, "change"]
     rows = pages.select(*keys, F.col(page).cast("bigint").alias("page"), F.coalesce(stop, F.lit(False)).alias("stops"))
     out = ", ".join([*(f"{k} {types[k]}" for k in keys), f"{page} bigint", "change int"])
+    travels(__name__)
     return rows.groupBy(*keys).transformWithState(Prefix(names), out, "Update", "None")
 
 

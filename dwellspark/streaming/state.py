@@ -12,10 +12,12 @@ The order in which snapshots arrive doesn't matter: a listing's first and last a
 
 from __future__ import annotations
 
+import sys
 import threading
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -34,6 +36,11 @@ SNAPSHOT = "seen_at bigint, seq bigint, price_eur bigint"
 KNOWN = ("n", "first_seen", "first_time", "first_seq", "first_price", "last_time", "last_seq", "last_price", "latest_time", "latest_seq")
 
 
+def travels(module: str) -> None:
+    """Lets a module's processors travel with their code: the worker that prepares a stream's state has no shipped packages."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def _order(time: int | None, seq: int | None) -> tuple:
     return (time is not None, time or 0, seq is not None, seq or 0)
 
@@ -89,6 +96,7 @@ def changed_listings(snapshots: DataFrame, columns: Sequence[str] = ("area", "sq
     now = {k: types[k] for k in KEYS} | dict.fromkeys(("n", "first_seen", "first_price", "last_price"), "bigint") | kept
     out = now | {"known": "boolean", "was_price": "bigint"} | {f"was_{c}": t for c, t in kept.items()}
     rows = snapshots.select(*KEYS, micros("seen_at"), "seq", "price_eur", *[micros(c) if c in times else c for c in columns])
+    travels(__name__)
     found = rows.groupBy(*KEYS).transformWithState(Histories(kept, list(out)), ", ".join(f"{c} {t}" for c, t in out.items()), "Update", "None")
     return found.withColumns({c: F.timestamp_micros(c) for c in ("first_seen", *times, *(f"was_{t}" for t in times))})
 

@@ -108,3 +108,24 @@ def test_pages_that_arrive_in_any_order(spark, tmp_path):
         assert rows_of(pages.counting_pages(spark, str(tmp_path / "told")), "portal", "run_id", "page_num") == rows_of(want, "portal", "run_id", "page_num")
         withdrawn = spark.read.parquet(str(tmp_path / "told")).where("change < 0").count()
     assert withdrawn > 5
+
+
+def test_workers_need_no_package_on_their_path(data, tmp_path):
+    """As on a cluster: the workers have what is shipped, and nothing of the driver's folders."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+import __spark_entry__
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+for name in ("history_state", "pagination_prefix_state", "landed_crawl_links", "history_import"):
+    print("ROWS", name, __spark_entry__.queries()[name](spark, {data!r}).count())
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=300)
+    assert [line.split()[1] for line in done.stdout.splitlines() if line.startswith("ROWS")] == ["history_state", "pagination_prefix_state", "landed_crawl_links", "history_import"], done.stderr[-2000:]
