@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .quality import BASE, PUNCTUATION, RULES as QUALITY_RULES, STOP_WORDS
-from .urlfilter import DEPTH, MIN_PAGES, PURITY, RULES, TAIL, WEIGHT, Z
+from .urlfilter import MIN_PAGES, PURITY, RULES, WEIGHT, Z
 
 CHAT = r"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
@@ -42,43 +42,33 @@ def _url_filter() -> str:
         """n AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h)""",
         f"""r AS (SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS ruled FROM n)""",
         """c AS (SELECT host, path, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (WHERE ruled = 'block') AS blocked FROM r GROUP BY host, path)""",
-        r"""t0 AS (SELECT *, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: regexp_replace(s, '^([*\\])', '\\\1')) AS segs, CAST([] AS VARCHAR[]) AS parts, host AS node, false AS rest FROM c)""",
+        r"""t0 AS (SELECT *, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: regexp_replace(s, '^([*\\])', '\\\1')) AS segs FROM c)""",
+        f"""t(k, host, path, n, labelled, blocked, segs, parts, node, rest) AS (SELECT 0, host, path, n, labelled, blocked, segs, CAST([] AS VARCHAR[]), host, false FROM t0 UNION ALL
+  SELECT k + 1, host, path, n, labelled, blocked, segs, CASE WHEN pages >= {MIN_PAGES} THEN list_append(parts, segs[k + 1]) WHEN wide >= {MIN_PAGES} THEN list_append(parts, '*')
+    ELSE list_concat(parts, list_transform(range(len(segs) - k), lambda x: '*')) END, CASE WHEN pages >= {MIN_PAGES} THEN child ELSE node || '/*' END, pages < {MIN_PAGES} AND wide < {MIN_PAGES}
+  FROM (SELECT *, coalesce(sum(n) FILTER (WHERE pages < {MIN_PAGES}) OVER (PARTITION BY node), 0) AS wide
+    FROM (SELECT *, node || '/' || segs[k + 1] AS child, sum(n) OVER (PARTITION BY node || '/' || segs[k + 1]) AS pages FROM t WHERE len(segs) > k AND NOT rest)))""",
     ]
-    for k in range(1, DEPTH + 1):
-        out += [
-            f"s{k} AS (SELECT *, node || '/' || segs[{k}] AS child FROM t{k - 1} WHERE len(segs) >= {k} AND NOT rest)",
-            f"ch{k} AS (SELECT node, child, sum(n) AS pages FROM s{k} GROUP BY node, child)",
-            f"w{k} AS (SELECT node, sum(pages) AS pages FROM ch{k} WHERE pages < {MIN_PAGES} GROUP BY node)",
-            f"""t{k} AS (SELECT host, path, n, labelled, blocked, segs, parts, node, rest FROM t{k - 1} WHERE len(segs) < {k} OR rest
-  UNION ALL SELECT host, path, n, labelled, blocked, segs, CASE WHEN ch{k}.pages >= {MIN_PAGES} THEN list_append(parts, segs[{k}]) WHEN w{k}.pages >= {MIN_PAGES} THEN list_append(parts, '*')
-    ELSE list_append(parts, '{TAIL}') END, CASE WHEN ch{k}.pages >= {MIN_PAGES} THEN child ELSE s{k}.node || '/*' END,
-    ch{k}.pages < {MIN_PAGES} AND coalesce(w{k}.pages, 0) < {MIN_PAGES} FROM s{k} JOIN ch{k} USING (child) LEFT JOIN w{k} ON s{k}.node = w{k}.node)""",
-        ]
     name = "host || '/' || array_to_string({}, '/')".format
+    wild = "list_transform(parts, lambda s, i: CASE WHEN i = k THEN '*' ELSE s END)"
     out += [
-        f"tails AS (SELECT host, path, CASE WHEN len(segs) > {DEPTH} AND NOT rest THEN list_append(parts, '{TAIL}') ELSE parts END AS parts, labelled, blocked FROM t{DEPTH})",
-        f"nodes AS (SELECT host, path, parts, labelled, blocked, {name('parts')} AS node FROM tails)",
+        f"nodes AS (SELECT host, path, parts, labelled, blocked, {name('parts')} AS node FROM t WHERE rest OR len(segs) = k)",
         "o AS (SELECT host, parts, node, sum(labelled) AS labelled, sum(blocked) AS blocked FROM nodes GROUP BY host, parts, node)",
         "total AS (SELECT (CAST(coalesce(sum(blocked), 0) AS DOUBLE) + 1) / (coalesce(sum(labelled), 0) + 2) AS overall FROM o)",
         f"hs AS (SELECT host, (CAST(sum(blocked) AS DOUBLE) + {WEIGHT} * any_value(overall)) / (sum(labelled) + {WEIGHT}) AS host_share FROM o, total GROUP BY host)",
-        f"m{DEPTH + 1} AS (SELECT o.*, host_share FROM o JOIN hs USING (host))",
+        f"""m(k, host, parts, node, labelled, blocked, host_share) AS (SELECT (SELECT max(len(parts)) FROM o), host, parts, node, labelled, blocked, host_share FROM o JOIN hs USING (host) UNION ALL
+  SELECT k - 1, host, CASE WHEN wild IS NOT NULL AND l > 0 AND gl > l AND abs(b - l * share) <= {Z} * sqrt(l * share * (1 - share)) THEN {wild} ELSE parts END, node, labelled, blocked, host_share
+  FROM (SELECT *, (gb + {WEIGHT} * host_share) / (gl + {WEIGHT}) AS share
+    FROM (SELECT *, CAST(sum(labelled) OVER (PARTITION BY tmpl) AS DOUBLE) AS l, CAST(sum(blocked) OVER (PARTITION BY tmpl) AS DOUBLE) AS b, CAST(sum(labelled) OVER (PARTITION BY wild) AS DOUBLE) AS gl, CAST(sum(blocked) OVER (PARTITION BY wild) AS DOUBLE) AS gb
+      FROM (SELECT *, {name('parts')} AS tmpl, CASE WHEN len(parts) >= k THEN {name(wild)} END AS wild FROM m WHERE k > 0))))""",
     ]
-    for k in range(DEPTH, 0, -1):
-        wild = f"list_transform(parts, lambda s, i: CASE WHEN i = {k} THEN '*' ELSE s END)"
-        out += [
-            f"a{k} AS (SELECT *, {name('parts')} AS tmpl, CASE WHEN parts[{k}] <> '{TAIL}' THEN {name(wild)} END AS wild FROM m{k + 1})",
-            f"e{k} AS (SELECT tmpl, wild, CAST(sum(labelled) AS DOUBLE) AS l, CAST(sum(blocked) AS DOUBLE) AS b, max(host_share) AS hs FROM a{k} WHERE wild IS NOT NULL AND labelled > 0 GROUP BY tmpl, wild)",
-            f"g{k} AS (SELECT e.*, gl, (gb + {WEIGHT} * hs) / (gl + {WEIGHT}) AS share FROM e{k} e JOIN (SELECT wild, sum(l) AS gl, sum(b) AS gb FROM e{k} GROUP BY wild) USING (wild))",
-            f"j{k} AS (SELECT tmpl FROM g{k} WHERE gl > l AND abs(b - l * share) <= {Z} * sqrt(l * share * (1 - share)))",
-            f"m{k} AS (SELECT host, CASE WHEN j{k}.tmpl IS NOT NULL THEN {wild} ELSE parts END AS parts, node, labelled, blocked, host_share FROM a{k} LEFT JOIN j{k} USING (tmpl))",
-        ]
     out += [
-        f"tp AS (SELECT *, {name('parts')} AS template FROM m1)",
+        f"tp AS (SELECT *, {name('parts')} AS template FROM m WHERE k = 0)",
         "mg AS (SELECT template, sum(labelled) AS tl, CAST(sum(blocked) AS DOUBLE) AS tb FROM tp GROUP BY template)",
         f"pu AS (SELECT node, template, tl, (tb + {WEIGHT} * host_share) / (tl + {WEIGHT}) AS purity FROM tp JOIN mg USING (template))",
     ]
-    out = [cte.replace(" AS (", " AS MATERIALIZED (", 1) for cte in out]
-    return "WITH " + ",\n".join(out) + f"\nSELECT page_id, r.host, r.path, rule, coalesce(ruled, CASE WHEN tl > 0 AND purity >= {PURITY} THEN 'block' ELSE 'allow' END) AS verdict, template, round(purity, 9) AS purity FROM r JOIN nodes USING (host, path) JOIN pu USING (node)"
+    out = [cte if "UNION ALL" in cte else cte.replace(" AS (", " AS MATERIALIZED (", 1) for cte in out]
+    return "WITH RECURSIVE " + ",\n".join(out) + f"\nSELECT page_id, r.host, r.path, rule, coalesce(ruled, CASE WHEN tl > 0 AND purity >= {PURITY} THEN 'block' ELSE 'allow' END) AS verdict, template, round(purity, 9) AS purity FROM r JOIN nodes USING (host, path) JOIN pu USING (node)"
 
 
 #: CRC-32 of a decimal number, bit by bit.

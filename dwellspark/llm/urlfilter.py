@@ -4,9 +4,8 @@ Pages are counted by host and path first; all that follows works on these counts
 
 Each host has a tree of path segments, grown from the host down as deep as its paths go.  A segment that at least
 MIN_PAGES pages share is a branch of its own; the others of a node are taken for values of a variable and become the
-wildcard ``*``, below which the tree goes on.  What lies below a node of fewer than MIN_PAGES pages, or below DEPTH
-segments, is one tail ``**``, however long, so that a single address of many segments adds no level and a trap of very
-many pages only DEPTH.
+wildcard ``*``, below which the tree goes on.  What lies below a node of fewer than MIN_PAGES pages is all variable: a
+wildcard for each segment.
 Then branches are merged from the deepest segment up: templates that differ in that segment alone become one, with a
 wildcard there, if both they and the others have pages that a rule labels and their rate of blocked pages lies within Z
 standard deviations of the group's.  A template's purity is the smoothed share of blocked pages among those that a rule
@@ -14,8 +13,11 @@ labels, drawn towards its host's share and that towards the share of all; a temp
 from PURITY on.  One without any has its host's share for a purity, but nothing speaks against it and it is allowed.
 
 Only DataFrame functions are used.  Tables meet by plain equi-joins on one string, so a host with most pages is split
-by adaptive execution, and counts are aggregated before every exchange.  A round is one level of the tree, and each
-round reads only the paths that still go on; levels at which nothing merges write nothing.  Rounds are cut by written tables, not checkpoints: a checkpoint keeps
+by adaptive execution, and counts are aggregated before every exchange.  A round goes down
+all branches to the next variable, however deep: pages are counted by every beginning of what is left of their paths,
+named by its digest, since a beginning that MIN_PAGES pages share has shorter ones that they share.  So rounds grow with
+the variables of a path and not with its segments, and each reads only the paths that still go on.  Merging looks only
+at levels where labelled templates differ; levels at which nothing merges write nothing.  Rounds are cut by written tables, not checkpoints: a checkpoint keeps
 the constraints of its plan, and those double with every level.
 
 Defined cases: a null url, or one without ``://``, has empty host and path (and so the template of the empty host);
@@ -36,8 +38,6 @@ from .common import stored
 #: (verdict, host, path): the rule holds for the host, its subdomains, and paths that start with the path.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MIN_PAGES, Z, WEIGHT, PURITY = 5, 2.0, 4.0, 0.5
-#: Levels of the tree, and what stands for everything below it or below a node of few pages.
-DEPTH, TAIL = 12, "**"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -62,27 +62,29 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def with_templates(paths: DataFrame) -> DataFrame:
     """host, path, n, labelled, blocked and ``parts``, the segments with wildcards for variables, of counted paths."""
     segments = F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), lambda s: F.regexp_replace(s, r"^([*\\])", r"\\$1"))
-    rows, done, level = stored(paths.withColumns({"segments": segments, "parts": F.array().cast("array<string>"), "node": F.col("host")})), [], 0
+    rows, done = stored(paths.withColumns({"segments": segments, "parts": F.array().cast("array<string>"), "node": F.col("host")})), []
     while True:
-        going = rows.where(F.size("segments") > level)
-        done.append(rows.where(F.size("segments") <= level).drop("segments", "node"))
-        if level == DEPTH:
-            done.append(going.withColumn("parts", F.array_append("parts", F.lit(TAIL))).drop("segments", "node"))
-        if level == DEPTH or going.isEmpty():
+        going = rows.where(F.size("segments") > 0)
+        done.append(rows.where(F.size("segments") == 0).drop("segments", "node"))
+        if going.isEmpty():
             return reduce(DataFrame.unionByName, done)
-        step = going.withColumn("segment", F.get("segments", F.lit(level))).withColumn("child", F.concat("node", F.lit("/"), "segment"))
-        children = step.groupBy("node", "child").agg(F.sum("n").alias("pages"))
-        fixed = children.where(F.col("pages") >= MIN_PAGES).select(F.col("child").alias("_fixed"))
-        wide = children.where(F.col("pages") < MIN_PAGES).groupBy("node").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= MIN_PAGES).select(F.col("node").alias("_wide"))
-        step = step.join(fixed, F.col("child") == F.col("_fixed"), "left").join(wide, F.col("node") == F.col("_wide"), "left")
-        branch, rest = F.col("_fixed").isNotNull(), F.col("_fixed").isNull() & F.col("_wide").isNull()
-        step = stored(
-            step.withColumn("parts", F.when(branch, F.array_append("parts", F.col("segment"))).when(rest, F.array_append("parts", F.lit(TAIL))).otherwise(F.array_append("parts", F.lit("*"))))
-            .withColumn("node", F.when(branch, F.col("child")).otherwise(F.concat("node", F.lit("/*"))))
-            .select(*rows.columns, rest.alias("_rest"))
-        )
-        done.append(step.where("_rest").drop("segments", "node", "_rest"))
-        rows, level = step.where("not _rest").drop("_rest"), level + 1
+        prefixes = F.transform(F.sequence(F.lit(1), F.size("segments")), lambda i: _digest(F.concat_ws("/", "node", F.array_join(F.slice("segments", F.lit(1), i), "/"))))
+        each = going.select("n", prefixes.alias("prefixes")).select("n", F.element_at("prefixes", -1).alias("_path"), F.posexplode("prefixes").alias("at", "prefix"))
+        fixed = each.groupBy(F.col("prefix").alias("_fixed")).agg(F.sum("n").alias("pages")).where(F.col("pages") >= MIN_PAGES).select("_fixed")
+        shared = each.join(fixed, F.col("prefix") == F.col("_fixed")).groupBy("_path").agg((F.max("at") + 1).alias("_shared"))
+        whole = _digest(F.concat_ws("/", "node", F.array_join("segments", "/")))
+        step = going.join(shared, whole == F.col("_path"), "left").withColumn("_shared", F.coalesce("_shared", F.lit(0)))
+        own = F.slice("segments", F.lit(1), F.col("_shared"))
+        step = step.withColumns({
+            "parts": F.concat("parts", own), "node": F.concat_ws("/", "node", F.when(F.col("_shared") > 0, F.array_join(own, "/"))),
+            "segments": F.slice("segments", F.col("_shared") + 1, F.size("segments")),
+        }).select(*rows.columns)
+        wide = step.where(F.size("segments") > 0).groupBy(F.col("node").alias("_wide")).agg(F.sum("n").alias("pages")).where(F.col("pages") >= MIN_PAGES).select("_wide")
+        step = stored(step.join(wide, (F.col("node") == F.col("_wide")) & (F.size("segments") > 0), "left"))
+        rest = F.concat("parts", F.array_repeat(F.lit("*"), F.size("segments")))
+        done.append(step.where("_wide is null").withColumn("parts", rest).drop("segments", "node", "_wide"))
+        variable = {"parts": F.array_append("parts", F.lit("*")), "node": F.concat("node", F.lit("/*")), "segments": F.slice("segments", F.lit(2), F.size("segments"))}
+        rows = step.where("_wide is not null").withColumns(variable).drop("_wide")
 
 
 def _smoothed(blocked: Column, labelled: Column, towards: Column) -> Column:
@@ -97,21 +99,28 @@ def _wild(level: int) -> Column:
     return F.transform("parts", lambda s, i: F.when(i == level - 1, F.lit("*")).otherwise(s))
 
 
-def _at(level: int) -> Column:
-    return F.get("parts", F.lit(level - 1))
+def _digest(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def _levels(own: DataFrame) -> list[int]:
+    """The levels, deepest first, at which labelled templates of one length and one beginning differ; nothing merges at others."""
+    before = F.transform(F.sequence(F.lit(1), F.size("parts")), lambda i: F.struct(i.alias("level"), _digest(F.array_join(F.slice("parts", F.lit(1), i - 1), "/")).alias("before"), F.get("parts", i - 1).alias("part")))
+    each = own.where((F.col("labelled") > 0) & (F.size("parts") > 0)).select("host", F.size("parts").alias("size"), F.inline(before))
+    several = each.groupBy("host", "size", "level", "before").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    return sorted((r["level"] for r in several.select("level").distinct().collect()), reverse=True)
 
 
 def merged_templates(nodes: DataFrame) -> DataFrame:
     """(node, parts, host_share) of every node of (host, parts, labelled, blocked), with the parts of its merged template."""
     own = stored(nodes.groupBy("host", "parts").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")))
-    depth = F.max(F.when(F.col("labelled") > 0, F.size("parts")))  # nothing merges below the last labelled node
-    total = own.agg(F.coalesce(F.sum("labelled"), F.lit(0)).alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b"), depth.alias("depth")).first()
+    total = own.agg(F.coalesce(F.sum("labelled"), F.lit(0)).alias("l"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("b")).first()
     overall = F.lit((total["b"] + 1) / (total["l"] + 2))
     hosts = own.groupBy(F.col("host").alias("_host")).agg(_smoothed(F.sum("blocked"), F.sum("labelled"), overall).alias("host_share"))
     own = stored(own.join(hosts, F.col("host") == F.col("_host")).select("host", _template(F.col("parts")).alias("node"), "parts", "labelled", "blocked", "host_share"))
-    for level in range(total["depth"] or 0, 0, -1):
+    for level in _levels(own):
         wild = _wild(level)
-        named = own.withColumns({"_template": _template(F.col("parts")), "_wild": F.when(_at(level) != TAIL, _template(wild))})
+        named = own.withColumns({"_template": _template(F.col("parts")), "_wild": F.when(F.size("parts") >= level, _template(wild))})
         each = named.where("_wild is not null and labelled > 0").groupBy("_template", "_wild").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.max("host_share").alias("host_share"))
         group = each.groupBy(F.col("_wild").alias("_of")).agg(F.sum("l").alias("gl"), F.sum("b").alias("gb"))
         share = _smoothed(F.col("gb"), F.col("gl"), F.col("host_share"))
