@@ -42,6 +42,16 @@ def test_filters_prune_splits(spark, tmp_path):
     assert {s.portal for s in splits} == {"alo.bg"} and len(splits) == 3 and {n for s in splits for n, _, _ in s.files} == set(range(1, 6))
 
 
+def test_many_small_runs_share_splits(spark, tmp_path):
+    """Splits grow with the files' cost, not with the runs; a portal has its own, and all pages come back."""
+    many = spark.range(2 * 150 * 2).selectExpr("concat('p', id % 2) portal", "concat('r', id div 4) run_id", "cast(id div 2 % 2 as int) page_num", "concat('<html>', id) html")
+    landed.land(many, str(tmp_path))
+    read = landed.landed_crawl(spark, str(tmp_path))
+    assert rows_of(read) == rows_of(many) and read.rdd.getNumPartitions() == 2
+    splits = landed.CrawlReader(str(tmp_path), 50 * landed.OPEN_BYTES).partitions()
+    assert len(splits) == 12 and all(len(s.files) == 50 for s in splits) and {s.portal for s in splits} == {"p0", "p1"}
+
+
 def test_listings_of_a_crawl(spark, data, tmp_path):
     from dwellspark.operators.listings import listings
     from dwellspark.plans.adapters import part_pages
