@@ -122,30 +122,46 @@ def listings_of_cards(cards: DataFrame) -> DataFrame:
     return rows.select("portal", "run_id", "page_num", "pos", *FIELDS)
 
 
+def _after(html: Column) -> Column:
+    return F.get(F.split(html, unicode_pattern(HOMES_STATE), 2), F.lit(1))
+
+
+def _ended(parts: Column) -> Column:
+    """How many parts an object has, and whether it ends with them."""
+    before = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0)))
+    odd = F.transform(before, lambda p: F.length(F.regexp_replace(p, r'\\.|[^"\\]+', "")) % 2)
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("inside"), F.lit(False).alias("done"))
+    step = lambda acc, x: F.struct((acc["n"] + 1).alias("n"), ((acc["inside"] + x) % 2).alias("inside"), ((acc["inside"] + x) % 2 == 0).alias("done"))
+    return F.aggregate(odd, start, lambda acc, x: F.when(acc["done"], acc).otherwise(step(acc, x)))
+
+
+def _state(after: Column, parts: Column, ended: Column) -> Column:
+    return F.when(ended["done"], F.concat(F.array_join(F.slice(parts, F.lit(1), ended["n"]), "};"), F.lit("}"))).otherwise(after)
+
+
 def embedded_state(html: Column) -> Column:
     """The object assigned in a page's script: up to the first ``};`` that is outside its strings; null without one.
 
     What follows the assignment is cut at every ``};``.  A cut counts if an even number of quotes, escaped ones apart,
     stands before it.  An object that doesn't end is all that follows.
     """
-    after = F.split(html, unicode_pattern(HOMES_STATE), 2)
-    parts = F.split(F.get(after, F.lit(1)), r"\};")
-    odd = F.transform(parts, lambda p: F.length(F.regexp_replace(p, r'\\.|[^"\\]+', "")) % 2)
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("inside"), F.lit(False).alias("done"))
-    step = lambda acc, x: F.struct((acc["n"] + 1).alias("n"), ((acc["inside"] + x) % 2).alias("inside"), ((acc["inside"] + x) % 2 == 0).alias("done"))
-    ended = F.aggregate(F.slice(odd, F.lit(1), F.greatest(F.size(odd) - 1, F.lit(0))), start, lambda acc, x: F.when(acc["done"], acc).otherwise(step(acc, x)))
-    whole = F.concat(F.array_join(F.slice(parts, F.lit(1), ended["n"]), "};"), F.lit("}"))
-    return F.when(ended["done"], whole).otherwise(F.get(after, F.lit(1)))
+    parts = F.split(_after(html), r"\};")
+    return _state(_after(html), parts, _ended(parts))
+
+
+def with_embedded_state(pages: DataFrame) -> DataFrame:
+    """Adds ``state``, as ``embedded_state`` tells it; each step is a column that later ones read, so none is computed again."""
+    rows = pages.withColumn("_after", _after(F.col("html"))).withColumn("_parts", F.split("_after", r"\};")).withColumn("_ended", _ended(F.col("_parts")))
+    return rows.withColumn("state", _state(F.col("_after"), F.col("_parts"), F.col("_ended"))).drop("_after", "_parts", "_ended")
 
 
 def offers_of_pages(pages: DataFrame) -> DataFrame:
     """The pages with the offers embedded in them and whether more follow; a state without readable offers is in ``bad_record``."""
-    state = embedded_state(F.col("html"))
-    offers = F.from_json(state, OFFERS_JSON)["data"]["offers"]
-    return pages.withColumns({
-        "has_state": state.isNotNull(), "offers": offers["result"], "has_more": F.coalesce(offers["hasMoreItems"], F.lit(False)),
-        "bad_record": F.when(offers["result"].isNull(), state),
-    })
+    rows = with_embedded_state(pages).withColumn("_read", F.from_json("state", OFFERS_JSON)["data"]["offers"])
+    return rows.withColumns({
+        "has_state": F.col("state").isNotNull(), "offers": F.col("_read.result"), "has_more": F.coalesce("_read.hasMoreItems", F.lit(False)),
+        "bad_record": F.when(F.col("_read.result").isNull(), F.col("state")),
+    }).drop("state", "_read")
 
 
 def listings_of_offers(pages: DataFrame) -> DataFrame:

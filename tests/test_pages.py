@@ -86,3 +86,13 @@ def test_states_end_outside_strings(spark):
     rows = [start + x + ";</script> };" for x in hard] + ["<html>};</html>", start + "[1];", start + '{"a":"};', start + "{};" + start + '{"b":1};', "", None]
     got = [r[0] for r in spark.createDataFrame(list(enumerate(rows)), "i int, html string").orderBy("i").select(embedded_state(F.col("html"))).collect()]
     assert got == [*hard, None, None, '{"a":"};', "{}", None, None]
+
+
+def test_a_state_is_read_once(spark):
+    """Offers, whether more follow and unreadable states come from one scan and one parse of a page."""
+    from dwellspark.operators.listings import embedded_state, offers_of_pages, with_embedded_state
+
+    pages = spark.range(3).select("id", F.concat(F.lit("window.__PRELOADED_STATE__ = {"), F.col("id").cast("string"), F.lit('"};" };</script>')).alias("html"))
+    plan = offers_of_pages(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("__PRELOADED_STATE__\\s*") == 1 and plan.count("aggregate(") == 1 and plan.count("from_json") == 1
+    assert with_embedded_state(pages).where(~F.col("state").eqNullSafe(embedded_state(F.col("html")))).count() == 0
