@@ -83,6 +83,18 @@ def test_unpriced_listings_and_times_beside_the_clock(spark, tmp_path):
     assert state.baseline_of(spark.read.parquet(str(tmp_path / "told/areas"))).collect() == []
 
 
+def test_a_batch_is_one_entry_of_a_listing(spark, tmp_path, monkeypatch):
+    """What a batch brings of a listing crosses to the store at once, in entries of at most CHUNK snapshots."""
+    monkeypatch.setattr(state, "CHUNK", 50)
+    snaps = snapshots(spark, 130).withColumns({"portal": F.lit("p"), "id": F.lit("a")}).cache()
+    snaps.coalesce(1).write.parquet(str(tmp_path / "landed"))
+    followed(spark, str(tmp_path / "landed"), tmp_path).awaitTermination()
+    entries = spark.read.format("statestore").option("path", str(tmp_path / "progress")).option("stateVarName", "snapshots").load()
+    assert sorted(r[0] for r in entries.select(F.size("list_element.seq")).collect()) == [30, 50, 50]
+    kept = state.snapshots_in_state(spark, str(tmp_path / "progress"))
+    assert rows_of(kept, "portal", "id", "seen_at", "seq", "price_eur") == rows_of(snaps, "portal", "id", "seen_at", "seq", "price_eur")
+
+
 def test_the_session_keeps_its_state_store(spark, tmp_path):
     snapshots(spark, 5).write.parquet(str(tmp_path / "landed"))
     before = spark.conf.get(state.PROVIDER)
