@@ -32,6 +32,13 @@ def last_page_wins(rows: DataFrame, keys: Sequence[str] = (*RUN, "id")) -> DataF
     return _one(rows, F.max_by(whole, F.struct(F.col("page_num"), -F.col("pos"))), keys)
 
 
+def by_rule(rows: DataFrame, late: Column, keys: Sequence[str] = (*RUN, "id")) -> DataFrame:
+    """``last_page_wins`` for the ids whose rows are ``late``, ``first_wins`` for the others, in one aggregate."""
+    whole = F.struct(*[c for c in rows.columns if c not in keys])
+    page = F.when(late, -F.col("page_num")).otherwise(F.col("page_num"))
+    return _one(rows, F.min_by(whole, F.struct(page, "pos")), keys)
+
+
 def until_stop(pages: DataFrame, stop: Column, keys: Sequence[str] = RUN, page: str = "page_num") -> DataFrame:
     """The pages of each run before the first that stops it."""
     ends = pages.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(F.when(stop, F.col(page))).alias("_end"))

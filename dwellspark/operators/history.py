@@ -36,22 +36,34 @@ def latest(snapshots: DataFrame, columns: Sequence[str]) -> DataFrame:
     return whole.select(*KEYS, *[F.col(f"latest.{c}").alias(c) for c in columns])
 
 
-def histories(snapshots: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row for each listing: when first seen, first and last price that isn't 0 or null, and the latest columns."""
+def histories(snapshots: DataFrame, columns: Sequence[str], prices: Column | None = None) -> DataFrame:
+    """One row for each listing: when first seen, first and last price that isn't 0 or null, and the latest columns.
+
+    Listings of which ``prices`` is true also have ``price_history``, as ``price_histories`` gives it; it is null for others.
+    """
     priced = F.when(truthy(F.col("price_eur")), at())
-    return snapshots.groupBy(*KEYS).agg(
+    found = snapshots.groupBy(*KEYS).agg(
         F.min("seen_at").alias("first_seen"),
         F.min(at()).alias("entered"),
         F.min_by("price_eur", priced).alias("first_price"),
         F.max_by("price_eur", priced).alias("last_price"),
         F.max_by(F.struct(*columns), at()).alias("latest"),
+        *([] if prices is None else [F.collect_list(F.when(prices & truthy(F.col("price_eur")), F.struct("seen_at", "seq", "price_eur"))).alias("_prices")]),
     )
+    if prices is None:
+        return found
+    history = F.when(F.size("_prices") > 0, _in_order(F.col("_prices")))
+    return found.withColumn("price_history", history).drop("_prices")
+
+
+def _in_order(rows: Column) -> Column:
+    return F.transform(F.array_sort(rows), lambda r: r["price_eur"])
 
 
 def price_histories(snapshots: DataFrame) -> DataFrame:
     """portal, id, price_history: all prices that aren't 0 or null, in order."""
-    rows = snapshots.where(truthy(F.col("price_eur"))).groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("seen_at", "seq", "price_eur"))).alias("rows"))
-    return rows.select(*KEYS, F.transform("rows", lambda r: r["price_eur"]).alias("price_history"))
+    rows = snapshots.where(truthy(F.col("price_eur"))).groupBy(*KEYS).agg(F.collect_list(F.struct("seen_at", "seq", "price_eur")).alias("rows"))
+    return rows.select(*KEYS, _in_order(F.col("rows")).alias("price_history"))
 
 
 def as_known_at(snapshots: DataFrame, as_of: Column) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.places import area_of_title
 from ..functions.text import elapsed_days, half_even, truthy, whole
-from .history import histories, price_histories
+from ..session import checkpointed
+from .history import histories
 from .ranking import ranked
 
 # A drop of 20 % and 180 days on the market each give half of the full score.
@@ -33,13 +34,14 @@ def per_unit(price: Column, size: Column) -> Column:
     return F.when(truthy(size), whole(price.cast("double") / size.cast("double")))
 
 
-def lead_rows(snapshots: DataFrame, as_of: Column, columns: Sequence[str] = ("area", "sqm"), site_date: str | None = None) -> DataFrame:
+def lead_rows(snapshots: DataFrame, as_of: Column, columns: Sequence[str] = ("area", "sqm"), site_date: str | None = None, prices: Column | None = None) -> DataFrame:
     """A row for each listing that ever had a price, with the metrics that need no other listing.
 
-    With ``site_date``, a column of the listing, days count from it where it is set, and never below 0.
+    With ``site_date``, a column of the listing, days count from it where it is set, and never below 0.  Listings of
+    which ``prices`` is true also have all their prices in ``price_history``.
     """
-    known = histories(snapshots, columns).where(F.col("last_price").isNotNull())
-    rows = known.select("portal", "id", "first_seen", "entered", "first_price", F.col("last_price").alias("price_eur"), *[F.col(f"latest.{c}").alias(c) for c in columns])
+    known = histories(snapshots, columns, prices).where(F.col("last_price").isNotNull())
+    rows = known.select("portal", "id", "first_seen", "entered", "first_price", F.col("last_price").alias("price_eur"), *[F.col(f"latest.{c}").alias(c) for c in columns], *([] if prices is None else ["price_history"]))
     since = F.col("first_seen").cast("timestamp")
     days = elapsed_days(since, as_of)
     if site_date:
@@ -81,10 +83,10 @@ def portal_leads(snapshots: DataFrame, as_of: Column) -> DataFrame:
     """Leads of all portals together, each by its own rules, with all columns of their latest listings.
 
     Means are by portal and area.  imoti.net has no area but in its titles, and its leads alone carry their prices; a
-    date that the site itself gives (olx.bg) counts instead of the first sight.
+    date that the site itself gives (olx.bg) counts instead of the first sight.  Rows are told once and checkpointed: the
+    means need few of their columns, so Spark would aggregate the snapshots a second time for them.
     """
     columns = [c for c in snapshots.columns if c not in ("portal", "id", "seen_at", "seq", "price_eur", "run_id", "page_num")]
     titled = F.when(F.col("portal") == "imoti.net", area_of_title(F.col("title"))).otherwise(F.col("area"))
-    found = leads(snapshots, as_of, columns, site_date="site_updated_at", area=titled)
-    prices = price_histories(snapshots.where(F.col("portal") == "imoti.net"))
-    return found.join(prices, ["portal", "id"], "left")
+    rows = lead_rows(snapshots, as_of, columns, "site_updated_at", F.col("portal") == "imoti.net").withColumn("area", titled)
+    return with_baseline(checkpointed(rows))

@@ -11,9 +11,9 @@ from ..functions.money import to_eur
 from ..functions.places import DEFAULT_AREA, area_of_location, without_repeated_head
 from ..functions.text import captured, decimal_number, digits, first_line, lines_of, not_empty, stripped, unicode_pattern, whole
 from ..schema import OFFERS_JSON
-from ..session import checkpointed
+from ..session import stored
 from .cards import cards
-from .dedup import first_wins, last_page_wins, until_stop
+from .dedup import by_rule, until_stop
 from .portals import BY_NAME, PORTALS, Portal
 
 # How the portals' cards write prices, sizes, areas and titles.
@@ -28,6 +28,10 @@ HOMES_STATE, HOMES_SIZE, HOMES_PHOTOS = r"window\.__PRELOADED_STATE__\s*=\s*(?=\
 FIELDS = ("id", "url", "photo", "photos", "description", "price_eur", "sqm", "area", "title", "site_updated_at")
 
 
+def _found(p: Portal, patterns: dict[str, str], lines: Column) -> Column:
+    return first_line(lines, patterns[p.name]) if p.name in patterns else F.lit(None)
+
+
 def _amount(p: Portal, text: Column, lines: Column) -> Column:
     """The price in the portal's currency."""
     if p.name in PRICE_IN_TEXT:
@@ -35,26 +39,30 @@ def _amount(p: Portal, text: Column, lines: Column) -> Column:
     if p.name == "bazar.bg":  # the line before the first that is only the sign, the first line apart
         at = F.array_position(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "€")
         return F.when(at > 0, digits(F.get(lines, (at - 1).cast("int"))))
-    line = first_line(lines, PRICE_LINE[p.name])
-    return digits(captured(line, PRICE_LINE[p.name]))
+    return digits(captured(F.col("price_line"), PRICE_LINE[p.name]))
 
 
-def _size(p: Portal, text: Column, lines: Column) -> Column:
+def _size(p: Portal, text: Column) -> Column:
     if p.name == "imoti.net":
         return captured(text, NET_SIZE).try_cast("bigint")
     if p.name == "alo.bg":
         return whole(decimal_number(captured(text, ALO_SIZE)))
     if p.name in SIZE_LINE:
-        return whole(decimal_number(captured(first_line(lines, SIZE_LINE[p.name]), SIZE_LINE[p.name])))
+        return whole(decimal_number(captured(F.col("size_line"), SIZE_LINE[p.name])))
     return F.lit(None).cast("bigint")
 
 
-def _area(p: Portal, text: Column, lines: Column) -> Column:
+def _place(p: Portal, text: Column) -> Column:
     if p.name == "imoti.net":  # known only from the title, when leads are made
         return F.lit(None).cast("string")
-    if p.name == "alo.bg":
-        return F.coalesce(without_repeated_head(stripped(captured(text, ALO_AREA))), F.lit(DEFAULT_AREA))
-    return F.coalesce(stripped(captured(first_line(lines, AREA_LINE[p.name]), AREA_LINE[p.name])), F.lit(DEFAULT_AREA))
+    return stripped(captured(text, ALO_AREA) if p.name == "alo.bg" else captured(F.col("area_line"), AREA_LINE[p.name]))
+
+
+def _area(p: Portal) -> Column:
+    if p.name == "imoti.net":
+        return F.lit(None).cast("string")
+    place = F.col("place")
+    return F.coalesce(without_repeated_head(place) if p.name == "alo.bg" else place, F.lit(DEFAULT_AREA))
 
 
 def _title(p: Portal, text: Column, lines: Column, area: Column) -> Column:
@@ -71,19 +79,22 @@ def _title(p: Portal, text: Column, lines: Column, area: Column) -> Column:
     return F.substring(title, 1, p.title_chars)
 
 
-def _photo(p: Portal) -> Column:
+def _source(p: Portal) -> Column:
+    """The address of the card's photo as the page has it."""
     order = ("data_src", "src") if p.name == "imot.bg" else ("src",) if p.name == "alo.bg" else ("src", "data_src")
     sources = F.transform("images", lambda i: F.coalesce(*[not_empty(i[k]) for k in order]))
     if p.name in ("imoti.net", "alo.bg"):  # the first image, whatever it shows
-        source = F.get(sources, F.lit(0))
-    elif p.name == "olx.bg":
-        source = F.get(F.filter(sources, lambda s: s.startswith("http") & ~F.lower(s).contains("icon")), F.lit(0))
-    else:
-        fold = (lambda s: s) if p.name == "imot.bg" else F.lower
-        source = F.get(F.filter(sources, lambda s: s.isNotNull() & ~fold(s).contains("icons/")), F.lit(0))
+        return F.get(sources, F.lit(0))
+    if p.name == "olx.bg":
+        return F.get(F.filter(sources, lambda s: s.startswith("http") & ~F.lower(s).contains("icon")), F.lit(0))
+    fold = (lambda s: s) if p.name == "imot.bg" else F.lower
+    return F.get(F.filter(sources, lambda s: s.isNotNull() & ~fold(s).contains("icons/")), F.lit(0))
+
+
+def _photo(p: Portal) -> Column:
     if p.name == "imoti.net":
-        return absolute(source, p.base, scheme_relative=False)
-    return absolute(source, p.base, relative=p.name in ("alo.bg", "imoti.bg"))
+        return absolute(F.col("source"), p.base, scheme_relative=False)
+    return absolute(F.col("source"), p.base, relative=p.name in ("alo.bg", "imoti.bg"))
 
 
 def _url(p: Portal) -> Column:
@@ -94,32 +105,47 @@ def _url(p: Portal) -> Column:
     return F.when(F.col("href").startswith("http"), F.col("href")).otherwise(F.concat(F.lit(p.base), "href"))
 
 
-def _each(rows: DataFrame, name: str, make, type_: str) -> DataFrame:
-    """A column that every portal makes in its own way; one pass over the rows."""
+def _each(rows: DataFrame, name: str, make, type_: str, where: Column | None = None) -> DataFrame:
+    """A column that every portal makes in its own way, null outside ``where``; one pass over the rows."""
     out = F.lit(None).cast(type_)
     for p in PORTALS:
         if p.link:
             out = F.when(F.col("portal") == p.name, make(p)).otherwise(out)
-    return rows.withColumn(name, out)
+    return rows.withColumn(name, out if where is None else F.when(where, out))
+
+
+def _told_by_cards(cards: DataFrame) -> DataFrame:
+    """The cards with ``valid`` and, where that is true, the listing's fields.
+
+    What is read more than once, such as the line of a price, is a column of its own and found once for each card.
+    """
+    text, lines, good = F.col("card_text"), F.col("lines"), F.col("good")
+    rows = cards.withColumn("lines", F.when(F.col("has_card"), lines_of(F.col("card_lines"))))
+    rows = _each(rows, "price_line", lambda p: _found(p, PRICE_LINE, lines), "string")
+    rows = _each(rows, "amount", lambda p: _amount(p, text, lines), "bigint", F.col("has_card"))
+    rows = _each(rows, "least", lambda p: F.lit(p.min_price), "bigint")
+    priced = (F.col("amount") >= F.col("least")) & ((F.size("lines") > 0) | F.col("portal").isin("imoti.net", "alo.bg"))
+    rows = rows.withColumn("good", F.coalesce(F.col("has_card") & priced, F.lit(False)))
+    rows = _each(rows, "size_line", lambda p: _found(p, SIZE_LINE, lines), "string", good)
+    rows = _each(rows, "area_line", lambda p: _found(p, AREA_LINE, lines), "string", good)
+    rows = _each(rows, "place", lambda p: _place(p, text), "string", good)
+    rows = _each(rows, "area", _area, "string", good)
+    rows = _each(rows, "title", lambda p: _title(p, text, lines, F.col("area")), "string", good)
+    rows, valid = rows.withColumn("valid", good & F.col("title").isNotNull()), F.col("valid")
+    rows = _each(rows, "source", _source, "string", valid)
+    rows = _each(rows, "price_eur", lambda p: to_eur(F.col("amount"), p.currency), "bigint", valid)
+    rows = _each(rows, "sqm", lambda p: _size(p, text), "bigint", valid)
+    rows = _each(rows, "photo", _photo, "string", valid)
+    rows = _each(rows, "url", _url, "string", valid)
+    rows = _each(rows, "id", lambda p: F.concat(F.lit(p.prefix), "key"), "string", valid)
+    dated = F.when(valid & (F.col("portal") == "olx.bg"), updated_at(F.col("area_line"), F.col("fetched_at")))
+    rows = rows.withColumns({"site_updated_at": dated, "photos": F.lit(None).cast("array<string>"), "description": F.lit(None).cast("string")})
+    return rows.select("portal", "run_id", "page_num", "pos", "has_card", "valid", *FIELDS)
 
 
 def listings_of_cards(cards: DataFrame) -> DataFrame:
     """The valid listings of cards, not yet deduplicated, with page_num and pos."""
-    text, lines = F.col("card_text"), F.col("lines")
-    rows = cards.where("has_card").withColumn("lines", lines_of(F.col("card_lines")))
-    rows = _each(rows, "amount", lambda p: _amount(p, text, lines), "bigint")
-    least = _each(rows, "least", lambda p: F.lit(p.min_price), "bigint")
-    rows = least.where((F.col("amount") >= F.col("least")) & ((F.size("lines") > 0) | F.col("portal").isin("imoti.net", "alo.bg")))
-    rows = _each(rows, "price_eur", lambda p: to_eur(F.col("amount"), p.currency), "bigint")
-    rows = _each(rows, "sqm", lambda p: _size(p, text, lines), "bigint")
-    rows = _each(rows, "area", lambda p: _area(p, text, lines), "string")
-    rows = _each(rows, "title", lambda p: _title(p, text, lines, F.col("area")), "string").where(F.col("title").isNotNull())
-    rows = _each(rows, "photo", _photo, "string")
-    rows = _each(rows, "url", _url, "string")
-    rows = _each(rows, "id", lambda p: F.concat(F.lit(p.prefix), "key"), "string")
-    dated = F.when(F.col("portal") == "olx.bg", updated_at(first_line(lines, AREA_LINE["olx.bg"]), F.col("fetched_at")))
-    rows = rows.withColumns({"site_updated_at": dated, "photos": F.lit(None).cast("array<string>"), "description": F.lit(None).cast("string")})
-    return rows.select("portal", "run_id", "page_num", "pos", *FIELDS)
+    return _told_by_cards(cards).where("valid").drop("has_card", "valid")
 
 
 def _after(html: Column) -> Column:
@@ -192,29 +218,24 @@ def listings_of_offers(pages: DataFrame) -> DataFrame:
 def listings(pages: DataFrame) -> DataFrame:
     """All portals' listings of landed pages: pages up to each run's stop, one row for each id, in ``ordinal`` order.
 
-    Pages are narrowed before the tree is built, and what is read from them, links with their cards and offers, is
-    written once: stop rules, counts and fields read that, so no page is parsed twice.
+    Pages are narrowed before the tree is built, and what is told by them, the fields of each card and the offers, is
+    written once: stop rules, counts and deduplication read that, so no page is made, parsed or read twice.
     """
     cap = F.lit(None).cast("int")
     for p in PORTALS:
         cap = F.when(F.col("portal") == p.name, p.max_pages).otherwise(cap)
     pages, by_link = pages.where(F.col("page_num") <= cap), [p for p in PORTALS if p.link]
-    linked = checkpointed(cards(pages.where(F.col("portal").isin(*[p.name for p in by_link]))))
-    found = listings_of_cards(linked)
-    counted = linked.groupBy("portal", "run_id", "page_num").agg(F.count("*").alias("links"))
-    kept = found.groupBy("portal", "run_id", "page_num").agg(F.count("*").alias("listings"))
-    seen = _of_page(pages.select("portal", "run_id", "page_num", F.col("html").isNull().alias("failed")), counted, "left")
-    seen = _of_page(seen, kept, "left")
+    told = stored(_told_by_cards(cards(pages.where(F.col("portal").isin(*[p.name for p in by_link])), every_page=True)))
+    seen = told.groupBy("portal", "run_id", "page_num").agg(F.count("pos").alias("links"), F.count_if("valid").alias("listings"), F.bool_or(F.col("has_card").isNull()).alias("failed"))
     by_listings = F.col("portal").isin(*[p.name for p in by_link if p.stop == "listings"])
-    empty = F.when(by_listings, F.coalesce("listings", F.lit(0)) == 0).otherwise(F.coalesce("links", F.lit(0)) == 0)
-    alive = until_stop(seen.where(F.col("portal").isin(*[p.name for p in by_link])), F.col("failed") | empty).select("portal", "run_id", "page_num")
+    empty = F.when(by_listings, F.col("listings") == 0).otherwise(F.col("links") == 0)
+    alive = until_stop(seen, F.col("failed") | empty).select("portal", "run_id", "page_num")
     offers = offers_of_pages(pages.where(F.col("portal") == "homes.bg")).withColumn("failed", F.col("html").isNull())
-    offers = checkpointed(offers.select("portal", "run_id", "page_num", "failed", "has_state", "has_more", "offers"))
+    offers = stored(offers.select("portal", "run_id", "page_num", "failed", "has_state", "has_more", "offers"))
     last = F.col("failed") | (F.col("has_state") & ~F.col("has_more"))
     ends = _until_flag(offers, last)
-    rows = _of_page(found, alive, "left_semi").unionByName(listings_of_offers(ends))
-    late = F.col("portal").isin(*[p.name for p in PORTALS if p.dedup == "last_page"])
-    one = first_wins(rows.where(~late)).unionByName(last_page_wins(rows.where(late)))
+    rows = _of_page(told.where("valid").drop("has_card", "valid"), alive, "left_semi").unionByName(listings_of_offers(ends))
+    one = by_rule(rows, F.col("portal").isin(*[p.name for p in PORTALS if p.dedup == "last_page"]))
     return one.withColumn("ordinal", F.col("first_at.page_num").cast("bigint") * F.lit(1_000_000) + F.col("first_at.pos")).drop("first_at", "pos")
 
 

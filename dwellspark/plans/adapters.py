@@ -57,6 +57,14 @@ def _part_places(spark: SparkSession, folder: str) -> DataFrame:
     return parts.withColumns({"run_id": run, "page_num": (F.col("p_size") % 4 + 1).cast("int"), "price": 900 + F.col("p_partkey") * 37 % 5000})
 
 
+def _by_page(rows: DataFrame) -> DataFrame:
+    """The parts dealt out by page before any text is made of them: the table is small, with few splits, and its pages are large.
+
+    The session's number of partitions is named, since Spark would choose one by the parts' few bytes.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run_id", "page_num")
+
+
 def _landed(rows: DataFrame, html) -> DataFrame:
     pages = rows.groupBy("portal", "run_id", "page_num").agg(html.alias("html"))
     url, fetched = F.concat_ws("/", F.lit("https:/"), "portal", "page_num"), F.lit("2026-08-21 09:30:00").cast("timestamp")
@@ -89,10 +97,12 @@ def part_pages(spark: SparkSession, folder: str) -> DataFrame:
         ("alo.bg", _text('<div><img src="i/', key, '.jpg"><a href="/ap-', 1_000_000 + key, '">', name, "</a><p>Цена : ", price, " € Квадратура: ", size, ".5 кв.м Люлин ", size % 3, " Люлин ", size % 9, ", София</p></div>")),
         ("imoti.net", _text('<div><a href="/en/obiava/prodava-x/', key, '/"></a>for sale ', name, ", Sofia, ", brand, " ", price, " € / ", 2 * price, " BGN, ", size, " м 2</div>")),
     )
-    rows = _part_places(spark, folder)
-    portal, card = F.element_at(F.array(*[F.lit(c[0]) for c in cards]), (key % 6 + 1).cast("int")), F.element_at(F.array(*[c[1] for c in cards]), (key % 6 + 1).cast("int"))
+    rows = _part_places(spark, folder).withColumn("portal", F.element_at(F.array(*[F.lit(c[0]) for c in cards]), (key % 6 + 1).cast("int")))
+    card = F.lit(None).cast("string")
+    for name_of_portal, text in cards:
+        card = F.when(F.col("portal") == name_of_portal, text).otherwise(card)
     in_order = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "card"))), lambda c: c["card"]), "")
-    return _landed(rows.withColumns({"portal": portal, "card": card}), _text("<html><section>", in_order, "</section></html>"))
+    return _landed(_by_page(rows).withColumn("card", card), _text("<html><section>", in_order, "</section></html>"))
 
 
 HARD = ' "}; \\" {\\'
@@ -111,7 +121,7 @@ def part_offers(spark: SparkSession, folder: str) -> DataFrame:
         key.alias("id"), _text(F.when(key % 5 == 2, _text(F.col("p_name"), HARD)).otherwise(F.col("p_name")), ", ", F.col("p_size"), "m²").alias("title"), _text(F.col("p_brand"), ", София").alias("location"), photo.alias("photo"),
         F.when(key % 3 == 0, more).otherwise(F.slice(more, 1, 0)).alias("photos"), _text("/offer/", key).alias("viewHref"), F.when(key % 5 == 0, "").otherwise(F.col("p_type")).alias("description"), price.alias("price"),
     )
-    rows = _part_places(spark, folder).select(F.lit("homes.bg").alias("portal"), "run_id", "page_num", F.struct("p_partkey", offer.alias("offer")).alias("one"))
+    rows = _by_page(_part_places(spark, folder)).select(F.lit("homes.bg").alias("portal"), "run_id", "page_num", F.struct("p_partkey", offer.alias("offer")).alias("one"))
     result = F.transform(F.array_sort(F.collect_list("one")), lambda o: o["offer"])
     state = F.to_json(F.struct(F.struct(F.struct((F.col("page_num") < 4).alias("hasMoreItems"), result.alias("result")).alias("offers")).alias("data")))
     state = F.when((F.col("page_num") == 2) & F.col("run_id").rlike(r"3-\d+$"), F.concat(F.substring(state, 1, 40), F.lit("}"))).otherwise(state)

@@ -96,3 +96,85 @@ def test_a_state_is_read_once(spark):
     plan = offers_of_pages(pages)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("__PRELOADED_STATE__\\s*") == 1 and plan.count("aggregate(") == 1 and plan.count("from_json") == 1
     assert with_embedded_state(pages).where(~F.col("state").eqNullSafe(embedded_state(F.col("html")))).count() == 0
+
+
+def _logged(rows, path):
+    """The rows, each of which adds a line to a file when it is read."""
+
+    def run(batches):
+        for batch in batches:
+            with open(path, "a") as log:
+                log.write("x\n" * batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _lines(path):
+    with open(path) as log:
+        return sum(1 for _ in log)
+
+
+def test_pages_are_read_once_for_links_and_once_for_offers(spark, tmp_path):
+    pages, log = fixtures.pages(spark), str(tmp_path / "read")
+    assert listings(_logged(pages, log)).count() == 12
+    assert _lines(log) == 2 * len(fixtures.PAGES)
+
+
+def test_snapshots_are_read_once(spark, tmp_path):
+    at, log = lambda text: F.lit(text).cast("timestamp"), str(tmp_path / "read")
+    snapshots = history.snapshots_of(listings(fixtures.pages(spark)), at("2026-08-21 09:30:00"))
+    rows = leads.portal_leads(_logged(snapshots, log), at("2026-11-29 09:30:00")).collect()
+    assert {r["portal"] for r in rows if r["price_history"] is not None} == {"imoti.net"} and len(rows) == 12
+    assert _lines(log) == 12
+
+
+def test_part_pages_deal_out_parts_and_not_texts(spark, data):
+    """Texts are made behind the exchange, in as many tasks as it has partitions, and not in the few splits of a small table."""
+    from dwellspark.plans.adapters import part_offers, part_pages
+
+    for rows in (part_pages(spark, data), part_offers(spark, data)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        _, dealt, below = plan.partition("RepartitionByExpression")
+        assert dealt and "/offer/" not in below and "/obiava" not in below
+        assert rows.rdd.getNumPartitions() == 4
+
+
+def test_pages_without_links(spark):
+    from dwellspark.operators.cards import cards
+    from dwellspark.schema import PAGE
+
+    rows = [("imot.bg", "r", 1, "u", None, None), ("imot.bg", "r", 2, "u", "<a href='/x'>x</a>", None), ("imot.bg", None, 3, "u", '<a href="/obiava-1a1234567890-x">x</a>', None)]
+    pages = spark.createDataFrame(rows, PAGE)
+    got = sorted((r["page_num"], r["pos"], r["has_card"]) for r in cards(pages, every_page=True).collect())
+    assert got == [(1, None, None), (2, None, False), (3, 0, False)]
+    assert [r["page_num"] for r in cards(pages).collect()] == [3]
+
+
+def test_a_failed_page_stops_its_run(spark):
+    from dwellspark.schema import PAGE
+
+    rows = [tuple(r) for r in fixtures.pages(spark).where("portal = 'imot.bg' and page_num <= 2 or portal = 'bazar.bg'").collect()]
+    failed = [(*r[:4], None, r[5]) for r in rows if r[2] == 2]  # the second page was fetched, and fetched again in vain
+    got = {(r["portal"], r["page_num"]) for r in listings(spark.createDataFrame(rows + failed, PAGE)).collect()}
+    assert got == {("imot.bg", 1), ("bazar.bg", 1)}
+
+
+def test_both_dedup_rules_in_one_aggregate(spark):
+    rows = spark.createDataFrame([(p, "r", "a", n, pos, t) for p in "pq" for n, pos, t in ((1, 5, "x"), (1, 2, "y"), (3, 9, "z"), (3, 4, "w"))], "portal string, run_id string, id string, page_num int, pos int, title string")
+    got = {r["portal"]: (r["title"], r["first_at"]["pos"]) for r in dedup.by_rule(rows, F.col("portal") == "q").collect()}
+    assert got == {"p": ("y", 2), "q": ("w", 2)}
+
+
+def test_plain_tags_are_read_as_the_parser_does():
+    import random
+    from html.parser import HTMLParser
+
+    class Slow(Page):
+        parse_starttag, parse_endtag = HTMLParser.parse_starttag, HTMLParser.parse_endtag
+
+    some, pick = '<div>|</div>|<p a="b>c">|</p>|<a href="/x">|<a href="/1" href="/2">|<a href="/a&amp;b">|<A HREF=q>|</a>|<img src="1" data-src="2">|<img data-src>|<br>|<br/>|</br>|<script>|</script>|<script-x>|<title>|</title>|<textarea>|</textarea>|<style a="b">|</style>|<!-- <p> -->|<!doctype html>|<|&amp;|&|text|  |\n|<a href="/u|<a href="/d"  >|</p x>|</>|<x:y>|<template>|</template>|<a href="/c"b="d">'.split("|"), random.Random(1)
+    for _ in range(3000):
+        html = "".join(pick.choice(some) for _ in range(pick.randrange(1, 14)))
+        fast, slow = Page(html), Slow(html)
+        assert (fast.texts, fast.images, fast.elements, fast.links) == (slow.texts, slow.images, slow.elements, slow.links), html
