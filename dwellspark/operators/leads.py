@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.places import area_of_title
 from ..functions.text import elapsed_days, half_even, truthy, whole
-from ..session import checkpointed
+from ..session import checkpointed, stored
 from .history import histories
 from .ranking import ranked
 
@@ -55,13 +55,14 @@ def area_baseline(rows: DataFrame, keys: Sequence[str] = ("portal", "area")) ->
     return rows.where(truthy(F.col("price_per_sqm"))).groupBy(*keys).agg(F.avg("price_per_sqm").alias("baseline"), F.count("*").alias("n_listings"))
 
 
-def with_baseline(rows: DataFrame, keys: Sequence[str] = ("portal", "area")) -> DataFrame:
+def with_baseline(rows: DataFrame, keys: Sequence[str] = ("portal", "area"), means: DataFrame | None = None) -> DataFrame:
     """Adds area_avg_price_per_sqm and pct_vs_area_avg; null where a row has no price per square metre.
 
     The means are aggregated first, so a join brings one row for each area, not every lead of an area to one task.
     Both sides read the same exchange of snapshots by listing, so snapshots are read once; nothing runs before an action.
+    ``means``, if the rows' ``area_baseline`` is at hand, is taken instead.
     """
-    means = area_baseline(rows, keys).select(*[F.col(k).alias(f"_{k}") for k in keys], "baseline")
+    means = (area_baseline(rows, keys) if means is None else means).select(*[F.col(k).alias(f"_{k}") for k in keys], "baseline")
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     joined = rows.join(means, [*same, truthy(F.col("price_per_sqm"))], "left")
     percent = half_even((F.col("price_per_sqm") - F.col("baseline")) / F.col("baseline") * F.lit(100.0), 1)
@@ -84,9 +85,11 @@ def portal_leads(snapshots: DataFrame, as_of: Column) -> DataFrame:
 
     Means are by portal and area.  imoti.net has no area but in its titles, and its leads alone carry their prices; a
     date that the site itself gives (olx.bg) counts instead of the first sight.  Rows are told once and checkpointed: the
-    means need few of their columns, so Spark would aggregate the snapshots a second time for them.
+    means need few of their columns, so Spark would aggregate the snapshots a second time for them.  The means are a table,
+    of known size, so leads are not dealt out by area where it is small.
     """
     columns = [c for c in snapshots.columns if c not in ("portal", "id", "seen_at", "seq", "price_eur", "run_id", "page_num")]
     titled = F.when(F.col("portal") == "imoti.net", area_of_title(F.col("title"))).otherwise(F.col("area"))
     rows = lead_rows(snapshots, as_of, columns, "site_updated_at", F.col("portal") == "imoti.net").withColumn("area", titled)
-    return with_baseline(checkpointed(rows))
+    rows = checkpointed(rows)
+    return with_baseline(rows, means=stored(area_baseline(rows)))

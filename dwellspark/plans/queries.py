@@ -16,7 +16,7 @@ from ..functions.text import captured, lines_of, stripped, truthy, whole
 from ..operators import dedup, history, leads, ranking
 from ..operators.cards import anchors, cards
 from ..operators.listings import listings, offers_of_pages
-from ..session import checkpointed, shared_folder
+from ..session import shared_folder
 from ..sources import snapshots as bucketed
 from ..sources import tables
 from ..sources.landed import land, landed_crawl
@@ -267,10 +267,12 @@ def _shown(rows: DataFrame) -> DataFrame:
 
 def portal_leads(spark: SparkSession, folder: str) -> DataFrame:
     """From pages to leads: two runs over the parts' pages of all portals, the second cheaper by a tenth, asked for 100 days later."""
-    found = checkpointed(listings(part_pages(spark, folder).unionByName(part_offers(spark, folder))))
-    first = history.snapshots_of(found, _time("2026-08-21 09:30:00"))
-    second = history.snapshots_of(found.withColumn("price_eur", whole(F.col("price_eur") * 0.9)), _time("2026-09-21 09:30:00"))
-    ranked = leads.in_rank_order(leads.portal_leads(first.unionByName(second), _time("2026-11-29 09:30:00")))
+    found = listings(part_pages(spark, folder).unionByName(part_offers(spark, folder)))
+    first = F.struct(_time("2026-08-21 09:30:00").alias("seen_at"), F.col("price_eur").alias("price_eur"))
+    second = F.struct(_time("2026-09-21 09:30:00").alias("seen_at"), whole(F.col("price_eur") * 0.9).alias("price_eur"))
+    both = found.withColumn("run", F.explode(F.array(first, second))).withColumn("price_eur", F.col("run.price_eur"))
+    snapshots = history.snapshots_of(both, F.col("run.seen_at")).drop("run")
+    ranked = leads.in_rank_order(leads.portal_leads(snapshots, _time("2026-11-29 09:30:00")))
     ranked = ranked.drop("entered").withColumn("first_seen", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss"))
     return _shown(ranked.withColumn("price_history", F.array_join(F.col("price_history").cast("array<string>"), ",")))
 
